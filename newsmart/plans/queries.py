@@ -137,3 +137,164 @@ def dim_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = _silver(spark, sf_dir)
     return gold.fact_articles(silver, gold.dim_author(silver), gold.dim_source(silver))
+
+
+# ---------------------------------------------------------------- notebook analysis
+
+from newsmart.functions.text import WHITESPACE_RUN  # noqa: E402
+from newsmart.operators import analysis, keywords  # noqa: E402
+from newsmart.schemas import SILVER  # noqa: E402
+
+
+@register(
+    "rows_by_date", ("AGG-8", "FLT-5"),
+    fx.oracle("SELECT day, month, year, count(*) AS quantidade FROM silver "
+              "WHERE day IS NOT NULL AND month IS NOT NULL AND year IS NOT NULL GROUP BY day, month, year"),
+)
+def rows_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.rows_by_date(_silver(spark, sf_dir))
+
+
+@register(
+    "rows_by_month", ("AGG-9", "FLT-5"),
+    fx.oracle("SELECT month, count(*) AS quantidade FROM silver WHERE month IS NOT NULL GROUP BY month"),
+)
+def rows_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.rows_by_month(_silver(spark, sf_dir))
+
+
+@register(
+    "rows_by_year", ("AGG-10", "FLT-5"),
+    fx.oracle("SELECT year, count(*) AS quantidade FROM silver WHERE year IS NOT NULL GROUP BY year"),
+)
+def rows_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.rows_by_year(_silver(spark, sf_dir))
+
+
+@register(
+    "top_sources", ("AGG-11", "TOP-1"),
+    fx.oracle("SELECT source_name, count(*) AS quantidade FROM silver WHERE source_name IS NOT NULL "
+              "GROUP BY source_name ORDER BY quantidade DESC, source_name LIMIT 10"),
+)
+def top_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.top_sources(_silver(spark, sf_dir), 10)
+
+
+@register(
+    "source_author_ranked", ("SRT-1",),
+    fx.oracle("SELECT source_name, author, count(content) AS number_articles FROM silver "
+              "GROUP BY source_name, author ORDER BY number_articles DESC, source_name NULLS LAST, author NULLS LAST"),
+)
+def source_author_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = gold.count_articles(_silver(spark, sf_dir), ["source_name", "author"])
+    return analysis.ranked(counts, "number_articles", ["source_name", "author"])
+
+
+@register("silver_head", ("LIM-1",), fx.oracle("SELECT * FROM silver ORDER BY url LIMIT 2"))
+def silver_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.head(_silver(spark, sf_dir), 2, ["url"])
+
+
+def _profile_oracle() -> str:
+    parts = [
+        f"SELECT {i} AS position, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
+        f"count({f.name}) AS non_null, count(*) AS row_count FROM silver"
+        for i, f in enumerate(SILVER.fields)
+    ]
+    return fx.oracle("\nUNION ALL\n".join(parts))
+
+
+@register("silver_profile", ("PRF-1",), _profile_oracle())
+def silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.profile(_silver(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- words and keywords
+
+_KEYWORD_CTES = f"""
+word_counts AS (
+  SELECT w AS Palavra, count(*) AS Quantidade
+  FROM (SELECT unnest(string_split_regex(description, '{WHITESPACE_RUN}')) AS w FROM silver)
+  WHERE length(w) > 4
+  GROUP BY w
+),
+top3 AS (
+  SELECT Palavra, Quantidade, row_number() OVER (ORDER BY Quantidade DESC, Palavra) AS rank
+  FROM word_counts ORDER BY Quantidade DESC, Palavra LIMIT 3
+),
+occ AS (
+  SELECT t.rank, t.Palavra AS keyword, s.year, s.month, s.day,
+         len(regexp_extract_all(lower(s.description), lower(t.Palavra))) AS occurrences
+  FROM silver s CROSS JOIN top3 t
+)
+"""
+
+
+def _keywords_input(spark: SparkSession, sf_dir: str):
+    silver = _silver(spark, sf_dir)
+    return silver, keywords.keyword_slots(keywords.word_counts(silver), 3)
+
+
+@register(
+    "word_counts", ("AGG-12", "STR-1", "STR-2", "FLT-3", "PRJ-4"),
+    fx.oracle("SELECT * FROM word_counts", _KEYWORD_CTES),
+)
+def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keywords.word_counts(_silver(spark, sf_dir))
+
+
+@register(
+    "top_words", ("TOP-2", "SRT-2"),
+    fx.oracle("SELECT Palavra, Quantidade FROM top3", _KEYWORD_CTES),
+)
+def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keywords.top_words(keywords.word_counts(_silver(spark, sf_dir)), 3)
+
+
+@register(
+    "keyword_histogram", ("AGG-13", "FLT-4", "STR-3", "STR-4", "PRJ-5"),
+    fx.oracle(
+        "SELECT keyword, year, month, day, occurrences, count(*) AS contagem FROM occ "
+        "WHERE year IS NOT NULL AND month IS NOT NULL AND day IS NOT NULL AND occurrences IS NOT NULL "
+        "AND occurrences <> 0 GROUP BY keyword, year, month, day, occurrences",
+        _KEYWORD_CTES,
+    ),
+)
+def keyword_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver, slots = _keywords_input(spark, sf_dir)
+    return keywords.keyword_histogram(keywords.keyword_occurrences(silver, slots))
+
+
+@register(
+    "keyword_daily_total", ("AGG-15",),
+    fx.oracle(
+        "SELECT keyword, year, month, day, CAST(coalesce(sum(occurrences), 0) AS BIGINT) AS occurrences FROM occ "
+        "WHERE year IS NOT NULL AND month IS NOT NULL AND day IS NOT NULL GROUP BY keyword, year, month, day",
+        _KEYWORD_CTES,
+    ),
+)
+def keyword_daily_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver, slots = _keywords_input(spark, sf_dir)
+    return keywords.keyword_daily_total(keywords.keyword_occurrences(silver, slots))
+
+
+@register(
+    "keyword_all_daily", ("AGG-14", "BOO-1", "STR-5"),
+    fx.oracle(
+        """
+        SELECT s.year, s.month, s.day,
+               count(*) FILTER (WHERE coalesce(regexp_matches(lower(s.description), lower(k.k1)), false)
+                                  AND coalesce(regexp_matches(lower(s.description), lower(k.k2)), false)
+                                  AND coalesce(regexp_matches(lower(s.description), lower(k.k3)), false)) AS todas_top3
+        FROM silver s CROSS JOIN (SELECT max(Palavra) FILTER (WHERE rank = 1) AS k1,
+                                         max(Palavra) FILTER (WHERE rank = 2) AS k2,
+                                         max(Palavra) FILTER (WHERE rank = 3) AS k3 FROM top3) k
+        WHERE s.year IS NOT NULL AND s.month IS NOT NULL AND s.day IS NOT NULL
+        GROUP BY s.year, s.month, s.day
+        """,
+        _KEYWORD_CTES,
+    ),
+)
+def keyword_all_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver, slots = _keywords_input(spark, sf_dir)
+    return keywords.all_keywords_daily(silver, slots)
