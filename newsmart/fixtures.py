@@ -135,3 +135,53 @@ def oracle(sql: str, extra_ctes: str = "") -> str:
     if extra_ctes:
         chain = chain + ",\n" + extra_ctes.strip()
     return f"WITH {chain}\n{sql.strip()}"
+
+
+def searchable_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze articles, source flattened, with the publication instant as
+    ``published_ts`` (TIMESTAMP_NTZ in UTC) for interval search and sorting."""
+    from newsmart.functions import parse_timestamp
+    from newsmart.operators.bronze import flatten_source
+
+    b = flatten_source(bronze_articles(spark, sf_dir))
+    return b.withColumn("published_ts", parse_timestamp("publishedAt").cast("timestamp_ntz"))
+
+
+def source_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per ``documents.source``: its language (that of its first document),
+    document count, and a category and country assigned from the source number."""
+    from newsmart.operators.search import CATEGORY_OPTIONS, COUNTRY_OPTIONS
+
+    d = read(spark, sf_dir, "documents")
+    per = d.groupBy(F.col("source").alias("source_id")).agg(
+        F.min_by("lang", "doc_id").alias("language"), F.count(F.lit(1)).alias("documents")
+    )
+    n = F.regexp_extract("source_id", r"(\d+)$", 1).cast("int")
+    cats = F.array(*[F.lit(c) for c in CATEGORY_OPTIONS])
+    ctry = F.array(*[F.lit(c) for c in COUNTRY_OPTIONS])
+    return per.select(
+        "source_id",
+        F.element_at(cats, (n % len(CATEGORY_OPTIONS)) + 1).alias("category"),
+        "language",
+        F.element_at(ctry, (n % len(COUNTRY_OPTIONS)) + 1).alias("country"),
+        "documents",
+    )
+
+
+def landing_with_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing rows with the API's ``totalResults`` per window: the number of distinct
+    articles published that day (page 1 holds them all)."""
+    landing = landing_articles(spark, sf_dir)
+    totals = (
+        landing.filter(F.col("page") == 1)
+        .groupBy("window_date")
+        .agg(F.count(F.lit(1)).cast("long").alias("totalResults"))
+    )
+    return landing.join(totals, "window_date", "left")
+
+
+ORACLE_SEARCHABLE = r"""
+arts AS (
+  SELECT *, strptime(publishedAt, '%Y-%m-%dT%H:%M:%SZ') AS published_ts FROM bronze
+)
+"""

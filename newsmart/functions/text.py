@@ -57,23 +57,24 @@ def quote_literal(pattern: str) -> str:
     return "\\Q" + pattern + "\\E"
 
 
-def _pattern(pattern: str | Column, literal: bool) -> Column:
+def _lowered_pattern(pattern: str | Column, literal: bool) -> Column:
+    """Lower-case the pattern text first, then quote it when literal."""
     if isinstance(pattern, Column):
-        if literal:
-            return F.concat(F.lit("\\Q"), pattern, F.lit("\\E"))
-        return pattern
-    return F.lit(quote_literal(pattern) if literal else pattern)
+        low = F.lower(pattern)
+        return F.concat(F.lit("\\Q"), low, F.lit("\\E")) if literal else low
+    low = pattern.lower()
+    return F.lit(quote_literal(low) if literal else low)
 
 
 def count_matches(col: str | Column, pattern: str | Column, literal: bool = False) -> Column:
     """STR-4: non-overlapping matches of ``pattern`` in ``lower(col)``; the pattern is
     lower-cased too. Null text gives null."""
-    return F.regexp_count(F.lower(as_col(col)), F.lower(_pattern(pattern, literal)))
+    return F.regexp_count(F.lower(as_col(col)), _lowered_pattern(pattern, literal))
 
 
 def contains_match(col: str | Column, pattern: str | Column, literal: bool = False) -> Column:
     """STR-5: does ``lower(col)`` contain ``pattern`` (regex unless ``literal``)."""
-    return F.regexp(F.lower(as_col(col)), F.lower(_pattern(pattern, literal)))
+    return F.regexp(F.lower(as_col(col)), _lowered_pattern(pattern, literal))
 
 
 def date_prefix(col: str | Column) -> Column:

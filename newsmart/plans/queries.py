@@ -298,3 +298,227 @@ def keyword_daily_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyword_all_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, slots = _keywords_input(spark, sf_dir)
     return keywords.all_keywords_daily(silver, slots)
+
+
+# ---------------------------------------------------------------- search (re-aimed API surface)
+
+from newsmart.functions.text import HOST_PATTERN  # noqa: E402
+from newsmart.operators import search, windows  # noqa: E402
+
+_ART = fx.ORACLE_SEARCHABLE
+SEARCH_Q = "ouen"
+
+
+def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    return fx.searchable_articles(spark, sf_dir)
+
+
+def _sql_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+@register(
+    "article_search", ("RA-1",),
+    fx.oracle(
+        f"SELECT * FROM arts WHERE coalesce(contains(lower(title), '{SEARCH_Q}'), false) "
+        f"OR coalesce(contains(lower(description), '{SEARCH_Q}'), false) "
+        f"OR coalesce(contains(lower(content), '{SEARCH_Q}'), false)",
+        _ART,
+    ),
+)
+def article_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search_articles(_articles(spark, sf_dir), q=SEARCH_Q)
+
+
+@register(
+    "article_search_title", ("RA-1",),
+    fx.oracle(f"SELECT * FROM arts WHERE coalesce(contains(lower(title), '{SEARCH_Q}'), false)", _ART),
+)
+def article_search_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search_articles(_articles(spark, sf_dir), q=SEARCH_Q, search_in="title")
+
+
+_SOURCES = ["src0", "src1", "src2"]
+
+
+@register(
+    "search_sources", ("RA-2",),
+    fx.oracle(f"SELECT * FROM arts WHERE source_id IN ({_sql_list(_SOURCES)})", _ART),
+)
+def search_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search_articles(_articles(spark, sf_dir), sources=_SOURCES)
+
+
+_DOMAINS = ["example.net", "example.org"]
+_EXCLUDE = ["blog.tionsh.example.net", "ththed.example.org"]
+
+
+def _host_sql(col: str) -> str:
+    return f"nullif(lower(regexp_extract({col}, '{HOST_PATTERN}', 2)), '')"
+
+
+def _domain_sql(host: str, domains) -> str:
+    return "(" + " OR ".join(f"({host} = '{d}' OR ends_with({host}, '.{d}'))" for d in domains) + ")"
+
+
+@register(
+    "search_domains", ("RA-3",),
+    fx.oracle(
+        f"SELECT page_id, url, host FROM (SELECT page_id, url, {_host_sql('url')} AS host FROM pages) "
+        f"WHERE coalesce({_domain_sql('host', _DOMAINS)}, false) "
+        f"AND NOT coalesce({_domain_sql('host', _EXCLUDE)}, false)"
+    ),
+)
+def search_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsmart.functions import url_host
+
+    pages = fx.read(spark, sf_dir, "pages").select("page_id", "url", url_host("url").alias("host"))
+    return pages.filter(search.domain_filter(_DOMAINS, _EXCLUDE))
+
+
+_FROM, _TO, _LANG = "2023-12-01T00:00:00", "2023-12-15T23:59:59", "en"
+
+
+@register(
+    "search_interval", ("RA-4",),
+    fx.oracle(
+        f"SELECT * FROM arts WHERE published_ts >= TIMESTAMP '{_FROM}' AND published_ts <= TIMESTAMP '{_TO}' "
+        f"AND language = '{_LANG}'",
+        _ART,
+    ),
+)
+def search_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search_articles(_articles(spark, sf_dir), date_from=_FROM, date_to=_TO, language=_LANG)
+
+
+@register(
+    "search_page", ("RA-6",),
+    fx.oracle("SELECT * FROM arts ORDER BY published_ts DESC NULLS LAST, url NULLS LAST LIMIT 20 OFFSET 20", _ART),
+)
+def search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.sort_and_page(_articles(spark, sf_dir), "publishedAt", page_size=20, page=2)
+
+
+def _relevance_sql(q: str) -> str:
+    return " + ".join(
+        f"coalesce(len(regexp_extract_all(lower({f}), '\\Q{q.lower()}\\E')), 0)" for f in search.SEARCH_IN_OPTIONS
+    )
+
+
+@register(
+    "search_relevancy", ("RA-1", "RA-6"),
+    fx.oracle(
+        f"SELECT *, {_relevance_sql(SEARCH_Q)} AS relevance FROM arts "
+        f"WHERE coalesce(contains(lower(title), '{SEARCH_Q}'), false) "
+        f"OR coalesce(contains(lower(description), '{SEARCH_Q}'), false) "
+        f"OR coalesce(contains(lower(content), '{SEARCH_Q}'), false) "
+        "ORDER BY relevance DESC, published_ts DESC NULLS LAST, url NULLS LAST LIMIT 10",
+        _ART,
+    ),
+)
+def search_relevancy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.search_articles(_articles(spark, sf_dir), q=SEARCH_Q)
+    return search.sort_and_page(found, "relevancy", page_size=10, page=1, q=SEARCH_Q)
+
+
+_REQUESTED = ["src0", "src1", "nope"]
+
+
+@register(
+    "unknown_sources", ("RA-5",),
+    fx.oracle(
+        "SELECT r.source_id FROM (VALUES " + ", ".join(f"('{s}')" for s in _REQUESTED) + ") r(source_id) "
+        "WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.source = r.source_id)"
+    ),
+)
+def unknown_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    catalogue = fx.source_catalogue(spark, sf_dir)
+    return search.unknown_sources(spark, _REQUESTED, catalogue)
+
+
+def _catalogue_sql() -> str:
+    cats = "[" + _sql_list(search.CATEGORY_OPTIONS) + "]"
+    ctry = "[" + _sql_list(search.COUNTRY_OPTIONS) + "]"
+    return (
+        "catalogue AS (\n"
+        "  SELECT source AS source_id,\n"
+        f"    ({cats})[CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) % {len(search.CATEGORY_OPTIONS)} + 1] AS category,\n"
+        "    arg_min(lang, doc_id) AS language,\n"
+        f"    ({ctry})[CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) % {len(search.COUNTRY_OPTIONS)} + 1] AS country,\n"
+        "    count(*) AS documents\n"
+        "  FROM documents GROUP BY source\n)"
+    )
+
+
+@register(
+    "source_catalogue", ("RA-11",),
+    fx.oracle("SELECT * FROM catalogue WHERE language = 'en'", _catalogue_sql()),
+)
+def source_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.filter_catalogue(fx.source_catalogue(spark, sf_dir), language="en")
+
+
+@register(
+    "request_check", ("RA-12",),
+    fx.oracle(
+        "SELECT request_id, position, name FROM ("
+        "  SELECT page_id AS request_id, unnest(range(len(parts))) AS position,"
+        "         split_part(unnest(parts), '=', 1) AS name"
+        "  FROM (SELECT page_id, list_filter(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'), lambda x: x <> '') AS parts"
+        "        FROM pages))"
+        f" WHERE name NOT IN ({_sql_list(search.REQUEST_PARAMETERS)})"
+    ),
+)
+def request_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = fx.read(spark, sf_dir, "pages")
+    return search.unknown_parameters(search.query_parameters(pages))
+
+
+# ---------------------------------------------------------------- batch windows
+
+
+@register(
+    "window_counts", ("RA-7", "DAT-7"),
+    fx.oracle(
+        """
+        SELECT w.window_start, w.window_end, count(a.published_ts) AS articles
+        FROM wins w LEFT JOIN arts a ON a.published_ts BETWEEN w.window_start AND w.window_end
+        GROUP BY w.window_start, w.window_end
+        """,
+        _ART + """,
+        wins AS (
+          SELECT CAST(d AS TIMESTAMP) AS window_start, CAST(d AS TIMESTAMP) + INTERVAL 86399 SECOND AS window_end
+          FROM (SELECT (SELECT max(CAST(published_ts AS DATE)) FROM arts) - CAST(i AS INTEGER) AS d FROM range(50) t(i))
+        )
+        """,
+    ),
+)
+def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arts = _articles(spark, sf_dir)
+    last_day = arts.select(F.max(F.to_date("published_ts"))).scalar()
+    wins = windows.backfill_windows(spark, last_day, 50)
+    return windows.count_per_window(arts, wins, "published_ts")
+
+
+@register(
+    "landing_completeness", ("RA-8", "MTH-1"),
+    fx.oracle(
+        """
+        SELECT window_date, total_results, expected_pages, landed_pages, landed_articles,
+               greatest(expected_pages - landed_pages, 0) AS missing_pages,
+               landed_pages >= expected_pages AND landed_articles >= total_results AS complete
+        FROM (
+          SELECT window_date, total_results, CAST((total_results + 99) // 100 AS BIGINT) AS expected_pages,
+                 landed_pages, landed_articles
+          FROM (SELECT l.window_date, max(t.total) AS total_results, count(DISTINCT l.page) AS landed_pages,
+                       count(*) AS landed_articles
+                FROM landing l LEFT JOIN (SELECT window_date, count(*) AS total FROM landing WHERE page = 1
+                                          GROUP BY window_date) t ON l.window_date = t.window_date
+                GROUP BY l.window_date))
+        """
+    ),
+)
+def landing_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    return windows.landing_completeness(fx.landing_with_totals(spark, sf_dir), 100)
