@@ -185,3 +185,16 @@ arts AS (
   SELECT *, strptime(publishedAt, '%Y-%m-%dT%H:%M:%SZ') AS published_ts FROM bronze
 )
 """
+
+
+def landing_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing rows as response envelopes ready for the landing writer: one envelope
+    per delivered article (so no page is ever gathered into one row here)."""
+    from newsmart.schemas import ARTICLE_COLUMNS
+
+    rows = landing_articles(spark, sf_dir)
+    article = F.struct(*[F.col(c) for c in ARTICLE_COLUMNS])
+    return rows.select(
+        F.lit("ok").alias("status"), F.lit(1).cast("long").alias("totalResults"),
+        F.array(article).alias("articles"), "window_date", "page",
+    )

@@ -522,3 +522,153 @@ def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     return windows.landing_completeness(fx.landing_with_totals(spark, sf_dir), 100)
+
+
+# ---------------------------------------------------------------- silver merge, latest partition, stable ids
+
+from newsmart.operators.silver import merge_silver  # noqa: E402
+from newsmart.sources.tables import latest_partition  # noqa: E402
+
+_DAY2 = "2024-02-02"
+
+
+@register(
+    "silver_merge", ("SET-2", "DST-2"),
+    fx.oracle(f"SELECT * FROM silver WHERE load_date >= DATE '{_DAY2}' UNION "
+              f"SELECT * FROM silver WHERE load_date <= DATE '{_DAY2}'"),
+)
+def silver_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing silver holds load days 1-2, the new load re-delivers day 2 and adds
+    day 3: whole-row duplicates collapse."""
+    silver = _silver(spark, sf_dir)
+    day2 = F.lit(_DAY2).cast("date")
+    return merge_silver(silver.filter(F.col("load_date") >= day2), silver.filter(F.col("load_date") <= day2))
+
+
+@register(
+    "silver_merge_keys", ("SET-2", "DST-2", "DST-1"),
+    fx.oracle(
+        """
+        SELECT * EXCLUDE (rn) FROM (
+          SELECT *, row_number() OVER (PARTITION BY title, publishedAt
+                                       ORDER BY load_date NULLS LAST, url NULLS LAST, content NULLS LAST) AS rn
+          FROM (SELECT * FROM silver UNION SELECT * REPLACE (load_date + 1 AS load_date) FROM silver))
+        WHERE rn = 1
+        """
+    ),
+)
+def silver_merge_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every article re-delivered one load day later: with ``dedup_keys`` the earliest
+    load wins (SURVEY Q6 option)."""
+    silver = _silver(spark, sf_dir)
+    redelivered = silver.withColumn("load_date", F.date_add("load_date", 1))
+    return merge_silver(redelivered, silver, dedup_keys=["title", "publishedAt"])
+
+
+@register(
+    "silver_latest", ("SRC-3",),
+    fx.oracle("SELECT * FROM bronze WHERE load_date = (SELECT max(load_date) FROM bronze)"),
+)
+def silver_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze rows silver is built from: the newest load day only."""
+    pin_utc(spark)
+    return flatten_source(latest_partition(fx.bronze_articles(spark, sf_dir), "load_date"))
+
+
+@register(
+    "dim_author_stable", ("KEY-1", "RA-5"),
+    fx.oracle(
+        "SELECT * FROM old_dim UNION ALL SELECT * FROM new_dim",
+        """
+        old_dim AS (
+          SELECT row_number() OVER (ORDER BY author NULLS LAST) - 1 AS id_authors, author
+          FROM (SELECT DISTINCT author FROM silver WHERE language = 'en')
+        ),
+        new_dim AS (
+          SELECT (SELECT coalesce(max(id_authors) + 1, 0) FROM old_dim)
+                 + row_number() OVER (ORDER BY author NULLS LAST) - 1 AS id_authors, author
+          FROM (SELECT DISTINCT author FROM silver s
+                WHERE NOT EXISTS (SELECT 1 FROM old_dim o WHERE o.author IS NOT DISTINCT FROM s.author))
+        )
+        """,
+    ),
+)
+def dim_author_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids kept from an earlier dimension (built from English articles); authors seen
+    since are numbered after its maximum (SURVEY Q10 option)."""
+    silver = _silver(spark, sf_dir)
+    old = gold.dim_author(silver.filter(F.col("language") == "en"))
+    return gold.dim_author(silver, existing=old)
+
+
+# ---------------------------------------------------------------- streaming
+
+from newsmart.session import scratch_path  # noqa: E402
+from newsmart.sources import landing as landing_src  # noqa: E402
+from newsmart.sources.tables import read_table  # noqa: E402
+from newsmart.sources.writers import write_landing  # noqa: E402
+from newsmart.streaming import incremental  # noqa: E402
+
+
+@register(
+    "incremental_bronze", ("RA-9", "SNK-1", "SNK-2", "SRC-5", "JSN-2"),
+    fx.oracle("SELECT * EXCLUDE (load_date) FROM bronze"),
+)
+def incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the fixture as JSON pages, load bronze from them with a file stream in
+    several micro-batches, and return the stored bronze (load day aside: it is the
+    files' arrival day)."""
+    pin_utc(spark)
+    root = scratch_path(spark, "incremental-bronze")
+    write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing")
+    incremental.run_incremental_bronze(
+        spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=100
+    )
+    stored = read_table(spark, f"{root}/bronze")
+    return flatten_source(stored).drop("load_date", "window_date", "page")
+
+
+_STREAM_DEDUP_COLS = ["source_id", "source_name", "author", "title", "description", "url", "publishedAt", "language"]
+
+
+@register(
+    "stream_dedup", ("RA-10", "DST-1"),
+    fx.oracle(f"SELECT {', '.join(_STREAM_DEDUP_COLS)} FROM bronze"),
+)
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming dedup of landed pages within a watermark. The copy kept is the first
+    to arrive, so ``content`` (null on re-delivered pages) is not compared."""
+    pin_utc(spark)
+    root = scratch_path(spark, "stream-dedup")
+    write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing")
+    stream = incremental.landing_stream(spark, f"{root}/landing")
+    articles = landing_src.explode_articles(landing_src.with_provenance(stream))
+    deduped = flatten_source(incremental.dedup_stream(articles, "2 days")).select(*_STREAM_DEDUP_COLS)
+    incremental.run_to_parquet(deduped, f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register(
+    "stream_hourly_counts", ("RA-10",),
+    fx.oracle(
+        """
+        SELECT * FROM (
+          SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+                 time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+                 event_type, count(*) AS n
+          FROM events GROUP BY ALL)
+        WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR
+        """
+    ),
+)
+def stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly event counts per type from a file stream of the ``events`` table staged
+    by day; a window is final once the 2-hour watermark passes its end."""
+    pin_utc(spark)
+    root = scratch_path(spark, "stream-hourly")
+    events = fx.read(spark, sf_dir, "events").withColumn("event_date", F.to_date("ts"))
+    events.repartition("event_date").write.partitionBy("event_date").parquet(f"{root}/events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{root}/events")
+    counts = incremental.windowed_counts(stream, "ts", ("event_type",), "1 hour", "2 hours")
+    incremental.run_to_parquet(counts, f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/out")

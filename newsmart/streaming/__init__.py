@@ -1,0 +1,10 @@
+"""Structured Streaming: incremental bronze, streaming dedup, windowed counts."""
+
+from newsmart.streaming.incremental import (  # noqa: F401
+    dedup_stream,
+    landing_stream,
+    run_incremental_bronze,
+    run_to_parquet,
+    start_incremental_bronze,
+    windowed_counts,
+)
