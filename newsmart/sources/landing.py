@@ -21,11 +21,14 @@ from newsmart.schemas import ARTICLE_COLUMNS, ENVELOPE
 FILE_NAME_PATTERN = r"(\d{4}-\d{2}-\d{2})(?: \(Page (\d+)\))?\.json$"
 
 
-def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landing file; an empty folder gives zero rows (explicit schema)."""
+def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landing envelopes; an empty folder gives zero rows (explicit schema).
+
+    ``multi_line=False`` reads JSON Lines (our writer: one envelope per line, files
+    splittable); ``True`` reads one indented document per file (the original files)."""
     return (
         spark.read.schema(ENVELOPE)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .option("recursiveFileLookup", False)
         .json(path)
@@ -57,10 +60,10 @@ def explode_articles(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Articles of every landing file under ``path`` with ``window_date``, ``page``,
     ``totalResults`` and ``_file``."""
-    return explode_articles(with_provenance(read_envelopes(spark, path)))
+    return explode_articles(with_provenance(read_envelopes(spark, path, multi_line)))
 
 
 def is_empty(df: DataFrame) -> bool:
