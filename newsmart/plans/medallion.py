@@ -80,7 +80,7 @@ def run_bronze(
     bronze = to_bronze(explode_articles(with_provenance(envelopes)), load_date)
     write_bronze(bronze, layout.bronze)
     if archive:
-        archive_files(spark, files, layout.archive)
+        archive_files(spark, files, layout.archive, root=layout.landing)
     return True
 
 

@@ -47,18 +47,28 @@ def write_bronze(bronze: DataFrame, path: str) -> None:
     )
 
 
-def archive_files(spark: SparkSession, files: list[str], archive_dir: str) -> int:
+def archive_files(spark: SparkSession, files: list[str], archive_dir: str, root: str | None = None) -> int:
     """SNK-3: move consumed landing files to ``archive_dir`` (call only after the
-    bronze write committed). Returns the number of files moved."""
+    bronze write committed). Paths below ``root`` keep their relative folders, so part
+    files of different partitions never collide. Returns the number moved."""
     moved = 0
+    root_uri = None
+    if root is not None:
+        fs_root, hroot, _ = _fs(spark, root)
+        root_uri = fs_root.makeQualified(hroot).toUri().getPath().rstrip("/") + "/"
     for f in files:
         fs, src, jvm = _fs(spark, f)
         if not fs.exists(src):
             continue
-        dst = jvm.org.apache.hadoop.fs.Path(archive_dir.rstrip("/") + "/" + src.getName())
+        src_path = fs.makeQualified(src).toUri().getPath()
+        rel = src_path[len(root_uri):] if root_uri and src_path.startswith(root_uri) else src.getName()
+        dst = jvm.org.apache.hadoop.fs.Path(archive_dir.rstrip("/") + "/" + rel)
         fs.mkdirs(dst.getParent())
-        if fs.rename(src, dst):
-            moved += 1
+        if fs.exists(dst):
+            raise OSError(f"archive target exists: {dst}")
+        if not fs.rename(src, dst):
+            raise OSError(f"could not archive {f}")
+        moved += 1
     return moved
 
 
