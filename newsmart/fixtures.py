@@ -48,7 +48,7 @@ def article_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         _null_when(doc % 7 == 0, F.concat(F.col("lang"), F.lit("_author_"), (doc % 17).cast("string"))).alias("author"),
         F.when(doc % 23 == 0, F.lit("[Removed]"))
         .when(doc % 29 == 0, F.lit(None))
-        .otherwise(F.split_part(F.col("text"), F.lit("\n"), F.lit(1)))
+        .otherwise(F.substring_index(F.col("text"), "\n", 1))
         .alias("title"),
         _null_when(doc % 13 == 0, F.col("text")).alias("description"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/a/"), doc.cast("string")).alias("url"),
@@ -65,16 +65,14 @@ def landing_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = article_base(spark, sf_dir)
     source = F.struct(F.col("source_id").alias("id"), F.col("source_name").alias("name"))
     window_date = F.to_date(F.substring("publishedAt", 1, 10))
-
-    def page(n: int, content: Column) -> DataFrame:
-        return base.select(
-            source.alias("source"), "author", "title", "description", "url",
-            F.lit(None).cast("string").alias("urlToImage"), "publishedAt",
-            content.alias("content"), "language", "load_date",
-            window_date.alias("window_date"), F.lit(n).alias("page"),
-        )
-
-    return page(1, F.col("content")).unionByName(page(2, F.lit(None).cast("string")))
+    # Both pages come from one scan: each article row is generated twice.
+    paged = base.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("page"))
+    return paged.select(
+        source.alias("source"), "author", "title", "description", "url",
+        F.lit(None).cast("string").alias("urlToImage"), "publishedAt",
+        F.when(F.col("page") == 1, F.col("content")).alias("content"), "language", "load_date",
+        window_date.alias("window_date"), "page",
+    )
 
 
 def bronze_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +187,8 @@ arts AS (
 
 def landing_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows as response envelopes ready for the landing writer: one envelope
-    per delivered article (so no page is ever gathered into one row here)."""
+    per delivered article (so no page is ever gathered into one row here), landed on
+    the article's load day."""
     from newsmart.schemas import ARTICLE_COLUMNS
 
     rows = landing_articles(spark, sf_dir)
@@ -197,4 +196,5 @@ def landing_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.lit("ok").alias("status"), F.lit(1).cast("long").alias("totalResults"),
         F.array(article).alias("articles"), "window_date", "page",
+        F.col("load_date").alias("ingest_date"),
     )

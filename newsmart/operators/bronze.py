@@ -12,7 +12,7 @@ from newsmart.schemas import ARTICLE_COLUMNS
 DEDUP_KEYS = ("title", "publishedAt")
 # Which copy of a duplicate is "first": earliest window, then page, then URL.
 DEDUP_ORDER = ("window_date", "page", "url")
-PROVENANCE = ("window_date", "page", "totalResults", "_file")
+PROVENANCE = ("window_date", "page", "totalResults", "_file", "ingest_date")
 
 
 def add_load_date(df: DataFrame, load_date: dt.date | str | Column | None = None) -> DataFrame:

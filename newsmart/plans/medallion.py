@@ -77,7 +77,10 @@ def run_bronze(
     if is_empty(envelopes):
         return False
     files = envelopes.inputFiles()  # file names only
-    bronze = to_bronze(explode_articles(with_provenance(envelopes)), load_date)
+    articles = explode_articles(with_provenance(envelopes))
+    if load_date is None and "ingest_date" in articles.columns:
+        articles = articles.withColumn("load_date", articles["ingest_date"])  # landed day = load day
+    bronze = to_bronze(articles, load_date)
     write_bronze(bronze, layout.bronze)
     if archive:
         archive_files(spark, files, layout.archive, root=layout.landing)

@@ -612,20 +612,20 @@ from newsmart.streaming import incremental  # noqa: E402
 
 @register(
     "incremental_bronze", ("RA-9", "SNK-1", "SNK-2", "SRC-5", "JSN-2"),
-    fx.oracle("SELECT * EXCLUDE (load_date) FROM bronze"),
+    fx.oracle("SELECT * FROM bronze"),
 )
 def incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the fixture as JSON pages, load bronze from them with a file stream in
-    several micro-batches, and return the stored bronze (load day aside: it is the
-    files' arrival day)."""
+    """Land the fixture as JSON pages (on each article's load day), load bronze from
+    them with a file stream in several micro-batches, and return the deduplicated
+    bronze."""
     pin_utc(spark)
     root = scratch_path(spark, "incremental-bronze")
     write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing")
     incremental.run_incremental_bronze(
-        spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=100
+        spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=8
     )
-    stored = read_table(spark, f"{root}/bronze")
-    return flatten_source(stored).drop("load_date", "window_date", "page")
+    stored = incremental.read_incremental_bronze(spark, f"{root}/bronze")
+    return flatten_source(stored).drop("window_date", "page")
 
 
 _STREAM_DEDUP_COLS = ["source_id", "source_name", "author", "title", "description", "url", "publishedAt", "language"]

@@ -1,12 +1,13 @@
 """Landing zone reader (SRC-1, SRC-2, SRC-5).
 
-A landing file is one response envelope ``{status, totalResults, articles:[...]}``.
+A landing record is one response envelope ``{status, totalResults, articles:[...]}``.
 Two layouts are read:
 
-* our writer's layout, ``<root>/window_date=<d>/page=<n>/part-*.json`` (Spark partition
-  discovery supplies ``window_date`` and ``page``);
-* the original layout, ``<root>/<date>.json`` or ``<root>/<date> (Page <n>).json``,
-  where both come from the file name.
+* our writer's layout, ``<root>/ingest_date=<d>/part-*.json``: JSON Lines, one envelope
+  per line carrying its own ``window_date`` and ``page``; a few files per landing day
+  however many windows and pages were fetched;
+* the original layout, ``<root>/<date>.json`` or ``<root>/<date> (Page <n>).json``, one
+  indented envelope per file, where window and page come from the file name.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.schemas import ARTICLE_COLUMNS, ENVELOPE
+from newsmart.schemas import ARTICLE_COLUMNS, LANDING_RECORD
 
 # Fixed value: the original landing file-name format, "<date>.json" or
 # "<date> (Page <n>).json".
@@ -27,7 +28,7 @@ def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) ->
     ``multi_line=False`` reads JSON Lines (our writer: one envelope per line, files
     splittable); ``True`` reads one indented document per file (the original files)."""
     return (
-        spark.read.schema(ENVELOPE)
+        spark.read.schema(LANDING_RECORD)
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .option("recursiveFileLookup", False)
@@ -37,17 +38,22 @@ def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) ->
 
 
 def with_provenance(envelopes: DataFrame) -> DataFrame:
-    """SRC-5: make sure ``window_date`` and ``page`` exist, from partition columns or
-    else from the (URL-encoded) file name."""
+    """SRC-5: ``window_date`` and ``page`` from the record itself, or else from the
+    (URL-encoded) original file name; a file without a page number is page 1."""
     name = F.url_decode(F.col("_file"))
-    cols = envelopes.columns
+    raw_date = F.regexp_extract(name, FILE_NAME_PATTERN, 1)
+    raw_page = F.regexp_extract(name, FILE_NAME_PATTERN, 2)
+    from_name_date = F.when(raw_date != "", F.to_date(raw_date))
+    from_name_page = F.when(raw_page != "", raw_page.cast("int")).otherwise(F.lit(1))
     out = envelopes
-    if "window_date" not in cols:
-        raw = F.regexp_extract(name, FILE_NAME_PATTERN, 1)
-        out = out.withColumn("window_date", F.when(raw != "", F.to_date(raw)))
-    if "page" not in cols:
-        raw = F.regexp_extract(name, FILE_NAME_PATTERN, 2)
-        out = out.withColumn("page", F.when(raw != "", raw.cast("int")).otherwise(F.lit(1)))
+    if "window_date" in out.columns:
+        out = out.withColumn("window_date", F.coalesce(F.col("window_date"), from_name_date))
+    else:
+        out = out.withColumn("window_date", from_name_date)
+    if "page" in out.columns:
+        out = out.withColumn("page", F.coalesce(F.col("page"), from_name_page))
+    else:
+        out = out.withColumn("page", from_name_page)
     return out
 
 

@@ -24,15 +24,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def write_landing(envelopes: DataFrame, path: str) -> None:
-    """SNK-1: one JSON envelope per (window_date, page); pages without articles are
-    skipped. Re-landing a page replaces only that page (dynamic partition overwrite)."""
+def write_landing(envelopes: DataFrame, path: str, files_per_day: int | None = None) -> None:
+    """SNK-1: append envelopes (with ``window_date``, ``page`` and ``ingest_date``) as
+    JSON Lines under ``ingest_date=<d>``; pages without articles are skipped. A
+    window's pages share a file; each landing day gets at most ``files_per_day``
+    files (default: the shuffle partition count), never one file per page."""
+    n = files_per_day or int(envelopes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         envelopes.filter(F.size("articles") > 0)
-        .repartition("window_date", "page")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("window_date", "page")
+        .repartition(n, "ingest_date", "window_date")
+        .write.mode("append")
+        .partitionBy("ingest_date")
         .json(path)
     )
 

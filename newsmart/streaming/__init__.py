@@ -1,8 +1,10 @@
 """Structured Streaming: incremental bronze, streaming dedup, windowed counts."""
 
 from newsmart.streaming.incremental import (  # noqa: F401
+    compact_bronze_day,
     dedup_stream,
     landing_stream,
+    read_incremental_bronze,
     run_incremental_bronze,
     run_to_parquet,
     start_incremental_bronze,

@@ -4,11 +4,15 @@ The reference polls: every hour it lands a window, once a day it rebuilds bronze
 everything landed and deletes the raw files. Here the landing folder is a file stream:
 
 * ``start_incremental_bronze`` takes each new landing file exactly once (the stream's
-  checkpoint records them), deduplicates the batch together with the bronze rows
-  already stored for the same load days, and replaces just those days. Replaying a
-  batch gives the same bronze: the load day comes from the file's modification time,
-  not from the clock, and the surviving copy of a duplicate is chosen by landing
-  provenance (window, page, URL), not by arrival order.
+  checkpoint records them) and appends the batch, deduplicated within itself, as its
+  own ``(load_date, batch_id)`` partition. A replayed batch overwrites exactly that
+  partition with the same rows: the load day is the landing day of the files (their
+  ``ingest_date`` folder, else their modification day), not the clock. Nothing already stored is rewritten, so each micro-batch costs
+  only its own rows.
+* ``read_incremental_bronze`` is bronze as the batch path defines it: one row per
+  (load day, title, publishedAt), the first by landing provenance (window, page,
+  URL), whichever batch it arrived in. ``compact_bronze_day`` folds a closed day's
+  batch partitions into one, once.
 * ``dedup_stream`` drops repeated (title, publishedAt) pairs within a watermark, so
   the state stays bounded; duplicates later than the watermark pass through.
 * ``windowed_counts`` counts rows per event-time window with a watermark; a window is
@@ -24,19 +28,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newsmart.functions import parse_timestamp, utc_date
 from newsmart.operators.bronze import DEDUP_KEYS, keep_first
-from newsmart.schemas import ARTICLE_COLUMNS, ENVELOPE
+from newsmart.schemas import ARTICLE_COLUMNS, LANDING_RECORD
 from newsmart.session import cut_lineage
 from newsmart.sources.landing import explode_articles, with_provenance
 from newsmart.sources.tables import read_table
-from newsmart.sources.writers import path_exists, write_bronze
-
-# Landing files as our writer lays them out: the partition folders supply
-# ``window_date`` and ``page`` (a file stream only fills columns named in its schema).
-LANDING_STREAM_SCHEMA = T.StructType(
-    ENVELOPE.fields
-    + [T.StructField("window_date", T.DateType()), T.StructField("page", T.IntegerType())]
-)
+
+# Landing files as our writer lays them out; the ``ingest_date`` partition column must
+# be named in the schema for a file stream to fill it.
+LANDING_STREAM_SCHEMA = T.StructType(LANDING_RECORD.fields + [T.StructField("ingest_date", T.DateType())])
 INCREMENTAL_BRONZE_COLUMNS = ARTICLE_COLUMNS + ["window_date", "page", "load_date"]
+BATCH_KEYS = ("load_date",) + DEDUP_KEYS
+PROVENANCE_ORDER = ("window_date", "page", "url", "batch_id")
+COMPACTED_BATCH = -1
 
 
 def landing_stream(
@@ -67,28 +70,53 @@ def landing_stream(
 
 def _batch_articles(batch: DataFrame) -> DataFrame:
     arts = explode_articles(with_provenance(batch))
-    return arts.withColumn("load_date", utc_date(F.col("_file_mtime")))
+    # The load day is the landing day (or, for files outside our layout, the day the
+    # file was written): fixed by the data, so a replayed batch lands in the same day.
+    return arts.withColumn("load_date", F.coalesce(F.col("ingest_date"), utc_date(F.col("_file_mtime"))))
+
+
+def _write_batches(df: DataFrame, bronze_path: str) -> None:
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load_date", "batch_id")
+        .parquet(bronze_path)
+    )
 
 
 def bronze_batch_writer(bronze_path: str):
-    """``foreachBatch`` function: merge the batch into the bronze days it touches."""
+    """``foreachBatch`` function: dedup the batch and write it as its own partition."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = _batch_articles(batch).select(*INCREMENTAL_BRONZE_COLUMNS).withColumn("_existing", F.lit(False))
-        if path_exists(spark, bronze_path):
-            days = new.select("load_date").distinct()
-            old = read_table(spark, bronze_path).join(days, "load_date", "left_semi")
-            old = old.select(*INCREMENTAL_BRONZE_COLUMNS).withColumn("_existing", F.lit(True))
-            new = new.unionByName(old)
-        merged = keep_first(new, DEDUP_KEYS, ("window_date", "page", "url", "_existing")).drop("_existing")
-        # The write replaces days this plan reads: materialise it in the shared
-        # checkpoint folder first so the overwrite never deletes its own input.
-        write_bronze(cut_lineage(merged), bronze_path)
+        rows = _batch_articles(batch).select(*INCREMENTAL_BRONZE_COLUMNS).withColumn("batch_id", F.lit(batch_id))
+        _write_batches(keep_first(rows, BATCH_KEYS, PROVENANCE_ORDER), bronze_path)
 
     return write
 
 
+def read_incremental_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """Bronze rows across all stored batches, deduplicated per load day."""
+    stored = read_table(spark, bronze_path)
+    return keep_first(stored, BATCH_KEYS, PROVENANCE_ORDER).drop("batch_id")
+
+
+def compact_bronze_day(spark: SparkSession, bronze_path: str, load_date: str) -> None:
+    """Fold one closed load day's batch partitions into a single deduplicated one.
+    Run it only for days the stream no longer writes to."""
+    day = read_table(spark, bronze_path).filter(F.col("load_date") == F.lit(load_date).cast("date"))
+    folded = keep_first(day, BATCH_KEYS, PROVENANCE_ORDER).withColumn("batch_id", F.lit(COMPACTED_BATCH))
+    # The old partitions are removed only after the folded day is safely written.
+    _write_batches(cut_lineage(folded), bronze_path)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    day_dir = jvm.org.apache.hadoop.fs.Path(f"{bronze_path.rstrip('/')}/load_date={load_date}")
+    fs = day_dir.getFileSystem(conf)
+    for status in fs.listStatus(day_dir):
+        name = status.getPath().getName()
+        if name.startswith("batch_id=") and name != f"batch_id={COMPACTED_BATCH}":
+            fs.delete(status.getPath(), True)
+
+
 def start_incremental_bronze(
     spark: SparkSession,
     landing_dir: str,

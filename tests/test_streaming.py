@@ -6,7 +6,15 @@ import os
 from pyspark.sql import functions as F
 
 from newsmart.sources import read_table, write_landing
-from newsmart.streaming import dedup_stream, landing_stream, run_incremental_bronze, run_to_parquet, windowed_counts
+from newsmart.streaming import (
+    compact_bronze_day,
+    dedup_stream,
+    landing_stream,
+    read_incremental_bronze,
+    run_incremental_bronze,
+    run_to_parquet,
+    windowed_counts,
+)
 from newsmart.sources.landing import explode_articles, with_provenance
 
 from .conftest import article
@@ -21,11 +29,18 @@ def test_incremental_bronze_is_order_free_and_idempotent(spark, tmp_dir):
     run_incremental_bronze(spark, land, bronze, ck)
     write_landing(_envelopes(spark, [(d, 1, [article(title="a", content="full"), article(title="b")])]), land)
     run_incremental_bronze(spark, land, bronze, ck)
-    rows = {r["title"]: r for r in read_table(spark, bronze).collect()}
+    rows = {r["title"]: r for r in read_incremental_bronze(spark, bronze).collect()}
     assert set(rows) == {"a", "b"}
     assert rows["a"]["content"] == "full"  # provenance order, not arrival order
+    assert read_table(spark, bronze).count() == 3  # two batches appended, nothing rewritten
     run_incremental_bronze(spark, land, bronze, ck)  # nothing new: unchanged
+    assert read_table(spark, bronze).count() == 3
+    day = str(rows["a"]["load_date"])
+    compact_bronze_day(spark, bronze, day)
     assert read_table(spark, bronze).count() == 2
+    assert os.listdir(os.path.join(bronze, f"load_date={day}")) == ["batch_id=-1"]
+    rows = {r["title"]: r for r in read_incremental_bronze(spark, bronze).collect()}
+    assert rows["a"]["content"] == "full"
 
 
 def test_clean_source_archives_consumed_files(spark, tmp_dir):
@@ -38,7 +53,7 @@ def test_clean_source_archives_consumed_files(spark, tmp_dir):
     run_incremental_bronze(spark, land, bronze, ck, **kw)
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".json")]
     assert archived, "files of a completed batch are archived once a later batch commits"
-    assert read_table(spark, bronze).count() == 2
+    assert read_incremental_bronze(spark, bronze).count() == 2
 
 
 def test_stream_dedup_and_windowed_counts(spark, tmp_dir):
