@@ -42,35 +42,49 @@ def top_words(counts: DataFrame, k: int = 3) -> DataFrame:
     return counts.orderBy(F.desc("Quantidade"), F.asc("Palavra")).limit(k)
 
 
-def keyword_slots(counts: DataFrame, k: int = 3) -> list[Column]:
-    """k column expressions holding the rank-1..k words (null when fewer exist)."""
+def top_keyword_array(counts: DataFrame, k: int = 3) -> Column:
+    """The k most frequent words in rank order, as one array-valued scalar subquery
+    (a k-row ``TakeOrderedAndProject`` gathered into one row: bounded by k)."""
     ranked = top_words(counts, k).select(
-        F.sort_array(
-            F.collect_list(F.struct((-F.col("Quantidade")).alias("q"), F.col("Palavra").alias("w")))
+        F.transform(
+            F.sort_array(
+                F.collect_list(F.struct((-F.col("Quantidade")).alias("q"), F.col("Palavra").alias("w")))
+            ),
+            lambda e: e.getField("w"),
         ).alias("kw")
     )
-    arr = ranked.scalar()
-    return [F.element_at(arr, i).getField("w") for i in range(1, k + 1)]
+    return ranked.scalar()
 
 
-def _slots(keywords: list[str] | list[Column]) -> list[Column]:
-    return [F.lit(k) if isinstance(k, str) else k for k in keywords]
+def _with_keywords(df: DataFrame, keywords: list[str] | Column, col: str) -> tuple[DataFrame, list[Column]]:
+    """``df`` reduced to date keys and text, with the keywords as one array column
+    ``_kw``; returns it and the per-rank slot expressions. The array (possibly a
+    subquery) is referenced once, so it is evaluated once."""
+    kw = keywords if isinstance(keywords, Column) else F.array(*[F.lit(k) for k in keywords])
+    n = None if isinstance(keywords, Column) else len(keywords)
+    base = df.select(*DATE_KEYS, F.col(col).alias("_text"), kw.alias("_kw"))
+    k = n if n is not None else DEFAULT_K
+    return base, [F.element_at(F.col("_kw"), i) for i in range(1, k + 1)]
+
+
+DEFAULT_K = 3
 
 
 def keyword_occurrences(
-    df: DataFrame, keywords: list[str] | list[Column], col: str = "description", literal: bool = False
+    df: DataFrame, keywords: list[str] | Column, col: str = "description", literal: bool = False
 ) -> DataFrame:
     """Long form of PRJ-5: one row per (article, keyword) with ``rank``, ``keyword``,
-    the date keys and ``occurrences`` (null for a null description)."""
-    slots = _slots(keywords)
+    the date keys and ``occurrences`` (null for a null description). Each rank keeps
+    its own regex expression, so its pattern is compiled once per task."""
+    base, slots = _with_keywords(df, keywords, col)
     entries = [
         F.struct(
             F.lit(i).alias("rank"), s.alias("keyword"),
-            count_matches(col, s, literal).alias("occurrences"),
+            count_matches("_text", s, literal).alias("occurrences"),
         )
         for i, s in enumerate(slots, 1)
     ]
-    return df.select(*DATE_KEYS, F.inline(F.array(*entries))).filter(F.col("keyword").isNotNull())
+    return base.select(*DATE_KEYS, F.inline(F.array(*entries))).filter(F.col("keyword").isNotNull())
 
 
 def keyword_histogram(occurrences: DataFrame) -> DataFrame:
@@ -89,12 +103,13 @@ def keyword_daily_total(occurrences: DataFrame) -> DataFrame:
 
 
 def all_keywords_daily(
-    df: DataFrame, keywords: list[str] | list[Column], col: str = "description", literal: bool = False
+    df: DataFrame, keywords: list[str] | Column, col: str = "description", literal: bool = False
 ) -> DataFrame:
     """AGG-14 + BOO-1: per day, articles whose description contains every keyword.
     Days with none are kept; a null description counts as not containing (Q15 fix)."""
-    flag = all_true([contains_match(col, s, literal) for s in _slots(keywords)])
-    return df.dropna(subset=DATE_KEYS).groupBy(*DATE_KEYS).agg(F.count_if(flag).alias("todas_top3"))
+    base, slots = _with_keywords(df, keywords, col)
+    flag = all_true([contains_match("_text", s, literal) for s in slots])
+    return base.dropna(subset=DATE_KEYS).groupBy(*DATE_KEYS).agg(F.count_if(flag).alias("todas_top3"))
 
 
 def with_keyword_columns(

@@ -22,12 +22,15 @@ def _dt_interval(days: int = 0, hours: int = 0, minutes: int = 0, seconds: int =
 
 def backfill_windows(spark: SparkSession, last_day: Column, days: int = 50) -> DataFrame:
     """``days`` daily windows ``[d 00:00:00, d 23:59:59]`` for the days ending at
-    ``last_day`` (a date expression, e.g. a scalar subquery over the data)."""
-    offsets = spark.range(days).select(F.col("id").cast("int").alias("i"))
-    day = F.date_sub(last_day.cast("date"), F.col("i"))
+    ``last_day`` (a date expression, e.g. a scalar subquery over the data).
+
+    ``last_day`` is referenced once, in its own projection, so a subquery behind it
+    runs once rather than once per use."""
+    days_df = spark.range(days).select(F.date_sub(last_day.cast("date"), F.col("id").cast("int")).alias("day"))
+    day = F.col("day")
     start = F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), F.lit(0), F.lit(0), F.lit(0))
-    return offsets.select(
-        start.alias("window_start"), (start + _dt_interval(0, 23, 59, 59)).alias("window_end")
+    return days_df.select(start.alias("window_start")).select(
+        "window_start", (F.col("window_start") + _dt_interval(0, 23, 59, 59)).alias("window_end")
     )
 
 

@@ -232,7 +232,7 @@ occ AS (
 
 def _keywords_input(spark: SparkSession, sf_dir: str):
     silver = _silver(spark, sf_dir)
-    return silver, keywords.keyword_slots(keywords.word_counts(silver), 3)
+    return silver, keywords.top_keyword_array(keywords.word_counts(silver), 3)
 
 
 @register(
