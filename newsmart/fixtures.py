@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsmart.functions import date_prefix
 from newsmart.operators.bronze import to_bronze
 from newsmart.operators.silver import to_silver
 
@@ -64,7 +65,7 @@ def landing_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested) + ``load_date``, ``window_date`` (the daily landing window) and ``page``."""
     base = article_base(spark, sf_dir)
     source = F.struct(F.col("source_id").alias("id"), F.col("source_name").alias("name"))
-    window_date = F.to_date(F.substring("publishedAt", 1, 10))
+    window_date = F.to_date(date_prefix("publishedAt"))
     # Both pages come from one scan: each article row is generated twice.
     paged = base.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("page"))
     return paged.select(

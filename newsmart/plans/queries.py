@@ -26,7 +26,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    "landing_articles", ("SRC-1", "SET-1", "STC-1"),
+    "landing_articles", ("SRC-1", "SET-1", "STC-1", "STR-6"),
     fx.oracle("SELECT * FROM landing"),
 )
 def landing_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def bronze_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "silver_articles",
-    ("FLT-1", "NUL-1", "DAT-1", "DAT-2", "DAT-3", "DAT-4", "DAT-5", "PRJ-2", "PRJ-3"),
+    ("FLT-1", "FLT-2", "NUL-1", "DAT-1", "DAT-2", "DAT-3", "DAT-4", "DAT-5", "PRJ-2", "PRJ-3"),
     fx.oracle("SELECT * FROM silver"),
 )
 def silver_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -479,10 +479,12 @@ def request_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    "window_counts", ("RA-7", "DAT-7"),
+    "window_counts", ("RA-7", "DAT-6", "DAT-7"),
     fx.oracle(
         """
-        SELECT w.window_start, w.window_end, count(a.published_ts) AS articles
+        SELECT w.window_start, w.window_end, count(a.published_ts) AS articles,
+               strftime(w.window_start, '%Y-%m-%dT%H:%M:%S') AS "from",
+               strftime(w.window_end, '%Y-%m-%dT%H:%M:%S') AS "to"
         FROM wins w LEFT JOIN arts a ON a.published_ts BETWEEN w.window_start AND w.window_end
         GROUP BY w.window_start, w.window_end
         """,
@@ -498,7 +500,7 @@ def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     arts = _articles(spark, sf_dir)
     last_day = arts.select(F.max(F.to_date("published_ts"))).scalar()
     wins = windows.backfill_windows(spark, last_day, 50)
-    return windows.count_per_window(arts, wins, "published_ts")
+    return windows.window_bounds_text(windows.count_per_window(arts, wins, "published_ts"))
 
 
 @register(
@@ -611,7 +613,7 @@ from newsmart.streaming import incremental  # noqa: E402
 
 
 @register(
-    "incremental_bronze", ("RA-9", "SNK-1", "SNK-2", "SRC-5", "JSN-2"),
+    "incremental_bronze", ("RA-9", "SNK-1", "SNK-2", "SRC-4", "SRC-5", "JSN-1", "JSN-2"),
     fx.oracle("SELECT * FROM bronze"),
 )
 def incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,3 +127,15 @@ def test_profile(spark):
     df = spark.createDataFrame([("a", None), (None, None)], "x string, y int")
     got = [tuple(r) for r in analysis.profile(df).orderBy("position").collect()]
     assert got == [(0, "x", "string", 1, 2), (1, "y", "int", 0, 2)]
+
+
+def test_word_options_and_wide_keyword_columns(spark):
+    df = spark.createDataFrame([("Dengue dengue, (dengue) xx",)], "description string")
+    counts = {r["Palavra"]: r["Quantidade"] for r in keywords.word_counts(df, lower=True, strip_punct=True).collect()}
+    assert counts == {"dengue": 3}  # Q13 options: one spelling
+    wide = keywords.with_keyword_columns(df.withColumn("dengue", F.lit(0)), ["dengue", "xx"])
+    row = wide.first()
+    assert row["kw_dengue"] == 3 and row["xx"] == 1 and row["dengue"] == 0  # Q22: no overwrite
+    flags = keywords.with_keyword_columns(df, ["dengue"], mode="contains").first()
+    assert flags["dengue"] is True
+    assert keywords.top_keywords(keywords.word_counts(df, lower=True, strip_punct=True), 3) == ["dengue"]

@@ -100,3 +100,9 @@ def test_landing_completeness(spark):
     got = {r["window_date"]: tuple(r)[1:] for r in windows.landing_completeness(df).collect()}
     assert got[dt.date(2024, 3, 25)] == (150, 2, 1, 2, 1, False)
     assert got[dt.date(2024, 3, 26)] == (1, 1, 1, 1, 0, True)
+
+
+def test_window_bounds_text(spark):
+    wins = windows.backfill_windows(spark, F.lit("2024-03-27").cast("date"), 1)
+    r = windows.window_bounds_text(wins).first()
+    assert (r["from"], r["to"]) == ("2024-03-27T00:00:00", "2024-03-27T23:59:59")
