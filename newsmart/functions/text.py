@@ -32,11 +32,21 @@ def _char_class(codepoints: list[int]) -> str:
 # includes the information separators U+001C..U+001F, which Java's ``(?U)\s`` lacks.
 WHITESPACE_CODEPOINTS = [cp for cp in range(0x110000) if chr(cp).isspace()]
 WHITESPACE_RUN = _char_class(WHITESPACE_CODEPOINTS) + "+"
+_WHITESPACE = "".join(chr(cp) for cp in WHITESPACE_CODEPOINTS)
+
+
+def split_on_whitespace(col: str | Column) -> Column:
+    """Tokens between single whitespace characters (runs leave empty tokens).
+
+    Every whitespace character is first translated to a space, so the split is on a
+    one-character literal, which skips the regex engine; same tokens as splitting on
+    ``WHITESPACE_RUN`` once empties are dropped."""
+    return F.split(F.translate(as_col(col), _WHITESPACE, " " * len(_WHITESPACE)), " ")
 
 
 def split_words(col: str | Column) -> Column:
     """STR-1: split on whitespace runs, no empty tokens (``str.split()``)."""
-    return F.filter(F.split(as_col(col), WHITESPACE_RUN), lambda w: w != F.lit(""))
+    return F.filter(split_on_whitespace(col), lambda w: w != F.lit(""))
 
 
 def char_length(col: str | Column) -> Column:
@@ -66,15 +76,20 @@ def _lowered_pattern(pattern: str | Column, literal: bool) -> Column:
     return F.lit(quote_literal(low) if literal else low)
 
 
-def count_matches(col: str | Column, pattern: str | Column, literal: bool = False) -> Column:
+def count_matches(col: str | Column, pattern: str | Column, literal: bool = False,
+                  lowered: bool = False) -> Column:
     """STR-4: non-overlapping matches of ``pattern`` in ``lower(col)``; the pattern is
-    lower-cased too. Null text gives null."""
-    return F.regexp_count(F.lower(as_col(col)), _lowered_pattern(pattern, literal))
+    lower-cased too. Null text gives null. ``lowered=True``: ``col`` is already lower
+    case (lets callers lower a text once for several patterns)."""
+    text = as_col(col) if lowered else F.lower(as_col(col))
+    return F.regexp_count(text, _lowered_pattern(pattern, literal))
 
 
-def contains_match(col: str | Column, pattern: str | Column, literal: bool = False) -> Column:
+def contains_match(col: str | Column, pattern: str | Column, literal: bool = False,
+                   lowered: bool = False) -> Column:
     """STR-5: does ``lower(col)`` contain ``pattern`` (regex unless ``literal``)."""
-    return F.regexp(F.lower(as_col(col)), _lowered_pattern(pattern, literal))
+    text = as_col(col) if lowered else F.lower(as_col(col))
+    return F.regexp(text, _lowered_pattern(pattern, literal))
 
 
 def date_prefix(col: str | Column) -> Column:

@@ -15,14 +15,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsmart.functions import all_true, contains_match, count_matches, split_words
+from newsmart.functions import all_true, contains_match, count_matches
+from newsmart.functions.text import split_on_whitespace
 
 MIN_WORD_LENGTH = 4  # words must be strictly longer than this (the code says > 4)
 DATE_KEYS = ["year", "month", "day"]
 
 
 def tokens(col: str | Column, lower: bool = False, strip_punct: bool = False) -> Column:
-    words = split_words(col)
+    """Words longer than 4 characters (empty tokens of whitespace runs fall out with
+    the length test)."""
+    words = split_on_whitespace(col)
     if lower:
         words = F.transform(words, lambda w: F.lower(w))
     if strip_punct:
@@ -57,12 +60,13 @@ def top_keyword_array(counts: DataFrame, k: int = 3) -> Column:
 
 
 def _with_keywords(df: DataFrame, keywords: list[str] | Column, col: str) -> tuple[DataFrame, list[Column]]:
-    """``df`` reduced to date keys and text, with the keywords as one array column
-    ``_kw``; returns it and the per-rank slot expressions. The array (possibly a
-    subquery) is referenced once, so it is evaluated once."""
+    """``df`` reduced to date keys and the lower-cased text (lowered once for all
+    keywords), with the keywords as one array column ``_kw``; returns it and the
+    per-rank slot expressions. The array (possibly a subquery) is referenced once, so
+    it is evaluated once."""
     kw = keywords if isinstance(keywords, Column) else F.array(*[F.lit(k) for k in keywords])
     n = None if isinstance(keywords, Column) else len(keywords)
-    base = df.select(*DATE_KEYS, F.col(col).alias("_text"), kw.alias("_kw"))
+    base = df.select(*DATE_KEYS, F.lower(F.col(col)).alias("_text"), kw.alias("_kw"))
     k = n if n is not None else DEFAULT_K
     return base, [F.element_at(F.col("_kw"), i) for i in range(1, k + 1)]
 
@@ -80,7 +84,7 @@ def keyword_occurrences(
     entries = [
         F.struct(
             F.lit(i).alias("rank"), s.alias("keyword"),
-            count_matches("_text", s, literal).alias("occurrences"),
+            count_matches("_text", s, literal, lowered=True).alias("occurrences"),
         )
         for i, s in enumerate(slots, 1)
     ]
@@ -108,7 +112,7 @@ def all_keywords_daily(
     """AGG-14 + BOO-1: per day, articles whose description contains every keyword.
     Days with none are kept; a null description counts as not containing (Q15 fix)."""
     base, slots = _with_keywords(df, keywords, col)
-    flag = all_true([contains_match("_text", s, literal) for s in slots])
+    flag = all_true([contains_match("_text", s, literal, lowered=True) for s in slots])
     return base.dropna(subset=DATE_KEYS).groupBy(*DATE_KEYS).agg(F.count_if(flag).alias("todas_top3"))
 
 
