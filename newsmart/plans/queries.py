@@ -624,7 +624,7 @@ def incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "incremental-bronze")
     write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing")
     incremental.run_incremental_bronze(
-        spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=8
+        spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=16
     )
     stored = incremental.read_incremental_bronze(spark, f"{root}/bronze")
     return flatten_source(stored).drop("window_date", "page")
