@@ -22,22 +22,29 @@ MIN_WORD_LENGTH = 4  # words must be strictly longer than this (the code says >
 DATE_KEYS = ["year", "month", "day"]
 
 
-def tokens(col: str | Column, lower: bool = False, strip_punct: bool = False) -> Column:
-    """Words longer than 4 characters (empty tokens of whitespace runs fall out with
-    the length test)."""
-    words = split_on_whitespace(col)
+def _clean(word: Column, lower: bool, strip_punct: bool) -> Column:
     if lower:
-        words = F.transform(words, lambda w: F.lower(w))
+        word = F.lower(word)
     if strip_punct:
-        words = F.transform(words, lambda w: F.regexp_replace(w, r"^[\p{Punct}]+|[\p{Punct}]+$", ""))
-    return F.filter(words, lambda w: F.length(w) > MIN_WORD_LENGTH)
+        word = F.regexp_replace(word, r"^[\p{Punct}]+|[\p{Punct}]+$", "")
+    return word
+
+
+def words(df: DataFrame, col: str = "description", lower: bool = False, strip_punct: bool = False) -> DataFrame:
+    """One row per word longer than 4 characters (``Palavra``).
+
+    The split array is exploded first and every later step is a plain column
+    expression, so the whole chain stays in generated code (array lambdas would be
+    interpreted); the empty tokens of whitespace runs fall out with the length test."""
+    raw = df.select(F.explode(split_on_whitespace(col)).alias("_w"))
+    cleaned = raw.select(_clean(F.col("_w"), lower, strip_punct).alias("Palavra"))
+    return cleaned.filter(F.length("Palavra") > MIN_WORD_LENGTH)
 
 
 def word_counts(df: DataFrame, col: str = "description", lower: bool = False, strip_punct: bool = False) -> DataFrame:
-    """AGG-12: ``(Palavra, Quantidade)``. ``explode`` is pipelined into a partial
+    """AGG-12: ``(Palavra, Quantidade)``. The explode is pipelined into a partial
     count, so hot words are pre-aggregated in every task before the shuffle."""
-    words = df.select(F.explode(tokens(col, lower, strip_punct)).alias("Palavra"))
-    return words.groupBy("Palavra").agg(F.count(F.lit(1)).alias("Quantidade"))
+    return words(df, col, lower, strip_punct).groupBy("Palavra").agg(F.count(F.lit(1)).alias("Quantidade"))
 
 
 def top_words(counts: DataFrame, k: int = 3) -> DataFrame:
