@@ -622,7 +622,8 @@ def incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze."""
     pin_utc(spark)
     root = scratch_path(spark, "incremental-bronze")
-    write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing")
+    # A few files per landing day, so the stream below takes them in several batches.
+    write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing", files_per_day=8)
     incremental.run_incremental_bronze(
         spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=16
     )
@@ -630,6 +631,11 @@ def incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_source(stored).drop("window_date", "page")
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """Streaming state sized to the cluster: one partition per core."""
+    return spark.sparkContext.defaultParallelism
+
+
 _STREAM_DEDUP_COLS = ["source_id", "source_name", "author", "title", "description", "url", "publishedAt", "language"]
 
 
@@ -642,11 +648,11 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     to arrive, so ``content`` (null on re-delivered pages) is not compared."""
     pin_utc(spark)
     root = scratch_path(spark, "stream-dedup")
-    write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing")
+    write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing", files_per_day=8)
     stream = incremental.landing_stream(spark, f"{root}/landing")
     articles = landing_src.explode_articles(landing_src.with_provenance(stream))
     deduped = flatten_source(incremental.dedup_stream(articles, "2 days")).select(*_STREAM_DEDUP_COLS)
-    incremental.run_to_parquet(deduped, f"{root}/out", f"{root}/_checkpoint")
+    incremental.run_to_parquet(deduped, f"{root}/out", f"{root}/_checkpoint", _state_partitions(spark))
     return spark.read.parquet(f"{root}/out")
 
 
@@ -672,5 +678,5 @@ def stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.repartition("event_date").write.partitionBy("event_date").parquet(f"{root}/events")
     stream = spark.readStream.schema(events.schema).parquet(f"{root}/events")
     counts = incremental.windowed_counts(stream, "ts", ("event_type",), "1 hour", "2 hours")
-    incremental.run_to_parquet(counts, f"{root}/out", f"{root}/_checkpoint")
+    incremental.run_to_parquet(counts, f"{root}/out", f"{root}/_checkpoint", _state_partitions(spark))
     return spark.read.parquet(f"{root}/out")

@@ -26,17 +26,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def write_landing(envelopes: DataFrame, path: str, files_per_day: int | None = None) -> None:
     """SNK-1: append envelopes (with ``window_date``, ``page`` and ``ingest_date``) as
-    JSON Lines under ``ingest_date=<d>``; pages without articles are skipped. A
-    window's pages share a file; each landing day gets at most ``files_per_day``
-    files (default: the shuffle partition count), never one file per page."""
-    n = files_per_day or int(envelopes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (
-        envelopes.filter(F.size("articles") > 0)
-        .repartition(n, "ingest_date", "window_date")
-        .write.mode("append")
-        .partitionBy("ingest_date")
-        .json(path)
-    )
+    JSON Lines under ``ingest_date=<d>``; pages without articles are skipped.
+
+    By default the rows are rebalanced on ``ingest_date`` (AQE sizes the files by
+    volume and splits a heavy landing day), so file count follows data, never one
+    file per page. ``files_per_day`` fixes the count instead."""
+    pages = envelopes.filter(F.size("articles") > 0)
+    if files_per_day:
+        pages = pages.repartition(files_per_day, "ingest_date", "window_date")
+    else:
+        pages = pages.hint("rebalance", "ingest_date")
+    pages.write.mode("append").partitionBy("ingest_date").json(path)
 
 
 def write_bronze(bronze: DataFrame, path: str) -> None:

@@ -177,13 +177,29 @@ def windowed_counts(
     )
 
 
-def run_to_parquet(df: DataFrame, path: str, checkpoint_location: str) -> None:
+def _start_with_partitions(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start a query with ``state_partitions`` shuffle partitions. A stateful stream
+    fixes this number at its first start (it is kept in the checkpoint), so it is set
+    just for the start and the session value is restored."""
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
+
+
+def run_to_parquet(df: DataFrame, path: str, checkpoint_location: str, state_partitions: int | None = None) -> None:
     """Drain a streaming DataFrame (availableNow) into a parquet sink in append mode."""
-    q = (
+    writer = (
         df.writeStream.outputMode("append").format("parquet")
         .option("path", path).option("checkpointLocation", checkpoint_location)
-        .trigger(availableNow=True).start()
+        .trigger(availableNow=True)
     )
+    q = _start_with_partitions(writer, df.sparkSession, state_partitions)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
