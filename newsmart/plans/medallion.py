@@ -22,10 +22,10 @@ from newsmart.sources import (
     archive_files,
     explode_articles,
     is_empty,
-    latest_partition,
     path_exists,
     publish,
     read_envelopes,
+    read_latest_partition,
     read_table,
     with_provenance,
     write_bronze,
@@ -93,7 +93,7 @@ def run_silver(spark: SparkSession, layout: Layout, dedup_keys: list[str] | None
     pin_utc(spark)
     if not path_exists(spark, layout.bronze):
         return False
-    new = to_silver(latest_partition(read_table(spark, layout.bronze), "load_date"), lenient)
+    new = to_silver(read_latest_partition(spark, layout.bronze, "load_date"), lenient)
     existing = read_table(spark, layout.silver) if path_exists(spark, layout.silver) else None
     publish(merge_silver(new, existing, dedup_keys), layout.silver)
     return True

@@ -7,7 +7,13 @@ from newsmart.sources.landing import (  # noqa: F401
     read_landing,
     with_provenance,
 )
-from newsmart.sources.tables import latest_file, latest_partition, read_table  # noqa: F401
+from newsmart.sources.tables import (  # noqa: F401
+    latest_file,
+    latest_partition,
+    partition_values,
+    read_latest_partition,
+    read_table,
+)
 from newsmart.sources.writers import (  # noqa: F401
     archive_files,
     export_csv,

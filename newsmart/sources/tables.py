@@ -21,6 +21,36 @@ def latest_partition(df: DataFrame, col: str = "load_date") -> DataFrame:
     return df.filter(F.col(col) == newest)
 
 
+def partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
+    """Values of partition column ``col`` from the folder names under ``path``
+    (``col=<value>``): a metadata listing, one entry per partition, no file opened."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    prefix = f"{col}="
+    out = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix):
+            out.append(jvm.java.net.URLDecoder.decode(name[len(prefix):], "UTF-8"))
+    return out
+
+
+def read_latest_partition(spark: SparkSession, path: str, col: str = "load_date") -> DataFrame:
+    """SRC-3 for a stored table: the newest ``col`` partition, found by listing folder
+    names and read with a literal filter, so only that partition's files are opened.
+    Integer values compare as numbers; others (ISO dates) as text."""
+    values = [v for v in partition_values(spark, path, col) if v != "__HIVE_DEFAULT_PARTITION__"]
+    df = read_table(spark, path)
+    if not values:
+        return df.limit(0)
+    numeric = all(v.lstrip("-").isdigit() for v in values)
+    newest = max(values, key=int) if numeric else max(values)
+    return df.filter(F.col(col) == F.lit(newest).cast(df.schema[col].dataType))
+
+
 def latest_file(df: DataFrame) -> DataFrame:
     """SRC-3, file-name layout: rows of the most recently modified file."""
     mtime = F.col("_metadata.file_modification_time")

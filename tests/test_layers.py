@@ -139,3 +139,27 @@ def test_word_options_and_wide_keyword_columns(spark):
     flags = keywords.with_keyword_columns(df, ["dengue"], mode="contains").first()
     assert flags["dengue"] is True
     assert keywords.top_keywords(keywords.word_counts(df, lower=True, strip_punct=True), 3) == ["dengue"]
+
+
+def test_top_k_ties_break_on_name(spark):
+    silver = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), ("b",), ("c",)], "source_name string")
+    got = [tuple(r) for r in analysis.top_sources(silver, 2).collect()]
+    assert got == [("a", 2), ("b", 2)]  # Q16: equal counts ordered by name
+    counts = spark.createDataFrame([("zeta", 3), ("alpha", 3), ("mid", 2)], "Palavra string, Quantidade long")
+    assert [r[0] for r in keywords.top_words(counts, 2).collect()] == ["alpha", "zeta"]
+
+
+def test_stray_pandas_index_dropped(spark, tmp_dir):
+    import os
+
+    import pandas as pd
+
+    from newsmart.sources import read_table
+
+    path = os.path.join(tmp_dir, "legacy")
+    os.makedirs(path)
+    frame = pd.concat([pd.DataFrame({"title": ["a"]}), pd.DataFrame({"title": ["b"]})])  # index 0, 0
+    frame.to_parquet(os.path.join(path, "2024-03-26.parquet"))
+    raw = spark.read.parquet(path)
+    assert "__index_level_0__" in raw.columns
+    assert read_table(spark, path).columns == ["title"]  # Q17
