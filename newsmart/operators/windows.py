@@ -56,29 +56,40 @@ def window_bounds_text(windows: DataFrame) -> DataFrame:
     )
 
 
-def count_per_window(articles: DataFrame, windows: DataFrame, ts_col: str = "published_ts") -> DataFrame:
+# Window tables up to this many (window, date) rows are broadcast (~50 MB).
+BROADCAST_WINDOW_ROWS = 1_000_000
+
+
+def count_per_window(
+    articles: DataFrame, windows: DataFrame, ts_col: str = "published_ts", windows_bound: int | None = None
+) -> DataFrame:
     """RA-7: articles per window, windows with none kept (count 0).
 
     Each window is exploded over the calendar dates it touches, so the join key is
     the article's date and the range test only runs against that date's windows. The
-    exploded window table has (windows x days per window) rows, fixed by the caller,
-    and is broadcast; the article side is never shuffled for the join."""
+    window side is broadcast (the article side is never shuffled for the join) when
+    its size is known to be small: ``windows_bound`` (window-date rows) as stated by
+    the caller, or else a count of the exploded table. Beyond the limit it is a keyed
+    join on the date that AQE may split for a hot day."""
     per_date = windows.select(
         "window_start", "window_end",
         F.explode(F.sequence(F.to_date("window_start"), F.to_date("window_end"))).alias("_wdate"),
     )
+    size = windows_bound if windows_bound is not None else per_date.count()
+    small = size <= BROADCAST_WINDOW_ROWS
     ts = as_col(ts_col).cast("timestamp_ntz")
     dated = articles.select(ts.alias("_ts")).filter(F.col("_ts").isNotNull()).withColumn("_adate", F.to_date("_ts"))
     hits = dated.join(
-        F.broadcast(per_date),
+        F.broadcast(per_date) if small else per_date,
         (F.col("_adate") == F.col("_wdate"))
         & (F.col("_ts") >= F.col("window_start"))
         & (F.col("_ts") <= F.col("window_end")),
     )
     counts = hits.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("articles"))
-    return F.broadcast(windows.select("window_start", "window_end")).join(
-        counts, ["window_start", "window_end"], "left"
-    ).select("window_start", "window_end", F.coalesce("articles", F.lit(0)).cast("long").alias("articles"))
+    bounds = windows.select("window_start", "window_end")
+    return (F.broadcast(bounds) if small else bounds).join(counts, ["window_start", "window_end"], "left").select(
+        "window_start", "window_end", F.coalesce("articles", F.lit(0)).cast("long").alias("articles")
+    )
 
 
 def landing_completeness(landing: DataFrame, page_size: int = 100) -> DataFrame:

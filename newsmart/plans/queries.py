@@ -500,7 +500,8 @@ def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     arts = _articles(spark, sf_dir)
     last_day = arts.select(F.max(F.to_date("published_ts"))).scalar()
     wins = windows.backfill_windows(spark, last_day, 50)
-    return windows.window_bounds_text(windows.count_per_window(arts, wins, "published_ts"))
+    # 50 one-day windows: 50 (window, date) rows.
+    return windows.window_bounds_text(windows.count_per_window(arts, wins, "published_ts", windows_bound=50))
 
 
 @register(

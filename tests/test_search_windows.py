@@ -106,3 +106,17 @@ def test_window_bounds_text(spark):
     wins = windows.backfill_windows(spark, F.lit("2024-03-27").cast("date"), 1)
     r = windows.window_bounds_text(wins).first()
     assert (r["from"], r["to"]) == ("2024-03-27T00:00:00", "2024-03-27T23:59:59")
+
+
+def test_window_join_without_broadcast_is_keyed_and_equal(spark, arts):
+    wins = windows.backfill_windows(spark, F.lit("2024-03-27").cast("date"), 3)
+    small = windows.count_per_window(arts, wins, windows_bound=3)
+    big = windows.count_per_window(arts, wins, windows_bound=10**9)  # as if over the limit
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = windows.count_per_window(arts, wins, windows_bound=10**9)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
