@@ -24,6 +24,8 @@ from newsmart.sources import (
     is_empty,
     path_exists,
     publish,
+    publish_version,
+    read_current,
     read_envelopes,
     read_latest_partition,
     read_table,
@@ -34,9 +36,12 @@ from newsmart.sources import (
 
 @dataclass(frozen=True)
 class Layout:
-    """Zone folders under one root (any Hadoop-compatible URI)."""
+    """Zone folders under one root (any Hadoop-compatible URI). ``versioned=True``
+    publishes silver and gold as pointer-switched versions (for object stores, where a
+    folder rename is a copy); otherwise by staging + rename."""
 
     root: str
+    versioned: bool = False
 
     def _p(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -61,6 +66,22 @@ class Layout:
         return self._p(f"gold/{table}")
 
 
+def _publish(layout: Layout, df: DataFrame, path: str) -> None:
+    if layout.versioned:
+        publish_version(df, path)
+    else:
+        publish(df, path)
+
+
+def _exists(spark: SparkSession, layout: Layout, path: str) -> bool:
+    return path_exists(spark, f"{path}/_CURRENT" if layout.versioned else path)
+
+
+def read_published(spark: SparkSession, layout: Layout, path: str) -> DataFrame:
+    """A silver or gold table as the layout publishes it."""
+    return read_current(spark, path) if layout.versioned else read_table(spark, path)
+
+
 def run_bronze(
     spark: SparkSession,
     layout: Layout,
@@ -94,8 +115,8 @@ def run_silver(spark: SparkSession, layout: Layout, dedup_keys: list[str] | None
     if not path_exists(spark, layout.bronze):
         return False
     new = to_silver(read_latest_partition(spark, layout.bronze, "load_date"), lenient)
-    existing = read_table(spark, layout.silver) if path_exists(spark, layout.silver) else None
-    publish(merge_silver(new, existing, dedup_keys), layout.silver)
+    existing = read_published(spark, layout, layout.silver) if _exists(spark, layout, layout.silver) else None
+    _publish(layout, merge_silver(new, existing, dedup_keys), layout.silver)
     return True
 
 
@@ -104,26 +125,26 @@ def run_gold(spark: SparkSession, layout: Layout, stable_ids: bool = False) -> d
     aggregate (one scan); the dimensions are materialised once and feed both their
     own table and the fact join."""
     pin_utc(spark)
-    silver = read_table(spark, layout.silver)
+    silver = read_published(spark, layout, layout.silver)
     written: dict[str, str] = {}
 
     counts = cut_lineage(gold.all_gold_counts(silver))
     for table in gold.GOLD_AGGREGATES:
-        publish(gold.split_gold_counts(counts, table), layout.gold(table))
+        _publish(layout, gold.split_gold_counts(counts, table), layout.gold(table))
         written[table] = layout.gold(table)
 
     def dimension(name: str, build) -> DataFrame:
         existing = None
-        if stable_ids and path_exists(spark, layout.gold(name)):
-            existing = read_table(spark, layout.gold(name))
+        if stable_ids and _exists(spark, layout, layout.gold(name)):
+            existing = read_published(spark, layout, layout.gold(name))
         dim = cut_lineage(build(silver, existing))
-        publish(dim, layout.gold(name))
+        _publish(layout, dim, layout.gold(name))
         written[name] = layout.gold(name)
         return dim
 
     authors = dimension("dim_author", gold.dim_author)
     sources = dimension("dim_source", gold.dim_source)
-    publish(gold.fact_articles(silver, authors, sources), layout.gold("articles"))
+    _publish(layout, gold.fact_articles(silver, authors, sources), layout.gold("articles"))
     written["articles"] = layout.gold("articles")
     return written
 

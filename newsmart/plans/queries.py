@@ -717,4 +717,4 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         medallion.run_bronze(spark, layout)
         medallion.run_silver(spark, layout)
     written = medallion.run_gold(spark, layout)
-    return read_table(spark, written["articles"])
+    return medallion.read_published(spark, layout, written["articles"])

@@ -19,6 +19,8 @@ from newsmart.sources.writers import (  # noqa: F401
     export_csv,
     path_exists,
     publish,
+    publish_version,
+    read_current,
     write_bronze,
     write_landing,
 )

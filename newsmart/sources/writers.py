@@ -100,6 +100,61 @@ def publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[s
         fs.delete(old, True)
 
 
+CURRENT = "_CURRENT"
+
+
+def publish_version(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 2) -> str:
+    """SNK-4/SNK-5 for object stores, where a folder rename is a copy: write the table
+    to ``<path>/v=<n>`` and then overwrite the one-line pointer ``<path>/_CURRENT``.
+    A single small object write is atomic, so readers (``read_current``) see the old or
+    the new version. Versions older than the ``keep`` newest are removed afterwards.
+    Returns the new version's path."""
+    spark = df.sparkSession
+    fs, root, jvm = _fs(spark, path)
+    versions = _versions(fs, root)
+    version = (max(versions) + 1) if versions else 0
+    target = f"{path.rstrip('/')}/v={version}"
+    df.write.mode("errorifexists").format(fmt).save(target)
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{CURRENT}")
+    out = fs.create(pointer, True)
+    try:
+        out.write(bytearray(f"v={version}\n".encode()))
+    finally:
+        out.close()
+    for old in sorted(versions)[: max(0, len(versions) + 1 - keep)]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/v={old}"), True)
+    return target
+
+
+def _versions(fs, root) -> list[int]:
+    if not fs.exists(root):
+        return []
+    out = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+            out.append(int(name[2:]))
+    return out
+
+
+def current_version_path(spark: SparkSession, path: str) -> str:
+    """The folder ``_CURRENT`` points at."""
+    fs, root, jvm = _fs(spark, path)
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{CURRENT}")
+    stream = fs.open(pointer)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        name = reader.readLine().strip()
+    finally:
+        stream.close()
+    return f"{path.rstrip('/')}/{name}"
+
+
+def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Read the version a ``publish_version`` table currently points at."""
+    return spark.read.format(fmt).load(current_version_path(spark, path))
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """SNK-6: spreadsheet export, re-aimed as headered CSV (one folder of parts)."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -115,7 +115,17 @@ def test_csv_export(spark, tmp_dir):
 
 
 def test_medallion_round_trip_twice(spark, tmp_dir):
-    layout = Layout(tmp_dir)
+    _round_trip(spark, Layout(tmp_dir))
+
+
+def test_medallion_round_trip_versioned(spark, tmp_dir):
+    _round_trip(spark, Layout(tmp_dir, versioned=True))
+    assert os.path.exists(os.path.join(tmp_dir, "silver", "_CURRENT"))
+
+
+def _round_trip(spark, layout):
+    from newsmart.plans.medallion import read_published
+
     d = dt.date(2024, 3, 25)
     pages = [
         (d, 1, [article(title="a", author=None), article(title="b", source=("s2", None), content=None)]),
@@ -129,15 +139,27 @@ def test_medallion_round_trip_twice(spark, tmp_dir):
     assert not run_bronze(spark, layout)  # landing consumed: nothing to do
     assert run_silver(spark, layout)
     first = run_gold(spark, layout)
-    snapshot = {t: sorted(map(tuple, read_table(spark, p).collect()), key=repr) for t, p in first.items()}
+    snapshot = {t: sorted(map(tuple, read_published(spark, layout, p).collect()), key=repr) for t, p in first.items()}
     # Second daily run over the same bronze day: silver dedups whole rows, gold is the same.
     assert run_silver(spark, layout)
     second = run_gold(spark, layout)
-    again = {t: sorted(map(tuple, read_table(spark, p).collect()), key=repr) for t, p in second.items()}
+    again = {t: sorted(map(tuple, read_published(spark, layout, p).collect()), key=repr) for t, p in second.items()}
     assert snapshot == again
-    assert {r["number_articles"] for r in read_table(spark, layout.gold("aggregateByYear")).collect()} == {1}
-    assert read_table(spark, layout.silver).count() == 2
-    authors = {r["author"] for r in read_table(spark, layout.gold("dim_author")).collect()}
+    assert {r["number_articles"] for r in read_published(spark, layout, layout.gold("aggregateByYear")).collect()} == {1}
+    assert read_published(spark, layout, layout.silver).count() == 2
+    authors = {r["author"] for r in read_published(spark, layout, layout.gold("dim_author")).collect()}
     assert authors == {"Não Informado", "Ana"}
     assert set(first) >= {"aggregateByMonth", "aggregateByYearMonthDay"}  # Q3: separate outputs
     assert run_daily(spark, layout) != {}
+
+
+def test_publish_version_pointer(spark, tmp_dir):
+    from newsmart.sources import publish_version, read_current
+
+    path = os.path.join(tmp_dir, "gold_t")
+    publish_version(spark.range(2), path)
+    publish_version(read_current(spark, path).withColumn("id", F.col("id") + 5), path)
+    assert sorted(r[0] for r in read_current(spark, path).collect()) == [5, 6]
+    publish_version(spark.range(1), path)
+    assert sorted(d for d in os.listdir(path) if d.startswith("v=")) == ["v=1", "v=2"]  # keep=2
+    assert open(os.path.join(path, "_CURRENT")).read().strip() == "v=2"
