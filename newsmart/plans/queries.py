@@ -224,7 +224,7 @@ top3 AS (
 ),
 occ AS (
   SELECT t.rank, t.Palavra AS keyword, s.year, s.month, s.day,
-         len(regexp_extract_all(lower(s.description), lower(t.Palavra))) AS occurrences
+         CAST(len(regexp_extract_all(lower(s.description), lower(t.Palavra))) AS INTEGER) AS occurrences
   FROM silver s CROSS JOIN top3 t
 )
 """
@@ -409,7 +409,7 @@ def _relevance_sql(q: str) -> str:
 @register(
     "search_relevancy", ("RA-1", "RA-6"),
     fx.oracle(
-        f"SELECT *, {_relevance_sql(SEARCH_Q)} AS relevance FROM arts "
+        f"SELECT *, CAST({_relevance_sql(SEARCH_Q)} AS INTEGER) AS relevance FROM arts "
         f"WHERE coalesce(contains(lower(title), '{SEARCH_Q}'), false) "
         f"OR coalesce(contains(lower(description), '{SEARCH_Q}'), false) "
         f"OR coalesce(contains(lower(content), '{SEARCH_Q}'), false) "
@@ -463,7 +463,7 @@ def source_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     "request_check", ("RA-12",),
     fx.oracle(
         "SELECT request_id, position, name FROM ("
-        "  SELECT page_id AS request_id, unnest(range(len(parts))) AS position,"
+        "  SELECT page_id AS request_id, CAST(unnest(range(len(parts))) AS INTEGER) AS position,"
         "         split_part(unnest(parts), '=', 1) AS name"
         "  FROM (SELECT page_id, list_filter(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'), lambda x: x <> '') AS parts"
         "        FROM pages))"

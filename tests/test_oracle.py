@@ -7,6 +7,10 @@ from newsmart.plans import load_queries
 
 SF = "/root/testdata/sf0.001"
 
+# Spark simple type -> DuckDB type name, for the schema half of the gate.
+DUCK_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -20,6 +24,9 @@ def test_query_matches_oracle(spark, con, name):
     s_cols, s_n, s_h = digest(df.columns, [tuple(r) for r in df.collect()])
     if q.oracle is None:
         pytest.skip("no SQL equivalent")
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {q.oracle}").fetchall()}
+    spark_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == duck_types
     cur = con.execute(q.oracle)
     d_cols, d_n, d_h = digest([c[0] for c in cur.description], cur.fetchall())
     assert s_cols == d_cols
