@@ -13,6 +13,10 @@ import math
 import sys
 import time
 
+# Spark simple type -> DuckDB type name (the schema half of the comparison).
+DUCK_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -82,6 +86,7 @@ def run(sf_dir: str, names: list[str] | None = None) -> dict:
             print(name, results[name], flush=True)
             continue
         try:
+            duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {q.oracle}").fetchall()}
             cur = con.execute(q.oracle)
             d_cols = [c[0] for c in cur.description]
             d_rows = cur.fetchall()
@@ -90,10 +95,14 @@ def run(sf_dir: str, names: list[str] | None = None) -> dict:
             results[name] = {"ok": False, "error": f"duckdb: {type(e).__name__}: {str(e)[:400]}"}
             print(name, results[name], flush=True)
             continue
-        ok = s_cols == d_cols and s_n == d_n and s_h == d_h
+        spark_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in df.schema.fields}
+        types_ok = spark_types == duck_types
+        ok = s_cols == d_cols and s_n == d_n and s_h == d_h and types_ok
         results[name] = {
             "ok": ok, "rows": s_n, "oracle_rows": d_n, "sec": round(t_spark, 2),
             **({} if s_cols == d_cols else {"spark_cols": s_cols, "oracle_cols": d_cols}),
+            **({} if types_ok else {"spark_types": spark_types, "oracle_types": duck_types}),
         }
         print(name, results[name], flush=True)
     return results

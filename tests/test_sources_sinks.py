@@ -163,3 +163,18 @@ def test_publish_version_pointer(spark, tmp_dir):
     publish_version(spark.range(1), path)
     assert sorted(d for d in os.listdir(path) if d.startswith("v=")) == ["v=1", "v=2"]  # keep=2
     assert open(os.path.join(path, "_CURRENT")).read().strip() == "v=2"
+
+
+def test_latest_file_by_modification_time(spark, tmp_dir):
+    import time
+
+    from newsmart.sources import latest_file
+
+    path = os.path.join(tmp_dir, "bronze_files")
+    os.makedirs(path)
+    spark.createDataFrame([("old",)], "title string").toPandas().to_parquet(os.path.join(path, "2024-03-01.parquet"))
+    spark.createDataFrame([("new",)], "title string").toPandas().to_parquet(os.path.join(path, "2024-02-01.parquet"))
+    now = time.time()
+    os.utime(os.path.join(path, "2024-03-01.parquet"), (now - 3600, now - 3600))
+    df = read_table(spark, path)
+    assert [r["title"] for r in latest_file(df).collect()] == ["new"]  # newest by mtime, not by name
