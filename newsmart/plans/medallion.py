@@ -22,15 +22,17 @@ from newsmart.sources import (
     archive_files,
     explode_articles,
     is_empty,
+    latest_partition_value,
     path_exists,
     publish,
     publish_version,
     read_current,
     read_envelopes,
-    read_latest_partition,
+    read_partition,
     read_table,
     with_provenance,
     write_bronze,
+    write_partitions,
 )
 
 
@@ -110,13 +112,33 @@ def run_bronze(
 
 def run_silver(spark: SparkSession, layout: Layout, dedup_keys: list[str] | None = None,
                lenient: bool = False) -> bool:
-    """Newest bronze day -> silver rows, merged with the existing silver table."""
+    """Newest bronze day -> silver rows, merged into the silver table.
+
+    Silver is partitioned by ``load_date``. The default dedup compares whole rows,
+    ``load_date`` included, so rows of different load days are never duplicates: only
+    the day being loaded is merged (with what silver already holds for that day, if
+    the day is re-run) and only its partition is rewritten. Daily cost follows the day,
+    not the table's history. ``dedup_keys`` compares across days, and the versioned
+    (object store) layout publishes whole versions; both merge the whole table."""
     pin_utc(spark)
     if not path_exists(spark, layout.bronze):
         return False
-    new = to_silver(read_latest_partition(spark, layout.bronze, "load_date"), lenient)
-    existing = read_published(spark, layout, layout.silver) if _exists(spark, layout, layout.silver) else None
-    _publish(layout, merge_silver(new, existing, dedup_keys), layout.silver)
+    day = latest_partition_value(spark, layout.bronze, "load_date")
+    if day is None:
+        return False
+    new = to_silver(read_partition(spark, layout.bronze, "load_date", day), lenient)
+    if dedup_keys or layout.versioned:
+        existing = read_published(spark, layout, layout.silver) if _exists(spark, layout, layout.silver) else None
+        _publish(layout, merge_silver(new, existing, dedup_keys), layout.silver)
+        return True
+    existing_day = (
+        read_partition(spark, layout.silver, "load_date", day) if path_exists(spark, layout.silver) else None
+    )
+    merged = merge_silver(new, existing_day)
+    if existing_day is not None:
+        # The write replaces the partition this plan reads: materialise it first.
+        merged = cut_lineage(merged)
+    write_partitions(merged, layout.silver, "load_date")
     return True
 
 

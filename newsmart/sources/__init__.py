@@ -10,7 +10,9 @@ from newsmart.sources.landing import (  # noqa: F401
 from newsmart.sources.tables import (  # noqa: F401
     latest_file,
     latest_partition,
+    latest_partition_value,
     partition_values,
+    read_partition,
     read_latest_partition,
     read_table,
 )
@@ -23,4 +25,5 @@ from newsmart.sources.writers import (  # noqa: F401
     read_current,
     write_bronze,
     write_landing,
+    write_partitions,
 )

@@ -38,17 +38,29 @@ def partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
     return out
 
 
-def read_latest_partition(spark: SparkSession, path: str, col: str = "load_date") -> DataFrame:
-    """SRC-3 for a stored table: the newest ``col`` partition, found by listing folder
-    names and read with a literal filter, so only that partition's files are opened.
-    Integer values compare as numbers; others (ISO dates) as text."""
+def latest_partition_value(spark: SparkSession, path: str, col: str = "load_date") -> str | None:
+    """Newest value of partition column ``col`` by folder listing. Integer values
+    compare as numbers; others (ISO dates) as text."""
     values = [v for v in partition_values(spark, path, col) if v != "__HIVE_DEFAULT_PARTITION__"]
-    df = read_table(spark, path)
     if not values:
-        return df.limit(0)
+        return None
     numeric = all(v.lstrip("-").isdigit() for v in values)
-    newest = max(values, key=int) if numeric else max(values)
-    return df.filter(F.col(col) == F.lit(newest).cast(df.schema[col].dataType))
+    return max(values, key=int) if numeric else max(values)
+
+
+def read_partition(spark: SparkSession, path: str, col: str, value: str) -> DataFrame:
+    """One partition of a stored table, by a literal filter (static pruning)."""
+    df = read_table(spark, path)
+    return df.filter(F.col(col) == F.lit(value).cast(df.schema[col].dataType))
+
+
+def read_latest_partition(spark: SparkSession, path: str, col: str = "load_date") -> DataFrame:
+    """SRC-3 for a stored table: the newest ``col`` partition, found by listing folder
+    names and read with a literal filter, so only that partition's files are opened."""
+    newest = latest_partition_value(spark, path, col)
+    if newest is None:
+        return read_table(spark, path).limit(0)
+    return read_partition(spark, path, col, newest)
 
 
 def latest_file(df: DataFrame) -> DataFrame:

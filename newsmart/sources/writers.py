@@ -49,6 +49,17 @@ def write_bronze(bronze: DataFrame, path: str) -> None:
     )
 
 
+def write_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+    """Replace only the ``partition_col`` partitions present in ``df`` (dynamic
+    partition overwrite); other partitions are untouched."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )
+
+
 def archive_files(spark: SparkSession, files: list[str], archive_dir: str, root: str | None = None) -> int:
     """SNK-3: move consumed landing files to ``archive_dir`` (call only after the
     bronze write committed). Paths below ``root`` keep their relative folders, so part

@@ -178,3 +178,20 @@ def test_latest_file_by_modification_time(spark, tmp_dir):
     os.utime(os.path.join(path, "2024-03-01.parquet"), (now - 3600, now - 3600))
     df = read_table(spark, path)
     assert [r["title"] for r in latest_file(df).collect()] == ["new"]  # newest by mtime, not by name
+
+
+def test_silver_day_merge_touches_only_its_partition(spark, tmp_dir):
+    layout = Layout(tmp_dir)
+    d1, d2 = dt.date(2024, 3, 26), dt.date(2024, 3, 27)
+    write_landing(_envelopes(spark, [(dt.date(2024, 3, 25), 1, [article(title="a")])], ingest=d1), layout.landing)
+    run_bronze(spark, layout)
+    run_silver(spark, layout)
+    day1 = os.path.join(layout.silver, "load_date=2024-03-26")
+    stamp = {f: os.path.getmtime(os.path.join(day1, f)) for f in os.listdir(day1)}
+    write_landing(_envelopes(spark, [(dt.date(2024, 3, 26), 1, [article(title="b")])], ingest=d2), layout.landing)
+    run_bronze(spark, layout)
+    run_silver(spark, layout)
+    run_silver(spark, layout)  # the same day again: whole-row dedup within the day
+    assert {f: os.path.getmtime(os.path.join(day1, f)) for f in os.listdir(day1)} == stamp
+    rows = sorted((str(r["load_date"]), r["title"]) for r in read_table(spark, layout.silver).collect())
+    assert rows == [("2024-03-26", "a"), ("2024-03-27", "b")]
