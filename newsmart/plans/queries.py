@@ -11,10 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsmart import fixtures as fx
-from newsmart.operators import gold
+from newsmart.functions.text import HOST_PATTERN, WHITESPACE_RUN
+from newsmart.operators import analysis, gold, keywords, search, windows
 from newsmart.operators.bronze import flatten_source
+from newsmart.operators.silver import merge_silver
+from newsmart.plans import medallion
 from newsmart.plans.registry import register
-from newsmart.session import pin_utc
+from newsmart.schemas import SILVER
+from newsmart.session import pin_utc, scratch_path
+from newsmart.sources import landing as landing_src
+from newsmart.sources.tables import latest_partition, read_table
+from newsmart.sources.writers import write_landing
+from newsmart.streaming import incremental
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,10 +149,6 @@ def fact_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- notebook analysis
 
-from newsmart.functions.text import WHITESPACE_RUN  # noqa: E402
-from newsmart.operators import analysis, keywords  # noqa: E402
-from newsmart.schemas import SILVER  # noqa: E402
-
 
 @register(
     "rows_by_date", ("AGG-8", "FLT-5"),
@@ -302,8 +306,6 @@ def keyword_all_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- search (re-aimed API surface)
 
-from newsmart.functions.text import HOST_PATTERN  # noqa: E402
-from newsmart.operators import search, windows  # noqa: E402
 
 _ART = fx.ORACLE_SEARCHABLE
 SEARCH_Q = "ouen"
@@ -529,8 +531,6 @@ def landing_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- silver merge, latest partition, stable ids
 
-from newsmart.operators.silver import merge_silver  # noqa: E402
-from newsmart.sources.tables import latest_partition  # noqa: E402
 
 _DAY2 = "2024-02-02"
 
@@ -606,12 +606,6 @@ def dim_author_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming
 
-from newsmart.session import scratch_path  # noqa: E402
-from newsmart.sources import landing as landing_src  # noqa: E402
-from newsmart.sources.tables import read_table  # noqa: E402
-from newsmart.sources.writers import write_landing  # noqa: E402
-from newsmart.streaming import incremental  # noqa: E402
-
 
 @register(
     "incremental_bronze", ("RA-9", "SNK-1", "SNK-2", "SRC-4", "SRC-5", "JSN-1", "JSN-2"),
@@ -685,8 +679,6 @@ def stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- the daily batch, end to end
 
-from newsmart.plans import medallion  # noqa: E402
-
 
 @register(
     "daily_run", ("SNK-1", "SNK-2", "SNK-3", "SNK-4", "SNK-5", "SRC-2", "SRC-3", "SRC-4", "SET-2", "DST-2",
