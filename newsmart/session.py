@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove reliable checkpoint files once nothing references them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
