@@ -10,7 +10,6 @@ separate outputs (Q3); an empty landing zone writes nothing (SRC-2).
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from newsmart.operators import gold
 from newsmart.operators.bronze import to_bronze
 from newsmart.operators.silver import merge_silver, to_silver
-from newsmart.session import cut_lineage, pin_utc
+from newsmart.session import cut_lineage, pin_utc, run_concurrently
 from newsmart.sources import (
     archive_files,
     explode_articles,
@@ -86,14 +85,6 @@ def read_published(spark: SparkSession, layout: Layout, path: str) -> DataFrame:
     return read_current(spark, path) if layout.versioned else read_table(spark, path)
 
 
-def _concurrently(tasks: dict[str, object]) -> dict[str, object]:
-    """Run independent Spark actions from a few driver threads, so their small jobs
-    share the executors instead of queueing one after another."""
-    with ThreadPoolExecutor(max_workers=max(1, min(8, len(tasks)))) as pool:
-        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
-        return {name: f.result() for name, f in futures.items()}
-
-
 def run_bronze(
     spark: SparkSession,
     layout: Layout,
@@ -161,7 +152,7 @@ def run_gold(spark: SparkSession, layout: Layout, stable_ids: bool = False) -> d
     written: dict[str, str] = {}
 
     counts = cut_lineage(gold.all_gold_counts(silver))
-    _concurrently({
+    run_concurrently({
         table: (lambda t=table: _publish(layout, gold.split_gold_counts(counts, t), layout.gold(t)))
         for table in gold.GOLD_AGGREGATES
     })
@@ -176,7 +167,7 @@ def run_gold(spark: SparkSession, layout: Layout, stable_ids: bool = False) -> d
         written[name] = layout.gold(name)
         return dim
 
-    dims = _concurrently({
+    dims = run_concurrently({
         "dim_author": lambda: dimension("dim_author", gold.dim_author),
         "dim_source": lambda: dimension("dim_source", gold.dim_source),
     })
@@ -213,7 +204,7 @@ def run_gold_day(spark: SparkSession, layout: Layout, day: str | None = None) ->
         .groupBy("gold_table", *gold.GROUPING_COLUMNS)
         .agg(F.sum("number_articles").cast("long").alias("number_articles"))
     )
-    _concurrently({
+    run_concurrently({
         table: (lambda t=table: _publish(layout, gold.split_gold_counts(totals, t), layout.gold(t)))
         for table in gold.GOLD_AGGREGATES
     })
@@ -226,7 +217,7 @@ def run_gold_day(spark: SparkSession, layout: Layout, day: str | None = None) ->
         written[name] = layout.gold(name)
         return dim
 
-    dims = _concurrently({
+    dims = run_concurrently({
         "dim_author": lambda: dimension("dim_author", gold.dim_author),
         "dim_source": lambda: dimension("dim_source", gold.dim_source),
     })

@@ -18,7 +18,7 @@ from newsmart.operators.silver import merge_silver
 from newsmart.plans import medallion
 from newsmart.plans.registry import register
 from newsmart.schemas import SILVER
-from newsmart.session import pin_utc, scratch_path
+from newsmart.session import pin_utc, run_concurrently, scratch_path
 from newsmart.sources import landing as landing_src
 from newsmart.sources.tables import latest_partition, read_table
 from newsmart.sources.writers import write_landing
@@ -144,7 +144,8 @@ def dim_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fact_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = _silver(spark, sf_dir)
-    return gold.fact_articles(silver, gold.dim_author(silver), gold.dim_source(silver))
+    dims = run_concurrently({"a": lambda: gold.dim_author(silver), "s": lambda: gold.dim_source(silver)})
+    return gold.fact_articles(silver, dims["a"], dims["s"])
 
 
 # ---------------------------------------------------------------- notebook analysis
