@@ -195,6 +195,17 @@ def source_author_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.ranked(counts, "number_articles", ["source_name", "author"])
 
 
+@register("silver_export_csv", ("SNK-6",), fx.oracle("SELECT * FROM silver"))
+def silver_export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver exported as CSV (the spreadsheet export) and read back with its schema."""
+    from newsmart.sources.writers import export_csv, read_csv_export
+
+    silver = _silver(spark, sf_dir)
+    path = scratch_path(spark, "silver-csv")
+    export_csv(silver, path)
+    return read_csv_export(spark, path, silver.schema)
+
+
 @register("silver_head", ("LIM-1",), fx.oracle("SELECT * FROM silver ORDER BY url LIMIT 2"))
 def silver_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.head(_silver(spark, sf_dir), 2, ["url"])

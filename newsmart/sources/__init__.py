@@ -22,6 +22,7 @@ from newsmart.sources.writers import (  # noqa: F401
     path_exists,
     publish,
     publish_version,
+    read_csv_export,
     read_current,
     write_bronze,
     write_landing,

@@ -166,6 +166,15 @@ def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(current_version_path(spark, path))
 
 
+CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    """SNK-6: spreadsheet export, re-aimed as headered CSV (one folder of parts)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """SNK-6: spreadsheet export, re-aimed as headered CSV (one folder of parts).
+    Fields with quotes or line breaks are quoted, so whole texts survive."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def read_csv_export(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read an ``export_csv`` folder back with its schema."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
