@@ -228,9 +228,10 @@ def run_gold_day(spark: SparkSession, layout: Layout, day: str | None = None) ->
 
 
 def run_daily(spark: SparkSession, layout: Layout, load_date: dt.date | str | None = None,
-              stable_ids: bool = False) -> dict[str, str]:
-    """bronze -> silver -> gold, each step only when its input exists."""
+              stable_ids: bool = False, incremental_gold: bool = False) -> dict[str, str]:
+    """bronze -> silver -> gold, each step only when its input exists. With
+    ``incremental_gold`` the gold step reads only the day just loaded (``run_gold_day``)."""
     run_bronze(spark, layout, load_date)
     if not run_silver(spark, layout):
         return {}
-    return run_gold(spark, layout, stable_ids)
+    return run_gold_day(spark, layout) if incremental_gold else run_gold(spark, layout, stable_ids)
