@@ -100,9 +100,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_INHERITED_PROPERTIES = ("spark.jobGroup.id", "spark.job.description", "spark.scheduler.pool")
+
+
 def run_concurrently(tasks: dict[str, Callable[[], object]], max_workers: int = 8) -> dict[str, object]:
     """Run independent Spark actions from a few driver threads, so their small jobs
-    share the executors instead of queueing one after another."""
+    share the executors instead of queueing one after another. The caller's job group,
+    description and scheduler pool carry over to the threads' jobs."""
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    inherited = {k: sc.getLocalProperty(k) for k in _INHERITED_PROPERTIES} if sc else {}
+
+    def wrap(fn: Callable[[], object]) -> Callable[[], object]:
+        def run() -> object:
+            for key, value in inherited.items():
+                if value is not None:
+                    sc.setLocalProperty(key, value)
+            return fn()
+
+        return run
+
     with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(tasks)))) as pool:
-        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        futures = {name: pool.submit(wrap(fn)) for name, fn in tasks.items()}
         return {name: f.result() for name, f in futures.items()}
