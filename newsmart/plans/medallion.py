@@ -22,7 +22,6 @@ from newsmart.session import cut_lineage, pin_utc, run_concurrently
 from newsmart.sources import (
     archive_files,
     explode_articles,
-    is_empty,
     latest_partition_value,
     path_exists,
     publish,
@@ -98,9 +97,9 @@ def run_bronze(
     if not path_exists(spark, layout.landing):
         return False
     envelopes = read_envelopes(spark, layout.landing, multi_line=multi_line)
-    if is_empty(envelopes):
+    files = envelopes.inputFiles()  # SRC-2: a file listing (names only), no Spark job
+    if not files:
         return False
-    files = envelopes.inputFiles()  # file names only
     articles = explode_articles(with_provenance(envelopes))
     if load_date is None and "ingest_date" in articles.columns:
         articles = articles.withColumn("load_date", articles["ingest_date"])  # landed day = load day
