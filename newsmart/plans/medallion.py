@@ -161,10 +161,11 @@ def run_gold(spark: SparkSession, layout: Layout, stable_ids: bool = False) -> d
         existing = None
         if stable_ids and _exists(spark, layout, layout.gold(name)):
             existing = read_published(spark, layout, layout.gold(name))
-        dim = cut_lineage(build(silver, existing))
-        _publish(layout, dim, layout.gold(name))
+        # Written once; the fact join reads the published copy (the old one is only
+        # read while the new one is staged).
+        _publish(layout, build(silver, existing), layout.gold(name))
         written[name] = layout.gold(name)
-        return dim
+        return read_published(spark, layout, layout.gold(name))
 
     dims = run_concurrently({
         "dim_author": lambda: dimension("dim_author", gold.dim_author),
@@ -211,10 +212,9 @@ def run_gold_day(spark: SparkSession, layout: Layout, day: str | None = None) ->
 
     def dimension(name: str, build) -> DataFrame:
         existing = read_published(spark, layout, layout.gold(name)) if _exists(spark, layout, layout.gold(name)) else None
-        dim = cut_lineage(build(silver_day, existing))
-        _publish(layout, dim, layout.gold(name))
+        _publish(layout, build(silver_day, existing), layout.gold(name))
         written[name] = layout.gold(name)
-        return dim
+        return read_published(spark, layout, layout.gold(name))
 
     dims = run_concurrently({
         "dim_author": lambda: dimension("dim_author", gold.dim_author),
