@@ -223,3 +223,16 @@ def test_incremental_gold_equals_full_counts_and_is_idempotent(spark, tmp_dir):
     ids = {r["author"]: r["id_authors"] for r in read_table(spark, written["dim_author"]).collect()}
     assert ids == {"Ana": 0, "Não Informado": 1, "Zoe": 2}  # day-1 members first, then new ones
     assert read_table(spark, written["articles"]).count() == 4
+
+
+def test_run_daily_incremental_gold(spark, tmp_dir):
+    layout = Layout(tmp_dir)
+    for ingest, title in ((dt.date(2024, 3, 26), "a"), (dt.date(2024, 3, 27), "b")):
+        write_landing(_envelopes(spark, [(dt.date(2024, 3, 25), 1, [article(title=title)])], ingest=ingest),
+                      layout.landing)
+        written = run_daily(spark, layout, incremental_gold=True)
+    assert read_table(spark, written["articles"]).count() == 2
+    by_year = [tuple(r) for r in read_table(spark, written["aggregateByYear"]).collect()]
+    assert by_year == [(2024, 2)]
+    assert run_daily(spark, layout, incremental_gold=True)  # nothing landed: silver/gold re-run, same result
+    assert [tuple(r) for r in read_table(spark, written["aggregateByYear"]).collect()] == [(2024, 2)]
