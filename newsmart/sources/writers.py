@@ -60,19 +60,24 @@ def write_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     )
 
 
-def archive_files(spark: SparkSession, files: list[str], archive_dir: str, root: str | None = None) -> int:
+def archive_files(spark: SparkSession, files: list[str], archive_dir: str, root: str | None = None,
+                  threads: int = 16) -> int:
     """SNK-3: move consumed landing files to ``archive_dir`` (call only after the
     bronze write committed). Paths below ``root`` keep their relative folders, so part
-    files of different partitions never collide. Returns the number moved."""
-    moved = 0
+    files of different partitions never collide. The moves are independent metadata
+    operations (a copy on object stores), so a few driver threads issue them; only
+    file names pass through the driver. Returns the number moved."""
+    from concurrent.futures import ThreadPoolExecutor
+
     root_uri = None
     if root is not None:
         fs_root, hroot, _ = _fs(spark, root)
         root_uri = fs_root.makeQualified(hroot).toUri().getPath().rstrip("/") + "/"
-    for f in files:
+
+    def move(f: str) -> int:
         fs, src, jvm = _fs(spark, f)
         if not fs.exists(src):
-            continue
+            return 0
         src_path = fs.makeQualified(src).toUri().getPath()
         rel = src_path[len(root_uri):] if root_uri and src_path.startswith(root_uri) else src.getName()
         dst = jvm.org.apache.hadoop.fs.Path(archive_dir.rstrip("/") + "/" + rel)
@@ -81,8 +86,12 @@ def archive_files(spark: SparkSession, files: list[str], archive_dir: str, root:
             raise OSError(f"archive target exists: {dst}")
         if not fs.rename(src, dst):
             raise OSError(f"could not archive {f}")
-        moved += 1
-    return moved
+        return 1
+
+    if not files:
+        return 0
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        return sum(pool.map(move, files))
 
 
 def publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:

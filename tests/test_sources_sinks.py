@@ -236,3 +236,22 @@ def test_run_daily_incremental_gold(spark, tmp_dir):
     assert by_year == [(2024, 2)]
     assert run_daily(spark, layout, incremental_gold=True)  # nothing landed: silver/gold re-run, same result
     assert [tuple(r) for r in read_table(spark, written["aggregateByYear"]).collect()] == [(2024, 2)]
+
+
+def test_archive_keeps_folders_and_moves_every_file(spark, tmp_dir):
+    from newsmart.sources import archive_files
+
+    land, arch = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "archive")
+    files = []
+    for day in range(20):
+        folder = os.path.join(land, f"ingest_date=2024-03-{day + 1:02d}")
+        os.makedirs(folder)
+        for part in range(2):
+            path = os.path.join(folder, f"part-0000{part}.json")  # same names in every folder
+            open(path, "w").write("{}\n")
+            files.append(path)
+    assert archive_files(spark, files, arch, root=land) == 40
+    moved = [os.path.relpath(os.path.join(d, f), arch) for d, _, fs in os.walk(arch) for f in fs
+             if f.endswith(".json")]
+    assert len(moved) == 40 and not [f for _, _, fs in os.walk(land) for f in fs if f.endswith(".json")]
+    assert archive_files(spark, files, arch, root=land) == 0  # already moved: nothing to do
