@@ -10,6 +10,7 @@ separate outputs (Q3); an empty landing zone writes nothing (SRC-2).
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,9 @@ from newsmart.sources import (
 )
 
 
+_INGEST_DAY = re.compile(r"/ingest_date=(\d{4}-\d{2}-\d{2})/")
+
+
 @dataclass(frozen=True)
 class Layout:
     """Zone folders under one root (any Hadoop-compatible URI). ``versioned=True``
@@ -101,8 +105,14 @@ def run_bronze(
     if not files:
         return False
     articles = explode_articles(with_provenance(envelopes))
-    if load_date is None and "ingest_date" in articles.columns:
-        articles = articles.withColumn("load_date", articles["ingest_date"])  # landed day = load day
+    if load_date is None:
+        # One run, one load day (the reference writes one bronze file per run): the
+        # newest landing day among the files this run loads, read from their folder
+        # names (no clock, so a re-run gives the same day); files outside our layout
+        # load as today.
+        landed = [m.group(1) for m in map(_INGEST_DAY.search, files) if m]
+        if landed:
+            load_date = max(landed)
     bronze = to_bronze(articles, load_date)
     write_bronze(bronze, layout.bronze)
     if archive:

@@ -255,3 +255,21 @@ def test_archive_keeps_folders_and_moves_every_file(spark, tmp_dir):
              if f.endswith(".json")]
     assert len(moved) == 40 and not [f for _, _, fs in os.walk(land) for f in fs if f.endswith(".json")]
     assert archive_files(spark, files, arch, root=land) == 0  # already moved: nothing to do
+
+
+def test_one_bronze_run_has_one_load_day(spark, tmp_dir):
+    """Days landed together load together (the reference writes one bronze file per
+    run), so the silver step, which takes the newest bronze day, sees all of them."""
+    layout = Layout(tmp_dir)
+    for ingest, title in ((dt.date(2024, 3, 26), "a"), (dt.date(2024, 3, 27), "b")):
+        write_landing(_envelopes(spark, [(dt.date(2024, 3, 25), 1, [article(title=title)])], ingest=ingest),
+                      layout.landing)
+    run_bronze(spark, layout)
+    run_silver(spark, layout)
+    rows = sorted((r["title"], str(r["load_date"])) for r in read_table(spark, layout.silver).collect())
+    assert rows == [("a", "2024-03-27"), ("b", "2024-03-27")]
+    # A later, older backfill day loads as its own day, not as the newest folder seen before.
+    write_landing(_envelopes(spark, [(dt.date(2024, 3, 20), 1, [article(title="c")])], ingest=dt.date(2024, 3, 21)),
+                  layout.landing)
+    run_bronze(spark, layout)
+    assert {str(r["load_date"]) for r in read_table(spark, layout.bronze).collect()} == {"2024-03-27", "2024-03-21"}
