@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import simhash
+from newsmart.llm import packing, simhash
 from newsmart.llm.common import store, table
 
 
@@ -13,8 +13,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, shingle=3, max_bits=3)
 
 
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents kept, packed into sequences."""
+    return packing.pack(docs, capacity=packing.CAPACITY)
+
+
 STAGES = [
     ("simhash_near_dedup", near_dedup),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.llm import simhash
+from newsmart.llm import packing, simhash
 from newsmart.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=packing.CAPACITY)
+
+
 QUERIES = {
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
+    "op3_best_fit_packing": (op3_best_fit_packing, None),
 }
