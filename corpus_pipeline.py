@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import packing, simhash
+from newsmart.llm import packing, quality, simhash
 from newsmart.llm.common import store, table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return quality.keep_good(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays."""
     return simhash.keep_one(docs, shingle=3, max_bits=3)
@@ -19,6 +24,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_dedup),
     ("best_fit_packing", best_fit_packing),
 ]

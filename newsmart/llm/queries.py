@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.llm import packing, simhash
+from newsmart.llm import packing, quality, simhash
 from newsmart.llm.common import table
 
 
@@ -20,7 +20,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=packing.CAPACITY)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.statistics_and_verdicts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
     "op3_best_fit_packing": (op3_best_fit_packing, None),
+    "op4_quality_rules": (op4_quality_rules, None),
 }
