@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import packing, quality, simhash
+from newsmart.llm import decontamination, packing, quality, simhash
 from newsmart.llm.common import store, table
 
 
@@ -18,6 +18,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, shingle=3, max_bits=3)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents kept, packed into sequences."""
     return packing.pack(docs, capacity=packing.CAPACITY)
@@ -26,6 +31,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
     ("best_fit_packing", best_fit_packing),
 ]
 

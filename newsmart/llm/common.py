@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +50,15 @@ IDENTITY = ["_k1", "_k2"]
 
 def identity(doc_id: str = "doc_id", text: str = "text") -> list:
     return [F.xxhash64(doc_id, text).alias("_k1"), F.xxhash64(text, doc_id, F.lit(1)).alias("_k2")]
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows whose texts have about ``most`` bytes (one row at
+    least), so that what a task holds does not grow with the texts' lengths."""
+    for batch in batches:
+        sizes = np.array([len(x.as_buffer()) if x.is_valid else 0 for x in batch.column(text)], np.int64)
+        of = np.cumsum(sizes) // most
+        cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), batch.num_rows]
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            if e > s:
+                yield batch.slice(s, e - s)

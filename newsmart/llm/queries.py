@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.llm import packing, quality, simhash
+from newsmart.llm import decontamination, packing, quality, sharding, simhash
 from newsmart.llm.common import table
 
 
@@ -24,8 +24,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.statistics_and_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_byte_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), n=sharding.SHARDS)
+
+
 QUERIES = {
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
     "op3_best_fit_packing": (op3_best_fit_packing, None),
     "op4_quality_rules": (op4_quality_rules, None),
+    "op6_benchmark_decontamination": (op6_benchmark_decontamination, None),
+    "op10_byte_balanced_sharding": (op10_byte_balanced_sharding, None),
 }
