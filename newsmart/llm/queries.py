@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.llm import decontamination, html_text, language, packing, quality, sharding, simhash
+from newsmart.llm import decontamination, html_text, language, packing, quality, secrets, sharding, simhash
 from newsmart.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), sample_docs=secrets.SAMPLE_DOCS)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op3_best_fit_packing": (op3_best_fit_packing, None),
     "op4_quality_rules": (op4_quality_rules, None),
     "op6_benchmark_decontamination": (op6_benchmark_decontamination, None),
+    "op7_secret_scan": (op7_secret_scan, None),
     "op8_language_id": (op8_language_id, None),
     "op9_html_extraction": (op9_html_extraction, None),
     "op10_byte_balanced_sharding": (op10_byte_balanced_sharding, None),
