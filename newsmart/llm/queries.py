@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.llm import decontamination, html_text, language, packing, quality, secrets, sharding, simhash
+from newsmart.llm import decontamination, html_text, language, lines, packing, quality, secrets, sharding, simhash
 from newsmart.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.statistics_and_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"), max_edits=lines.MAX_EDITS, min_chars=lines.MIN_CHARS)
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
     "op3_best_fit_packing": (op3_best_fit_packing, None),
     "op4_quality_rules": (op4_quality_rules, None),
+    "op5_line_dedup": (op5_line_dedup, None),
     "op6_benchmark_decontamination": (op6_benchmark_decontamination, None),
     "op7_secret_scan": (op7_secret_scan, None),
     "op8_language_id": (op8_language_id, None),
