@@ -7,10 +7,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.llm import decontamination, html_text, language, lines, packing, quality, secrets, sharding, simhash
+from newsmart.llm import decontamination, html_text, language, lines, packing, quality, secrets, sharding, simhash, token_counts
 from newsmart.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.maintain(table(spark, sf_dir, "documents")).totals()
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
@@ -49,6 +53,7 @@ def op10_byte_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": (op1_token_counts, None),
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
     "op3_best_fit_packing": (op3_best_fit_packing, None),
     "op4_quality_rules": (op4_quality_rules, None),
