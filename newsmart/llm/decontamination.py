@@ -15,8 +15,8 @@ No text is shuffled. The benchmark is sent to the tasks in blocks of at most
 stage, so a benchmark of any size works.
 
 Cases: null, empty and wordless texts have no words and no hits; an item without words is
-never found, a null item_id counts as the empty string; equal rows and equal items count
-each; an empty benchmark leaves every document clean."""
+never found, a null item_id counts as the empty string; equal rows count each, rows of one
+item_id are one item; an empty benchmark leaves every document clean."""
 
 from __future__ import annotations
 
@@ -224,7 +224,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_chars: i
 def report(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     found = hits(docs.select("doc_id", "text"), items, window, block_chars)
-    names = F.coalesce(F.array_sort("_items"), F.array().cast("array<string>"))
+    names = F.coalesce(F.array_sort(F.array_distinct("_items")), F.array().cast("array<string>"))
     return found.select(
         "doc_id",
         F.col("_words").alias("n_words"),

@@ -143,8 +143,8 @@ def _estimates(moments: DataFrame, keys: list[str]) -> DataFrame:
     means = moments.select(*keys, *(F.col(f"q{i}{j}") / F.col("n") for i, j in _PAIRS), *((F.col(f"s{i}") / F.col("n")) for i in range(P)))
     means = means.toDF(*keys, *(f"q{i}{j}" for i, j in _PAIRS), *(f"m{i}" for i in range(P)))
     cov = {
-        (i, j): scale * (F.greatest(F.col(f"q{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"), F.lit(0.0)) + FLOOR[i] ** 2 if i == j
-                         else F.col(f"q{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
+        (i, j): scale * F.greatest(F.col(f"q{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"), F.lit(0.0)) + FLOOR[i] ** 2 if i == j
+        else scale * (F.col(f"q{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
         for i, j in _PAIRS
     }
     factored = means

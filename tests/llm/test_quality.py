@@ -1,0 +1,96 @@
+import collections
+import re
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from newsmart.llm import quality
+from newsmart.llm.queries import op4_quality_rules
+from tests.llm.conftest import SF
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def slow_statistics(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    seen, covered = collections.Counter(windows), set()
+    for i, w in enumerate(windows):
+        if seen[w] > 1:
+            covered |= set(range(i, i + 5))
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered),
+        len(words) < 10 or 100 * len(covered) > 20 * len(words),
+    )
+
+
+def test_base_statistics_match_brute_force(spark):
+    got = {r["doc_id"]: r for r in op4_quality_rules(spark, SF).collect()}
+    for d in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        r = got[d["doc_id"]]
+        assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == slow_statistics(d["text"])
+        assert not (r["kept"] and r["base_failed"])
+
+
+def test_repeats_and_white_space(spark, documents):
+    texts = [
+        "a b c d e a b c d e", "a b c d e f a b c d e", "x " * 40, "a b c d", "\x0b\x0ca b\tc  d e\r\nf", "é" * 3 + " ü",
+        "a\na\n\n \nb\na", "a b c d e f g a b c d e f g h", "\x1ca  b",
+    ]
+    rows = quality.statistics_and_verdicts(documents([(i, t, "en", "s") for i, t in enumerate(texts)])).collect()
+    for r in rows:
+        assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == slow_statistics(texts[r["doc_id"]])
+
+
+def test_mcd_rejects_outliers_the_classical_estimate_hides(spark):
+    """A cluster of 20 % outliers: the robust distance rejects all of it and no clean row."""
+    rng = np.random.default_rng(4)
+    clean = rng.normal(0, 0.3, (400, 4))
+    odd = rng.normal(0, 0.05, (100, 4)) + np.array([3.0, 3.0, 0, 0])
+    rows = [(1, *map(float, x)) for x in np.concatenate((clean, odd))] + [(2, 0.0, 0.0, 0.0, 0.0)]
+    frame = spark.createDataFrame(rows, "_g bigint, x0 double, x1 double, x2 double, x3 double")
+    got = frame.join(quality.robust_estimates(frame), "_g").select("_g", "x0", quality.distance().alias("d")).collect()
+    limit = quality.chi2_quantile(1 / quality.ONE_IN)
+    assert all(r["d"] > limit for r in got if r["_g"] == 1 and r["x0"] > 2)
+    assert sum(r["d"] > limit for r in got if r["_g"] == 1 and r["x0"] < 2) <= 2
+    assert [r["d"] for r in got if r["_g"] == 2] == [0.0]
+
+
+def test_estimate_matches_numpy_concentration(spark):
+    """From the same start, the steps end where a plain implementation's do."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, (300, 4)) @ np.diag([1, 0.5, 0.3, 0.2])
+    frame = spark.createDataFrame([(1, *map(float, r)) for r in x], "_g bigint, x0 double, x1 double, x2 double, x3 double")
+    got = quality.robust_estimates(frame).collect()[0]
+    centre = np.array([got[f"m{i}"] for i in range(4)])
+    factor = np.array([[got[f"l{i}{j}"] if j <= i else 0.0 for j in range(4)] for i in range(4)])
+    d = ((x - centre) @ np.linalg.inv(factor @ factor.T) * (x - centre)).sum(axis=1)
+    bins = np.floor(np.log(d + 1e-9) * quality.DISTANCE_BINS)
+    near = x[bins <= np.sort(bins)[int(np.ceil(0.75 * len(x))) - 1]]
+    again = quality.consistency(0.75) * np.cov(near.T, bias=True) + np.diag(np.square(quality.FLOOR))
+    assert np.allclose(near.mean(axis=0), centre, atol=0.02)
+    assert np.allclose(again, factor @ factor.T, atol=0.02)
+
+
+def test_chi_square_values():
+    assert abs(quality.chi2_quantile(0.05) - 9.4877) < 1e-3
+    assert abs(quality.consistency(0.75) - 1.4867) < 1e-2
+
+
+def test_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = quality.statistics_and_verdicts(docs).join(labels, "doc_id").filter(~F.col("base_failed"))
+    assert got.filter("quality = 1 and not kept").count() == 0
+    junk = got.filter("quality = 0")
+    assert junk.filter("not kept").count() >= 0.9 * junk.count()
+
+
+def test_awkward_rows(awkward, nothing):
+    rows = quality.statistics_and_verdicts(awkward).collect()
+    assert len(rows) == awkward.count() and all(r["kept"] is not None for r in rows)
+    assert {r["kept"] for r in rows if r["doc_id"] == 1} == {True}
+    kept = quality.keep_good(awkward)
+    assert kept.columns == awkward.columns and {r["doc_id"] for r in kept.collect()} == {1}
+    assert quality.statistics_and_verdicts(nothing).count() == 0 and quality.keep_good(nothing).count() == 0
