@@ -41,6 +41,11 @@ def ranked(df: DataFrame, by: str, ties: list[str]) -> DataFrame:
     return df.orderBy(F.desc(by), *[F.asc_nulls_last(c) for c in ties])
 
 
+def sorted_by(df: DataFrame, keys: list[str]) -> DataFrame:
+    """SRT-3: ascending by ``keys``, nulls last, as gold tables are read and shown."""
+    return df.orderBy(*[F.asc_nulls_last(c) for c in keys])
+
+
 def head(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """LIM-1: the first ``n`` rows in a stated order (a bare ``limit`` is arbitrary)."""
     return df.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)

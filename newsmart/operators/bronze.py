@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from newsmart.schemas import ARTICLE_COLUMNS
 
 DEDUP_KEYS = ("title", "publishedAt")
-# Which copy of a duplicate is "first": earliest window, then page, then URL.
-DEDUP_ORDER = ("window_date", "page", "url")
-PROVENANCE = ("window_date", "page", "totalResults", "_file", "ingest_date")
+# Which copy of a duplicate is "first": earliest window, then page, then URL; equal ones
+# by their other article columns, so the choice never depends on the input's order.
+DEDUP_ORDER = ("window_start", "page", "url") + tuple(c for c in ARTICLE_COLUMNS if c != "url")
+PROVENANCE = ("window_start", "page", "totalResults", "_file", "_file_mtime", "ingest_date", "batch_id")
 
 
 def add_load_date(df: DataFrame, load_date: dt.date | str | Column | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ partitioning, and a re-sampled range split after an executor loss would not be.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmart.session import cut_lineage
@@ -18,18 +18,14 @@ from newsmart.session import cut_lineage
 _LOW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def dense_ids(values: DataFrame, col: str, id_col: str, num_partitions: int | None = None) -> DataFrame:
-    """``(id_col, col)`` for every distinct value of ``col``: ids 0..n-1 ascending,
-    null last. Equals ``row_number() over (order by col nulls last) - 1``."""
-    spark = values.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = F.asc_nulls_last(col)
+def number_rows(rows: DataFrame, order: list[Column], id_col: str, num_partitions: int | None = None) -> DataFrame:
+    """``rows`` with ``id_col``, their position (from 0) in the total order ``order``."""
+    n = num_partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
-        values.select(col).distinct()
-        .repartitionByRange(n, order)
-        .sortWithinPartitions(order)
+        rows.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
         .select(
-            col,
+            "*",
             F.spark_partition_id().alias("_pid"),
             (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).alias("_pos"),
         )
@@ -40,10 +36,16 @@ def dense_ids(values: DataFrame, col: str, id_col: str, num_partitions: int | No
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return ranged.join(F.broadcast(offsets), "_pid").select(
-        (F.col("_off") + F.col("_pos")).cast("long").alias(id_col), col
+        (F.col("_off") + F.col("_pos")).cast("long").alias(id_col), *rows.columns
     )
 
 
+def dense_ids(values: DataFrame, col: str, id_col: str, num_partitions: int | None = None) -> DataFrame:
+    """``(id_col, col)`` for every distinct value of ``col``: ids 0..n-1 ascending,
+    null last. Equals ``row_number() over (order by col nulls last) - 1``."""
+    return number_rows(values.select(col).distinct(), [F.asc_nulls_last(col)], id_col, num_partitions)
+
+
 def extend_ids(values: DataFrame, existing: DataFrame, col: str, id_col: str) -> DataFrame:
     """Stable ids: keep the ids already in ``existing`` and number
     new members after its maximum, in value order."""

@@ -15,8 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsmart.functions import all_true, contains_match, count_matches
+from newsmart.functions import contains_match, count_matches
 from newsmart.functions.text import split_on_whitespace
+from newsmart.operators.keys import number_rows
 
 MIN_WORD_LENGTH = 4  # words must be strictly longer than this (the code says > 4)
 DATE_KEYS = ["year", "month", "day"]
@@ -66,36 +67,32 @@ def top_keyword_array(counts: DataFrame, k: int = 3) -> Column:
     return ranked.scalar()
 
 
-def _with_keywords(df: DataFrame, keywords: list[str] | Column, col: str) -> tuple[DataFrame, list[Column]]:
-    """``df`` reduced to date keys and the lower-cased text (lowered once for all
-    keywords), with the keywords as one array column ``_kw``; returns it and the
-    per-rank slot expressions. The array (possibly a subquery) is referenced once, so
-    it is evaluated once."""
-    kw = keywords if isinstance(keywords, Column) else F.array(*[F.lit(k) for k in keywords])
-    n = None if isinstance(keywords, Column) else len(keywords)
-    base = df.select(*DATE_KEYS, F.lower(F.col(col)).alias("_text"), kw.alias("_kw"))
-    k = n if n is not None else DEFAULT_K
-    return base, [F.element_at(F.col("_kw"), i) for i in range(1, k + 1)]
+def ranked_words(counts: DataFrame) -> DataFrame:
+    """SRT-2: the full word list with its ``position`` (from 1), most frequent first, ties by
+    the word. Range-partitioned, so no task holds the list."""
+    numbered = number_rows(counts, [F.desc("Quantidade"), F.asc("Palavra")], "_place")
+    return numbered.select((F.col("_place") + 1).alias("position"), "Palavra", "Quantidade")
 
 
-DEFAULT_K = 3
+def _with_keywords(df: DataFrame, keywords: list[str] | Column, col: str) -> DataFrame:
+    """``df`` reduced to date keys and the lower-cased text (lowered once for all
+    keywords), with the keywords as one array column ``_kw``. The array (possibly a
+    subquery, of any length) is referenced once, so it is evaluated once."""
+    kw = keywords if isinstance(keywords, Column) else F.array(*[F.lit(k) for k in keywords]).cast("array<string>")
+    return df.select(*DATE_KEYS, F.lower(F.col(col)).alias("_text"), F.coalesce(kw, F.array().cast("array<string>")).alias("_kw"))
 
 
 def keyword_occurrences(
     df: DataFrame, keywords: list[str] | Column, col: str = "description", literal: bool = False
 ) -> DataFrame:
-    """Long form of PRJ-5: one row per (article, keyword) with ``rank``, ``keyword``,
-    the date keys and ``occurrences`` (null for a null description). Each rank keeps
-    its own regex expression, so its pattern is compiled once per task."""
-    base, slots = _with_keywords(df, keywords, col)
-    entries = [
-        F.struct(
-            F.lit(i).alias("rank"), s.alias("keyword"),
-            count_matches("_text", s, literal, lowered=True).alias("occurrences"),
-        )
-        for i, s in enumerate(slots, 1)
-    ]
-    return base.select(*DATE_KEYS, F.inline(F.array(*entries))).filter(F.col("keyword").isNotNull())
+    """Long form of PRJ-5: one row per (article, keyword) with ``rank`` (from 1), ``keyword``,
+    the date keys and ``occurrences`` (null for a null description). All keywords of the
+    array count, however many there are; none give no rows."""
+    each = _with_keywords(df, keywords, col).select(*DATE_KEYS, "_text", F.posexplode("_kw").alias("_at", "keyword"))
+    return each.filter(F.col("keyword").isNotNull()).select(
+        *DATE_KEYS, (F.col("_at") + 1).alias("rank"), "keyword",
+        count_matches("_text", F.col("keyword"), literal, lowered=True).alias("occurrences"),
+    )
 
 
 def keyword_histogram(occurrences: DataFrame) -> DataFrame:
@@ -116,10 +113,12 @@ def keyword_daily_total(occurrences: DataFrame) -> DataFrame:
 def all_keywords_daily(
     df: DataFrame, keywords: list[str] | Column, col: str = "description", literal: bool = False
 ) -> DataFrame:
-    """AGG-14 + BOO-1: per day, articles whose description contains every keyword.
-    Days with none are kept; a null description counts as not containing (Q15 fix)."""
-    base, slots = _with_keywords(df, keywords, col)
-    flag = all_true([contains_match("_text", s, literal, lowered=True) for s in slots])
+    """AGG-14 + BOO-1: per day, articles whose description contains every keyword, of
+    however many there are. Days with none are kept; a null description counts as not
+    containing (Q15 fix), as does every description when there is no keyword."""
+    base = _with_keywords(df, keywords, col)
+    every = F.forall("_kw", lambda w: F.coalesce(contains_match("_text", w, literal, lowered=True), F.lit(False)))
+    flag = every & (F.size("_kw") > 0)
     return base.dropna(subset=DATE_KEYS).groupBy(*DATE_KEYS).agg(F.count_if(flag).alias("todas_top3"))
 
 
@@ -128,11 +127,14 @@ def with_keyword_columns(
 ) -> DataFrame:
     """PRJ-5 wide form: one column per keyword (counts or presence flags). Existing
     columns of the same name are kept and the keyword column gets a ``kw_`` prefix
-    (the reference would overwrite them, Q22)."""
+    (the reference would overwrite them, Q22). Names are compared as Spark compares them,
+    without case; a further repeat gets a number."""
     fn = count_matches if mode == "count" else contains_match
-    out = []
+    taken, out = {c.lower() for c in df.columns}, []
     for w in keywords:
-        name = w if w not in df.columns else f"kw_{w}"
+        names = (w, f"kw_{w}", *(f"kw_{w}_{i}" for i in range(2, len(keywords) + len(taken) + 2)))
+        name = next(x for x in names if x.lower() not in taken)
+        taken.add(name.lower())
         out.append(fn(col, w, literal).alias(name))
     return df.select("*", *out)
 

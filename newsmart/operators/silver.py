@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsmart.functions import dates, fill_author
-from newsmart.operators.bronze import keep_first
+from newsmart.operators.bronze import PROVENANCE, keep_first
 
 # Fixed value: the title the API puts on withdrawn articles.
 REMOVED_TITLE = "[Removed]"
@@ -32,7 +32,7 @@ def to_silver(bronze: DataFrame, lenient: bool = False) -> DataFrame:
     raise unless ``lenient`` (then they become null)."""
     df = drop_removed(bronze)
     published = dates.utc_date(dates.parse_timestamp("publishedAt", lenient))
-    passthrough = [c for c in df.columns if c not in _BRONZE_NAMED]
+    passthrough = [c for c in df.columns if c not in _BRONZE_NAMED and c not in PROVENANCE]
     staged = df.select(
         fill_author("author").alias("author"),
         "title", "description", "url", "urlToImage",
@@ -55,10 +55,10 @@ def merge_silver(new: DataFrame, existing: DataFrame | None, dedup_keys: list[st
     """SET-2 + DST-2: union by name (missing columns -> null), then drop duplicates.
 
     Default: whole-row duplicates, ``load_date`` included (an article loaded on two
-    days stays twice, as in the reference). With ``dedup_keys`` one row per key is
-    kept, the earliest ``load_date`` first."""
-    merged = new if existing is None else new.unionByName(existing, allowMissingColumns=True)
-    merged = merged.dropDuplicates()
+    days stays twice, as in the reference). Without an existing table the new rows are
+    taken as they are (SURVEY Q6), which also saves shuffling every text. With
+    ``dedup_keys`` one row per key is kept, the earliest ``load_date`` first."""
+    merged = new if existing is None else new.unionByName(existing, allowMissingColumns=True).dropDuplicates()
     if dedup_keys:
-        merged = keep_first(merged, keys=tuple(dedup_keys), order=("load_date", "url", "content"))
+        merged = keep_first(merged, keys=tuple(dedup_keys), order=("load_date", "url", *(c for c in merged.columns if c not in ("load_date", "url"))))
     return merged

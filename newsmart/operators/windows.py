@@ -56,54 +56,47 @@ def window_bounds_text(windows: DataFrame) -> DataFrame:
     )
 
 
-# Window tables up to this many (window, date) rows are broadcast (~50 MB).
-BROADCAST_WINDOW_ROWS = 1_000_000
-
-
-def count_per_window(
-    articles: DataFrame, windows: DataFrame, ts_col: str = "published_ts", windows_bound: int | None = None
-) -> DataFrame:
+def count_per_window(articles: DataFrame, windows: DataFrame, ts_col: str = "published_ts") -> DataFrame:
     """RA-7: articles per window, windows with none kept (count 0).
 
     Each window is exploded over the calendar dates it touches, so the join key is
     the article's date and the range test only runs against that date's windows. The
-    window side is broadcast (the article side is never shuffled for the join) when
-    its size is known to be small: ``windows_bound`` (window-date rows) as stated by
-    the caller, or else a count of the exploded table. Beyond the limit it is a keyed
-    join on the date that AQE may split for a hot day."""
+    strategy is left to AQE: the window side is broadcast while its runtime size allows;
+    beyond it the join stays keyed on the date and a hot day may be split."""
     per_date = windows.select(
         "window_start", "window_end",
         F.explode(F.sequence(F.to_date("window_start"), F.to_date("window_end"))).alias("_wdate"),
     )
-    size = windows_bound if windows_bound is not None else per_date.count()
-    small = size <= BROADCAST_WINDOW_ROWS
     ts = as_col(ts_col).cast("timestamp_ntz")
     dated = articles.select(ts.alias("_ts")).filter(F.col("_ts").isNotNull()).withColumn("_adate", F.to_date("_ts"))
     hits = dated.join(
-        F.broadcast(per_date) if small else per_date,
+        per_date,
         (F.col("_adate") == F.col("_wdate"))
         & (F.col("_ts") >= F.col("window_start"))
         & (F.col("_ts") <= F.col("window_end")),
     )
     counts = hits.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("articles"))
-    bounds = windows.select("window_start", "window_end")
-    return (F.broadcast(bounds) if small else bounds).join(counts, ["window_start", "window_end"], "left").select(
+    return windows.select("window_start", "window_end").join(counts, ["window_start", "window_end"], "left").select(
         "window_start", "window_end", F.coalesce("articles", F.lit(0)).cast("long").alias("articles")
     )
 
 
-def landing_completeness(landing: DataFrame, page_size: int = 100) -> DataFrame:
-    """RA-8: per landing window, pages and articles expected from the reported total
-    against what landed. ``landing`` has one row per landed article with
-    ``window_date``, ``page`` and ``totalResults``."""
-    per_window = landing.groupBy("window_date").agg(
+def landing_completeness(pages: DataFrame, page_size: int = 100) -> DataFrame:
+    """RA-8: per landing window, pages and articles expected from the total that the
+    envelopes state against what landed. ``pages`` has one row per landed envelope with
+    ``window_start``, ``page``, ``totalResults`` and ``n_articles``; a page delivered again
+    counts once, by its fullest delivery. Windows that start at different hours are apart."""
+    per_page = pages.groupBy("window_start", "page").agg(
+        F.max("totalResults").alias("totalResults"), F.max("n_articles").alias("n_articles")
+    )
+    per_window = per_page.groupBy("window_start").agg(
         F.max("totalResults").alias("total_results"),
-        F.count_distinct("page").alias("landed_pages"),
-        F.count(F.lit(1)).alias("landed_articles"),
+        F.count("page").alias("landed_pages"),
+        F.sum("n_articles").cast("long").alias("landed_articles"),
     )
     expected = page_count("total_results", page_size)
     return per_window.select(
-        "window_date", "total_results",
+        "window_start", "total_results",
         expected.alias("expected_pages"),
         "landed_pages", "landed_articles",
         F.greatest(expected - F.col("landed_pages"), F.lit(0)).alias("missing_pages"),

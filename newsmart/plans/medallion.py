@@ -10,20 +10,23 @@ separate outputs (Q3); an empty landing zone writes nothing (SRC-2).
 from __future__ import annotations
 
 import datetime as dt
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.operators import gold
+from newsmart.operators import analysis, gold, keywords
 from newsmart.operators.bronze import to_bronze
 from newsmart.operators.silver import merge_silver, to_silver
 from newsmart.session import cut_lineage, pin_utc, run_concurrently
 from newsmart.sources import (
+    archive_days,
     archive_files,
+    claim_landing,
     explode_articles,
     latest_partition_value,
+    loose_files,
+    partition_values,
     path_exists,
     publish,
     publish_version,
@@ -36,8 +39,7 @@ from newsmart.sources import (
     write_partitions,
 )
 
-
-_INGEST_DAY = re.compile(r"/ingest_date=(\d{4}-\d{2}-\d{2})/")
+from newsmart.streaming.incremental import first_deliveries
 
 
 @dataclass(frozen=True)
@@ -56,6 +58,10 @@ class Layout:
     def landing(self) -> str:
         return self._p("landing")
 
+    @property
+    def inflight(self) -> str:
+        return self._p("landing_inflight")
+
     @property
     def archive(self) -> str:
         return self._p("landing_archive")
@@ -72,11 +78,32 @@ class Layout:
         return self._p(f"gold/{table}")
 
 
-def _publish(layout: Layout, df: DataFrame, path: str) -> None:
+# The seven count tables are partitions (``gold_table=<name>``) of one published table, written
+# by one job; the keyword totals (metric 4.3) are a table of their own.
+COUNTS = "counts"
+KEYWORDS = "keyword_totals"
+TOP_KEYWORDS = 3
+
+
+def _publish(layout: Layout, df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     if layout.versioned:
-        publish_version(df, path)
+        publish_version(df, path, partition_by=partition_by)
     else:
-        publish(df, path)
+        publish(df, path, partition_by=partition_by)
+
+
+def keyword_totals(silver: DataFrame, k: int = TOP_KEYWORDS) -> DataFrame:
+    """AGG-15 for the gold mart: occurrences per day of each of the ``k`` most frequent words."""
+    top = keywords.top_keyword_array(keywords.word_counts(silver), k)
+    return keywords.keyword_daily_total(keywords.keyword_occurrences(silver, top))
+
+
+def read_gold_counts(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    """One of the seven count tables, sorted by its keys, nulls last (SRT-3). Only that
+    table's partition is read."""
+    keys = gold.GOLD_AGGREGATES[table]
+    rows = read_published(spark, layout, layout.gold(COUNTS)).filter(F.col("gold_table") == table)
+    return analysis.sorted_by(rows.select(*keys, "number_articles"), keys)
 
 
 def _exists(spark: SparkSession, layout: Layout, path: str) -> bool:
@@ -94,78 +121,99 @@ def run_bronze(
     load_date: dt.date | str | None = None,
     multi_line: bool = False,
     archive: bool = True,
-) -> bool:
-    """Load every landing file into bronze (one partition per load day), then archive
-    the files. Returns False when the landing zone is empty."""
+) -> str | None:
+    """Load every landing file into bronze, then archive the files. Returns the load day,
+    or None when the landing zone is empty (SRC-2, by folder listing).
+
+    With ``archive`` the landed folders are first moved to ``landing_inflight``, by one
+    rename a day, so that files landed while this runs wait for the next run; a run that
+    failed leaves its folders there, and the next run loads them too. ``multi_line`` reads
+    the original layout, one indented document a file.
+
+    One run, one load day (the reference writes one bronze file per run): ``load_date``, or
+    the newest landing day among the folders loaded (no clock, so a re-run gives the same
+    day), or today for files outside our layout."""
     pin_utc(spark)
-    if not path_exists(spark, layout.landing):
-        return False
-    envelopes = read_envelopes(spark, layout.landing, multi_line=multi_line)
-    files = envelopes.inputFiles()  # SRC-2: a file listing (names only), no Spark job
-    if not files:
-        return False
-    articles = explode_articles(with_provenance(envelopes))
-    if load_date is None:
-        # One run, one load day (the reference writes one bronze file per run): the
-        # newest landing day among the files this run loads, read from their folder
-        # names (no clock, so a re-run gives the same day); files outside our layout
-        # load as today.
-        landed = [m.group(1) for m in map(_INGEST_DAY.search, files) if m]
-        if landed:
-            load_date = max(landed)
-    bronze = to_bronze(articles, load_date)
-    write_bronze(bronze, layout.bronze)
+    source = layout.landing
+    if archive:
+        claim_landing(spark, layout.landing, layout.inflight)
+        source = layout.inflight
+    landed, loose = partition_values(spark, source, "ingest_date"), loose_files(spark, source)
+    if not landed and not loose:
+        return None
+    day = str(load_date or max(landed, default=None) or dt.datetime.now(dt.UTC).date())
+    articles = explode_articles(with_provenance(read_envelopes(spark, source, multi_line=multi_line)))
+    write_bronze(to_bronze(articles, day), layout.bronze)
     if archive:
-        archive_files(spark, files, layout.archive, root=layout.landing)
-    return True
+        archive_days(spark, source, layout.archive, landed)
+        archive_files(spark, loose, layout.archive, root=source)
+    return day
+
+
+def _bronze_day(spark: SparkSession, layout: Layout, day: str) -> DataFrame:
+    """One load day of bronze; days that the stream wrote in batches are deduplicated here."""
+    rows = read_partition(spark, layout.bronze, "load_date", day)
+    return first_deliveries(rows) if "batch_id" in rows.columns else rows
+
+
+def _silver_days(spark: SparkSession, layout: Layout) -> set[str]:
+    if not _exists(spark, layout, layout.silver):
+        return set()
+    if layout.versioned:  # whole versions: the days are in the rows (one row a day reaches the driver)
+        days = read_published(spark, layout, layout.silver).select("load_date").distinct().collect()
+        return {str(r["load_date"]) for r in days}
+    return set(partition_values(spark, layout.silver, "load_date"))
 
 
 def run_silver(spark: SparkSession, layout: Layout, dedup_keys: list[str] | None = None,
-               lenient: bool = False) -> bool:
-    """Newest bronze day -> silver rows, merged into the silver table.
+               lenient: bool = False, day: str | None = None) -> list[str]:
+    """Bronze days -> silver rows, merged into the silver table: ``day``, or every bronze day
+    that silver doesn't hold yet, however late it was landed (when there is none, the newest
+    day again). Returns the days merged.
 
     Silver is partitioned by ``load_date``. The default dedup compares whole rows,
-    ``load_date`` included, so rows of different load days are never duplicates: only
-    the day being loaded is merged (with what silver already holds for that day, if
-    the day is re-run) and only its partition is rewritten. Daily cost follows the day,
-    not the table's history. ``dedup_keys`` compares across days, and the versioned
-    (object store) layout publishes whole versions; both merge the whole table."""
+    ``load_date`` included, so rows of different load days are never duplicates: only the
+    days being loaded are merged (with what silver already holds for a day that is re-run)
+    and only their partitions are rewritten. Daily cost follows the day, not the table's
+    history. ``dedup_keys`` compares across days, and the versioned (object store) layout
+    publishes whole versions; both merge the whole table. The very first load is not
+    deduplicated (SURVEY Q6)."""
     pin_utc(spark)
-    if not path_exists(spark, layout.bronze):
-        return False
-    day = latest_partition_value(spark, layout.bronze, "load_date")
-    if day is None:
-        return False
-    new = to_silver(read_partition(spark, layout.bronze, "load_date", day), lenient)
-    if dedup_keys or layout.versioned:
-        existing = read_published(spark, layout, layout.silver) if _exists(spark, layout, layout.silver) else None
-        _publish(layout, merge_silver(new, existing, dedup_keys), layout.silver)
-        return True
-    existing_day = (
-        read_partition(spark, layout.silver, "load_date", day) if path_exists(spark, layout.silver) else None
-    )
-    merged = merge_silver(new, existing_day)
-    if existing_day is not None:
-        # The write replaces the partition this plan reads: materialise it first.
-        merged = cut_lineage(merged)
-    write_partitions(merged, layout.silver, "load_date")
-    return True
+    held = [d for d in partition_values(spark, layout.bronze, "load_date") if not d.startswith("__")]
+    if not held:
+        return []
+    known = _silver_days(spark, layout)
+    days = [str(day)] if day else sorted(set(held) - known) or [max(held)]
+    for one in days:
+        first = not _exists(spark, layout, layout.silver)
+        new = to_silver(_bronze_day(spark, layout, one), lenient)
+        if dedup_keys or layout.versioned:
+            existing = None if first else read_published(spark, layout, layout.silver)
+            _publish(layout, merge_silver(new, existing, dedup_keys), layout.silver)
+            continue
+        if first:
+            write_partitions(merge_silver(new, None), layout.silver, "load_date")
+            continue
+        merged = merge_silver(new, read_partition(spark, layout.silver, "load_date", one))
+        if one in known:
+            # The write replaces the partition this plan reads: materialise it first.
+            merged = cut_lineage(merged)
+        write_partitions(merged, layout.silver, "load_date")
+    return days
 
 
 def run_gold(spark: SparkSession, layout: Layout, stable_ids: bool = False) -> dict[str, str]:
     """All gold outputs from silver. The seven counts come from one grouping-sets
-    aggregate (one scan); the dimensions are materialised once and feed both their
+    aggregate (one scan, one write); the dimensions are materialised once and feed both their
     own table and the fact join."""
     pin_utc(spark)
     silver = read_published(spark, layout, layout.silver)
     written: dict[str, str] = {}
 
-    counts = cut_lineage(gold.all_gold_counts(silver))
-    run_concurrently({
-        table: (lambda t=table: _publish(layout, gold.split_gold_counts(counts, t), layout.gold(t)))
-        for table in gold.GOLD_AGGREGATES
-    })
-    written.update({table: layout.gold(table) for table in gold.GOLD_AGGREGATES})
+    _publish(layout, gold.all_gold_counts(silver), layout.gold(COUNTS), partition_by=["gold_table"])
+    written[COUNTS] = layout.gold(COUNTS)
+    _publish(layout, keyword_totals(silver), layout.gold(KEYWORDS))
+    written[KEYWORDS] = layout.gold(KEYWORDS)
 
     def dimension(name: str, build) -> DataFrame:
         existing = None
@@ -209,16 +257,16 @@ def run_gold_day(spark: SparkSession, layout: Layout, day: str | None = None) ->
     by_day_path = layout.gold("_counts_by_day")
     day_counts = gold.all_gold_counts(silver_day).withColumn("load_date", F.lit(day).cast("date"))
     write_partitions(day_counts, by_day_path, "load_date")
-    totals = cut_lineage(
+    totals = (
         read_table(spark, by_day_path)
         .groupBy("gold_table", *gold.GROUPING_COLUMNS)
         .agg(F.sum("number_articles").cast("long").alias("number_articles"))
     )
-    run_concurrently({
-        table: (lambda t=table: _publish(layout, gold.split_gold_counts(totals, t), layout.gold(t)))
-        for table in gold.GOLD_AGGREGATES
-    })
-    written.update({table: layout.gold(table) for table in gold.GOLD_AGGREGATES})
+    _publish(layout, totals, layout.gold(COUNTS), partition_by=["gold_table"])
+    written[COUNTS] = layout.gold(COUNTS)
+    # The top words are those of all days, so this one metric reads the whole of silver.
+    _publish(layout, keyword_totals(read_table(spark, layout.silver)), layout.gold(KEYWORDS))
+    written[KEYWORDS] = layout.gold(KEYWORDS)
 
     def dimension(name: str, build) -> DataFrame:
         existing = read_published(spark, layout, layout.gold(name)) if _exists(spark, layout, layout.gold(name)) else None
@@ -237,10 +285,19 @@ def run_gold_day(spark: SparkSession, layout: Layout, day: str | None = None) ->
 
 
 def run_daily(spark: SparkSession, layout: Layout, load_date: dt.date | str | None = None,
-              stable_ids: bool = False, incremental_gold: bool = False) -> dict[str, str]:
+              stable_ids: bool = False, incremental_gold: bool = False, multi_line: bool = False) -> dict[str, str]:
     """bronze -> silver -> gold, each step only when its input exists. With
-    ``incremental_gold`` the gold step reads only the day just loaded (``run_gold_day``)."""
-    run_bronze(spark, layout, load_date)
-    if not run_silver(spark, layout):
+    ``incremental_gold`` the gold step reads only the days just loaded (``run_gold_day``);
+    ``multi_line`` reads landed files of the original layout."""
+    day = run_bronze(spark, layout, load_date, multi_line)
+    days = run_silver(spark, layout)
+    if day and day not in days:  # a day loaded again
+        days += run_silver(spark, layout, day=day)
+    if not days:
         return {}
-    return run_gold_day(spark, layout) if incremental_gold else run_gold(spark, layout, stable_ids)
+    if not incremental_gold:
+        return run_gold(spark, layout, stable_ids)
+    written: dict[str, str] = {}
+    for one in days:
+        written = run_gold_day(spark, layout, one)
+    return written

@@ -37,12 +37,12 @@ ENVELOPE = T.StructType(
     ]
 )
 
-# A landing line as our writer stores it: the envelope plus its provenance (the
-# request window's first day and the page number). Files are partitioned by
-# ``ingest_date``, the day they were landed.
+# A landing line as our writer stores it: the envelope plus its provenance (the start
+# of the request window, so that the hourly windows of a day stay apart, and the page
+# number). Files are partitioned by ``ingest_date``, the day they were landed.
 LANDING_RECORD = T.StructType(
     ENVELOPE.fields
-    + [T.StructField("window_date", T.DateType()), T.StructField("page", T.IntegerType())]
+    + [T.StructField("window_start", T.TimestampNTZType()), T.StructField("page", T.IntegerType())]
 )
 
 ARTICLE_COLUMNS = [f.name for f in ARTICLE.fields]

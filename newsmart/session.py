@@ -7,6 +7,7 @@ local folder when it is unset *and* Spark runs in local mode (tests, bench).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import threading
@@ -89,9 +90,25 @@ def _checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/newsmart-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder. What is written there may be
+    read lazily as long as the application runs; it is deleted when the application ends."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/newsmart-scratch/{spark.sparkContext.applicationId}"
+    if root not in _SCRATCH_ROOTS:
+        _SCRATCH_ROOTS.add(root)
+        atexit.register(delete_path, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SCRATCH_ROOTS: set[str] = set()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any store; nothing happens once the session has ended."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

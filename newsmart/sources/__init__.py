@@ -2,13 +2,11 @@
 
 from newsmart.sources.landing import (  # noqa: F401
     explode_articles,
-    is_empty,
     read_envelopes,
     read_landing,
     with_provenance,
 )
 from newsmart.sources.tables import (  # noqa: F401
-    latest_file,
     latest_partition,
     latest_partition_value,
     partition_values,
@@ -17,8 +15,11 @@ from newsmart.sources.tables import (  # noqa: F401
     read_table,
 )
 from newsmart.sources.writers import (  # noqa: F401
+    archive_days,
     archive_files,
+    claim_landing,
     export_csv,
+    loose_files,
     path_exists,
     publish,
     publish_version,

@@ -4,7 +4,7 @@ A landing record is one response envelope ``{status, totalResults, articles:[...
 Two layouts are read:
 
 * our writer's layout, ``<root>/ingest_date=<d>/part-*.json``: JSON Lines, one envelope
-  per line carrying its own ``window_date`` and ``page``; a few files per landing day
+  per line carrying its own ``window_start`` and ``page``; a few files per landing day
   however many windows and pages were fetched;
 * the original layout, ``<root>/<date>.json`` or ``<root>/<date> (Page <n>).json``, one
   indented envelope per file, where window and page come from the file name.
@@ -38,18 +38,19 @@ def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) ->
 
 
 def with_provenance(envelopes: DataFrame) -> DataFrame:
-    """SRC-5: ``window_date`` and ``page`` from the record itself, or else from the
-    (URL-encoded) original file name; a file without a page number is page 1."""
+    """SRC-5: ``window_start`` and ``page`` from the record itself, or else from the
+    (URL-encoded) original file name, whose window starts at midnight; a file without a
+    page number is page 1."""
     name = F.url_decode(F.col("_file"))
     raw_date = F.regexp_extract(name, FILE_NAME_PATTERN, 1)
     raw_page = F.regexp_extract(name, FILE_NAME_PATTERN, 2)
-    from_name_date = F.when(raw_date != "", F.to_date(raw_date))
+    from_name_start = F.when(raw_date != "", F.to_date(raw_date).cast("timestamp_ntz"))
     from_name_page = F.when(raw_page != "", raw_page.cast("int")).otherwise(F.lit(1))
     out = envelopes
-    if "window_date" in out.columns:
-        out = out.withColumn("window_date", F.coalesce(F.col("window_date"), from_name_date))
+    if "window_start" in out.columns:
+        out = out.withColumn("window_start", F.coalesce(F.col("window_start"), from_name_start))
     else:
-        out = out.withColumn("window_date", from_name_date)
+        out = out.withColumn("window_start", from_name_start)
     if "page" in out.columns:
         out = out.withColumn("page", F.coalesce(F.col("page"), from_name_page))
     else:
@@ -67,11 +68,7 @@ def explode_articles(envelopes: DataFrame) -> DataFrame:
 
 
 def read_landing(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Articles of every landing file under ``path`` with ``window_date``, ``page``,
+    """Articles of every landing file under ``path`` with ``window_start``, ``page``,
     ``totalResults`` and ``_file``."""
     return explode_articles(with_provenance(read_envelopes(spark, path, multi_line)))
 
-
-def is_empty(df: DataFrame) -> bool:
-    """SRC-2 guard: a one-row probe, not a count."""
-    return df.isEmpty()

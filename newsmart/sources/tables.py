@@ -62,9 +62,3 @@ def read_latest_partition(spark: SparkSession, path: str, col: str = "load_date"
         return read_table(spark, path).limit(0)
     return read_partition(spark, path, col, newest)
 
-
-def latest_file(df: DataFrame) -> DataFrame:
-    """SRC-3, file-name layout: rows of the most recently modified file."""
-    mtime = F.col("_metadata.file_modification_time")
-    newest = df.select(F.max(mtime)).scalar()
-    return df.filter(mtime == newest)

@@ -24,18 +24,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def write_landing(envelopes: DataFrame, path: str, files_per_day: int | None = None) -> None:
-    """SNK-1: append envelopes (with ``window_date``, ``page`` and ``ingest_date``) as
+def write_landing(envelopes: DataFrame, path: str) -> None:
+    """SNK-1: append envelopes (with ``window_start``, ``page`` and ``ingest_date``) as
     JSON Lines under ``ingest_date=<d>``; pages without articles are skipped.
 
-    By default the rows are rebalanced on ``ingest_date`` (AQE sizes the files by
-    volume and splits a heavy landing day), so file count follows data, never one
-    file per page. ``files_per_day`` fixes the count instead."""
-    pages = envelopes.filter(F.size("articles") > 0)
-    if files_per_day:
-        pages = pages.repartition(files_per_day, "ingest_date", "window_date")
-    else:
-        pages = pages.hint("rebalance", "ingest_date")
+    The rows are rebalanced on ``ingest_date`` (AQE sizes the files by volume and splits
+    a heavy landing day), so file count follows data, never one file per page."""
+    pages = envelopes.filter(F.size("articles") > 0).hint("rebalance", "ingest_date")
     pages.write.mode("append").partitionBy("ingest_date").json(path)
 
 
@@ -94,6 +89,48 @@ def archive_files(spark: SparkSession, files: list[str], archive_dir: str, root:
         return sum(pool.map(move, files))
 
 
+def loose_files(spark: SparkSession, folder: str) -> list[str]:
+    """Landed files directly in a folder (the original layout), by listing."""
+    fs, root, _ = _fs(spark, folder)
+    if not fs.exists(root):
+        return []
+    return [s.getPath().toString() for s in fs.listStatus(root)
+            if s.isFile() and s.getPath().getName().endswith(".json") and not s.getPath().getName().startswith(("_", "."))]
+
+
+def claim_landing(spark: SparkSession, landing: str, inflight: str) -> None:
+    """Move what has landed so far to ``inflight``: folders by one rename a day, loose files one
+    by one. What a failed run left there stays and is joined by the new files."""
+    fs, root, _ = _fs(spark, landing)
+    if not fs.exists(root):
+        return
+    days = [s.getPath().getName()[len("ingest_date="):] for s in fs.listStatus(root)
+            if s.isDirectory() and s.getPath().getName().startswith("ingest_date=")]
+    archive_days(spark, landing, inflight, days)
+    archive_files(spark, loose_files(spark, landing), inflight, root=landing)
+
+
+def archive_days(spark: SparkSession, landing: str, archive: str, days: list[str]) -> int:
+    """SNK-3 for our landing layout: move whole ``ingest_date=<day>`` folders, one rename a
+    day however many files it holds. A day that is in the archive already gets the new files
+    beside the old ones (``archive_files``). Returns the number of days moved."""
+    moved = 0
+    for day in days:
+        fs, src, jvm = _fs(spark, f"{landing.rstrip('/')}/ingest_date={day}")
+        if not fs.exists(src):
+            continue
+        dst = jvm.org.apache.hadoop.fs.Path(f"{archive.rstrip('/')}/ingest_date={day}")
+        fs.mkdirs(dst.getParent())
+        if fs.exists(dst):
+            files = [s.getPath().toString() for s in fs.listStatus(src) if not s.getPath().getName().startswith(("_", "."))]
+            archive_files(spark, files, archive, root=landing)
+            fs.delete(src, True)
+        elif not fs.rename(src, dst):
+            raise OSError(f"could not archive {src}")
+        moved += 1
+    return moved
+
+
 def publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """SNK-4/SNK-5: write to a sibling staging path, then swap it into place.
 
@@ -123,7 +160,8 @@ def publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[s
 CURRENT = "_CURRENT"
 
 
-def publish_version(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 2) -> str:
+def publish_version(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 2,
+                    partition_by: list[str] | None = None) -> str:
     """SNK-4/SNK-5 for object stores, where a folder rename is a copy: write the table
     to ``<path>/v=<n>`` and then overwrite the one-line pointer ``<path>/_CURRENT``.
     A single small object write is atomic, so readers (``read_current``) see the old or
@@ -134,7 +172,8 @@ def publish_version(df: DataFrame, path: str, fmt: str = "parquet", keep: int =
     versions = _versions(fs, root)
     version = (max(versions) + 1) if versions else 0
     target = f"{path.rstrip('/')}/v={version}"
-    df.write.mode("errorifexists").format(fmt).save(target)
+    writer = df.write.mode("errorifexists").format(fmt)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
     pointer = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{CURRENT}")
     out = fs.create(pointer, True)
     try:
@@ -175,7 +214,12 @@ def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(current_version_path(spark, path))
 
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
+# Empty strings are written as "" and nulls as nothing, white space stays, and every
+# text is read back as it was.
+CSV_OPTIONS = {
+    "header": "true", "escape": '"', "multiLine": "true", "emptyValue": '""', "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -185,5 +229,10 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv_export(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read an ``export_csv`` folder back with its schema."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    """Read an ``export_csv`` folder back with its schema. The reader takes an empty string for
+    the null it is configured with, so quoted empty fields come as a NUL character first."""
+    rows = spark.read.schema(schema).options(**CSV_OPTIONS | {"emptyValue": "\x00"}).csv(path)
+    texts = {f.name for f in schema.fields if f.dataType.simpleString() == "string"}
+    return rows.select(*(
+        F.when(F.col(c) == "\x00", F.lit("")).otherwise(F.col(c)).alias(c) if c in texts else F.col(c) for c in rows.columns
+    ))

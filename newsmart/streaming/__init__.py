@@ -1,8 +1,9 @@
 """Structured Streaming: incremental bronze, streaming dedup, windowed counts."""
 
 from newsmart.streaming.incremental import (  # noqa: F401
+    append_new_articles,
     compact_bronze_day,
-    dedup_stream,
+    first_deliveries,
     landing_stream,
     read_incremental_bronze,
     run_incremental_bronze,

@@ -13,8 +13,10 @@ everything landed and deletes the raw files. Here the landing folder is a file s
   (load day, title, publishedAt), the first by landing provenance (window, page,
   URL), whichever batch it arrived in. ``compact_bronze_day`` folds a closed day's
   batch partitions into one, once.
-* ``dedup_stream`` drops repeated (title, publishedAt) pairs within a watermark, so
-  the state stays bounded; duplicates later than the watermark pass through.
+* ``append_new_articles`` is streaming dedup without loss: each micro-batch keeps the
+  first of each (title, publishedAt) that no earlier batch has stored, however late it
+  comes. The stored keys are the state, so it needs no watermark; a batch reads those of
+  the publication days it touches only.
 * ``windowed_counts`` counts rows per event-time window with a watermark; a window is
   emitted once the watermark passes its end.
 """
@@ -27,18 +29,19 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from newsmart.functions import parse_timestamp, utc_date
-from newsmart.operators.bronze import DEDUP_KEYS, keep_first
-from newsmart.schemas import ARTICLE_COLUMNS, LANDING_RECORD
+from newsmart.operators.bronze import DEDUP_KEYS, DEDUP_ORDER, keep_first
+from newsmart.schemas import ARTICLE, ARTICLE_COLUMNS, LANDING_RECORD
 from newsmart.session import cut_lineage
 from newsmart.sources.landing import explode_articles, with_provenance
-from newsmart.sources.tables import read_table
+from newsmart.sources.tables import partition_values, read_table
+from newsmart.sources.writers import path_exists
 
 # Landing files as our writer lays them out; the ``ingest_date`` partition column must
 # be named in the schema for a file stream to fill it.
 LANDING_STREAM_SCHEMA = T.StructType(LANDING_RECORD.fields + [T.StructField("ingest_date", T.DateType())])
-INCREMENTAL_BRONZE_COLUMNS = ARTICLE_COLUMNS + ["window_date", "page", "load_date"]
+INCREMENTAL_BRONZE_COLUMNS = ARTICLE_COLUMNS + ["window_start", "page", "load_date"]
 BATCH_KEYS = ("load_date",) + DEDUP_KEYS
-PROVENANCE_ORDER = ("window_date", "page", "url", "batch_id")
+PROVENANCE_ORDER = DEDUP_ORDER + ("batch_id",)
 COMPACTED_BATCH = -1
 
 
@@ -51,8 +54,10 @@ def landing_stream(
     archive_dir: str | None = None,
 ) -> DataFrame:
     """Envelopes of new landing files. ``clean_source='archive'|'delete'`` consumes the
-    raw files once a later batch has committed (SNK-3 for the incremental path)."""
-    reader = spark.readStream.schema(LANDING_STREAM_SCHEMA).option("multiLine", multi_line)
+    raw files once a later batch has committed (SNK-3 for the incremental path). A malformed
+    file fails the stream, as it fails the batch reader: it is never read as nothing.
+    ``multi_line`` reads the original layout, one indented document a file."""
+    reader = spark.readStream.schema(LANDING_STREAM_SCHEMA).option("multiLine", multi_line).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if clean_source:
@@ -96,7 +101,11 @@ def bronze_batch_writer(bronze_path: str):
 
 def read_incremental_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     """Bronze rows across all stored batches, deduplicated per load day."""
-    stored = read_table(spark, bronze_path)
+    return first_deliveries(read_table(spark, bronze_path))
+
+
+def first_deliveries(stored: DataFrame) -> DataFrame:
+    """Rows stored in batches -> one per load day and key, without the batch column."""
     return keep_first(stored, BATCH_KEYS, PROVENANCE_ORDER).drop("batch_id")
 
 
@@ -126,10 +135,15 @@ def start_incremental_bronze(
     max_files_per_trigger: int | None = None,
     clean_source: str | None = None,
     archive_dir: str | None = None,
+    multi_line: bool = False,
 ) -> StreamingQuery:
     """RA-9. ``trigger=None`` processes what is there now and stops
-    (``availableNow``); ``trigger="1 hour"`` keeps polling every hour."""
-    stream = landing_stream(spark, landing_dir, False, max_files_per_trigger, clean_source, archive_dir)
+    (``availableNow``); ``trigger="1 hour"`` keeps polling every hour. Batches are numbered
+    by the checkpoint, so a new checkpoint over stored batches is refused: it would number
+    from 0 again and replace them."""
+    if not path_exists(spark, f"{checkpoint_location.rstrip('/')}/commits") and partition_values(spark, bronze_path, "load_date"):
+        raise ValueError(f"{bronze_path} holds batches, but {checkpoint_location} is not their checkpoint")
+    stream = landing_stream(spark, landing_dir, multi_line, max_files_per_trigger, clean_source, archive_dir)
     writer = stream.writeStream.foreachBatch(bronze_batch_writer(bronze_path)).option(
         "checkpointLocation", checkpoint_location
     )
@@ -145,16 +159,51 @@ def run_incremental_bronze(spark: SparkSession, landing_dir: str, bronze_path: s
         raise q.exception()
 
 
-def dedup_stream(articles: DataFrame, delay: str = "2 days") -> DataFrame:
-    """RA-10: streaming DST-1. Keeps the first arrival of each (title, publishedAt)
-    seen within ``delay`` of the newest publication time."""
-    ts = parse_timestamp("publishedAt", lenient=True)
-    return (
-        articles.withColumn("_published", ts)
-        .withWatermark("_published", delay)
-        .dropDuplicatesWithinWatermark(list(DEDUP_KEYS))
-        .drop("_published")
+PUBLISHED_DAY = "published_day"
+
+
+def new_article_writer(path: str):
+    """``foreachBatch`` function: the batch's articles whose (title, publishedAt) no earlier
+    batch has stored, one each, as ``(published_day, batch_id)`` partitions. A replayed batch
+    compares with earlier batches only, so it writes the same rows to the same place."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = explode_articles(with_provenance(batch))
+        rows = rows.withColumn(PUBLISHED_DAY, utc_date(parse_timestamp("publishedAt", lenient=True)))
+        rows = keep_first(rows).select(*ARTICLE_COLUMNS, PUBLISHED_DAY).withColumn("batch_id", F.lit(batch_id))
+        if partition_values(spark, path, PUBLISHED_DAY):
+            rows = cut_lineage(rows)
+            lo, hi = rows.agg(F.min(PUBLISHED_DAY), F.max(PUBLISHED_DAY)).first()
+            day = F.col(PUBLISHED_DAY)
+            near = day.isNull() if lo is None else (day.isNull() | day.between(F.lit(lo), F.lit(hi)))
+            stored = read_table(spark, path).filter((F.col("batch_id") < batch_id) & near)
+            known = stored.select(*(F.col(c).alias(f"_{c}") for c in DEDUP_KEYS))
+            same = [rows[c].eqNullSafe(known[f"_{c}"]) for c in DEDUP_KEYS]
+            rows = rows.join(known, same, "left_anti")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PUBLISHED_DAY, "batch_id").parquet(path)
+
+    return write
+
+
+def append_new_articles(
+    spark: SparkSession, landing_dir: str, path: str, checkpoint_location: str,
+    max_files_per_trigger: int | None = None, multi_line: bool = False,
+) -> DataFrame:
+    """RA-10: streaming DST-1, exact over any number of micro-batches and any lateness. Drains
+    the landing folder into ``path`` and returns what it holds: article columns, one row a key,
+    the first to arrive (within a batch, the first by provenance)."""
+    stream = landing_stream(spark, landing_dir, multi_line, max_files_per_trigger)
+    q = (
+        stream.writeStream.foreachBatch(new_article_writer(path))
+        .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start()
     )
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    if not partition_values(spark, path, PUBLISHED_DAY):
+        return spark.createDataFrame([], ARTICLE)
+    return read_table(spark, path).select(*ARTICLE_COLUMNS)
 
 
 def windowed_counts(

@@ -1,7 +1,7 @@
 """Compare registered queries with their DuckDB oracles (row count, column names,
 order-insensitive value hash), the way the driver's correctness gate does.
 
-    python -m newsmart.check [sf_dir] [query ...]
+    python -m tests.check [sf_dir] [query ...]
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 import pytest
 
-from newsmart.check import digest, duck_connect
+from tests.check import digest, duck_connect
 from newsmart.plans import load_queries
 
 SF = "/root/testdata/sf0.001"
