@@ -8,11 +8,10 @@ changes no result."""
 from __future__ import annotations
 
 import os
+import struct
 from collections.abc import Callable
 
-import numpy as np
-
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 WORD_BPE = "word_bpe_49k.json"
 
 
@@ -43,21 +42,47 @@ class WordIds(dict):
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
         self.older: dict[bytes, bytes] = {}
+        self.stops = {mark: self._whole(mark.decode()) for mark in (b".", b",")}
+
+    def _whole(self, word: str) -> bytes:
+        return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def __missing__(self, word: bytes) -> bytes:
         out = self.older.get(word)
         if out is None:
-            if word.isalpha():  # ASCII letters: one pre-token, whose bytes stand for themselves
-                ids = [t.id for t in self.model.tokenize(word.decode().lower())]
+            if word.isalpha():  # ASCII letters: one pre-token, and its bytes stand for themselves
+                out = _packed([t.id for t in self.model.tokenize(word.decode().lower())])
+            elif word[-1:] in self.stops and word[:-1].isalpha():  # and a stop: two pre-tokens
+                return self[word[:-1]] + self.stops[word[-1:]]
             else:
-                ids = self.tokenizer.encode(word.decode(errors="replace"), add_special_tokens=False).ids
-            out = np.array(ids, "<u4").tobytes()
+                out = self._other(word.decode(errors="replace"))
         if len(self) >= WORDS_KEPT:
             self.older = dict(self)
             self.clear()
         self[word] = out
         return out
 
+    def _other(self, word: str) -> bytes:
+        low = word.lower()
+        stop = b""
+        if low[-1:] in (".", ",") and low[:-1].isalpha():
+            low, stop = low[:-1], self.stops[low[-1:].encode()]
+        if low.isalpha() and max(low) < "\u0250":  # composed Latin letters: one pre-token too
+            stand_in = "".join([_BYTE_CHARS[b] for b in low.encode()])
+            return _packed([t.id for t in self.model.tokenize(stand_in)]) + stop
+        return self._whole(word)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+#: The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others take
+#: the characters from 256 on, in order.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = iter(range(256, 512))
+_BYTE_CHARS = [chr(b if b in _PRINTED else next(_OTHERS)) for b in range(256)]
+
 
 _WORDS: dict[str, WordIds] = {}
 
