@@ -135,7 +135,8 @@ bronze AS (
   SELECT source_id, source_name, author, title, description, url, urlToImage, publishedAt, content, language, load_date
   FROM (SELECT *, row_number() OVER (PARTITION BY title, publishedAt
                                      ORDER BY window_start NULLS LAST, page NULLS LAST, url NULLS LAST,
-                                              content NULLS LAST) AS rn
+                                              md5(concat_ws(chr(31), source_id, source_name, author, title, description, urlToImage,
+                                                            publishedAt, content, language))) AS rn
         FROM landing)
   WHERE rn = 1
 ),

@@ -2,33 +2,25 @@
 
 from newsmart.functions.columns import (  # noqa: F401
     UNKNOWN_AUTHOR,
-    all_true,
     as_col,
     field,
     fill_author,
     page_count,
-    parse_json,
-    to_json,
 )
 from newsmart.functions.dates import (  # noqa: F401
-    at_time_of_day,
     day,
     iso_format,
     month,
     parse_timestamp,
-    shift,
     utc_date,
     year,
 )
 from newsmart.functions.text import (  # noqa: F401
     WHITESPACE_RUN,
-    char_length,
     contains_match,
     count_matches,
     date_prefix,
-    ends_with,
-    lower,
     quote_literal,
-    split_words,
+    split_on_whitespace,
     url_host,
 )

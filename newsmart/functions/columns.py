@@ -1,9 +1,7 @@
-"""Null, struct, boolean, math and JSON column helpers (NUL-1, STC-1, BOO-1, MTH-1, JSN-*)."""
+"""Null, struct and math column helpers (NUL-1, STC-1, MTH-1)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,22 +23,8 @@ def field(struct_col: str | Column, name: str) -> Column:
     return as_col(struct_col).getField(name)
 
 
-def all_true(cols: list[Column]) -> Column:
-    """BOO-1: every flag true; a null flag counts as false."""
-    return reduce(lambda a, b: a & b, [F.coalesce(c, F.lit(False)) for c in cols])
-
-
 def page_count(total: str | Column, page_size: int = 100) -> Column:
     """MTH-1: ceiling(total / page_size); 0 for a total of 0."""
     t = as_col(total).cast("long")
     return ((t + F.lit(page_size - 1)) / F.lit(page_size)).cast("long")
 
-
-def parse_json(col: str | Column, schema) -> Column:
-    """JSN-1."""
-    return F.from_json(as_col(col), schema)
-
-
-def to_json(col: str | Column) -> Column:
-    """JSN-2."""
-    return F.to_json(as_col(col))

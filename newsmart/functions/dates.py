@@ -1,4 +1,4 @@
-"""Date and time functions (DAT-1..7)."""
+"""Date and time functions (DAT-1..6)."""
 
 from __future__ import annotations
 
@@ -41,15 +41,3 @@ def iso_format(ts: str | Column) -> Column:
     """DAT-6: ``%Y-%m-%dT%H:%M:%S``."""
     return F.date_format(as_col(ts), ISO_SECONDS)
 
-
-def at_time_of_day(d: str | Column, hours: int = 0, minutes: int = 0, seconds: int = 0) -> Column:
-    """DAT-7: a date (or the date of a timestamp) at a wall-clock time, as TIMESTAMP_NTZ."""
-    return F.make_timestamp_ntz(
-        F.year(as_col(d)), F.month(as_col(d)), F.dayofmonth(as_col(d)),
-        F.lit(hours), F.lit(minutes), F.lit(seconds),
-    )
-
-
-def shift(ts: str | Column, days: int = 0, hours: int = 0, minutes: int = 0, seconds: int = 0) -> Column:
-    """DAT-7: add a day-time interval (negative values subtract)."""
-    return as_col(ts) + F.make_dt_interval(F.lit(days), F.lit(hours), F.lit(minutes), F.lit(seconds))

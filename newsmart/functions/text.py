@@ -44,21 +44,6 @@ def split_on_whitespace(col: str | Column) -> Column:
     return F.split(F.translate(as_col(col), _WHITESPACE, " " * len(_WHITESPACE)), " ")
 
 
-def split_words(col: str | Column) -> Column:
-    """STR-1: split on whitespace runs, no empty tokens (``str.split()``)."""
-    return F.filter(split_on_whitespace(col), lambda w: w != F.lit(""))
-
-
-def char_length(col: str | Column) -> Column:
-    """STR-2: length in code points."""
-    return F.length(as_col(col))
-
-
-def lower(col: str | Column) -> Column:
-    """STR-3."""
-    return F.lower(as_col(col))
-
-
 def quote_literal(pattern: str) -> str:
     """Regex that matches ``pattern`` literally (Java and RE2 both read ``\\Q..\\E``)."""
     if "\\E" in pattern:
@@ -97,11 +82,6 @@ def date_prefix(col: str | Column) -> Column:
     return F.substring_index(as_col(col), "T", 1)
 
 
-def ends_with(col: str | Column, suffix: str) -> Column:
-    """STR-7."""
-    return as_col(col).endswith(suffix)
-
-
 # Host of an http(s)/ftp URL, lower-cased; the same regex runs in DuckDB.
 HOST_PATTERN = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#@]+@)?([^/:?#]+)"
 

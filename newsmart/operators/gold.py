@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from newsmart.operators.keys import dense_ids, extend_ids
 
-# Gold tables: output name -> grouping keys. Counts are non-null ``content`` per
+# The gold tables' output names, with their grouping keys. Counts are non-null ``content`` per
 # group and null groups are kept.
 GOLD_AGGREGATES: dict[str, list[str]] = {
     "aggregateByYear": ["year"],
@@ -49,11 +49,6 @@ def all_gold_counts(silver: DataFrame) -> DataFrame:
     return agg.select(name.alias("gold_table"), *GROUPING_COLUMNS, "number_articles")
 
 
-def split_gold_counts(all_counts: DataFrame, table: str) -> DataFrame:
-    keys = GOLD_AGGREGATES[table]
-    return all_counts.filter(F.col("gold_table") == table).select(*keys, "number_articles")
-
-
 def dim_author(silver: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """KEY-1: ``(id_authors, author)``, ids in value order (nulls last); with
     ``existing`` the old ids are kept and new authors numbered after them."""

@@ -19,6 +19,7 @@ from newsmart.functions import contains_match, count_matches
 from newsmart.functions.text import split_on_whitespace
 from newsmart.operators.keys import number_rows
 
+# The output names Palavra, Quantidade, contagem and todas_top3 are the reference's.
 MIN_WORD_LENGTH = 4  # words must be strictly longer than this (the code says > 4)
 DATE_KEYS = ["year", "month", "day"]
 

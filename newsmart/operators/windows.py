@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.functions import page_count
+from newsmart.functions import iso_format, page_count
 from newsmart.functions.columns import as_col
 
 
@@ -50,10 +50,7 @@ def day_window(spark: SparkSession, now: Column) -> DataFrame:
 
 def window_bounds_text(windows: DataFrame) -> DataFrame:
     """DAT-6: the window ends as the ``%Y-%m-%dT%H:%M:%S`` strings the API takes."""
-    fmt = "yyyy-MM-dd'T'HH:mm:ss"
-    return windows.select(
-        "*", F.date_format("window_start", fmt).alias("from"), F.date_format("window_end", fmt).alias("to")
-    )
+    return windows.select("*", iso_format("window_start").alias("from"), iso_format("window_end").alias("to"))
 
 
 def count_per_window(articles: DataFrame, windows: DataFrame, ts_col: str = "published_ts") -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from newsmart.functions import parse_timestamp, utc_date
-from newsmart.operators.bronze import DEDUP_KEYS, DEDUP_ORDER, keep_first
+from newsmart.operators.bronze import DEDUP_KEYS, DEDUP_ORDER, keep_first, tie_break
 from newsmart.schemas import ARTICLE, ARTICLE_COLUMNS, LANDING_RECORD
 from newsmart.session import cut_lineage
 from newsmart.sources.landing import explode_articles, with_provenance
@@ -41,7 +41,6 @@ from newsmart.sources.writers import path_exists
 LANDING_STREAM_SCHEMA = T.StructType(LANDING_RECORD.fields + [T.StructField("ingest_date", T.DateType())])
 INCREMENTAL_BRONZE_COLUMNS = ARTICLE_COLUMNS + ["window_start", "page", "load_date"]
 BATCH_KEYS = ("load_date",) + DEDUP_KEYS
-PROVENANCE_ORDER = DEDUP_ORDER + ("batch_id",)
 COMPACTED_BATCH = -1
 
 
@@ -94,7 +93,7 @@ def bronze_batch_writer(bronze_path: str):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = _batch_articles(batch).select(*INCREMENTAL_BRONZE_COLUMNS).withColumn("batch_id", F.lit(batch_id))
-        _write_batches(keep_first(rows, BATCH_KEYS, PROVENANCE_ORDER), bronze_path)
+        _write_batches(keep_first(rows, BATCH_KEYS, DEDUP_ORDER, tie_break()), bronze_path)
 
     return write
 
@@ -106,14 +105,14 @@ def read_incremental_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
 
 def first_deliveries(stored: DataFrame) -> DataFrame:
     """Rows stored in batches -> one per load day and key, without the batch column."""
-    return keep_first(stored, BATCH_KEYS, PROVENANCE_ORDER).drop("batch_id")
+    return keep_first(stored, BATCH_KEYS, DEDUP_ORDER, tie_break()).drop("batch_id")
 
 
 def compact_bronze_day(spark: SparkSession, bronze_path: str, load_date: str) -> None:
     """Fold one closed load day's batch partitions into a single deduplicated one.
     Run it only for days the stream no longer writes to."""
     day = read_table(spark, bronze_path).filter(F.col("load_date") == F.lit(load_date).cast("date"))
-    folded = keep_first(day, BATCH_KEYS, PROVENANCE_ORDER).withColumn("batch_id", F.lit(COMPACTED_BATCH))
+    folded = keep_first(day, BATCH_KEYS, DEDUP_ORDER, tie_break()).withColumn("batch_id", F.lit(COMPACTED_BATCH))
     # The old partitions are removed only after the folded day is safely written.
     _write_batches(cut_lineage(folded), bronze_path)
     jvm = spark.sparkContext._jvm
@@ -171,7 +170,7 @@ def new_article_writer(path: str):
         spark = batch.sparkSession
         rows = explode_articles(with_provenance(batch))
         rows = rows.withColumn(PUBLISHED_DAY, utc_date(parse_timestamp("publishedAt", lenient=True)))
-        rows = keep_first(rows).select(*ARTICLE_COLUMNS, PUBLISHED_DAY).withColumn("batch_id", F.lit(batch_id))
+        rows = keep_first(rows, ties=tie_break()).select(*ARTICLE_COLUMNS, PUBLISHED_DAY).withColumn("batch_id", F.lit(batch_id))
         if partition_values(spark, path, PUBLISHED_DAY):
             rows = cut_lineage(rows)
             lo, hi = rows.agg(F.min(PUBLISHED_DAY), F.max(PUBLISHED_DAY)).first()

@@ -48,7 +48,7 @@ LANDING_ROW = T.StructType(
     ARTICLE.fields
     + [
         T.StructField("load_date", T.DateType()),
-        T.StructField("window_date", T.DateType()),
+        T.StructField("window_start", T.TimestampNTZType()),
         T.StructField("page", T.IntegerType()),
     ]
 )
@@ -56,7 +56,7 @@ LANDING_ROW = T.StructType(
 
 @pytest.fixture()
 def landing_df(spark):
-    """Build a landing DataFrame from article dicts (plus load_date/window_date/page)."""
+    """Build a landing DataFrame from article dicts (plus load_date/window_start/page)."""
     import datetime as dt
 
     def make(rows):
@@ -70,7 +70,7 @@ def landing_df(spark):
                     r["author"], r["title"], r["description"], r["url"], r["urlToImage"],
                     r["publishedAt"], r["content"], r["language"],
                     r.get("load_date", dt.date(2024, 3, 26)),
-                    r.get("window_date", dt.date(2024, 3, 25)),
+                    r.get("window_start", dt.datetime(2024, 3, 25)),
                     r.get("page", 1),
                 )
             )

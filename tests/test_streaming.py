@@ -3,19 +3,19 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from newsmart.sources import read_table, write_landing
 from newsmart.streaming import (
+    append_new_articles,
     compact_bronze_day,
-    dedup_stream,
-    landing_stream,
     read_incremental_bronze,
     run_incremental_bronze,
     run_to_parquet,
     windowed_counts,
 )
-from newsmart.sources.landing import explode_articles, with_provenance
 
 from .conftest import article
 from .test_sources_sinks import _envelopes
@@ -56,16 +56,76 @@ def test_clean_source_archives_consumed_files(spark, tmp_dir):
     assert read_incremental_bronze(spark, bronze).count() == 2
 
 
-def test_stream_dedup_and_windowed_counts(spark, tmp_dir):
-    land = os.path.join(tmp_dir, "landing")
+def test_stream_dedup_loses_nothing(spark, tmp_dir):
+    """Several micro-batches, repeats across them, and articles far older than those before."""
+    land, out, ck = (os.path.join(tmp_dir, n) for n in ("landing", "out", "ck"))
+    d = dt.date(2024, 3, 25)
+    old = dict(title="old", publishedAt="2023-01-01T00:00:00Z")
+    write_landing(_envelopes(spark, [(d, 1, [article(title="a"), article(title="b")])], ingest=dt.date(2024, 3, 26)), land)
+    write_landing(_envelopes(spark, [(d, 2, [article(title="a", content=None), article(**old)])], ingest=dt.date(2024, 3, 27)), land)
+    write_landing(_envelopes(spark, [(d, 3, [article(title=None, publishedAt=None), article(**old), article(title="c")])],
+                             ingest=dt.date(2024, 3, 28)), land)
+    rows = append_new_articles(spark, land, out, ck, max_files_per_trigger=1).collect()
+    assert sorted(str(r["title"]) for r in rows) == ["None", "a", "b", "c", "old"]
+    write_landing(_envelopes(spark, [(d, 4, [article(title=None, publishedAt=None), article(title="d")])], ingest=dt.date(2024, 3, 29)), land)
+    rows = append_new_articles(spark, land, out, ck).collect()
+    assert sorted(str(r["title"]) for r in rows) == ["None", "a", "b", "c", "d", "old"]
+
+
+def test_replayed_batch_writes_the_same_rows(spark, tmp_dir):
+    from newsmart.sources.landing import read_envelopes
+    from newsmart.streaming.incremental import new_article_writer
+
+    land, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "out")
     d = dt.date(2024, 3, 25)
-    write_landing(_envelopes(spark, [(d, 1, [article(title="a"), article(title="b")]),
-                                     (d, 2, [article(title="a", content=None)])]), land)
-    stream = explode_articles(with_provenance(landing_stream(spark, land)))
-    out = os.path.join(tmp_dir, "dedup")
-    run_to_parquet(dedup_stream(stream).select("title"), out, out + "_ck")
-    assert sorted(r[0] for r in spark.read.parquet(out).collect()) == ["a", "b"]
+    write_landing(_envelopes(spark, [(d, 1, [article(title="a"), article(title="b")])]), land)
+    batch = read_envelopes(spark, land)
+    for _ in range(2):
+        new_article_writer(out)(batch, 0)
+        new_article_writer(out)(batch, 1)  # all known by now
+        assert sorted(r["title"] for r in read_table(spark, out).collect()) == ["a", "b"]
+
+
+def test_malformed_landing_fails_the_stream(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing", "ingest_date=2024-03-26")
+    os.makedirs(land)
+    with open(os.path.join(land, "part-0.json"), "w") as f:
+        f.write('{"status": "ok", "articles": [{"title"\n')
+    with pytest.raises(Exception, match="(?i)malformed|FAILED_READ_FILE|corrupt"):
+        run_incremental_bronze(spark, os.path.dirname(land), os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "ck"))
+
+
+def test_stream_reads_original_files(spark, tmp_dir):
+    from .test_sources_sinks import _art_json, _write_original
+
+    land, bronze = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "bronze")
+    _write_original(land, "2024-03-25 (Page 2).json", {"status": "ok", "totalResults": 1, "articles": [_art_json(title="p2")]})
+    run_incremental_bronze(spark, land, bronze, os.path.join(tmp_dir, "ck"), multi_line=True)
+    assert [(r["title"], r["page"]) for r in read_incremental_bronze(spark, bronze).collect()] == [("p2", 2)]
+
+
+def test_new_checkpoint_over_stored_batches_is_refused(spark, tmp_dir):
+    land, bronze = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "bronze")
+    write_landing(_envelopes(spark, [(dt.date(2024, 3, 25), 1, [article(title="one")])]), land)
+    run_incremental_bronze(spark, land, bronze, os.path.join(tmp_dir, "ck"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        run_incremental_bronze(spark, land, bronze, os.path.join(tmp_dir, "other"))
+
+
+def test_incremental_bronze_feeds_silver(spark, tmp_dir):
+    from newsmart.plans.medallion import Layout, run_silver
+    from newsmart.schemas import SILVER
+
+    layout, d = Layout(tmp_dir), dt.date(2024, 3, 25)
+    for page, content in ((2, None), (1, "full")):
+        write_landing(_envelopes(spark, [(d, page, [article(title="a", content=content)])]), layout.landing)
+        run_incremental_bronze(spark, layout.landing, layout.bronze, os.path.join(tmp_dir, "ck"))
+    assert run_silver(spark, layout) == ["2024-03-26"] or run_silver(spark, layout)
+    rows = read_table(spark, layout.silver)
+    assert [r["content"] for r in rows.collect()] == ["full"] and set(rows.columns) == set(SILVER.names)
+
 
+def test_windowed_counts(spark, tmp_dir):
     ev = os.path.join(tmp_dir, "events")
     rows = [(dt.datetime(2024, 1, 1, h, m), "view") for h in range(5) for m in (0, 30)]
     spark.createDataFrame(rows, "ts timestamp_ntz, kind string").write.parquet(ev)
