@@ -45,8 +45,13 @@ NAMES = frozenset(
     "navi breadcrumb breadcrumbs sidebar side aside widget widgets footer foot header masthead topbar toolbar notice notices cookie "
     "cookies consent gdpr popup modal overlay alert newsletter subscribe subscription signup login share sharing social related "
     "recommended recommendations trending comment comments disqus reply replies respond discussion pagination pager skip search "
-    "copyright legal disclaimer tags tagcloud toc paywall".split()
+    "copyright legal disclaimer tags tagcloud toc paywall adslot adunit adbox adsense".split()
 )
+NAME_STARTS = (
+    "advert", "sponsor", "cookie", "comment", "newsletter", "subscri", "navig", "breadcrumb", "paginat", "sidebar", "recommend"
+)
+#: First words of class names that describe an element's surroundings, as in "has-sidebar".
+ABOUT = frozenset("has with without no js is".split())
 ARTICLE_NAMES = frozenset("article post entry story main content body text articlebody maincontent".split())
 #: Elements whose open tag closes an open paragraph.
 CLOSES_P = BLOCKS - {"body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "dd", "dt", "li", "legend", "summary"}
@@ -68,14 +73,22 @@ class Line:
 
 
 def _words(value: str) -> set[str]:
-    return set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", " ", value).lower()))
+    """Words of the names in a class or id value, less names that tell of something beside it."""
+    out: set[str] = set()
+    for name in value.split():
+        words = [w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", " ", name).lower()) if w]
+        if words and words[0] not in ABOUT:
+            out.update(words)
+    return out
 
 
 class Lines(HTMLParser):
-    """Collects a page's lines from the parser's events."""
+    """Collects a page's lines from the parser's events. ``strict`` also leaves out forms and
+    what class and id names call something else than the article."""
 
-    def __init__(self) -> None:
+    def __init__(self, strict: bool = True) -> None:
         super().__init__(convert_charrefs=True)
+        self.strict = strict
         self.root = _Node("", None, False, False)
         self.node, self.lines = self.root, []
         self.parts: list[str] = []
@@ -108,7 +121,7 @@ class Lines(HTMLParser):
             self._close(tag, frozenset(("ul", "ol", "dl", "table", "select", "menu")))
         excluded, article = self.node.excluded, tag in ("article", "main")
         if not excluded:
-            excluded = tag in NEVER or (tag == "header" and not self._within_article())
+            excluded = tag in NEVER and (self.strict or tag != "form") or (tag == "header" and not self._within_article())
             if attrs and not excluded:
                 excluded, named = self._attributes(tag, attrs)
                 article = article or named
@@ -131,8 +144,12 @@ class Lines(HTMLParser):
             value = value or ""
             if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
                 words = _words(value)
-                excluded = excluded or bool(words & NAMES)
-                named = named or bool(words & ARTICLE_NAMES)
+                own = bool(words & ARTICLE_NAMES)
+                if own or self._within_article():  # an article's own header is part of it
+                    words = words - {"header", "masthead"}
+                if self.strict:
+                    excluded = excluded or bool(words & NAMES) or any(w.startswith(NAME_STARTS) for w in words)
+                named = named or own
             elif name == "role":
                 excluded = excluded or value.strip().lower() in ROLES
                 named = named or value.strip().lower() in ("main", "article")
@@ -203,11 +220,14 @@ def threshold(values: np.ndarray) -> float:
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    parser = Lines()
-    parser.feed(html)
-    parser.close()
-    lines = parser.lines
-    if not any(not x.excluded for x in lines):
+    for strict in (True, False):  # a page may lie in a form, or in an element with a misleading name
+        parser = Lines(strict)
+        parser.feed(html)
+        parser.close()
+        lines = parser.lines
+        if any(not x.excluded for x in lines):
+            break
+    else:
         return ""
     ratios = np.array([0.0 if x.excluded else (len(x.text) - x.linked) / max(1, x.tags) for x in lines])
     smoothed = smooth(np.log1p(ratios))

@@ -38,6 +38,20 @@ def test_markup_that_is_not_the_article():
             assert H.main_text(page) == f"Title\n{T1}\nShort.\n{T2}", body
 
 
+def test_misleading_names():
+    inner = f'<h1>Title</h1><p>{P1}</p><p>{P2}</p>'
+    want = f"Title\n{T1}\n{T2}"
+    for page in (
+        f'<body><div class="wrap has-sidebar"><article>{inner}</article></div></body>',
+        f'<body><form id="aspnetForm"><div>{inner}</div></form></body>',
+        f'<article><div class="article-header"><h1>Title</h1></div><p>{P1}</p><p>{P2}</p></article>',
+        f'<div class="comment-less sidebarish">{inner}</div>',
+        f'<article>{inner}<div class="adslot">{JUNK}</div><div id="cookieBanner">{JUNK}</div></article>',
+        f'<article>{inner}<footer>{JUNK}</footer><div class="user-comments"><p>{JUNK}</p></div></article>',
+    ):
+        assert H.main_text(page) == want, page
+
+
 def test_regions_find_the_article_without_any_name():
     links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(12))
     page = f"<body><div><div><ul>{links}</ul></div><div><h2>Title</h2><p>{P1}</p><p>{P2}</p><p>End.</p></div><div><ul>{links}</ul></div></div></body>"
