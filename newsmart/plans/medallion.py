@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsmart.operators import analysis, gold, keywords
 from newsmart.operators.bronze import to_bronze
@@ -121,6 +122,7 @@ def run_bronze(
     load_date: dt.date | str | None = None,
     multi_line: bool = False,
     archive: bool = True,
+    extra_fields: list[T.StructField] | None = None,
 ) -> str | None:
     """Load every landing file into bronze, then archive the files. Returns the load day,
     or None when the landing zone is empty (SRC-2, by folder listing).
@@ -128,7 +130,8 @@ def run_bronze(
     With ``archive`` the landed folders are first moved to ``landing_inflight``, by one
     rename a day, so that files landed while this runs wait for the next run; a run that
     failed leaves its folders there, and the next run loads them too. ``multi_line`` reads
-    the original layout, one indented document a file.
+    the original layout, one indented document a file; ``extra_fields`` are article keys beyond
+    the schema, passed on to silver.
 
     One run, one load day (the reference writes one bronze file per run): ``load_date``, or
     the newest landing day among the folders loaded (no clock, so a re-run gives the same
@@ -142,7 +145,7 @@ def run_bronze(
     if not landed and not loose:
         return None
     day = str(load_date or max(landed, default=None) or dt.datetime.now(dt.UTC).date())
-    articles = explode_articles(with_provenance(read_envelopes(spark, source, multi_line=multi_line)))
+    articles = explode_articles(with_provenance(read_envelopes(spark, source, multi_line, extra_fields)))
     write_bronze(to_bronze(articles, day), layout.bronze)
     if archive:
         archive_days(spark, source, layout.archive, landed)

@@ -47,6 +47,16 @@ LANDING_RECORD = T.StructType(
 
 ARTICLE_COLUMNS = [f.name for f in ARTICLE.fields]
 
+
+def landing_record(extra_fields: list[T.StructField] | None = None) -> T.StructType:
+    """The landing schema, with further article keys if the source delivers any: keys that no
+    schema names are not read, so those to keep must be given."""
+    if not extra_fields:
+        return LANDING_RECORD
+    article = T.ArrayType(T.StructType(ARTICLE.fields + list(extra_fields)))
+    return T.StructType([T.StructField("articles", article) if f.name == "articles" else f for f in LANDING_RECORD.fields])
+
+
 BRONZE = T.StructType(ARTICLE.fields + [T.StructField("load_date", T.DateType())])
 
 SILVER = T.StructType(

@@ -14,21 +14,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from newsmart.schemas import ARTICLE_COLUMNS, LANDING_RECORD
+from newsmart.schemas import ARTICLE_COLUMNS, landing_record
 
 # Fixed value: the original landing file-name format, "<date>.json" or
 # "<date> (Page <n>).json".
 FILE_NAME_PATTERN = r"(\d{4}-\d{2}-\d{2})(?: \(Page (\d+)\))?\.json$"
 
 
-def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_envelopes(
+    spark: SparkSession, path: str, multi_line: bool = False, extra_fields: list[T.StructField] | None = None
+) -> DataFrame:
     """Landing envelopes; an empty folder gives zero rows (explicit schema).
 
     ``multi_line=False`` reads JSON Lines (our writer: one envelope per line, files
-    splittable); ``True`` reads one indented document per file (the original files)."""
+    splittable); ``True`` reads one indented document per file (the original files).
+    ``extra_fields`` are article keys beyond the schema; they pass through to silver."""
     return (
-        spark.read.schema(LANDING_RECORD)
+        spark.read.schema(landing_record(extra_fields))
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .option("recursiveFileLookup", False)
@@ -62,8 +66,9 @@ def explode_articles(envelopes: DataFrame) -> DataFrame:
     """SRC-1 / SET-1: one row per article; a missing or empty ``articles`` gives no rows.
     Envelope attributes ride along as columns."""
     keep = [c for c in envelopes.columns if c not in ("articles", "status")]
+    further = [c for c in envelopes.schema["articles"].dataType.elementType.names if c not in ARTICLE_COLUMNS]
     return envelopes.select(*keep, F.inline("articles")).select(
-        *ARTICLE_COLUMNS, *[c for c in keep if c not in ARTICLE_COLUMNS]
+        *ARTICLE_COLUMNS, *further, *[c for c in keep if c not in ARTICLE_COLUMNS]
     )
 
 

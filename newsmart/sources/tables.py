@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from newsmart.schemas import STRAY_INDEX_COLUMNS
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-4: a parquet table; a pandas index column left in old files is dropped."""
-    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """SRC-4: a parquet table; a pandas index column left in old files is dropped.
+    ``merge_schema`` reads columns that only some partitions have (it opens every footer)."""
+    df = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", merge_schema).parquet(path)
     return df.drop(*[c for c in STRAY_INDEX_COLUMNS if c in df.columns])
 
 

@@ -333,3 +333,16 @@ def test_hourly_windows_order_copies(landing_df):
     late = article(title="a", content="late") | {"window_start": dt.datetime(2024, 3, 25, 9)}
     early = article(title="a", content="now") | {"window_start": dt.datetime(2024, 3, 25, 8)}
     assert [r["content"] for r in to_bronze(landing_df([late, early])).collect()] == ["now"]
+
+
+def test_extra_article_keys_pass_through(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    layout = Layout(tmp_dir)
+    _write_original(layout.landing, "2024-03-25.json", {"articles": [_art_json(title="a") | {"tone": "calm"}, _art_json(title="b")]})
+    run_bronze(spark, layout, "2024-03-26", multi_line=True, extra_fields=[T.StructField("tone", T.StringType())])
+    _write_original(layout.landing, "2024-03-26.json", {"articles": [_art_json(title="c") | {"tone": "loud"}]})
+    run_bronze(spark, layout, "2024-03-27", multi_line=True)  # not asked for: not read
+    run_silver(spark, layout)
+    rows = read_table(spark, layout.silver, merge_schema=True).collect()
+    assert {r["title"]: r["tone"] for r in rows} == {"a": "calm", "b": None, "c": None}
