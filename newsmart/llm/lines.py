@@ -10,8 +10,9 @@ segments. Within so many edits at least one segment of the shorter line appears
 the longer one, at a place that its number and the two lengths bound. Segments are indexed
 by (length, number, hash of the substring); a line probes the substrings that those bounds
 allow, for its own length and each that is up to ``max_edits`` shorter. Lines that share an
-index entry are verified by a banded, bit-parallel edit distance: the band of a column is one
-small integer.
+index entry are verified by a banded, bit-parallel edit distance, the band of a column being
+one small integer, after two cheap tests that hold for all true matches: counts of letters, and
+all but ``max_edits`` of 16 pieces unchanged.
 
 Scale: the most frequent lines, ``HEAVY`` of them, are counted first and enter the index
 once, so no entry is hot by repetition. Entries with a single line, nearly all, drop out in
@@ -33,6 +34,10 @@ from newsmart.llm.common import IDENTITY, identity, store
 MAX_EDITS = 2
 MIN_CHARS = 20
 HEAVY = 10_000
+#: Pieces of a line that are compared before its edit distance is.
+PIECES = 16
+#: Letters whose numbers are compared first; those of other scripts are not, which only makes that test weaker.
+LETTERS = "etaoinshrdlucmgpfwyb"
 #: Remainders of hashes that a prefilter tells apart.
 REMAINDERS = 1 << 20
 LINE = ["_h1", "_h2"]
@@ -40,7 +45,8 @@ LINE = ["_h1", "_h2"]
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     """``_k1, _k2, _n, _line, _h1, _h2, _at``: every line that counts, with its place."""
-    lines = docs.select("doc_id", *identity(), F.posexplode(F.split("text", "\n")).alias("_n", "_line"))
+    lines = docs.select("doc_id", "text", *identity())
+    lines = lines.select("doc_id", *IDENTITY, F.posexplode(F.split("text", "\n")).alias("_n", "_line"))
     return lines.filter(F.char_length("_line") >= min_chars).select(
         *IDENTITY, "_n", "_line",
         F.xxhash64("_line").alias("_h1"), F.xxhash64("_line", F.lit(1)).alias("_h2"),
@@ -48,31 +54,38 @@ def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
-def segment(length: Column, number: int, max_edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and size of a line's segment: even parts, the longer ones last."""
-    parts = max_edits + 1
-    short = F.floor(length / parts).cast("int")
-    longer = length - short * parts  # so many last parts have one character more
-    size = short + (F.lit(number) >= F.lit(parts) - longer).cast("int")
-    start = short * number + F.greatest(F.lit(0), longer - (parts - number)) + 1
-    return start, size
+def probes(max_edits: int) -> list[tuple[int, int, int]]:
+    """``(shorter, number, shift)``: a line probes segment ``number`` of lines that are ``shorter``
+    characters shorter, ``shift`` characters from where those have it. Edits before the segment
+    bound the shift, and so do those behind it; (0, number, 0) are the line's own segments."""
+    out = []
+    for shorter in range(max_edits + 1):
+        for number in range(max_edits + 1):
+            before = set(range(-number, number + 1))
+            behind = set(range(shorter - (max_edits - number), shorter + (max_edits - number) + 1))
+            out += [(shorter, number, shift) for shift in sorted(before & behind)]
+    return out
 
 
-def index_entries(line: str, max_edits: int) -> Column:
-    """Array of ``(key, indexed)``: the line's own segments, and the substrings it probes."""
-    own = F.char_length(line)
-    entries = []
-    for shorter in range(max_edits + 1):
-        length = own - shorter
-        for i in range(max_edits + 1):
-            start, size = segment(length, i, max_edits)
-            left = range(-i, i + 1)  # edits before the segment, and behind it
-            right = range(shorter - (max_edits - i), shorter + (max_edits - i) + 1)
-            for shift in sorted(set(left) & set(right)):
-                piece = F.substring(line, start + shift, size) if shift else F.substring(line, start, size)
-                key = F.xxhash64(length, F.lit(i), piece)
-                entries.append(F.struct(key.alias("key"), F.lit(shorter == 0 and shift == 0).alias("indexed")))
-    return F.array(*entries)
+def index_entries(lines: DataFrame, line: str, max_edits: int) -> DataFrame:
+    """``lines`` with a row for each index entry: ``_key``, and ``_indexed`` where it is the line's
+    own segment. Segments are even parts, the longer ones last. The probes are a constant that is
+    exploded, and a key is one short formula, which the JVM compiles."""
+    parts = max_edits + 1
+    each = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(("shorter", "number", "shift"), p, strict=True))) for p in probes(max_edits)))
+    own = lines.withColumn("_length", F.char_length(line))
+    rows = own.select("*", F.explode(each).alias("_p")).select(
+        *lines.columns, F.col("_p.number").alias("_number"), F.col("_p.shift").alias("_shift"),
+        (F.col("_length") - F.col("_p.shorter")).alias("_of"), (F.col("_p.shorter") == 0).alias("_same"),
+    )
+    longer = F.col("_of") % parts  # so many last parts have one character more
+    short = ((F.col("_of") - longer) / parts).cast("int")
+    first_longer = F.lit(parts) - longer
+    start = short * F.col("_number") + F.greatest(F.lit(0), F.col("_number") - first_longer) + 1
+    size = short + F.when(F.col("_number") >= first_longer, 1).otherwise(0)
+    key = F.xxhash64("_of", "_number", F.substring(line, start + F.col("_shift"), size))
+    indexed = F.col("_same") & (F.col("_shift") == 0)
+    return rows.select(*lines.columns, key.alias("_key"), indexed.alias("_indexed"))
 
 
 def within_edits(a: str, b: str, max_edits: int) -> str:
@@ -104,6 +117,38 @@ def within_edits(a: str, b: str, max_edits: int) -> str:
           s -> s.d))[0] <= {t})"""
 
 
+def pieces_and_windows(line: str, length: str, max_edits: int) -> tuple[Column, Column]:
+    """``PIECES`` even pieces of a line, and for each the stretch of a line in which the same piece
+    of a line within ``max_edits`` edits would be found, were it unchanged."""
+    size, left = F.floor(F.col(length) / PIECES).cast("int"), F.col(length) % PIECES
+    pieces, windows = [], []
+    for k in range(PIECES):
+        start = size * k + F.least(F.lit(k), left) + 1
+        own = size + (F.lit(k) < left).cast("int")
+        slack = 2 * max_edits + 1  # an edit moves a piece by one, and its cut by one
+        low = F.greatest(F.lit(1), start - slack)
+        pieces.append(F.substring(line, start, own))
+        windows.append(F.substring(line, low, own + start - low + slack))
+    return F.array(*pieces), F.array(*windows)
+
+
+def pieces_agree(pieces: str, windows: str, max_edits: int) -> Column:
+    """A necessary condition, and cheap: an edit changes one piece at most, so all but ``max_edits``
+    are found unchanged."""
+    missing = sum((F.when(F.contains(F.col(windows)[k], F.col(pieces)[k]), 0).otherwise(1) for k in range(PIECES)), F.lit(0))
+    return missing <= max_edits
+
+
+def letter_counts(line: str) -> Column:
+    return F.array(*(F.octet_length(line) - F.octet_length(F.replace(F.col(line), F.lit(c), F.lit(""))) for c in LETTERS))
+
+
+def letters_agree(one: str, two: str, max_edits: int) -> Column:
+    """A necessary condition, and cheaper still: an edit changes two counts by one at most."""
+    apart = sum((F.abs(F.col(one)[k] - F.col(two)[k]) for k in range(len(LETTERS))), F.lit(0))
+    return apart <= 2 * max_edits
+
+
 def _shared(entries: DataFrame) -> DataFrame:
     """Of ``(key, line)`` rows, ``line``'s lowest bit telling indexed ones, those whose key another
     line has too and some line indexes. One shuffle: the counts reuse it."""
@@ -128,9 +173,9 @@ def similar_lines(lines: DataFrame, counted: DataFrame, max_edits: int) -> DataF
     heavy = counted.orderBy(F.desc("_count"), *LINE).limit(HEAVY).select(*LINE, "_first")
     once = lines.join(F.broadcast(heavy), LINE, "left").filter("_first is null or _first = _at")
     of = F.col("_h1").bitwiseAND(~1)
-    entries = once.select(of.alias("of"), F.explode(index_entries("_line", max_edits)).alias("e"))
+    entries = index_entries(once.select(of.alias("of"), "_line"), "_line", max_edits)
     found = store(
-        _shared(entries.select("e.key", F.col("of").bitwiseOR(F.col("e.indexed").cast("bigint")).alias("line"))), "entries"
+        _shared(entries.select(F.col("_key").alias("key"), F.col("of").bitwiseOR(F.col("_indexed").cast("bigint")).alias("line"))), "entries"
     ).select("key", F.col("line").bitwiseAND(~1).alias("of"), (F.col("line").bitwiseAND(1) == 1).alias("indexed"))
 
     wanted = store(found.select("of").distinct(), "wanted")
@@ -139,11 +184,14 @@ def similar_lines(lines: DataFrame, counted: DataFrame, max_edits: int) -> DataF
     near = near.join(F.broadcast(rests), "_r", "left_semi").join(wanted, "of")
     texts = store(near.groupBy("of", *LINE).agg(F.min("_at").alias("at"), F.first("_line").alias("line")), "texts")
 
-    rows = found.join(texts, "of")
+    texts = texts.withColumn("length", F.char_length("line"))
+    pieces, windows = pieces_and_windows("line", "length", max_edits)
+    rows = found.join(texts.select("*", pieces.alias("pieces"), windows.alias("windows"), letter_counts("line").alias("letters")), "of")
     one = rows.select(*(F.col(c).alias(f"a_{c}") for c in rows.columns))
     two = rows.select(*(F.col(c).alias(f"b_{c}") for c in rows.columns))
     match = (
         (F.col("a_key") == F.col("b_key")) & (F.col("a_at") > F.col("b_at")) & (F.col("a_indexed") | F.col("b_indexed"))
+        & letters_agree("a_letters", "b_letters", max_edits) & pieces_agree("a_pieces", "b_windows", max_edits)
         & F.expr(within_edits("a_line", "b_line", max_edits))
     )
     return one.join(two, match, "left_semi").select(*(F.col(f"a_{c}").alias(c) for c in LINE)).distinct()
@@ -159,7 +207,8 @@ def dropped_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
     marks = counted.select(*LINE, "_first", F.lit(False).alias("_all")).unionByName(
         near.withColumn("_all", F.lit(True)), allowMissingColumns=True
     )
-    marks = marks.groupBy(*LINE).agg(F.max("_first").alias("_first"), F.max("_all").alias("_all"))
+    # Stored, so that the join below is of two plain shuffles, of which a hot line's can be split.
+    marks = store(marks.groupBy(*LINE).agg(F.max("_first").alias("_first"), F.max("_all").alias("_all")), "marks")
     places = lines.select(*IDENTITY, "_n", *LINE, "_at").join(marks, LINE).filter("_all or _first != _at")
     return store(places.groupBy(*IDENTITY).agg(F.collect_set("_n").alias("_drop")), "drops")
 

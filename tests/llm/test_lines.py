@@ -53,13 +53,17 @@ def test_bit_parallel_distance_and_index(spark):
     rows = [(a, mutated(a, random.randint(0, 4))) for (a,) in rows]
     frame = spark.createDataFrame(rows, "a string, b string")
     for t in (1, 2, 3):
-        got = frame.select("a", "b", F.expr(L.within_edits("a", "b", t)).alias("near"), L.index_entries("a", t).alias("ea"), L.index_entries("b", t).alias("eb"))
-        for r in got.collect():
-            near = edits(r["a"], r["b"]) <= t
-            assert r["near"] == near
-            if near:
-                keys = [({e["key"] for e in x}, {e["key"] for e in x if e["indexed"]}) for x in (r["ea"], r["eb"])]
-                assert keys[0][1] & keys[1][0] or keys[1][1] & keys[0][0]
+        numbered = frame.withColumn("i", F.monotonically_increasing_id())
+        keys = {}
+        for side in ("a", "b"):
+            for e in L.index_entries(numbered.select("i", side), side, t).collect():
+                keys.setdefault((e["i"], side, e["_indexed"]), set()).add(e["_key"])
+        for r in numbered.select("*", F.expr(L.within_edits("a", "b", t)).alias("near")).collect():
+            assert r["near"] == (edits(r["a"], r["b"]) <= t)
+            if r["near"]:
+                own = {s: keys.get((r["i"], s, True), set()) for s in "ab"}
+                every = {s: own[s] | keys.get((r["i"], s, False), set()) for s in "ab"}
+                assert own["a"] & every["b"] or own["b"] & every["a"]
 
 
 def test_matches_brute_force(spark, documents):
