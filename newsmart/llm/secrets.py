@@ -11,8 +11,8 @@ a token, with two tokens of context at each side, gives the path that decoding t
 text would.
 
 The field is trained here, on the spans that the patterns find in a bounded sample: the
-``SAMPLE_DOCS`` rows with the smallest text hashes among those that name a secret, and as
-many of the others. Training is exact (forward-backward sums, Adam); it needs seconds.
+``SAMPLE_DOCS`` texts with the smallest hashes among those that name a secret, and as many
+of the others. Training is exact (forward-backward sums, Adam); it needs seconds.
 
 Cases: null and empty texts have no spans; a found span that overlaps a base one is left
 out; equal rows get equal spans; without a base span in the sample the field adds none; an
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsmart.llm.common import slices
+from newsmart.llm.common import slices, store
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(
@@ -278,14 +278,19 @@ def train(examples: list[tuple[Run, list[int]]], steps: int = 200, rate: float =
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field | None:
     """A field learned from the base spans of a bounded sample; None if it has no secret."""
-    low = F.lower("text")
-    named = F.coalesce(F.col("text").contains("AKIA"), F.lit(False))
+    low, named = F.lower("text"), F.col("text").contains("AKIA")
     for x in NAMED:
-        named = named | F.coalesce(low.contains(x), F.lit(False))
-    sample = []
-    for condition in (named, ~named):
-        first = docs.select("text").filter(F.col("text").isNotNull() & condition).withColumn("_h", F.xxhash64("text"))
-        sample += [r["text"] for r in first.orderBy("_h", "text").limit(sample_docs).collect()]
+        named = named | low.contains(x)
+    texts = docs.select("text").filter("text is not null")
+    marked = texts.select("text", F.xxhash64("text").alias("_h"), named.alias("_named"))
+    # First the hashes, then the texts that have them: no task sends more than it must.
+    hashes = store(marked.select("_h", "_named").distinct(), "sample")
+    chosen = [
+        r["_h"] for which in (True, False)
+        for r in hashes.filter(F.col("_named") == which).orderBy("_h").limit(sample_docs).collect()
+    ]
+    rows = marked.filter(F.col("_h").isin(chosen)).groupBy("_h").agg(F.min("text").alias("text")) if chosen else marked.limit(0)
+    sample = [r["text"] for r in rows.orderBy("_h").collect()]
     secret, plain = [], []
     for text in sample:
         values = _values(text)
