@@ -200,16 +200,23 @@ def _starts(rows: DataFrame) -> DataFrame:
     return classic.unionByName(median.withColumn("start", F.lit(1)))
 
 
+def _binned(measured: DataFrame, *columns: str) -> DataFrame:
+    """Rows beside their group's estimates, with the ``bin`` of their distance."""
+    bin_of = F.floor(F.log(distance() + 1e-9) * DISTANCE_BINS)
+    return measured.select("_g", "start", *(f"x{i}" for i in range(P)), *columns, bin_of.alias("bin"))
+
+
 def robust_estimates(rows: DataFrame) -> DataFrame:
     """``(_g, m*, l**)`` per group of ``rows(_g, x*)``: of the starts' ends, the least determinant."""
     spark = rows.sparkSession
     now, before, sign = store(_starts(rows), "mcd"), [], None
     for _ in range(MAX_STEPS):
-        near = rows.join(now.drop("log_det"), "_g").select("_g", "start", *(f"x{i}" for i in range(P)), distance().alias("d"))
-        near = near.withColumn("bin", F.floor(F.log(F.col("d") + 1e-9) * DISTANCE_BINS))
-        cut = _lower_share(near, ["_g", "start"], SUPPORT)
-        inside = near.join(cut, ["_g", "start"]).filter("bin <= cut")
-        before.append(now)
+        cut = _lower_share(_binned(rows.join(now, "_g")), ["_g", "start"], SUPPORT)
+        # Stored with the estimates, one small row a group: the rows meet it as they met those,
+        # and a group with many of them is not brought together.
+        bounded = store(now.join(cut, ["_g", "start"]), "mcd")
+        inside = _binned(rows.join(bounded, "_g"), "cut").filter("bin <= cut")
+        before += [now, bounded]
         now = store(_estimates(_moments(inside, ["_g", "start"]), ["_g", "start"]), "mcd")
         was, sign = sign, now.agg(F.sum(F.round("log_det", 6).cast("decimal(38,6)"))).first()[0]
         if was == sign:
