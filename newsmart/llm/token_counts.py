@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from newsmart.llm.common import slices
+from newsmart.llm.common import slices, store
 from newsmart.llm.tokenize import tokenizer_path
 from newsmart.session import scratch_path
 
@@ -172,6 +172,7 @@ def deletions(docs: DataFrame, name: str = BYTE_BPE) -> DataFrame:
     """The documents whose text a smaller doc_id has, as deletes."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("_h1"), F.xxhash64("text", F.lit(1)).alias("_h2"))
     first = keyed.groupBy("_h1", "_h2").agg(F.min("doc_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    first = store(first, "copies")  # the join is then of two plain shuffles, of which a hot text's can be split
     copies = keyed.join(first, ["_h1", "_h2"]).filter("doc_id > _first")
     return copies.select(
         "doc_id", F.lit(version_of(name)).alias("version"), F.lit("delete").alias("op"), F.lit(0).alias("seq"),
