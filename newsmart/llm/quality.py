@@ -221,9 +221,10 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
         was, sign = sign, now.agg(F.sum(F.round("log_det", 6).cast("decimal(38,6)"))).first()[0]
         if was == sign:
             break
-    drop_stored(spark, *before)
     best = F.row_number().over(W.partitionBy("_g").orderBy("log_det", "start"))
-    return now.withColumn("_nth", best).filter("_nth = 1").drop("_nth", "start", "log_det")
+    ends = store(now.withColumn("_nth", best).filter("_nth = 1").drop("_nth", "start", "log_det"), "estimates")
+    drop_stored(spark, *before, now)
+    return ends
 
 
 def judge(stats: DataFrame) -> DataFrame:
