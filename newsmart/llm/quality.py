@@ -5,10 +5,13 @@ documents of the same language and source that pass the base rules: a transforme
 of statistics is rejected by its Mahalanobis distance from a minimum covariance
 determinant (MCD) estimate of the group.
 
-The MCD is found by concentration steps from deterministic starts: take the ``SUPPORT``
-share of the group that lies nearest to the present centre, and re-estimate centre and
-scatter from it, until the determinant stays. Every step is a pre-aggregated sum per
-group; the share's border comes from an exact histogram of distances in bins of 2 %, so
+The MCD is found by concentration steps from deterministic starts: take the rows of the
+support, ``(n + P + 1) / 2`` of a group's n (``SUPPORT`` of a small one), that lie nearest to the present centre, and
+re-estimate centre and scatter from them, until the group's determinant falls no more. So
+any cluster of fewer rows than the rest is left out. Where the ends' limit then finds at
+least ``SUPPORT`` of the group clean, the steps go on with that share, which scatters
+less; where it does not, the half stays. Every step is a pre-aggregated sum per
+group; the support's border comes from an exact histogram of distances in bins of 2 %, so
 no group is ranked in one task. A fixed diagonal (``FLOOR``) is added to the scatter, as
 in the regularised MCD: most texts have no symbol and no repeat, and a variance of zero
 would make every other text an outlier.
@@ -19,6 +22,7 @@ table gives no rows; other columns are kept apart, so their names can't clash.""
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from newsmart.llm.common import WORD_SPACE, drop_stored, store
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-#: Share of a group that the estimate rests on; so many outliers less than the rest can't move it.
+#: Share of a group that the estimate rests on where the half's limit finds so many rows clean.
 SUPPORT = 0.75
 #: A clean document is rejected once in so many, if its vector is normal.
 ONE_IN = 1_000
@@ -39,7 +43,8 @@ FLOOR = (0.1, 0.1, 0.25, 0.2)
 P = len(FLOOR)
 #: Bins a unit of ln(distance), and a unit of a component.
 DISTANCE_BINS, VALUE_BINS = 50, 100
-MAX_STEPS = 8
+#: A determinant whose logarithm falls by no more than this stays.
+STAYS = 1e-6
 _PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
 
@@ -125,6 +130,15 @@ def consistency(share: float) -> float:
     return share / inner
 
 
+def _half_share_factor(share: Column) -> Column:
+    """``consistency`` of a column of shares from one half on: the quantile by Newton's steps
+    on ``(1 + u) exp(-u) = 1 - share``, which rise to it from the median's ``u``."""
+    step = lambda u, _: u + (F.exp(-u) * (1 + u) - (1 - share)) / (u * F.exp(-u))
+    u = F.aggregate(F.sequence(F.lit(1), F.lit(12)), F.lit(chi2_quantile(0.5) / 2), step)
+    inner = F.transform(F.array(u), lambda q: share - F.exp(-q) * q * q / 2)[0]
+    return F.when(share < 1, share / inner).otherwise(F.lit(1.0))
+
+
 def _cholesky(of: dict[tuple[int, int], Column]) -> list[tuple[str, Column]]:
     """Columns of the lower triangle of a factor, in an order where each uses earlier ones."""
     out = []
@@ -137,9 +151,9 @@ def _cholesky(of: dict[tuple[int, int], Column]) -> list[tuple[str, Column]]:
     return out
 
 
-def _estimates(moments: DataFrame, keys: list[str]) -> DataFrame:
-    """Centre ``m*``, factor ``l**`` and log-determinant of each row of summed moments."""
-    scale = F.lit(consistency(SUPPORT))
+def _estimates(moments: DataFrame, keys: list[str], scale: Column) -> DataFrame:
+    """Centre ``m*``, factor ``l**`` and log-determinant of each row of summed moments, the
+    scatter times ``scale``."""
     means = moments.select(*keys, *(F.col(f"q{i}{j}") / F.col("n") for i, j in _PAIRS), *((F.col(f"s{i}") / F.col("n")) for i in range(P)))
     means = means.toDF(*keys, *(f"q{i}{j}" for i, j in _PAIRS), *(f"m{i}" for i in range(P)))
     cov = {
@@ -174,30 +188,44 @@ def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _lower_share(binned: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """Per key the lowest ``bin`` up to which ``share`` of its rows lie, from counts per bin."""
-    counts = binned.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
+def _reached(counts: DataFrame, keys: list[str], rows: Column) -> DataFrame:
+    """Per key the lowest ``bin`` up to which so many ``rows`` lie, from counts ``n`` per bin;
+    ``total`` is the number of a key's rows."""
     total = F.sum("n").over(W.partitionBy(*keys))
     so_far = F.sum("n").over(W.partitionBy(*keys).orderBy("bin"))
-    reached = counts.select(*keys, "bin", (so_far >= F.ceil(total * share)).alias("in"))
-    return reached.filter("in").groupBy(*keys).agg(F.min("bin").alias("cut"))
+    sums = counts.select(*keys, "bin", total.alias("total"), so_far.alias("so_far"))
+    return sums.filter(F.col("so_far") >= rows).groupBy(*keys).agg(F.min("bin").alias("cut"))
+
+
+def _counts(binned: DataFrame, keys: list[str]) -> DataFrame:
+    return binned.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
 
 
 def _starts(rows: DataFrame) -> DataFrame:
-    """First estimates: the classical one, and the median with the quartile spread."""
-    classic = _estimates(_moments(rows, ["_g"]), ["_g"]).withColumn("start", F.lit(0))
+    """First estimates: the classical one, and the medians with the median deviations, which
+    half of the rows can't move."""
+    spark, half = rows.sparkSession, F.ceil(F.col("total") / 2)
+    moments = store(_moments(rows, ["_g"]), "moments")
+    classic = _estimates(moments, ["_g"], F.lit(1.0)).withColumn("start", F.lit(0))
     long = rows.select("_g", F.posexplode(F.array(*(F.col(f"x{i}") for i in range(P)))).alias("c", "x"))
-    bins = long.select("_g", "c", F.floor(F.col("x") * VALUE_BINS).alias("bin"))
-    cuts = [_lower_share(bins, ["_g", "c"], q).withColumnRenamed("cut", f"b{k}") for k, q in enumerate((0.25, 0.5, 0.75))]
-    at = cuts[0].join(cuts[1], ["_g", "c"]).join(cuts[2], ["_g", "c"])
+    counts = store(_counts(long.select("_g", "c", F.floor(F.col("x") * VALUE_BINS).alias("bin")), ["_g", "c"]), "values")
+    middle = _reached(counts, ["_g", "c"], half).withColumnRenamed("cut", "middle")
+    away = counts.join(middle, ["_g", "c"]).withColumn("bin", F.abs(F.col("bin") - F.col("middle")))
+    away = away.groupBy("_g", "c", "middle", "bin").agg(F.sum("n").alias("n"))
+    at = _reached(away, ["_g", "c", "middle"], half)
     one = lambda i, v: F.max(F.when(F.col("c") == i, v))
-    spread = (F.col("b2") - F.col("b0")) / VALUE_BINS / 1.349
+    spread = F.col("cut") / VALUE_BINS * 1.4826
     median = at.groupBy("_g").agg(
-        *(one(i, (F.col("b1") + 0.5) / VALUE_BINS).alias(f"m{i}") for i in range(P)),
+        *(one(i, (F.col("middle") + 0.5) / VALUE_BINS).alias(f"m{i}") for i in range(P)),
         *((F.sqrt(one(i, spread * spread) + FLOOR[i] ** 2) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i, j in _PAIRS),
         F.lit(math.inf).alias("log_det"),
     )
-    return classic.unionByName(median.withColumn("start", F.lit(1)))
+    support = F.least(F.floor((F.col("n") + P + 1) / 2), F.ceil(F.col("n") * SUPPORT))
+    sizes = moments.select("_g", "n", support.alias("h"), _half_share_factor(support / F.col("n")).alias("scale"))
+    both = classic.unionByName(median.withColumn("start", F.lit(1))).withColumn("log_det", F.lit(math.inf))
+    first = store(both.join(sizes, "_g"), "mcd")
+    drop_stored(spark, moments, counts)
+    return first
 
 
 def _binned(measured: DataFrame, *columns: str) -> DataFrame:
@@ -206,24 +234,48 @@ def _binned(measured: DataFrame, *columns: str) -> DataFrame:
     return measured.select("_g", "start", *(f"x{i}" for i in range(P)), *columns, bin_of.alias("bin"))
 
 
-def robust_estimates(rows: DataFrame) -> DataFrame:
-    """``(_g, m*, l**)`` per group of ``rows(_g, x*)``: of the starts' ends, the least determinant."""
-    spark = rows.sparkSession
-    now, before, sign = store(_starts(rows), "mcd"), [], None
-    for _ in range(MAX_STEPS):
-        cut = _lower_share(_binned(rows.join(now, "_g")), ["_g", "start"], SUPPORT)
+def _concentrate(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """Per group the estimates of least determinant on the way of concentration steps from
+    the rows of ``first``, each of them until its own determinant falls no more."""
+    spark, keys = rows.sparkSession, ["_g", "start", "n", "h", "scale", "was"]
+    moving, made, before = first.withColumnRenamed("log_det", "was"), [], []
+    while not moving.isEmpty():
+        counts = _counts(_binned(rows.join(moving, "_g"), "h"), ["_g", "start", "h"])
+        cut = _reached(counts, ["_g", "start", "h"], F.col("h")).drop("h")
         # Stored with the estimates, one small row a group: the rows meet it as they met those,
         # and a group with many of them is not brought together.
-        bounded = store(now.join(cut, ["_g", "start"]), "mcd")
-        inside = _binned(rows.join(bounded, "_g"), "cut").filter("bin <= cut")
-        before += [now, bounded]
-        now = store(_estimates(_moments(inside, ["_g", "start"]), ["_g", "start"]), "mcd")
-        was, sign = sign, now.agg(F.sum(F.round("log_det", 6).cast("decimal(38,6)"))).first()[0]
-        if was == sign:
-            break
+        bounded = store(moving.join(cut, ["_g", "start"]), "mcd")
+        inside = _binned(rows.join(bounded, "_g"), "n", "h", "scale", "was", "cut").filter("bin <= cut")
+        sums = _moments(inside.withColumnRenamed("n", "_all"), ["_all" if k == "n" else k for k in keys])
+        now = store(
+            _estimates(sums, ["_g", "start", "_all", "h", "scale", "was"], F.col("scale")).withColumnRenamed("_all", "n"), "mcd"
+        )
+        before += [bounded, now]
+        made.append(now)
+        moving = now.filter(F.col("log_det") < F.col("was") - STAYS).drop("was").withColumnRenamed("log_det", "was")
+    if not made:
+        return first
     best = F.row_number().over(W.partitionBy("_g").orderBy("log_det", "start"))
-    ends = store(now.withColumn("_nth", best).filter("_nth = 1").drop("_nth", "start", "log_det"), "estimates")
-    drop_stored(spark, *before, now)
+    steps = functools.reduce(DataFrame.unionByName, made)
+    ends = store(steps.withColumn("_nth", best).filter("_nth = 1").drop("_nth", "was"), "estimates")
+    drop_stored(spark, first, *before)
+    return ends
+
+
+def robust_estimates(rows: DataFrame) -> DataFrame:
+    """``(_g, m*, l**)`` per group of ``rows(_g, x*)``: of the starts' ends, the least determinant."""
+    halves = _concentrate(rows, _starts(rows))
+    limit = chi2_quantile(1 / ONE_IN)
+    near = rows.join(halves, "_g").groupBy("_g").agg(F.sum((distance() <= limit).cast("bigint")).alias("near"))
+    joined = store(halves.join(near, "_g"), "halves")
+    wide = F.ceil(F.col("n") * SUPPORT)
+    clean = joined.filter((F.col("near") >= wide) & (F.col("h") < wide)).drop("near")
+    more = clean.withColumn("h", wide).withColumn("scale", F.lit(consistency(SUPPORT))).withColumn("log_det", F.lit(math.inf))
+    refined = _concentrate(rows, store(more, "mcd"))
+    columns = ["_g", *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i, j in _PAIRS)]
+    rest = joined.join(refined, "_g", "left_anti")
+    ends = store(refined.select(columns).unionByName(rest.select(columns)), "estimates")
+    drop_stored(rows.sparkSession, halves, joined, refined)
     return ends
 
 

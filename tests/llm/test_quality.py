@@ -94,3 +94,43 @@ def test_awkward_rows(awkward, nothing):
     kept = quality.keep_good(awkward)
     assert kept.columns == awkward.columns and {r["doc_id"] for r in kept.collect()} == {1}
     assert quality.statistics_and_verdicts(nothing).count() == 0 and quality.keep_good(nothing).count() == 0
+
+
+def test_clusters_of_a_third_are_rejected(spark):
+    """A tight cluster of 30 or 33 % of a group, near or far, beside a group that has none."""
+    rng, rows, kinds = np.random.default_rng(6), [], [(share, by) for share in (0.3, 0.33) for by in (1.0, 3.0, 10.0)]
+    for g, (share, by) in enumerate([*kinds, (0, 0)]):
+        odd = int(3000 * share)
+        clean = rng.normal(0, 0.12, (3000 - odd, 4))
+        junk = rng.normal(0, 0.02, (odd, 4)) + np.array([by, by, 0, 0])
+        rows += [(g, bool(k >= len(clean)), *map(float, x)) for k, x in enumerate(np.concatenate((clean, junk)))]
+    frame = spark.createDataFrame(rows, "_g bigint, odd boolean, x0 double, x1 double, x2 double, x3 double")
+    limit = quality.chi2_quantile(1 / quality.ONE_IN)
+    far = F.sum((quality.distance() > limit).cast("int")).alias("far")
+    ends = quality.robust_estimates(frame.drop("odd"))
+    got = {(r["_g"], r["odd"]): (r["far"], r["n"]) for r in frame.join(ends, "_g").groupBy("_g", "odd").agg(far, F.count("*").alias("n")).collect()}
+    for g in range(len(kinds)):
+        assert got[g, True][0] == got[g, True][1], kinds[g]
+    assert all(far <= 0.005 * n for (_, odd), (far, n) in got.items() if not odd)
+
+
+def test_consistency_of_each_share(spark):
+    shares = [0.5, 0.51, 0.6, 0.75, 0.857, 1.0]
+    got = spark.createDataFrame([(x,) for x in shares], "s double").select("s", quality._half_share_factor(F.col("s")).alias("f")).collect()
+    assert all(abs(r["f"] - (quality.consistency(r["s"]) if r["s"] < 1 else 1)) < 1e-6 for r in got)
+
+
+def test_steps_go_on_while_a_determinant_falls(spark):
+    """Another concentration step from each group's end does not lower its determinant."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.standard_t(2, (400, 4)) + [0, 0, 0, k] for k in range(5)])
+    frame = spark.createDataFrame([(1, *map(float, r)) for r in x], "_g bigint, x0 double, x1 double, x2 double, x3 double")
+    end = quality._concentrate(frame, quality._starts(frame)).collect()[0]
+    centre = np.array([end[f"m{i}"] for i in range(4)])
+    factor = np.array([[end[f"l{i}{j}"] if j <= i else 0.0 for j in range(4)] for i in range(4)])
+    d = ((x - centre) @ np.linalg.inv(factor @ factor.T) * (x - centre)).sum(axis=1)
+    bins = np.floor(np.log(d + 1e-9) * quality.DISTANCE_BINS)
+    assert end["h"] == (len(x) + 5) // 2
+    near = x[bins <= np.sort(bins)[end["h"] - 1]]
+    again = end["scale"] * np.cov(near.T, bias=True) + np.diag(np.square(quality.FLOOR))
+    assert np.linalg.slogdet(again)[1] >= end["log_det"] - 2 * quality.STAYS
