@@ -8,8 +8,10 @@ The ratios are smoothed by a Gaussian window over the page and split into two cl
 the threshold that separates them best; runs of lines above it are the content regions.
 
 Ratios alone lose an article's short lines and may join two neighbours, so regions choose
-*where* the article is, not its lines: the smallest element that holds most of the regions'
-text, an article element first. All lines in it that the markup does not exclude are the
+*where* the article is, not its lines: the outermost article element that holds most of the
+regions' text, else the outermost main element, else the smallest element that does, named
+as the article first. From there it climbs while what an element adds is content: a title
+or a lead beside the body belongs to the article. All lines in it that the markup does not exclude are the
 text, in page order.
 
 Cases: null, empty and textless html give an empty text; broken nesting is closed by the
@@ -55,6 +57,8 @@ ABOUT = frozenset("has with without no js is".split())
 ARTICLE_NAMES = frozenset("article post entry story main content body text articlebody maincontent".split())
 #: Elements whose open tag closes an open paragraph.
 CLOSES_P = BLOCKS - {"body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "dd", "dt", "li", "legend", "summary"}
+#: Elements whose unlinked text is content wherever it stands beside the article's body.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
 SIGMA = 1.0
 
 
@@ -251,12 +255,64 @@ def main_text(html: str | None) -> str:
         weight, depth = {parser.root: 1}, {parser.root: 0}
     named = [x for x in weight if x.article and 2 * weight[x] >= total]
     most = [x for x in named or weight if 5 * weight[x] >= 4 * total] or named or [parser.root]
-    chosen = max(most, key=lambda x: depth[x])
+    own = [x for x in most if x.tag == "article"] or [x for x in most if x.tag == "main"]
+    chosen = min(own, key=lambda x: depth[x]) if own else max(most, key=lambda x: depth[x])
     if chosen.tag in ("p", "li", "td", "h1", "h2", "h3") and chosen.parent is not None:
         chosen = chosen.parent
+    above = [not x.excluded and v > border for x, v in zip(lines, smoothed.tolist(), strict=True)]
+    chosen = _climb(chosen, lines, above)
     return "\n".join(x.text for x in lines if not x.excluded and _inside(x.node, chosen))
 
 
+def _block_of(node: _Node) -> _Node:
+    while node.parent is not None and node.tag not in BLOCKS:
+        node = node.parent
+    return node
+
+
+def _climb(chosen: _Node, lines: list[Line], above: list[bool]) -> _Node:
+    """The highest element up to which each one adds content lines: in the regions or prose,
+    mostly unlinked. An element named as the article may add other lines besides; another one
+    must add more content than other text. An article element climbs only within its main,
+    for lines that stand directly beside it."""
+    chain: list[_Node] = []
+    node: _Node | None = chosen
+    while node is not None:
+        chain.append(node)
+        node = node.parent
+    strict = chosen.tag in ("article", "main")
+    if strict:
+        mains = [k for k, x in enumerate(chain) if x.tag == "main"]
+        chain = chain[: mains[-1] + 1] if mains else chain[:1]
+    level: dict[_Node | None, int] = {x: k for k, x in enumerate(chain)} | {None: len(chain)}
+    content, added = [0] * len(chain), [0] * len(chain)
+    for line, region in zip(lines, above, strict=True):
+        if line.excluded:
+            continue
+        path: list[_Node] = []
+        node = line.node
+        while node not in level:
+            path.append(node)
+            node = node.parent
+        at = level[node]
+        level.update((x, at) for x in path)
+        if at == len(chain):
+            continue
+        block = _block_of(line.node)
+        beside = block if block is chain[at] or block.parent is None or block.parent.tag != "header" else block.parent
+        direct = beside is chain[at] or beside.parent is chain[at]
+        added[at] += len(line.text)
+        if 2 * line.linked < len(line.text) and (block.tag in PROSE and direct or (not strict and (region or block.tag in PROSE))):
+            content[at] += len(line.text)
+    for k in range(1, len(chain)):
+        if not added[k]:
+            continue
+        if not content[k] or not (chain[k].article or 2 * content[k] >= added[k]):
+            break
+        chosen = chain[k]
+    return chosen
+
+
 def _inside(node: _Node | None, of: _Node) -> bool:
     while node is not None:
         if node is of:

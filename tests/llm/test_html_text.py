@@ -84,3 +84,29 @@ def test_rows(spark):
     got = sorted(((r["page_id"], r["url"], r["text"], r["n_chars"]) for r in H.extract(frame).collect()), key=repr)
     assert got == sorted([(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0), (2, "u", "", 0)], key=repr)
     assert H.extract(frame.limit(0)).count() == 0
+
+
+def test_title_and_lead_outside_a_nested_body():
+    lead, want = "<p>The lead, in a few words.</p>", f"Title\nThe lead, in a few words.\n{T1}\n{T2}"
+    links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(12))
+    body, more = f"<p>{P1}</p><p>{P2}</p>", f"<div><ul>{links}</ul></div>"
+    for page in (
+        f'<article><h1>Title</h1>{lead}<div class="entry-content">{body}</div></article>',
+        f'<article><div class="post"><h1>Title</h1>{lead}<div class="entry-content">{body}</div></div></article>',
+        f'<main><article><h1>Title</h1>{lead}<article class="text">{body}</article></article></main>',
+        f"<main><h1>Title</h1>{lead}<article>{body}</article></main>",
+        f'<div class="post"><h1>Title</h1>{lead}<div class="entry-content">{body}</div></div>',
+        f'<div><h1>Title</h1>{lead}<div class="entry-content">{body}</div></div>',
+        f"<div><h1>Title</h1>{lead}<section>{body}</section></div>",
+        f"<div><h1>Title</h1>{lead}<div><div>{body}</div></div></div>",
+        f"<div><h1>Title</h1>{lead}<blockquote>{body}</blockquote></div>",
+    ):
+        for around in (page, f"<body>{more}{page}{more}</body>", f"<body><div>{more}<div>{page}</div>{more}</div></body>"):
+            assert H.main_text(around) == want, around
+
+
+def test_paragraphs_beside_a_long_section():
+    long = " ".join([P1] * 5)
+    links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(12))
+    got = H.main_text(f"<body><ul>{links}</ul><div><p>{P1}</p><section><p>{long}</p><p>{long}</p></section><p>{P2}</p></div></body>")
+    assert got == "\n".join([T1, " ".join([T1] * 5), " ".join([T1] * 5), T2])
