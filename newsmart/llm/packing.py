@@ -22,6 +22,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -130,52 +131,161 @@ def _best_step(a: tuple[int, ...], b: tuple[int, ...], capacity: int):
     return (gain, best, *step) if step and gain > 0 else None
 
 
-def local_search(bins: Bins, rounds: int = 8, partners: int = 64) -> Bins:
-    """Improve until no step between an emptiest class and its nearest ``partners`` underfull
-    classes raises the sum of squared fills, for ``rounds`` visits of every class, or until
-    no packing has fewer bins. The numbers bound the search, not the pieces."""
+class _Partners:
+    """The underfull classes by what they can give back and how full they are. Row ``t`` of
+    ``fullest[k]`` has, for each fill, the fullest class up to it that holds ``k + 1`` pieces
+    of ``t`` tokens together (row 0 of the first: any class). So the best partner for a step
+    that gives ``o`` and gets ``t`` is one lookup, ``fullest[k][t, capacity - (o - t)]``. The
+    tables have ``capacity`` squared entries, whatever the number of classes."""
+
+    def __init__(self, capacity: int):
+        self.capacity, self.none = capacity, -4 * capacity
+        shape = (2, capacity + 1, capacity + 1)
+        self.fullest = np.full(shape, self.none, np.int32)
+        self.holders: dict[tuple[int, int, int], dict[tuple[int, ...], None]] = defaultdict(dict)
+        self.down = np.arange(capacity, 0, -1, dtype=np.int64)
+
+    def add(self, pattern: tuple[int, ...]) -> None:
+        fill = sum(pattern)
+        for k, t in _gives(pattern, True):
+            held = self.holders[k, t, fill]
+            if not held:
+                row = self.fullest[k, t, fill:]
+                np.maximum(row, fill, out=row)
+            held[pattern] = None
+
+    def remove(self, pattern: tuple[int, ...]) -> None:
+        fill = sum(pattern)
+        for k, t in _gives(pattern, True):
+            held = self.holders[k, t, fill]
+            del held[pattern]
+            if not held:
+                del self.holders[k, t, fill]
+                row = self.fullest[k, t]
+                row[fill:][row[fill:] == fill] = row[fill - 1]
+
+    def best(self, a: tuple[int, ...]) -> tuple[int, ...] | None:
+        """The class with which ``a`` has the step that raises the sum of squared fills most."""
+        fa, top, found = sum(a), 0, None
+        for kind, o in _gives(a, False):
+            for k in (0,) if kind else (0, 1):
+                first = 1 if kind or k else 0  # a piece alone may go without another in return
+                fills = self.fullest[k].diagonal(self.capacity - o)[first:o]
+                if not len(fills):
+                    continue
+                g = self.down[len(self.down) - o + first :]
+                gains = g * (fills + (g - fa))
+                at = int(gains.argmax())
+                if gains[at] > top:
+                    top, found = int(gains[at]), (k, at + first, int(fills[at]))
+        return next(iter(self.holders[found])) if found else None
+
+
+def _gives(pattern: tuple[int, ...], partner: bool) -> set[tuple[int, int]]:
+    """``(0, x)`` of single pieces and ``(1, x + y)`` of pairs; ``(0, 0)`` for a partner."""
+    ones, pairs = sorted(set(pattern)), set()
+    for i, x in enumerate(ones):
+        pairs.update((1, x + y) for y in ones[i + 1 :])
+        if pattern.count(x) > 1:
+            pairs.add((1, 2 * x))
+    return pairs | {(0, x) for x in ones} | ({(0, 0)} if partner else set())
+
+
+class _Stuck:
+    """The classes without a step. ``least[k][o]`` is the lowest fill of those that can give
+    ``o`` tokens in ``k + 1`` pieces, so a new partner finds those that it wakes by lookup."""
+
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.least = np.full((2, capacity + 1), 4 * capacity, np.int64)
+        self.by: dict[tuple[int, int], list[tuple[int, tuple[int, ...]]]] = defaultdict(list)
+        self.all: set[tuple[int, ...]] = set()
+
+    def add(self, pattern: tuple[int, ...]) -> None:
+        self.all.add(pattern)
+        for key in _gives(pattern, False):
+            insort(self.by[key], (sum(pattern), pattern))
+            self.least[key] = self.by[key][0][0]
+
+    def remove(self, pattern: tuple[int, ...]) -> None:
+        self.all.discard(pattern)
+        for key in _gives(pattern, False):
+            held = self.by[key]
+            held.pop(bisect_left(held, (sum(pattern), pattern)))
+            self.least[key] = held[0][0] if held else 4 * self.capacity
+
+    def woken(self, partner: tuple[int, ...]) -> set[tuple[int, ...]]:
+        """Those that have a step with ``partner``."""
+        out: set[tuple[int, ...]] = set()
+        fill = sum(partner)
+        gain = fill + np.arange(1, self.capacity - fill + 1)  # the partner's fill after the step
+        for k, t in _gives(partner, True):
+            for kind in (0,) if k or not t else (0, 1):
+                least = self.least[kind, t + 1 : t + 1 + len(gain)]
+                for at in np.flatnonzero(least < gain[: len(least)]).tolist():
+                    held = self.by[kind, t + 1 + at]
+                    out.update(p for _, p in held[: bisect_left(held, (int(gain[at]),))])
+        return out
+
+
+def local_search(bins: Bins) -> Bins:
+    """Improve until no step between any two underfull classes raises the sum of squared
+    fills, or until no packing has fewer bins. The emptiest class that is not stuck makes its
+    best step over all partners; a class that appears wakes the stuck ones that have a step
+    with it. Every step raises a sum of whole numbers that has a bound, so the search ends."""
     capacity = bins.capacity
-    budget = rounds * max(64, min(len(bins.count), 4096))
-    stuck: set[tuple[int, ...]] = set()
-    under = sorted(((sum(p), p) for p in bins.count if sum(p) < capacity))
+    partners, stuck = _Partners(capacity), _Stuck(capacity)
+    under = {p for p in bins.count if sum(p) < capacity}
+    for p in under:
+        partners.add(p)
+    queue = sorted((sum(p), p) for p in under)
     fewest = -(-sum(sum(p) * n for p, n in bins.count.items()) // capacity)
     now_bins = bins.bins()
-    while under and budget and now_bins > fewest:
-        budget -= 1
-        source = next((x for x in under if x[1] not in stuck), None)
-        if source is None:
-            break
-        a = source[1]
-        options = (x for x in reversed(under) if x[0] >= source[0] and (x[1] != a or bins.count[a] > 1))
-        best = None
-        for k, (_, b) in enumerate(options):
-            if k >= partners:
-                break
-            step = _best_step(a, b, capacity)
-            if step and (best is None or step[0] > best[0]):
-                best = (*step, b)
-        if best is None:
+    while queue and now_bins > fewest:
+        _, a = heappop(queue)
+        if a not in under or a in stuck.all:
+            continue
+        alone = bins.count[a] == 1
+        if alone:  # it is no partner of its own
+            partners.remove(a)
+        b = partners.best(a)
+        if alone:
+            partners.add(a)
+        if b is None:
             stuck.add(a)
             continue
-        _, _, out, into, b = best
+        _, _, out, into = _best_step(a, b, capacity)
         k = bins.count[a] // 2 if a == b else min(bins.count[a], bins.count[b])
         made = (_take(a, out, into), _take(b, into, out))
         now_bins -= 0 if made[0] else k
+        was = {p: bins.count.get(p, 0) for p in (a, b, *made)}
         for pattern, n in ((a, -k), (b, -k), (made[0], k), (made[1], k)):
-            was = bins.count.get(pattern, 0)
             bins.add(pattern, n)
+        for pattern, n in was.items():
             now = bins.count.get(pattern, 0)
-            item = (sum(pattern), pattern)
-            if pattern and item[0] < capacity and bool(was) != bool(now):
-                under.insert(bisect_left(under, item), item) if now else under.pop(bisect_left(under, item))
-        stuck.discard(made[0])
-        stuck.discard(made[1])
+            if not pattern or sum(pattern) >= capacity:
+                continue
+            if n and not now:
+                under.discard(pattern)
+                partners.remove(pattern)
+                if pattern in stuck.all:
+                    stuck.remove(pattern)
+            elif now and not n:
+                under.add(pattern)
+                partners.add(pattern)
+                for p in stuck.woken(pattern):
+                    stuck.remove(p)
+                    heappush(queue, (sum(p), p))
+            elif n == 1 and now > 1 and pattern in stuck.all:  # now it has itself for a partner
+                stuck.remove(pattern)
+            if now and pattern not in stuck.all:
+                heappush(queue, (sum(pattern), pattern))
     return bins
 
 
-def pack_histogram(sizes: dict[int, int], capacity: int = CAPACITY, rounds: int = 8) -> Bins:
+def pack_histogram(sizes: dict[int, int], capacity: int = CAPACITY) -> Bins:
     """Classes of bins that hold exactly the pieces of the histogram."""
-    return local_search(best_fit_decreasing(sizes, capacity), rounds)
+    return local_search(best_fit_decreasing(sizes, capacity))
 
 
 def slots(bins: Bins) -> list[tuple[int, int, int, int]]:
@@ -227,13 +337,13 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, rounds: int = 8) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
     cut = store(pieces(docs, capacity), "pieces")
     per_part = store(cut.groupBy("part", "length").agg(F.count("*").alias("n")), "lengths")
     sizes = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    table = np.array(slots(pack_histogram(sizes, capacity, rounds)), np.int64).reshape(-1, 4)
+    table = np.array(slots(pack_histogram(sizes, capacity)), np.int64).reshape(-1, 4)
     so_far = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, W.currentRow)
     before = F.sum("n").over(so_far) - F.col("n")
     base = per_part.select("part", "length", before.alias("base"))

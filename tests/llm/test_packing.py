@@ -101,3 +101,32 @@ def test_awkward_rows(awkward, nothing):
     long = sorted((r["piece"], r["start"], r["length"]) for r in rows if r["doc_id"] == 5)
     assert all(n == 64 for _, _, n in long[:-1]) and [s for _, s, _ in long] == [64 * k for k in range(len(long))]
     assert packing.pack(nothing).count() == 0
+
+
+def test_search_ends_where_no_pair_has_a_step():
+    """Compared with every pair of underfull classes by brute force; best fit gets stuck here."""
+    random.seed(5)
+    sizes = {}
+    for _ in range(300):
+        x = min(300, int(random.lognormvariate(4.6, 0.2)))
+        sizes[x] = sizes.get(x, 0) + 1
+    first = packing.best_fit_decreasing(sizes, 300)
+    before = first.bins()
+    bins = packing.local_search(first)
+    assert bins.bins() < before
+    under = [p for p in bins.count if sum(p) < 300]
+    fewest = -(-sum(x * n for x, n in sizes.items()) // 300)
+    pairs = [(a, b) for a in under for b in under if a != b or bins.count[a] > 1]
+    assert bins.bins() == fewest or not any(packing._best_step(a, b, 300) for a, b in pairs)
+
+
+def test_partners_beyond_the_fullest():
+    """Partners are found however many fuller classes there are."""
+    random.seed(7)
+    sizes = {}
+    for _ in range(2000):
+        x = min(2048, int(random.lognormvariate(6.5, 0.2)))
+        sizes[x] = sizes.get(x, 0) + 1
+    first = packing.best_fit_decreasing(sizes, 2048)
+    before = first.bins()
+    assert packing.local_search(first).bins() <= 0.98 * before
