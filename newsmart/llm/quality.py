@@ -38,8 +38,10 @@ SUPPORT = 0.75
 ONE_IN = 1_000
 #: Words that a mean is smoothed with, so that short texts do not scatter more than long ones.
 PRIOR_WORDS, PRIOR_CHARS, PRIOR_LINES = 20, 100, 5
-#: Standard deviations that are added to the scatter, by component of the vector.
-FLOOR = (0.1, 0.1, 0.25, 0.2)
+#: Standard deviations that are added to the scatter, by component of the vector. The range of
+#: each (1 for duplicate lines, 0.44 for the repeats that the base rules leave) is over 4.3 of
+#: them, the square root of the limit, so that each can reject alone.
+FLOOR = (0.1, 0.1, 0.18, 0.1)
 P = len(FLOOR)
 #: Bins a unit of ln(distance), and a unit of a component.
 DISTANCE_BINS, VALUE_BINS = 50, 100

@@ -134,3 +134,15 @@ def test_steps_go_on_while_a_determinant_falls(spark):
     near = x[bins <= np.sort(bins)[end["h"] - 1]]
     again = end["scale"] * np.cov(near.T, bias=True) + np.diag(np.square(quality.FLOOR))
     assert np.linalg.slogdet(again)[1] >= end["log_det"] - 2 * quality.STAYS
+
+
+def test_each_component_rejects_alone(spark):
+    """An outlier in one component, in a group that is otherwise zero there: symbols, 80 of 100
+    lines that repeat earlier ones, 19.8 % repeated words, long words."""
+    odd = [(0, 1.0), (1, 0.5), (2, float(np.sqrt(80 / 105))), (3, float(np.sqrt(198 / 1020)))]
+    rows = [(g, 0.0, 0.0, 0.0, 0.0) for g in range(4) for _ in range(40)]
+    rows += [(g, *(x if k == g else 0.0 for k in range(4))) for g, x in odd]
+    frame = spark.createDataFrame(rows, "_g bigint, x0 double, x1 double, x2 double, x3 double")
+    got = frame.join(quality.robust_estimates(frame), "_g").select("_g", (F.expr("x0 + x1 + x2 + x3") > 0).alias("odd"), quality.distance().alias("d")).collect()
+    limit = quality.chi2_quantile(1 / quality.ONE_IN)
+    assert all((r["d"] > limit) == r["odd"] for r in got) and sum(r["odd"] for r in got) == 4
