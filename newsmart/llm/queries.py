@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.llm import decontamination, html_text, language, lines, packing, quality, secrets, sharding, simhash, token_counts
+from newsmart.llm import decontamination, html_text, interaction, language, lines, oracles, packing, quality, secrets, sharding, simhash, token_counts
 from newsmart.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_byte_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), n=sharding.SHARDS)
 
 
+def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
@@ -63,4 +67,5 @@ QUERIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_html_extraction": (op9_html_extraction, None),
     "op10_byte_balanced_sharding": (op10_byte_balanced_sharding, None),
+    "op11_filter_interaction": (op11_filter_interaction, oracles.OP11),
 }
