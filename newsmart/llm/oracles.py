@@ -52,3 +52,28 @@ SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed:
        toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
 FROM counted
 """
+
+#: Every anchor against every row.
+OP13 = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+         list_inner_product(a.vec, b.vec)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives JOIN scored n USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""

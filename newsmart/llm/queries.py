@@ -7,7 +7,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.llm import decontamination, html_text, interaction, language, lines, oracles, packing, quality, secrets, sharding, simhash, token_counts
+from newsmart.llm import (
+    decontamination,
+    hard_negatives,
+    html_text,
+    interaction,
+    language,
+    learned_partitions,
+    lines,
+    oracles,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    token_counts,
+)
 from newsmart.llm.common import table
 
 
@@ -56,6 +71,14 @@ def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), every=100, n_positives=5, n_negatives=5)
+
+
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op2_simhash_near_dedup": (op2_simhash_near_dedup, None),
@@ -68,4 +91,6 @@ QUERIES = {
     "op9_html_extraction": (op9_html_extraction, None),
     "op10_byte_balanced_sharding": (op10_byte_balanced_sharding, None),
     "op11_filter_interaction": (op11_filter_interaction, oracles.OP11),
+    "op12_learned_partitions": (op12_learned_partitions, None),
+    "op13_hard_negatives": (op13_hard_negatives, oracles.OP13),
 }
