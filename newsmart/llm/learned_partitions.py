@@ -16,7 +16,7 @@ The threshold is calibrated, not guessed: for ``CALIBRATION`` queries the true n
 rows are found by one pass in blocks, and the least threshold is taken that finds ``TARGET`` of
 them. Where vectors have no structure it comes out near one, and most parts are searched.
 
-Scale: the driver fits on the sample and holds part sizes (``MOST_PARTS``), weights and the
+Scale: one task fits on the sample; the driver holds the weights, part sizes (``MOST_PARTS``) and the
 calibration's true neighbours, all bounded. A part with any share of the rows is cut in blocks of
 ``BLOCK``, its queries in blocks of ``QUERY_BLOCK``.
 
@@ -28,6 +28,7 @@ are all returned; an empty table gives no rows; other columns are not read."""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -70,8 +71,8 @@ def neighbour_graph(points: np.ndarray, k: int) -> np.ndarray:
     if k < 1:
         return np.zeros((n, 0), np.int64)
     small = points.astype(np.float32)
-    for at in range(0, n, 512):
-        scores = small[at : at + 512] @ small.T
+    for at in range(0, n, 128):
+        scores = small[at : at + 128] @ small.T
         scores[np.arange(len(scores)), np.arange(at, at + len(scores))] = -np.inf
         out.append(np.argpartition(scores, -k, axis=1)[:, -k:])
     return np.concatenate(out).astype(np.int64)
@@ -183,6 +184,20 @@ def fit(points: np.ndarray, parts: int, k: int = GRAPH_K) -> Router:
     return Router(points, targets)
 
 
+def fit_on(rows: DataFrame, sample: int, parts: int) -> Router | None:
+    """``fit`` on ``sample`` rows, chosen by hash, in one task: only the weights reach the driver."""
+    some = rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").limit(sample).select("vec")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        columns = [batch.column(0) for batch in batches if batch.num_rows]
+        if columns:
+            router = fit(matrix(pa.chunked_array(columns), np.float64), parts)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(router)], pa.binary())], ["router"])
+
+    found = map_arrow(some, run, "router binary").collect()
+    return pickle.loads(found[0]["router"]) if found else None
+
+
 def n_parts(rows: int, sample: int = SAMPLE, most: int = MOST_PARTS) -> int:
     """About a quarter of the root of the number of rows, a power of two; 32 rows of the sample a part
     at least."""
@@ -324,12 +339,10 @@ def search(
     n = rows.count()
     queries = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "vec"]).withColumn("key", F.xxhash64("vec_id", "vec"))
     queries = store(queries, "queries")
-    some = rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").limit(sample).select("vec").toArrow()
-    points = matrix(some["vec"], np.float64)
-    if not len(points):
-        return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     parts = n_parts(n, sample)
-    router = fit(points, parts)
+    router = fit_on(rows, sample, parts)
+    if router is None:
+        return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     placed = store(to_parts(rows, router), "placed")
     sizes = np.zeros(parts, np.int64)
     for r in placed.groupBy("part").count().collect():
