@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from newsmart.llm.blocks import block_join, matrix, same_width
 from newsmart.llm.common import map_arrow, store
 
-SAMPLE = 16_384
+SAMPLE = 8192
 GRAPH_K = 10
 MOST_PARTS = 256
 HIDDEN = 128
@@ -54,11 +54,11 @@ FOUND = "query_id bigint, key bigint, vec_id bigint, score double"
 
 
 def vectors_of(embeddings: DataFrame) -> DataFrame:
-    """``(vec_id, vec)`` of the rows that take part, ``vec`` as doubles."""
+    """``(vec_id, vec)`` of the rows that take part, ``vec`` as given; products are of doubles."""
     odd = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
     rows = embeddings.filter("vec_id is not null and embedding is not null").filter(~odd).filter(some)
-    return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec"))
+    return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").alias("vec"))
 
 
 # ---------------------------------------------------------------- the neighbour graph and its parts
@@ -199,9 +199,9 @@ def fit_on(rows: DataFrame, sample: int, parts: int) -> Router | None:
 
 
 def n_parts(rows: int, sample: int = SAMPLE, most: int = MOST_PARTS) -> int:
-    """About a quarter of the root of the number of rows, a power of two; 32 rows of the sample a part
-    at least."""
-    wanted = 2 ** max(2, round(np.log2(max(rows, 1)) / 2 - 2))
+    """About a sixteenth of the root of the number of rows, a power of two, 8 at least; but 32 rows of the
+    sample a part."""
+    wanted = 2 ** max(3, round(np.log2(max(rows, 1)) / 2 - 4))
     while wanted > 1 and wanted * 32 > min(sample, rows):
         wanted //= 2
     return min(wanted, most)
@@ -210,6 +210,10 @@ def n_parts(rows: int, sample: int = SAMPLE, most: int = MOST_PARTS) -> int:
 # ---------------------------------------------------------------- routing and search
 
 
+def _kind(rows: DataFrame) -> str:
+    return rows.schema["vec"].dataType.simpleString()
+
+
 def to_parts(rows: DataFrame, router: Router) -> DataFrame:
     """``rows`` with the number of their most probable part."""
 
@@ -218,7 +222,7 @@ def to_parts(rows: DataFrame, router: Router) -> DataFrame:
             part = router(matrix(batch.column(1), np.float64)).argmax(axis=1) if batch.num_rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part.astype(np.int64))], ["vec_id", "vec", "part"])
 
-    return map_arrow(rows, run, "vec_id bigint, vec array<double>, part bigint")
+    return map_arrow(rows, run, f"vec_id bigint, vec {_kind(rows)}, part bigint")
 
 
 def probes(chances: np.ndarray, sizes: np.ndarray, mass: float, enough: int) -> np.ndarray:
@@ -244,7 +248,7 @@ def route(queries: DataFrame, router: Router, sizes: np.ndarray, mass: float, en
                 part = batch.filter(pa.array(goes[:, p]))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(part.num_rows, p, np.int64))], ["vec_id", "vec", "key", "part"])
 
-    return map_arrow(queries.select("vec_id", "vec", "key"), run, "vec_id bigint, vec array<double>, key bigint, part bigint")
+    return map_arrow(queries.select("vec_id", "vec", "key"), run, f"vec_id bigint, vec {_kind(queries)}, key bigint, part bigint")
 
 
 def exact_products(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
