@@ -3,7 +3,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmart.operators.keys import dense_ids, extend_ids
@@ -34,19 +36,53 @@ def grouping_id_of(keys: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(GROUPING_COLUMNS) if c not in keys)
 
 
-def all_gold_counts(silver: DataFrame) -> DataFrame:
-    """All seven aggregates in one scan and one shuffle (GROUPING SETS).
+def all_gold_counts(silver: DataFrame, *measures: Column) -> DataFrame:
+    """All seven aggregates in one scan and one shuffle (GROUPING SETS), with further ``measures``.
 
     The set is told apart by ``grouping_id()``, never by ``IS NULL``: null keys are
     legal groups. Output: ``gold_table`` plus every key column and ``number_articles``."""
     sets = [[F.col(c) for c in keys] for keys in GOLD_AGGREGATES.values()]
     agg = silver.groupingSets(sets, *GROUPING_COLUMNS).agg(
-        F.count("content").alias("number_articles"), F.grouping_id().alias("_gid")
+        F.count("content").alias("number_articles"), *measures, F.grouping_id().alias("_gid")
     )
     name = F.lit(None).cast("string")
     for table, keys in GOLD_AGGREGATES.items():
         name = F.when(F.col("_gid") == grouping_id_of(keys), F.lit(table)).otherwise(name)
-    return agg.select(name.alias("gold_table"), *GROUPING_COLUMNS, "number_articles")
+    return agg.select(name.alias("gold_table"), *(c for c in agg.columns if c != "_gid"))
+
+
+# Running totals: the counts, how many silver rows each group has, and rows that name the state of
+# each load day that the totals hold.
+APPLIED = "_applied"
+N_ROWS = "n_rows"
+TOTAL_KEYS = ["gold_table", *GROUPING_COLUMNS]
+TOTAL_SUMS = ["number_articles", N_ROWS]
+
+
+def day_counts(silver_day: DataFrame) -> DataFrame:
+    """A load day's seven counts with ``n_rows``: a group may have rows but no content."""
+    return all_gold_counts(silver_day, F.count(F.lit(1)).alias(N_ROWS))
+
+
+def applied(totals: DataFrame) -> dict[str, str]:
+    """Load day -> the version of its counts that the totals hold (one row a day)."""
+    if "version" not in totals.columns:
+        return {}
+    rows = totals.filter(F.col("gold_table") == APPLIED).select("load_date", "version").collect()
+    return {r["load_date"]: r["version"] for r in rows}
+
+
+def change_totals(totals: DataFrame | None, plus: list[DataFrame], minus: list[DataFrame], versions: dict[str, str]) -> DataFrame:
+    """Totals with the counts ``plus`` added and ``minus`` taken off, holding the days ``versions``.
+    Groups that have no row any more are gone."""
+    spark = (plus or minus)[0].sparkSession
+    sign = lambda df, s: df.select(*TOTAL_KEYS, *((F.col(c) * s).alias(c) for c in TOTAL_SUMS))
+    parts = [sign(p, 1) for p in plus] + [sign(m, -1) for m in minus]
+    if totals is not None:
+        parts.append(sign(totals.filter(F.col("gold_table") != APPLIED), 1))
+    sums = reduce(DataFrame.unionByName, parts).groupBy(*TOTAL_KEYS).agg(*(F.sum(c).cast("long").alias(c) for c in TOTAL_SUMS))
+    log = spark.createDataFrame([(APPLIED, d, v) for d, v in sorted(versions.items())], "gold_table string, load_date string, version string")
+    return sums.filter(F.col(N_ROWS) != 0).unionByName(log, allowMissingColumns=True)
 
 
 def dim_author(silver: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -7,7 +7,9 @@ DataFrame expressions. Matching rules are ours and documented per function.
 
 from __future__ import annotations
 
+import base64
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 
 from newsmart.functions import count_matches, url_host
 from newsmart.functions.columns import as_col
+from newsmart.operators.boolean_query import boolean_match
+from newsmart.session import cut_lineage
 
 # The parameter values the search API accepts.
 SEARCH_IN_OPTIONS = ("title", "description", "content")
@@ -69,6 +73,11 @@ def phrase_match(q: str, search_in: str | Sequence[str] | None = None) -> Column
     return out
 
 
+def query_match(q: str, search_in: str | Sequence[str] | None = None) -> Column:
+    """RA-1: the boolean query ``q`` (``AND``/``OR``/``NOT``, ``+``/``-``, quotes, parentheses) matches."""
+    return boolean_match(q, lambda phrase: phrase_match(phrase, search_in))
+
+
 def relevance(q: str, search_in: str | Sequence[str] | None = None) -> Column:
     """Number of literal occurrences of ``q`` over the searched fields (RA-6 relevancy)."""
     parts = [F.coalesce(count_matches(f, q, literal=True), F.lit(0)) for f in search_fields(search_in)]
@@ -150,13 +159,15 @@ def search_articles(
     date_to=None,
     language: str | None = None,
     ts_col: str = "published_ts",
+    boolean: bool = False,
 ) -> DataFrame:
-    """RA-1..4 together: every given parameter narrows the result (a conjunction).
+    """RA-1..4 together: every given parameter narrows the result (a conjunction). ``q`` is one
+    phrase, or with ``boolean`` a query in the search service's syntax.
     ``df`` needs the searched text fields, ``source_id``, ``url``, ``language`` and a
     timestamp ``ts_col`` for the interval."""
     cond = F.lit(True)
     if q is not None:
-        cond = cond & phrase_match(q, search_in)
+        cond = cond & (query_match if boolean else phrase_match)(q, search_in)
     elif search_in is not None:
         search_fields(search_in)
     if sources is not None:
@@ -202,6 +213,84 @@ def sort_and_page(
     return df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
 
 
+_TIES = "_ties"
+
+
+def _token(values: dict) -> str:
+    return base64.urlsafe_b64encode(json.dumps(values).encode()).decode()
+
+
+def _values(token: str, sort_by: str) -> dict:
+    try:
+        out = json.loads(base64.urlsafe_b64decode(token.encode()))
+        if set(out) == {"sort", "relevance", "ts", "url", "ties", "seen"} and out["sort"] == sort_by:
+            return out
+    except ValueError:  # not base64, not UTF-8 or not JSON
+        pass
+    raise ValueError(f"not a continuation token of a {sort_by!r} search: {token!r}")
+
+
+def _not_before(last: dict, ts_col: str, by_relevance: bool) -> Column:
+    """Rows at or behind the last row of a page. Its first half, a plain range, can be pushed to a scan."""
+    ts, url = F.col(ts_col), F.col("url")
+    at = F.lit(last["ts"]).cast("timestamp_ntz")
+    behind = F.lit(False) if last["ts"] is None else ts.isNull() | (ts < at)
+    further = F.lit(False) if last["url"] is None else url.isNull() | (url > F.lit(last["url"]))
+    same = ts.eqNullSafe(at) & (further | (url.eqNullSafe(F.lit(last["url"])) & (F.col(_TIES) >= last["ties"])))
+    if by_relevance:
+        rank = F.col("relevance")
+        return (rank <= last["relevance"]) & ((rank < last["relevance"]) | behind | same)
+    near = ts.isNull() if last["ts"] is None else ts.isNull() | (ts <= at)
+    return near & (behind | same)
+
+
+def page_after(
+    df: DataFrame,
+    token: str | None = None,
+    sort_by: str = "publishedAt",
+    page_size: int = 100,
+    q: str | None = None,
+    search_in: str | Sequence[str] | None = None,
+    ts_col: str = "published_ts",
+    ties: Sequence[str] | None = None,
+) -> tuple[DataFrame, str | None]:
+    """RA-6 by seeking: the page behind ``token`` (the first without one) in the order of
+    ``sort_and_page``, and the token of the next page (None behind the last).
+
+    A token holds the place of the page's last row, so a later page starts with a range filter
+    and keeps ``page_size`` rows a task, whatever its number. Rows equal in time and URL are told
+    apart by a hash of ``ties`` (default: all columns); rows equal in that too are counted."""
+    _check_option("sortBy", sort_by, SORT_BY_OPTIONS)
+    if page_size < 1:
+        raise ValueError("pageSize must be positive")
+    by_relevance = sort_by == "relevancy"
+    if sort_by == "popularity":
+        raise NotImplementedError("popularity ranking needs the search service's own data")
+    if by_relevance and q is None:
+        raise ValueError("relevancy sorting needs q")
+    columns = [*df.columns, *(["relevance"] if by_relevance else [])]
+    if by_relevance:
+        df = df.withColumn("relevance", relevance(q, search_in))
+    keyed = df.withColumn(_TIES, F.xxhash64(*(ties or df.columns)))
+    order = [F.desc_nulls_last(ts_col), F.asc_nulls_last("url"), F.asc(_TIES)]
+    order = [F.desc("relevance"), *order] if by_relevance else order
+    last = _values(token, sort_by) if token else None
+    if last:
+        keyed = keyed.filter(_not_before(last, ts_col, by_relevance))
+    page = keyed.orderBy(*order).offset(last["seen"] if last else 0).limit(page_size)
+    page = cut_lineage(page)  # page_size rows, so that the token is that of the page returned
+    key = {"relevance": F.col("relevance") if by_relevance else F.lit(0), "ts": F.col(ts_col).cast("timestamp_ntz").cast("string"),
+           "url": F.col("url"), "ties": F.col(_TIES)}
+    rows = page.orderBy(*order).select(*(c.alias(n) for n, c in key.items())).collect()
+    if len(rows) < page_size:
+        return page.select(*columns), None
+    end = rows[-1].asDict()
+    seen = sum(r.asDict() == end for r in rows)
+    if last and all(last[n] == end[n] for n in key):
+        seen += last["seen"]
+    return page.select(*columns), _token({"sort": sort_by, **end, "seen": seen})
+
+
 # ---------------------------------------------------------------- RA-5, RA-11: source catalogue
 
 

@@ -2,14 +2,13 @@
 
 The reference requests articles per time window: 50 daily windows for a backfill,
 the hour one day back for the hourly job, and today's window. Here the windows are a
-small DataFrame (its size is the number of windows asked for) and articles are
-counted per window with an equi-join on the calendar date plus a range check, so no
-nested-loop join is planned.
+small DataFrame (its size is the number of windows asked for) and an article is counted
+once, whatever the number of windows that hold it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsmart.functions import iso_format, page_count
@@ -53,29 +52,44 @@ def window_bounds_text(windows: DataFrame) -> DataFrame:
     return windows.select("*", iso_format("window_start").alias("from"), iso_format("window_end").alias("to"))
 
 
+def _hour_of(t: str) -> Column:
+    """Hours since the epoch, by the calendar fields (no time zone takes part)."""
+    return F.unix_date(F.to_date(t)) * 24 + F.hour(t)
+
+
+def counts_up_to(times: DataFrame, asked: DataFrame) -> DataFrame:
+    """``(t, side, n)`` for each ``asked(t, side)``: how many ``times(t)`` are before ``t`` (``side`` 0)
+    or not after it (``side`` 2).
+
+    A sweep in two levels: equal instants are counted in each task first, so a hot one is a row;
+    within an hour a running sum meets the instants asked for; the hours before add their sums,
+    one row an hour of the calendar, whatever the number of articles."""
+    found = times.groupBy("t").agg(F.count(F.lit(1)).alias("n")).select("t", F.lit(1).alias("side"), "n")
+    events = found.unionByName(asked.select("t", "side", F.lit(0).cast("long").alias("n"))).withColumn("hour", _hour_of("t"))
+    running = F.sum("n").over(Window.partitionBy("hour").orderBy("t", "side").rowsBetween(Window.unboundedPreceding, 0))
+    hours = events.groupBy("hour").agg(F.sum("n").alias("in_hour"))
+    earlier = Window.orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.select("hour", F.coalesce(F.sum("in_hour").over(earlier), F.lit(0)).alias("before"))
+    inner = events.withColumn("inner", running).filter(F.col("side") != 1)
+    return inner.join(hours, "hour").select("t", "side", (F.col("before") + F.col("inner")).alias("n"))
+
+
 def count_per_window(articles: DataFrame, windows: DataFrame, ts_col: str = "published_ts") -> DataFrame:
-    """RA-7: articles per window, windows with none kept (count 0).
-
-    Each window is exploded over the calendar dates it touches, so the join key is
-    the article's date and the range test only runs against that date's windows. The
-    strategy is left to AQE: the window side is broadcast while its runtime size allows;
-    beyond it the join stays keyed on the date and a hot day may be split."""
-    per_date = windows.select(
-        "window_start", "window_end",
-        F.explode(F.sequence(F.to_date("window_start"), F.to_date("window_end"))).alias("_wdate"),
-    )
-    ts = as_col(ts_col).cast("timestamp_ntz")
-    dated = articles.select(ts.alias("_ts")).filter(F.col("_ts").isNotNull()).withColumn("_adate", F.to_date("_ts"))
-    hits = dated.join(
-        per_date,
-        (F.col("_adate") == F.col("_wdate"))
-        & (F.col("_ts") >= F.col("window_start"))
-        & (F.col("_ts") <= F.col("window_end")),
-    )
-    counts = hits.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("articles"))
-    return windows.select("window_start", "window_end").join(counts, ["window_start", "window_end"], "left").select(
-        "window_start", "window_end", F.coalesce("articles", F.lit(0)).cast("long").alias("articles")
-    )
+    """RA-7: articles per window, both ends inclusive, windows with none kept (count 0).
+
+    A window's count is the difference of two running counts, at its end and before its start, so
+    neither overlapping windows nor a hot day make more rows of an article."""
+    wins = windows.select("window_start", "window_end")
+    times = articles.select(as_col(ts_col).cast("timestamp_ntz").alias("t")).filter(F.col("t").isNotNull())
+    end = lambda name, side: F.struct(F.col(name).cast("timestamp_ntz").alias("t"), F.lit(side).alias("side"))
+    asked = wins.select(F.inline(F.array(end("window_start", 0), end("window_end", 2)))).filter("t is not null").distinct()
+    upto = counts_up_to(times, asked)
+    first = upto.filter("side = 0").select(F.col("t").alias("_s"), F.col("n").alias("_before"))
+    last = upto.filter("side = 2").select(F.col("t").alias("_e"), F.col("n").alias("_through"))
+    both = wins.join(first, F.col("window_start").cast("timestamp_ntz") == F.col("_s"), "left")
+    both = both.join(last, F.col("window_end").cast("timestamp_ntz") == F.col("_e"), "left")
+    n = F.greatest(F.coalesce(F.col("_through") - F.col("_before"), F.lit(0)), F.lit(0))
+    return both.select("window_start", "window_end", n.cast("long").alias("articles"))
 
 
 def landing_completeness(pages: DataFrame, page_size: int = 100) -> DataFrame:

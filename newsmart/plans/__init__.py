@@ -5,6 +5,6 @@ from newsmart.plans.registry import QUERIES, Query, register  # noqa: F401
 
 def load_queries() -> dict:
     """Import every query module so that its ``@register`` calls run."""
-    from newsmart.plans import queries  # noqa: F401
+    from newsmart.plans import daily_queries, queries, search_queries  # noqa: F401
 
     return QUERIES

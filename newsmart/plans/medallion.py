@@ -10,16 +10,17 @@ separate outputs (Q3); an empty landing zone writes nothing (SRC-2).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsmart.operators import analysis, gold, keywords
+from newsmart.operators import analysis, gold, keywords, word_states
 from newsmart.operators.bronze import to_bronze
 from newsmart.operators.silver import merge_silver, to_silver
-from newsmart.session import cut_lineage, pin_utc, run_concurrently
+from newsmart.session import cut_lineage, delete_path, pin_utc, run_concurrently
 from newsmart.sources import (
     archive_days,
     archive_files,
@@ -238,37 +239,80 @@ def run_gold(spark: SparkSession, layout: Layout, stable_ids: bool = False) -> d
     return written
 
 
+def _held_totals(spark: SparkSession, layout: Layout) -> tuple[DataFrame | None, dict[str, str]]:
+    """The running totals and the versions of the days that they hold."""
+    if not _exists(spark, layout, layout.gold(COUNTS)):
+        return None, {}
+    totals = read_published(spark, layout, layout.gold(COUNTS))
+    held = gold.applied(totals)
+    return (totals, held) if held else (None, {})  # those of a full rebuild name no days
+
+
+def _version_path(layout: Layout, day: str, version: str) -> str:
+    return f"{layout.gold('_counts_by_day')}/load_date={day}/version={version}"
+
+
+def _new_totals(spark: SparkSession, layout: Layout, silver_day: DataFrame, day: str) -> DataFrame:
+    totals, held = _held_totals(spark, layout)
+    version = uuid.uuid4().hex[:12]
+    read = lambda d, v: spark.read.parquet(_version_path(layout, d, v))
+    gold.day_counts(silver_day).write.parquet(_version_path(layout, day, version))
+    plus, versions = [read(day, version)], held | {day: version}
+    minus = [read(day, held[day])] if day in held else []
+    if totals is None and _exists(spark, layout, layout.gold(COUNTS)):
+        for d in set(partition_values(spark, layout.silver, "load_date")) - set(versions):
+            gold.day_counts(read_partition(spark, layout.silver, "load_date", d)).write.parquet(_version_path(layout, d, version))
+            plus.append(read(d, version))
+            versions[d] = version
+    return gold.change_totals(totals, plus, minus, versions)
+
+
+def _drop_old_versions(spark: SparkSession, layout: Layout) -> None:
+    """Versions of a day's counts that the published totals do not hold."""
+    _, held = _held_totals(spark, layout)
+    for d in partition_values(spark, layout.gold("_counts_by_day"), "load_date"):
+        for v in partition_values(spark, f"{layout.gold('_counts_by_day')}/load_date={d}", "version"):
+            if held.get(d) != v:
+                delete_path(spark, _version_path(layout, d, v))
+
+
+def _keyword_totals_by_states(spark: SparkSession, layout: Layout, silver_day: DataFrame, day: str) -> DataFrame:
+    states = layout.gold("_words_by_day")
+    known = set(partition_values(spark, f"{states}/words", "load_date"))
+    word_states.store_days(silver_day, states)
+    for d in set(partition_values(spark, layout.silver, "load_date")) - known - {day}:  # days before there were states
+        word_states.store_days(read_partition(spark, layout.silver, "load_date", d), states)
+    top = [r["Palavra"] for r in word_states.top_words_over_days(spark, states, TOP_KEYWORDS).collect()]
+    return word_states.keyword_daily_total(spark, states, layout.silver, top)
+
+
 def run_gold_day(spark: SparkSession, layout: Layout, day: str | None = None) -> dict[str, str]:
     """Incremental gold for one load day (default: the newest silver day); reads only
     that day's silver partition, and re-running a day gives the same gold.
 
-    * counts: the day's seven grouping-set counts replace that day's partition of
-      ``gold/_counts_by_day``; each gold count table is the sum over days (a table of
-      days x groups, far smaller than silver);
+    * counts: the day's seven grouping-set counts are kept as a version of that day; what the day
+      counted before is taken off the totals and the new counts are added, so a run costs the groups,
+      not days x groups. The totals name the versions that they hold and are published with
+      those names at once, so a run that failed at any point is repeated without counting twice;
+    * keyword totals: from the word states of all days (``operators.word_states``);
     * dimensions: stable ids, extended with the day's new authors and sources;
     * facts: the day's articles with their ids replace that day's fact partition.
 
-    Ids are stable (numbered in first-seen-day order, then value order), unlike
+    Days of silver that the totals do not hold (gold was built in full so far) are counted first, in
+    one pass. Ids are stable (numbered in first-seen-day order, then value order), unlike
     ``run_gold``, which renumbers everything in value order."""
     pin_utc(spark)
     day = day or latest_partition_value(spark, layout.silver, "load_date")
     if day is None:
         return {}
+    day = str(day)
     silver_day = read_partition(spark, layout.silver, "load_date", day)
     written: dict[str, str] = {}
 
-    by_day_path = layout.gold("_counts_by_day")
-    day_counts = gold.all_gold_counts(silver_day).withColumn("load_date", F.lit(day).cast("date"))
-    write_partitions(day_counts, by_day_path, "load_date")
-    totals = (
-        read_table(spark, by_day_path)
-        .groupBy("gold_table", *gold.GROUPING_COLUMNS)
-        .agg(F.sum("number_articles").cast("long").alias("number_articles"))
-    )
-    _publish(layout, totals, layout.gold(COUNTS), partition_by=["gold_table"])
+    _publish(layout, _new_totals(spark, layout, silver_day, day), layout.gold(COUNTS), partition_by=["gold_table"])
     written[COUNTS] = layout.gold(COUNTS)
-    # The top words are those of all days, so this one metric reads the whole of silver.
-    _publish(layout, keyword_totals(read_table(spark, layout.silver)), layout.gold(KEYWORDS))
+    _drop_old_versions(spark, layout)
+    _publish(layout, _keyword_totals_by_states(spark, layout, silver_day, day), layout.gold(KEYWORDS))
     written[KEYWORDS] = layout.gold(KEYWORDS)
 
     def dimension(name: str, build) -> DataFrame:

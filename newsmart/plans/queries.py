@@ -23,8 +23,8 @@ from newsmart.schemas import SILVER
 from newsmart.session import pin_utc, run_concurrently, scratch_path
 from newsmart.sources import landing as landing_src
 from newsmart.sources.tables import partition_values, read_latest_partition, read_table
-from newsmart.sources.writers import archive_days, write_bronze, write_landing
-from newsmart.streaming import incremental
+from newsmart.sources.writers import archive_days, path_exists, write_bronze, write_landing
+from newsmart.streaming import incremental, reconciled
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -702,6 +702,42 @@ def stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+@register(
+    "stream_late_counts", ("RA-10",),
+    """
+    WITH arrived AS (
+      SELECT *, CASE WHEN event_id % 5 = 0 THEN 2 WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS batch FROM events WHERE ts IS NOT NULL
+    ),
+    marks AS (
+      SELECT b.batch, (SELECT max(ts) FROM arrived a WHERE a.batch < b.batch) - INTERVAL 2 HOUR AS mark
+      FROM (SELECT DISTINCT batch FROM arrived) b
+    )
+    SELECT * FROM (
+      SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+             event_type, count(*) AS n,
+             count(*) FILTER (WHERE coalesce(time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= mark, false)) AS late
+      FROM arrived JOIN marks USING (batch) GROUP BY ALL)
+    WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR
+    """,
+)
+def stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly event counts per type where a third and then a fifth of all events come in a second and a
+    third batch, far behind the watermark: none is lost, and each window says how many were late."""
+    pin_utc(spark)
+    root = scratch_path(spark, "stream-late")
+    event = F.col("event_id")
+    batch = F.when(event % 5 == 0, 2).when(event % 3 == 0, 1).otherwise(0)
+    events = fx.read(spark, sf_dir, "events").withColumn("arrival", batch)
+    events.hint("rebalance", "arrival").write.partitionBy("arrival").parquet(f"{root}/outside")
+    for one in range(3):  # each arrival is a folder of its own, drained before the next one comes
+        if path_exists(spark, f"{root}/outside/arrival={one}"):
+            arrived = spark.read.parquet(f"{root}/outside/arrival={one}")
+            arrived.write.mode("append").parquet(f"{root}/events")
+            stream = spark.readStream.schema(arrived.schema).parquet(f"{root}/events")
+            reconciled.run_reconciled_counts(stream, f"{root}/counts", f"{root}/_checkpoint", "ts", ("event_type",))
+    return reconciled.read_reconciled_counts(spark, f"{root}/counts", ("event_type",))
+
+
 # ---------------------------------------------------------------- the daily batch, end to end
 
 

@@ -12,6 +12,7 @@ from newsmart.sources.tables import (  # noqa: F401
     partition_values,
     read_partition,
     read_latest_partition,
+    read_latest_written,
     read_table,
 )
 from newsmart.sources.writers import (  # noqa: F401

@@ -63,3 +63,16 @@ def read_latest_partition(spark: SparkSession, path: str, col: str = "load_date"
         return read_table(spark, path).limit(0)
     return read_partition(spark, path, col, newest)
 
+
+
+def read_latest_written(spark: SparkSession, path: str, col: str = "load_date") -> DataFrame:
+    """SRC-3 by modification time: the ``col`` partition that holds the youngest file (ties by path),
+    whatever its name. Files are listed by Spark's file source, of which no content is read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+    folder = F.regexp_extract("path", rf"/{col}=([^/]*)/", 1)
+    files = listed.select(folder.alias("value"), "modificationTime", "path").filter("value != ''")
+    newest = files.orderBy(F.desc("modificationTime"), F.desc("path")).limit(1).collect()
+    if not newest:
+        return read_table(spark, path).limit(0)
+    value = spark.sparkContext._jvm.java.net.URLDecoder.decode(newest[0]["value"].replace("+", "%2B"), "UTF-8")
+    return read_partition(spark, path, col, value)

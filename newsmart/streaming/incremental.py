@@ -16,14 +16,16 @@ everything landed and deletes the raw files. Here the landing folder is a file s
 * ``append_new_articles`` is streaming dedup without loss: each micro-batch keeps the
   first of each (title, publishedAt) that no earlier batch has stored, however late it
   comes. The stored keys are the state, so it needs no watermark; a batch reads those of
-  the publication days it touches only.
+  the very publication days it touches. ``fold_article_batches`` keeps the files of a day few.
 * ``windowed_counts`` counts rows per event-time window with a watermark; a window is
   emitted once the watermark passes its end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -159,32 +161,97 @@ def run_incremental_bronze(spark: SparkSession, landing_dir: str, bronze_path: s
 
 
 PUBLISHED_DAY = "published_day"
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _days_filter(days: list) -> Column:
+    """The partitions of exactly these days (None: those of no day)."""
+    day = F.col(PUBLISHED_DAY)
+    known = [F.lit(d) for d in days if d is not None]
+    return (day.isin(known) if known else F.lit(False)) | (day.isNull() if None in days else F.lit(False))
+
+
+def already_stored(rows: DataFrame, path: str, batch_id: int, days: list) -> DataFrame:
+    """The keys of ``rows`` that earlier batches stored. Of the store, the key columns of the days
+    ``days`` are read; a semi join leaves those that the batch holds, so that a small batch (or the
+    runtime Bloom filter that Spark builds from it) thins them out before anything is shuffled."""
+    stored = read_table(rows.sparkSession, path).filter((F.col("batch_id") < batch_id) & _days_filter(days))
+    known = stored.select(*(F.col(c).alias(f"_{c}") for c in DEDUP_KEYS))
+    keys = rows.select(*DEDUP_KEYS)
+    return known.join(keys, [known[f"_{c}"].eqNullSafe(keys[c]) for c in DEDUP_KEYS], "left_semi")
 
 
 def new_article_writer(path: str):
     """``foreachBatch`` function: the batch's articles whose (title, publishedAt) no earlier
-    batch has stored, one each, as ``(published_day, batch_id)`` partitions. A replayed batch
-    compares with earlier batches only, so it writes the same rows to the same place."""
+    batch has stored, one each, as ``(published_day, batch_id)`` partitions, a file each unless a day
+    is heavy. A replayed batch compares with earlier batches only, so it writes the same rows to the
+    same place."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        _finish_folds(spark, path)
         rows = explode_articles(with_provenance(batch))
         rows = rows.withColumn(PUBLISHED_DAY, utc_date(parse_timestamp("publishedAt", lenient=True)))
         rows = keep_first(rows, ties=tie_break()).select(*ARTICLE_COLUMNS, PUBLISHED_DAY).withColumn("batch_id", F.lit(batch_id))
         if partition_values(spark, path, PUBLISHED_DAY):
             rows = cut_lineage(rows)
-            lo, hi = rows.agg(F.min(PUBLISHED_DAY), F.max(PUBLISHED_DAY)).first()
-            day = F.col(PUBLISHED_DAY)
-            near = day.isNull() if lo is None else (day.isNull() | day.between(F.lit(lo), F.lit(hi)))
-            stored = read_table(spark, path).filter((F.col("batch_id") < batch_id) & near)
-            known = stored.select(*(F.col(c).alias(f"_{c}") for c in DEDUP_KEYS))
-            same = [rows[c].eqNullSafe(known[f"_{c}"]) for c in DEDUP_KEYS]
-            rows = rows.join(known, same, "left_anti")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PUBLISHED_DAY, "batch_id").parquet(path)
+            days = [r[0] for r in rows.select(PUBLISHED_DAY).distinct().collect()]  # days of the calendar
+            known = already_stored(rows, path, batch_id, days)
+            rows = rows.join(known, [rows[c].eqNullSafe(known[f"_{c}"]) for c in DEDUP_KEYS], "left_anti")
+        sized = rows.hint("rebalance", PUBLISHED_DAY)
+        sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PUBLISHED_DAY, "batch_id").parquet(path)
 
     return write
 
 
+def _fold_paths(spark: SparkSession, path: str):
+    """``path(name)`` and the file system that holds it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    made = lambda name: jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+    return made, made("").getFileSystem(conf)
+
+
+def _finish_folds(spark: SparkSession, path: str) -> None:
+    """Put the days in place whose folding was decided (the log is there), however far it came."""
+    of, fs = _fold_paths(spark, path)
+    if not fs.exists(of("_folds")):
+        return
+    for status in fs.listStatus(of("_folds")):
+        day, _, batches = status.getPath().getName().partition("@")
+        folded = of(f"_folded/{PUBLISHED_DAY}={day}")
+        if fs.exists(folded):
+            for b in batches.split(","):
+                fs.delete(of(f"{PUBLISHED_DAY}={day}/batch_id={b}"), True)
+            if not fs.rename(folded, of(f"{PUBLISHED_DAY}={day}/batch_id={COMPACTED_BATCH}")):
+                raise OSError(f"could not put the folded day {day} of {path} in place")
+        fs.delete(status.getPath(), True)
+
+
+def fold_article_batches(spark: SparkSession, path: str, before: int, at_least: int = 8) -> list[str]:
+    """Fold, of each published day with ``at_least`` batches before batch ``before``, those batches into
+    one. Call it between batches, with ``before`` the number of the next one, as a replayed batch must
+    not be folded. A folded day is written aside, decided by a log, then put in place: what fails
+    before the log changes nothing, and what fails after it is finished by the next batch or fold.
+    Returns the days folded."""
+    _finish_folds(spark, path)
+    of, fs = _fold_paths(spark, path)
+    fs.delete(of("_folded"), True)
+    chosen: dict[str, list[int]] = {}
+    for day in partition_values(spark, path, PUBLISHED_DAY):
+        held = [int(b) for b in partition_values(spark, f"{path}/{PUBLISHED_DAY}={day}", "batch_id") if int(b) < before]
+        if len(held) >= max(2, at_least):
+            chosen[day] = held
+    if not chosen:
+        return []
+    days = [None if d == _NO_DAY else dt.date.fromisoformat(d) for d in chosen]
+    rows = read_table(spark, path).filter((F.col("batch_id") < before) & _days_filter(days)).drop("batch_id")
+    rows.hint("rebalance", PUBLISHED_DAY).write.partitionBy(PUBLISHED_DAY).parquet(f"{path}/_folded")
+    for day, batches in chosen.items():
+        fs.create(of(f"_folds/{day}@{','.join(map(str, batches))}"), True).close()
+    _finish_folds(spark, path)
+    return sorted(chosen)
+
+
 def append_new_articles(
     spark: SparkSession, landing_dir: str, path: str, checkpoint_location: str,
     max_files_per_trigger: int | None = None, multi_line: bool = False,

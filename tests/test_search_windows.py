@@ -121,3 +121,86 @@ def test_window_join_without_broadcast_is_keyed_and_equal(spark, arts):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
+def test_seek_pages_equal_offset_pages(spark):
+    """Nulls, equal times, equal URLs and whole copies over page ends; every row comes once."""
+    from newsmart.operators.search import page_after, sort_and_page
+
+    times = [None, "2024-03-01 10:00:00", "2024-03-01 10:00:00.000001", "2024-03-02 00:00:00"]
+    rows = [(i % 7, times[i % 4], None if i % 5 == 0 else f"u{i % 3}", "tion " * (i % 2)) for i in range(90)]
+    rows += [(1, times[1], "u1", "same")] * 8
+    df = spark.createDataFrame(rows, "n int, at string, url string, content string").selectExpr(
+        "n", "cast(at as timestamp_ntz) published_ts", "url", "content", "content title", "content description"
+    )
+    for how in ({"sort_by": "publishedAt"}, {"sort_by": "relevancy", "q": "tion"}):
+        token, seen, number = None, [], 0
+        while True:
+            page, token = page_after(df, token, page_size=3 if number < 20 else 7, **how)
+            got = [tuple(r) for r in page.collect()]
+            if number < 3:
+                at = sort_and_page(df, page_size=3, page=number + 1, **how).collect()
+                assert [(r["published_ts"], r["url"]) for r in at] == [(x[1], x[2]) for x in got]
+            seen, number = seen + got, number + 1
+            if token is None:
+                break
+        everything = sort_and_page(df, page_size=1000, **how).collect()
+        assert sorted(map(repr, seen)) == sorted(repr(tuple(r)) for r in everything)
+    with pytest.raises(ValueError, match="token"):
+        page_after(df, "nonsense")
+    _, token = page_after(df, page_size=3)
+    with pytest.raises(ValueError, match="token"):
+        page_after(df, token, sort_by="relevancy", q="tion")
+
+
+def test_a_late_page_starts_with_a_range(spark, tmp_dir):
+    from newsmart.operators.search import _not_before
+
+    spark.range(10).selectExpr("cast('2024-03-01' as timestamp_ntz) published_ts", "'u' url", "id _ties").write.mode("overwrite").parquet(tmp_dir + "/t")
+    late = spark.read.parquet(tmp_dir + "/t").filter(_not_before({"ts": "2024-03-01 10:00:00", "url": "u", "ties": 3}, "published_ts", False))
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(published_ts,2024-03-01T10:00)" in plan.split("PushedFilters")[1]
+
+
+def test_overlapping_windows_and_a_hot_instant(spark):
+    import random
+
+    r = random.Random(3)
+    base = dt.datetime(2024, 3, 1)
+    times = [base + dt.timedelta(microseconds=r.randint(0, 3 * 86_400_000_000)) for _ in range(500)] + [base + dt.timedelta(hours=30)] * 1000
+    arts = spark.createDataFrame([(t,) for t in times] + [(None,)], "published_ts timestamp_ntz")
+    wins = []
+    for _ in range(300):
+        a = r.choice([*times, base + dt.timedelta(hours=r.randint(-5, 90))])
+        wins.append((a, a + dt.timedelta(microseconds=r.choice([0, 1, 3_600_000_000, 86_400_000_000, -5]))))
+    wins += [wins[0], (None, base), (base, None)]
+    df = spark.createDataFrame(wins, "window_start timestamp_ntz, window_end timestamp_ntz")
+    got = sorted((str(x[0]), str(x[1]), x[2]) for x in windows.count_per_window(arts, df).collect())
+    want = sorted((str(a), str(b), sum(a <= t <= b for t in times) if a and b else 0) for a, b in wins)
+    assert got == want
+
+
+def test_ten_thousand_windows_make_no_more_rows(spark):
+    """The rows that meet do not grow with the overlap: one a distinct instant and two a window."""
+    hours = spark.range(10_000).selectExpr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, cast(id as int)) s")
+    wins = hours.selectExpr("s window_start", "s + interval 30 days window_end")
+    arts = spark.range(20_000).selectExpr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, cast(id % 100 as int)) published_ts")
+    counted = windows.count_per_window(arts, wins)
+    assert counted.agg(F.min("articles"), F.max("articles"), F.count("*")).first() == (0, 20_000, 10_000)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_latest_written_partition(spark, tmp_dir):
+    """A younger file in an older folder."""
+    import os
+
+    from newsmart.sources import read_latest_partition, read_latest_written, write_partitions
+
+    for day, n in (("2024-03-02", 1), ("2024-03-01", 2)):
+        write_partitions(spark.range(n).selectExpr("id", f"date'{day}' load_date"), tmp_dir, "load_date")
+    assert read_latest_written(spark, tmp_dir).count() == 2 and read_latest_partition(spark, tmp_dir).count() == 1
+    old = os.path.join(tmp_dir, "load_date=2024-03-02")
+    for name in os.listdir(old):
+        os.utime(os.path.join(old, name), (4e9, 4e9))
+    assert read_latest_written(spark, tmp_dir).count() == 1

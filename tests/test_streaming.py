@@ -135,3 +135,97 @@ def test_windowed_counts(spark, tmp_dir):
     got = sorted((r["window_start"].hour, r["n"]) for r in spark.read.parquet(out2).collect())
     # max event 04:30 -> watermark 02:30: windows ending by then are final.
     assert got == [(0, 2), (1, 2)]
+
+
+def _stored(spark, out):
+    return sorted((str(r["title"]), r["batch_id"]) for r in read_table(spark, out).collect())
+
+
+def test_folding_keeps_a_days_files_few(spark, tmp_dir):
+    from newsmart.sources.landing import read_envelopes
+    from newsmart.streaming import fold_article_batches
+    from newsmart.streaming.incremental import new_article_writer
+
+    out, d = os.path.join(tmp_dir, "out"), dt.date(2024, 3, 25)
+    batches = []
+    for k, titles in enumerate((["a", "b"], ["b", "c"], ["d", None], ["a", "e"])):
+        land = os.path.join(tmp_dir, f"landing{k}")
+        rows = [article(title=t, publishedAt=None if t is None else f"2024-03-2{k // 2}T10:00:00Z") for t in titles]
+        write_landing(_envelopes(spark, [(d, 1, rows)]), land)
+        batches.append(read_envelopes(spark, land))
+    for k in range(3):
+        new_article_writer(out)(batches[k], k)
+    # a, b and c were published on the 20th (batches 0 and 1); d on the 21st; None on no day.
+    assert _stored(spark, out) == [("None", 2), ("a", 0), ("b", 0), ("c", 1), ("d", 2)]
+    assert fold_article_batches(spark, out, before=2, at_least=2) == ["2024-03-20"]
+    assert _stored(spark, out) == [("None", 2), ("a", -1), ("b", -1), ("c", -1), ("d", 2)]
+    assert fold_article_batches(spark, out, before=2, at_least=2) == []
+    new_article_writer(out)(batches[2], 2)  # a replay after the fold
+    new_article_writer(out)(batches[3], 3)
+    assert _stored(spark, out) == [("None", 2), ("a", -1), ("a", 3), ("b", -1), ("c", -1), ("d", 2), ("e", 3)]  # another publishedAt
+
+
+def test_a_fold_that_was_interrupted_is_finished(spark, tmp_dir, monkeypatch):
+    from newsmart.sources.landing import read_envelopes
+    from newsmart.streaming import incremental
+
+    out, d = os.path.join(tmp_dir, "out"), dt.date(2024, 3, 25)
+    for k in range(2):
+        land = os.path.join(tmp_dir, f"landing{k}")
+        write_landing(_envelopes(spark, [(d, 1, [article(title=f"t{k}")])]), land)
+        incremental.new_article_writer(out)(read_envelopes(spark, land), k)
+    finish = incremental._finish_folds
+    calls = []
+    monkeypatch.setattr(incremental, "_finish_folds", lambda s, p: finish(s, p) if not calls.append(1) and len(calls) == 1 else None)
+    incremental.fold_article_batches(spark, out, before=2, at_least=2)  # ends right after the log
+    assert _stored(spark, out) == [("t0", 0), ("t1", 1)]
+    monkeypatch.undo()
+    incremental.new_article_writer(out)(read_envelopes(spark, os.path.join(tmp_dir, "landing0")), 2)
+    assert _stored(spark, out) == [("t0", -1), ("t1", -1)]
+
+
+def test_only_touched_days_are_read(spark, tmp_dir):
+    from newsmart.sources.landing import read_envelopes
+    from newsmart.streaming.incremental import already_stored, new_article_writer
+
+    out, d = os.path.join(tmp_dir, "out"), dt.date(2024, 3, 25)
+    land = os.path.join(tmp_dir, "landing")
+    rows = [article(title=f"t{k}", publishedAt=f"2024-03-{10 + k}T10:00:00Z") for k in range(9)]
+    write_landing(_envelopes(spark, [(d, 1, rows)]), land)
+    new_article_writer(out)(read_envelopes(spark, land), 0)
+    batch = spark.createDataFrame([("t0", "2024-03-10T10:00:00Z"), ("new", "2024-03-18T09:00:00Z")], "title string, publishedAt string")
+    known = already_stored(batch, out, 1, [dt.date(2024, 3, 10), dt.date(2024, 3, 18)])
+    assert [r["_title"] for r in known.collect()] == ["t0"]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "IN (2024-03-10,2024-03-18)" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "ReadSchema: struct<title:string,publishedAt:string>" in plan  # of the articles, the keys only
+
+
+def _batch(spark, rows):
+    return spark.createDataFrame([(dt.datetime(2024, 1, 1, h, m), k) for h, m, k in rows], "ts timestamp_ntz, kind string")
+
+
+def test_reconciled_counts_lose_no_late_row(spark, tmp_dir):
+    from newsmart.streaming.reconciled import count_writer, fold_counts, read_reconciled_counts
+
+    write = count_writer(tmp_dir, "ts", ("kind",), "1 hour", "2 hours")
+    batches = [
+        [(h, m, "view") for h in range(6) for m in (0, 30)],  # newest 05:30, so windows to 03:00 are closed
+        [(0, 5, "view"), (2, 59, "view"), (3, 1, "view"), (0, 5, "buy"), (7, 59, "view")],
+        [(5, 0, "view"), (6, 0, "view")],  # newest 07:59: the window to 06:00 is not open, that to 07:00 is
+    ]
+    for k, rows in enumerate(batches):
+        write(_batch(spark, rows), k)
+        write(_batch(spark, rows), k)  # a replay
+    want = {("view", 0): (3, 1), ("view", 1): (2, 0), ("view", 2): (3, 1), ("view", 3): (3, 0), ("view", 4): (2, 0), ("buy", 0): (1, 1)}
+    got = lambda **kw: {(r["kind"], r["window_start"].hour): (r["n"], r["late"]) for r in read_reconciled_counts(spark, tmp_dir, ("kind",), **kw).collect()}
+    assert got() == want
+    rest = {("view", 5): (3, 0), ("view", 6): (1, 0), ("view", 7): (1, 0)}
+    assert got(closed_only=False) == want | rest
+    fold_counts(spark, tmp_dir, 2, ("kind",))
+    assert {x for x in os.listdir(tmp_dir) if x.startswith("batch_id")} == {"batch_id=-2", "batch_id=2"}
+    assert got(closed_only=False) == want | rest
+    write(_batch(spark, batches[2]), 2)  # a replay behind the fold
+    write(_batch(spark, [(0, 0, "view")]), 3)
+    fold_counts(spark, tmp_dir, 4, ("kind",))
+    assert got()[("view", 0)] == (4, 2) and not {"batch_id=-2", "batch_id=2"} & set(os.listdir(tmp_dir))
