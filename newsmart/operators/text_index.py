@@ -3,9 +3,9 @@
 A load day's articles are indexed once, as four tables partitioned by the day:
 
 * ``docs``: the articles, numbered (``doc``);
-* ``postings``: per term, searched field and article, the places where it stands, in
-  buckets of the term, sorted by term;
-* ``terms``: each term with its number of postings;
+* ``postings``: a row for each place of a term (searched field, article, number of the term in
+  it), in buckets of the term, sorted by term;
+* ``terms``: each term with its number of places;
 * ``grams``: each run of three characters of a term, in buckets of the run.
 
 Terms are what single spaces separate in the lower-cased text; so a phrase, cut the same way, occurs
@@ -73,15 +73,14 @@ def index_articles(articles: DataFrame, path: str, day: str | Column) -> list[st
 
     fields = F.array(*(F.struct(F.lit(f).alias("field"), F.lower(F.col(f)).alias("text")) for f in SEARCH_IN_OPTIONS))
     texts = docs.select(INDEX_DAY, "doc", F.inline(fields)).filter("text is not null")
-    tokens = texts.select(INDEX_DAY, "doc", "field", F.posexplode(F.split("text", " ")).alias("at", "term"))
-    postings = tokens.groupBy(INDEX_DAY, "term", "field", "doc").agg(F.sort_array(F.collect_list("at")).alias("at"))
-    _write(postings.withColumn("bucket", _bucket("term")), f"{path}/postings", ["term", "field", "doc"], INDEX_DAY, "bucket")
+    postings = texts.select(INDEX_DAY, "doc", "field", F.posexplode(F.split("text", " ")).alias("at", "term"))
+    _write(postings.withColumn("bucket", _bucket("term")), f"{path}/postings", ["term", "field", "doc", "at"], INDEX_DAY, "bucket")
 
     held = _of_days(read_table(spark, f"{path}/postings"), days)
-    terms = held.groupBy(INDEX_DAY, "bucket", "term").agg(F.count("*").alias("articles"))
+    terms = held.groupBy(INDEX_DAY, "bucket", "term").agg(F.count("*").alias("places"))
     _write(terms, f"{path}/terms", ["term"], INDEX_DAY)
     held = _of_days(read_table(spark, f"{path}/terms"), days).filter(F.char_length("term") >= GRAM)
-    grams = held.select(INDEX_DAY, F.explode(_grams("term")).alias("gram"), "bucket", "term", "articles")
+    grams = held.select(INDEX_DAY, F.explode(_grams("term")).alias("gram"), "bucket", "term", "places")
     _write(grams.withColumn("gram_bucket", _bucket("gram")), f"{path}/grams", ["gram", "term"], INDEX_DAY, "gram_bucket")
     _write(docs, f"{path}/docs", ["doc"], INDEX_DAY)  # last: a day is searched once its articles are there
     return days
@@ -97,9 +96,9 @@ def _of_days(table: DataFrame, days: Sequence[str] | None) -> DataFrame:
 
 
 def terms_for(spark: SparkSession, path: str, part: str, first: bool, last: bool, days: Sequence[str] | None = None) -> DataFrame:
-    """``(index_day, bucket, term, articles)``: the terms that the part of a phrase may be: itself, one
+    """``(index_day, bucket, term, places)``: the terms that the part of a phrase may be: itself, one
     that ends with it (``first``), begins with it (``last``) or contains it (both)."""
-    columns = [INDEX_DAY, "bucket", "term", "articles"]
+    columns = [INDEX_DAY, "bucket", "term", "places"]
     term = F.col("term")
     fits = term.contains(part) if first and last else term.endswith(part) if first else term.startswith(part) if last else term == part
     runs = sorted({part[i : i + GRAM] for i in range(len(part) - GRAM + 1)})
@@ -118,7 +117,7 @@ class Matched:
     def __init__(self, spark: SparkSession, path: str, parts: list[str], days: Sequence[str] | None):
         each = (terms_for(spark, path, p, k == 0, k == len(parts) - 1, days).withColumn("k", F.lit(k)) for k, p in enumerate(parts))
         self.terms = cut_lineage(reduce(DataFrame.unionByName, each))
-        rows = self.terms.groupBy("k").agg(F.sum("articles").alias("n"), F.collect_set("bucket").alias("buckets")).collect()
+        rows = self.terms.groupBy("k").agg(F.sum("places").alias("n"), F.collect_set("bucket").alias("buckets")).collect()
         self.buckets = {r["k"]: r["buckets"] for r in rows}
         sizes = {r["k"]: r["n"] for r in rows}
         self.rarest = sorted(range(len(parts)), key=lambda k: (sizes.get(k, 0), k))
@@ -127,7 +126,7 @@ class Matched:
 
 
 def postings_of(spark: SparkSession, path: str, matched: Matched, k: int, fields: list[str], days: Sequence[str] | None = None) -> DataFrame:
-    """``(index_day, doc, field, at)`` of the terms of part ``k``, read from their buckets only."""
+    """``(index_day, doc, field, at)``, a row a place, of the terms of part ``k``; read from their buckets only."""
     table = _of_days(read_table(spark, f"{path}/postings"), days)
     table = table.filter(F.col("bucket").isin(matched.buckets.get(k, [])) & F.col("field").isin(fields))
     if matched.few is not None:
@@ -148,13 +147,13 @@ def phrase_hits(
     found = postings_of(spark, path, matched, first, fields, days)
     if not rest:
         return found.select(INDEX_DAY, "doc").distinct()
-    places = lambda df, k: df.select(*key, F.explode("at").alias("_at")).select(*key, (F.col("_at") - k).alias("start"))
-    starts = places(found, first).distinct()
+    starts_of = lambda df, k: df.select(*key, (F.col("at") - k).alias("start"))
+    starts = starts_of(found, first)
     for nth, k in enumerate(rest):
         others = postings_of(spark, path, matched, k, fields, days)
         if nth:  # the two rarest parts say where to look for the others
             others = others.join(starts.select(*key).distinct(), key, "left_semi")
-        starts = starts.join(places(others, k), [*key, "start"], "left_semi")
+        starts = starts.join(starts_of(others, k), [*key, "start"], "left_semi")
         if nth == 0 and len(rest) > 1:
             starts = cut_lineage(starts)
     return starts.select(INDEX_DAY, "doc").distinct()

@@ -1,10 +1,9 @@
 """Word counts kept by load day (AGG-12, TOP-2, AGG-15), so that a day's run reads that day only.
 
-A load day leaves small tables, partitioned by the day and replaced when it is run again:
+A load day leaves two small tables, partitioned by the day and replaced when it is run again:
 
 * ``words``: its counts per word, most frequent first in each file;
-* ``tokens``: its counts per publication date and word;
-* ``dates``: its publication dates, whether they have words or not.
+* ``dated``: its counts per publication date and word, with a row for each date of its articles.
 
 *Top k.* ``top_words_over_days`` finds the words of largest total over all days by a threshold
 algorithm in three steps: the sums of each day's k first words give a bound that k words reach; a
@@ -13,7 +12,7 @@ filter that the scan of the sorted files skips by; the totals of those words alo
 
 *Totals per date.* A keyword is a regular expression over the lower-cased text. One without
 special characters occurs in a text as often as in its words (words hold no white space, nor does
-it), so its totals come from ``tokens``. For others the texts are read, once per load day and
+it), so its totals come from ``dated``. For others the texts are read, once per load day and
 keyword, and the sums are kept (``patterns``)."""
 
 from __future__ import annotations
@@ -32,44 +31,63 @@ from newsmart.sources.tables import partition_values, read_partition, read_table
 from newsmart.sources.writers import path_exists
 
 _SPECIAL = set("\\.[]{}()*+?^$|")  # characters that may be more than themselves in a pattern
-_DATED = "year is not null and month is not null and day is not null"
+WORDS, DATED = "words", "dated"
+_HAS_DATE = "year is not null and month is not null and day is not null"
 
 
 def _write(df: DataFrame, path: str, *partitions: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
-def store_days(silver: DataFrame, path: str, col: str = "description") -> list[str]:
-    """Keep the states of the load days in ``silver`` (one scan); returns the days."""
+def store_days(silver: DataFrame, path: str, days: list[str] | None = None, col: str = "description") -> list[str]:
+    """Keep the states of the load days in ``silver`` (``days``, if they are known) by one scan and one
+    write; returns the days."""
     spark = silver.sparkSession
+    if days is None:
+        days = [str(r[0]) for r in silver.select("load_date").distinct().collect()]
+    for day in days:  # a day without words must not keep its former ones; patterns are sums of its former texts
+        for kind in (WORDS, DATED):
+            delete_path(spark, f"{path}/states/kind={kind}/load_date={day}")
+        delete_path(spark, f"{path}/patterns/load_date={day}")
     key = ["load_date", *kw.DATE_KEYS]
-    raw = silver.select(*key, F.explode(split_on_whitespace(col)).alias("token"))
+    # A null beside the words stands for the article itself, so that dates without words are there too.
+    tokens = silver.select(*key, F.explode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce(split_on_whitespace(col), F.array().cast("array<string>")))).alias("token"))
     longest = F.greatest(F.length("token"), F.length(F.lower("token")))  # lower case may be longer
-    counts = raw.filter(longest > kw.MIN_WORD_LENGTH).groupBy(*key, "token").agg(F.count(F.lit(1)).alias("n"))
-    dates = silver.filter(_DATED).select(*key).distinct()
-    days = [str(r[0]) for r in silver.select("load_date").distinct().collect()]
-    for day in days:  # a day without words must not keep its former ones; patterns are sums of its former texts
-        for kind in ("words", "tokens", "dates", "patterns"):
-            delete_path(spark, f"{path}/{kind}/load_date={day}")
-    _write(dates.hint("rebalance", "load_date"), f"{path}/dates", "load_date")
-    _write(counts.hint("rebalance", "load_date"), f"{path}/tokens", "load_date")
-    kept = read_table(spark, f"{path}/tokens").filter(F.col("load_date").isin([F.lit(d).cast("date") for d in days]))
-    words = kept.filter(F.length("token") > kw.MIN_WORD_LENGTH).groupBy("load_date", F.col("token").alias("Palavra"))
-    words = words.agg(F.sum("n").alias("Quantidade")).hint("rebalance", "load_date")
-    _write(words.sortWithinPartitions("load_date", F.desc("Quantidade"), "Palavra"), f"{path}/words", "load_date")
+    tokens = tokens.filter(F.col("token").isNull() | (longest > kw.MIN_WORD_LENGTH))
+    sets = [[F.col(c) for c in (*key, "token")], [F.col("load_date"), F.col("token")]]
+    counts = tokens.groupingSets(sets, *key, "token").agg(F.count("token").alias("n"), F.grouping("year").alias("_all"))
+    is_word = F.col("token").isNotNull() & (F.length("token") > kw.MIN_WORD_LENGTH)
+    counts = counts.filter(is_word | (F.col("_all") == 0)).select(
+        F.when(F.col("_all") == 1, WORDS).otherwise(DATED).alias("kind"), *key, "token", "n"
+    )
+    sized = counts.hint("rebalance", "kind", "load_date").sortWithinPartitions("kind", "load_date", F.desc("n"), "token")
+    _write(sized, f"{path}/states", "kind", "load_date")
     return days
 
 
+def _states(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    return read_table(spark, f"{path}/states").filter(F.col("kind") == kind)
+
+
+def _words(spark: SparkSession, path: str) -> DataFrame:
+    return _states(spark, path, WORDS).select("load_date", F.col("token").alias("Palavra"), F.col("n").alias("Quantidade"))
+
+
+def days_held(spark: SparkSession, path: str) -> list[str]:
+    """The load days with states (an article has a row of its own among the dated ones)."""
+    return partition_values(spark, f"{path}/states/kind={DATED}", "load_date")
+
+
 def word_totals(spark: SparkSession, path: str) -> DataFrame:
     """AGG-12 over all stored days."""
-    return read_table(spark, f"{path}/words").groupBy("Palavra").agg(F.sum("Quantidade").alias("Quantidade"))
+    return _words(spark, path).groupBy("Palavra").agg(F.sum("Quantidade").alias("Quantidade"))
 
 
 def candidate_bound(spark: SparkSession, path: str, k: int) -> int:
     """A count that every word of the top k has on some day at least."""
-    days = max(1, len(partition_values(spark, f"{path}/words", "load_date")))
+    days = max(1, len(days_held(spark, path)))
     nth = F.row_number().over(W.partitionBy("load_date").orderBy(F.desc("Quantidade"), "Palavra"))
-    first = read_table(spark, f"{path}/words").withColumn("_nth", nth).filter(F.col("_nth") <= k)
+    first = _words(spark, path).withColumn("_nth", nth).filter(F.col("_nth") <= k)
     sums = first.groupBy("Palavra").agg(F.sum("Quantidade").alias("q")).orderBy(F.desc("q")).limit(k)
     reached, least = sums.agg(F.count(F.lit(1)), F.min("q")).first()
     return -(-least // days) if reached == k else 0
@@ -77,7 +95,7 @@ def candidate_bound(spark: SparkSession, path: str, k: int) -> int:
 
 def top_words_over_days(spark: SparkSession, path: str, k: int) -> DataFrame:
     """TOP-2 over all stored days, exactly: ``(Palavra, Quantidade)``, ties by the word."""
-    words = read_table(spark, f"{path}/words")
+    words = _words(spark, path)
     bound = candidate_bound(spark, path, k)
     candidates = words.filter(F.col("Quantidade") >= F.lit(bound)).select("Palavra").distinct()
     totals = words.join(candidates, "Palavra", "left_semi").groupBy("Palavra").agg(F.sum("Quantidade").alias("Quantidade"))
@@ -92,7 +110,7 @@ def is_plain(keyword: str) -> bool:
 def _pattern_sums(spark: SparkSession, path: str, silver: str, keyword: str) -> DataFrame:
     """The kept sums of a keyword with special characters; days without one are read and kept first."""
     name = hashlib.md5(keyword.encode()).hexdigest()
-    for day in partition_values(spark, f"{path}/words", "load_date"):
+    for day in days_held(spark, path):
         if not path_exists(spark, f"{path}/patterns/load_date={day}/keyword_id={name}"):
             day_rows = read_partition(spark, silver, "load_date", day)
             found = kw.keyword_daily_total(kw.keyword_occurrences(day_rows, [keyword]))
@@ -108,14 +126,15 @@ def keyword_daily_total(spark: SparkSession, path: str, silver: str, keywords: l
     ``silver``: the table's path, read only for keywords with special characters."""
     plain = [k for k in keywords if is_plain(k)]
     wanted = F.array(*map(F.lit, plain)).cast("array<string>")
-    tokens = read_table(spark, f"{path}/tokens").filter(_DATED).select(*kw.DATE_KEYS, F.lower("token").alias("_t"), "n", F.explode(wanted).alias("keyword"))
+    dated = _states(spark, path, DATED).filter(_HAS_DATE)
+    tokens = dated.select(*kw.DATE_KEYS, F.lower("token").alias("_t"), "n", F.explode(wanted).alias("keyword"))
     found = tokens.filter(F.contains("_t", F.lower("keyword"))).select(
         "keyword", *kw.DATE_KEYS, (F.col("n") * count_matches("_t", F.col("keyword"), lowered=True)).alias("occurrences")
     )
     for keyword in keywords:
         if not is_plain(keyword):
             found = found.unionByName(_pattern_sums(spark, path, silver, keyword))
-    dates = read_table(spark, f"{path}/dates").select(*kw.DATE_KEYS).distinct()
+    dates = dated.filter("token is null").select(*kw.DATE_KEYS).distinct()
     zero = dates.select(F.explode(F.array(*map(F.lit, keywords)).cast("array<string>")).alias("keyword"), *kw.DATE_KEYS, F.lit(0).cast("long").alias("occurrences"))
     every = zero.unionByName(found.select(*zero.columns))
     return every.groupBy("keyword", *kw.DATE_KEYS).agg(F.sum("occurrences").cast("long").alias("occurrences"))

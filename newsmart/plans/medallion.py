@@ -278,10 +278,10 @@ def _drop_old_versions(spark: SparkSession, layout: Layout) -> None:
 
 def _keyword_totals_by_states(spark: SparkSession, layout: Layout, silver_day: DataFrame, day: str) -> DataFrame:
     states = layout.gold("_words_by_day")
-    known = set(partition_values(spark, f"{states}/words", "load_date"))
-    word_states.store_days(silver_day, states)
+    known = set(word_states.days_held(spark, states))
+    word_states.store_days(silver_day, states, [day])
     for d in set(partition_values(spark, layout.silver, "load_date")) - known - {day}:  # days before there were states
-        word_states.store_days(read_partition(spark, layout.silver, "load_date", d), states)
+        word_states.store_days(read_partition(spark, layout.silver, "load_date", d), states, [d])
     top = [r["Palavra"] for r in word_states.top_words_over_days(spark, states, TOP_KEYWORDS).collect()]
     return word_states.keyword_daily_total(spark, states, layout.silver, top)
 
@@ -309,11 +309,14 @@ def run_gold_day(spark: SparkSession, layout: Layout, day: str | None = None) ->
     silver_day = read_partition(spark, layout.silver, "load_date", day)
     written: dict[str, str] = {}
 
-    _publish(layout, _new_totals(spark, layout, silver_day, day), layout.gold(COUNTS), partition_by=["gold_table"])
-    written[COUNTS] = layout.gold(COUNTS)
-    _drop_old_versions(spark, layout)
-    _publish(layout, _keyword_totals_by_states(spark, layout, silver_day, day), layout.gold(KEYWORDS))
-    written[KEYWORDS] = layout.gold(KEYWORDS)
+    def counts() -> None:
+        _publish(layout, _new_totals(spark, layout, silver_day, day), layout.gold(COUNTS), partition_by=["gold_table"])
+        written[COUNTS] = layout.gold(COUNTS)
+        _drop_old_versions(spark, layout)
+
+    def keyword_totals_by_states() -> None:
+        _publish(layout, _keyword_totals_by_states(spark, layout, silver_day, day), layout.gold(KEYWORDS))
+        written[KEYWORDS] = layout.gold(KEYWORDS)
 
     def dimension(name: str, build) -> DataFrame:
         existing = read_published(spark, layout, layout.gold(name)) if _exists(spark, layout, layout.gold(name)) else None
@@ -324,6 +327,8 @@ def run_gold_day(spark: SparkSession, layout: Layout, day: str | None = None) ->
     dims = run_concurrently({
         "dim_author": lambda: dimension("dim_author", gold.dim_author),
         "dim_source": lambda: dimension("dim_source", gold.dim_source),
+        COUNTS: counts,
+        KEYWORDS: keyword_totals_by_states,
     })
     authors, sources = dims["dim_author"], dims["dim_source"]
     write_partitions(gold.fact_articles(silver_day, authors, sources), layout.gold("articles"), "load_date")
