@@ -14,7 +14,8 @@ from newsmart.plans.queries import _KEYWORD_CTES, _arriving_days, _catalogue_sql
 from newsmart.plans.registry import register
 from newsmart.session import pin_utc, scratch_path
 from newsmart.sources.tables import read_latest_written, read_table
-from newsmart.sources.writers import write_bronze
+from newsmart.sources.writers import path_exists, write_bronze
+from newsmart.streaming import completeness, incremental
 
 # ---------------------------------------------------------------- gold in O(day)
 
@@ -69,6 +70,59 @@ def top_words_over_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_states.top_words_over_days(spark, path, _TOP)
 
 
+@register("daily_run_late_keys", ("SET-2", "DST-2", "SRC-3"), fx.oracle_by_day(
+    "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY load_date, url NULLS LAST) AS rn FROM silver) WHERE rn = 1"
+))
+def daily_run_late_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with one row a title, the earliest load first, where the newest load day lands first: later
+    days lose rows to the older ones, and only their partitions are rewritten."""
+    pin_utc(spark)
+    layout = medallion.Layout(scratch_path(spark, "daily-run-keys"))
+    for _ in _arriving_days(spark, sf_dir, layout, late_first=True):
+        medallion.run_bronze(spark, layout)
+        medallion.run_silver(spark, layout, dedup_keys=["title"])
+    return read_table(spark, layout.silver)
+
+
+@register("stream_completeness", ("RA-8", "MTH-1"), """
+    WITH art AS (SELECT CAST(doc_id % 6 AS INTEGER) AS w, doc_id // 6 // 100 + 1 AS page FROM documents),
+    stated AS (SELECT w, count(*) + CASE WHEN w % 3 = 0 THEN 250 ELSE 0 END AS total FROM art GROUP BY w),
+    pages AS (SELECT w, page, count(*) AS n, page % 3 AS batch FROM art WHERE w % 2 = 0 OR page % 4 <> 0 GROUP BY w, page),
+    upto AS (
+      SELECT w, b.batch, total, (total + 99) // 100 AS expected, count(page) AS landed, CAST(coalesce(sum(n), 0) AS BIGINT) AS articles,
+             min(p.batch) AS first_batch
+      FROM range(3) b(batch) JOIN stated ON true JOIN pages p USING (w) WHERE p.batch <= b.batch GROUP BY w, b.batch, total
+    ),
+    done AS (SELECT w, min(batch) AS batch FROM upto WHERE landed >= expected AND articles >= total GROUP BY w),
+    timer AS (SELECT w, greatest(min(batch), CASE WHEN w <= 3 THEN 0 WHEN w = 4 THEN 1 ELSE 2 END) AS batch FROM upto GROUP BY w),
+    reports AS (
+      SELECT t.w, t.batch, 'incomplete' AS status FROM timer t LEFT JOIN done d USING (w) WHERE d.batch IS NULL OR d.batch > t.batch
+      UNION ALL
+      SELECT d.w, d.batch, CASE WHEN d.batch > t.batch THEN 'complete_late' ELSE 'complete' END FROM done d JOIN timer t USING (w)
+    )
+    SELECT TIMESTAMP '2023-11-15 00:00:00' + to_hours(w) AS window_start, status, CAST(total AS BIGINT) AS total_results,
+           CAST(expected AS BIGINT) AS expected_pages, landed AS landed_pages, articles AS landed_articles
+    FROM reports JOIN upto USING (w, batch)
+""")
+def stream_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports on six landing windows whose pages land in three batches, an hour apart, the first six
+    hours after the first window: four windows are past their deadline then, the others after the next ones."""
+    pin_utc(spark)
+    root = scratch_path(spark, "stream-completeness")
+    batch = (F.col("page") % 3).cast("int")
+    landed_at = F.lit(fx.BASE_TS).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(6) + batch)
+    pages = fx.landed_pages(spark, sf_dir).withColumn("landed_at", landed_at).withColumn("arrival", batch)
+    pages.hint("rebalance", "arrival").write.partitionBy("arrival").parquet(f"{root}/outside")
+    for one in range(3):
+        if not path_exists(spark, f"{root}/outside/arrival={one}"):
+            continue
+        arrived = spark.read.parquet(f"{root}/outside/arrival={one}")
+        arrived.write.mode("append").parquet(f"{root}/pages")
+        reports = completeness.completeness_stream(spark.readStream.schema(arrived.schema).parquet(f"{root}/pages"))
+        incremental.run_to_parquet(reports, f"{root}/reports", f"{root}/_checkpoint", spark.sparkContext.defaultParallelism)
+    return spark.read.parquet(f"{root}/reports")
+
+
 # ---------------------------------------------------------------- many keywords
 
 _MANY = 300

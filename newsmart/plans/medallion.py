@@ -179,9 +179,10 @@ def run_silver(spark: SparkSession, layout: Layout, dedup_keys: list[str] | None
     ``load_date`` included, so rows of different load days are never duplicates: only the
     days being loaded are merged (with what silver already holds for a day that is re-run)
     and only their partitions are rewritten. Daily cost follows the day, not the table's
-    history. ``dedup_keys`` compares across days, and the versioned (object store) layout
-    publishes whole versions; both merge the whole table. The very first load is not
-    deduplicated (SURVEY Q6)."""
+    history. ``dedup_keys`` compares across days: the key columns of the table tell which partitions
+    hold a key of the new day, and later ones that lose a row to it are rewritten too, no others. The
+    versioned (object store) layout publishes whole versions and merges the whole table. The very
+    first load is not deduplicated unless by keys (SURVEY Q6)."""
     pin_utc(spark)
     held = [d for d in partition_values(spark, layout.bronze, "load_date") if not d.startswith("__")]
     if not held:
@@ -191,9 +192,13 @@ def run_silver(spark: SparkSession, layout: Layout, dedup_keys: list[str] | None
     for one in days:
         first = not _exists(spark, layout, layout.silver)
         new = to_silver(_bronze_day(spark, layout, one), lenient)
+        if dedup_keys and not first and not layout.versioned:
+            _merge_day_by_keys(spark, layout, new, one, dedup_keys)
+            continue
         if dedup_keys or layout.versioned:
             existing = None if first else read_published(spark, layout, layout.silver)
-            _publish(layout, merge_silver(new, existing, dedup_keys), layout.silver)
+            by_day = ["load_date"] if dedup_keys and not layout.versioned else None
+            _publish(layout, merge_silver(new, existing, dedup_keys), layout.silver, by_day)
             continue
         if first:
             write_partitions(merge_silver(new, None), layout.silver, "load_date")
@@ -206,6 +211,32 @@ def run_silver(spark: SparkSession, layout: Layout, dedup_keys: list[str] | None
     return days
 
 
+def _same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> list:
+    return [left[k].eqNullSafe(right[f"_{k}"]) for k in keys]
+
+
+def _merge_day_by_keys(spark: SparkSession, layout: Layout, new: DataFrame, day: str, keys: list[str]) -> None:
+    """Merge one load day into a silver table that holds a row per key, the earliest load first."""
+    new = merge_silver(new, None, keys)
+    wanted = new.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    stored = read_table(spark, layout.silver).select(*keys, "load_date")
+    held = cut_lineage(stored.join(wanted, _same_key(stored, wanted, keys), "left_semi"))  # of the history, what the day has too
+    one = F.lit(day).cast("date")
+    earlier = held.filter(F.col("load_date") < one).select(*(F.col(k).alias(f"_{k}") for k in keys))
+    new = new.join(earlier, _same_key(new, earlier, keys), "left_anti")
+    losing = [r[0] for r in held.filter(F.col("load_date") > one).select("load_date").distinct().collect()]  # load days
+    merged = merge_silver(new, read_partition(spark, layout.silver, "load_date", day), keys)
+    if losing:
+        later = read_table(spark, layout.silver).filter(F.col("load_date").isin(losing))
+        winners = new.select(*(F.col(k).alias(f"_{k}") for k in keys))
+        merged = merged.unionByName(later.join(winners, _same_key(later, winners, keys), "left_anti"), allowMissingColumns=True)
+    merged = cut_lineage(merged)  # the write replaces partitions that this plan reads
+    write_partitions(merged, layout.silver, "load_date")
+    left = {r[0] for r in merged.select("load_date").distinct().collect()}
+    for d in set(losing) - left:  # a day that lost all its rows
+        delete_path(spark, f"{layout.silver}/load_date={d}")
+
+
 def run_gold(spark: SparkSession, layout: Layout, stable_ids: bool = False) -> dict[str, str]:
     """All gold outputs from silver. The seven counts come from one grouping-sets
     aggregate (one scan, one write); the dimensions are materialised once and feed both their

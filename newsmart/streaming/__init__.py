@@ -1,5 +1,6 @@
 """Structured Streaming: incremental bronze, streaming dedup, windowed counts."""
 
+from newsmart.streaming.completeness import completeness_stream  # noqa: F401
 from newsmart.streaming.incremental import (  # noqa: F401
     append_new_articles,
     compact_bronze_day,

@@ -144,3 +144,37 @@ def test_many_literal_keywords(spark):
     assert keyword_table.keyword_histogram(df, []).count() == 0
     plan = keyword_table.literal_occurrences(df, [f"word{i}" for i in range(1000)])._jdf.queryExecution().executedPlan().toString()
     assert "Nested" not in plan and "Cartesian" not in plan
+
+
+def files_of(layout):
+    return {d: sorted(os.listdir(os.path.join(layout.silver, d))) for d in os.listdir(layout.silver) if d.startswith("load_date")}
+
+
+def test_merge_by_keys_rewrites_only_the_days_hit(spark, tmp_dir):
+    from newsmart.plans.medallion import _merge_day_by_keys
+    from newsmart.operators.silver import merge_silver
+
+    layout = Layout(tmp_dir)
+    row = lambda title, day, url: dict(silver_rows(0, day, 1)[0], title=title, url=url)
+    frame = lambda rows: spark.createDataFrame([tuple(x[f.name] for f in SILVER.fields) for x in rows], SILVER)
+    d1, d2, d3 = DAYS
+    loads = {
+        d3: [row("a", d3, "1"), row("b", d3, "2"), row(None, d3, "3")],
+        d2: [row("x", d2, "4"), row("y", d2, "5")],
+        d1: [row("x", d1, "6"), row("a", d1, "9"), row("a", d1, "8"), row(None, d1, "7")],
+    }
+    write_partitions(merge_silver(frame(loads[d3]), None, ["title"]), layout.silver, "load_date")
+    before = files_of(layout)
+    _merge_day_by_keys(spark, layout, frame(loads[d2]), str(d2), ["title"])
+    assert files_of(layout)[f"load_date={d3}"] == before[f"load_date={d3}"]  # shares no key
+    _merge_day_by_keys(spark, layout, frame(loads[d1]), str(d1), ["title"])
+    got = lambda: {(r["title"], str(r["load_date"]), r["url"]) for r in read_table(spark, layout.silver).collect()}
+    want = {("x", str(d1), "6"), ("a", str(d1), "8"), (None, str(d1), "7"), ("b", str(d3), "2"), ("y", str(d2), "5")}
+    assert got() == want
+    before = files_of(layout)
+    _merge_day_by_keys(spark, layout, frame(loads[d3]), str(d3), ["title"])  # again: older days win, and are not rewritten
+    after = files_of(layout)
+    assert got() == want and {d for d in after if after[d] != before[d]} == {f"load_date={d3}"}
+    _merge_day_by_keys(spark, layout, frame([row("b", d1, "0")]), str(d1), ["title"])  # takes the last row of the third day
+    assert got() == (want - {("b", str(d3), "2")}) | {("b", str(d1), "0")}
+    assert f"load_date={d3}" not in files_of(layout)

@@ -229,3 +229,30 @@ def test_reconciled_counts_lose_no_late_row(spark, tmp_dir):
     write(_batch(spark, [(0, 0, "view")]), 3)
     fold_counts(spark, tmp_dir, 4, ("kind",))
     assert got()[("view", 0)] == (4, 2) and not {"batch_id=-2", "batch_id=2"} & set(os.listdir(tmp_dir))
+
+
+def test_completeness_reports_by_deadline(spark, tmp_dir):
+    """Complete, incomplete at the deadline, late after it, past the deadline at once; repeats report nothing."""
+    from newsmart.streaming import completeness_stream
+
+    kind = "window_start timestamp_ntz, page int, totalResults long, n_articles long, landed_at timestamp_ntz, extra string"
+    at = lambda h, m=0: dt.datetime(2024, 3, 1, h, m)
+    batches = [
+        [(at(0), 1, 150, 100, at(1)), (at(0), 2, 150, 50, at(1)), (at(1), 1, 150, 100, at(1)), (None, 1, 1, 1, at(1)), (at(1), None, 1, 1, at(1))],
+        [(at(1), 1, 150, 90, at(4)), (at(0), 1, 150, 100, at(4)), (at(3), 1, 0, 0, at(4))],
+        [(at(1), 2, 150, 50, at(5)), (at(2), 1, 10, 9, at(5))],  # the window of 02:00 is past its deadline when it lands
+        [(at(2), 1, 10, 10, at(6)), (at(1), 2, 150, 50, at(6))],
+    ]
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    got = []
+    for rows in batches:
+        spark.createDataFrame([(*r, "x") for r in rows], kind).coalesce(1).write.mode("append").parquet(src)
+        run_to_parquet(completeness_stream(spark.readStream.schema(kind).parquet(src)), out, out + "_ck", 2)
+        now = sorted((r["window_start"].hour, *tuple(r)[1:]) for r in spark.read.parquet(out).collect())
+        got.append([x for x in now if x not in [y for g in got for y in g]])
+    assert got == [
+        [(0, "complete", 150, 2, 2, 150)],
+        [(1, "incomplete", 150, 2, 1, 100), (3, "complete", 0, 0, 1, 0)],
+        [(1, "complete_late", 150, 2, 2, 150), (2, "incomplete", 10, 1, 1, 9)],
+        [(2, "complete_late", 10, 1, 1, 10)],
+    ]
