@@ -6,7 +6,8 @@ that hold the same lengths are one *class* with a count. A best-fit-decreasing p
 fills the classes, then the local search works on the underfull ones: it moves a piece,
 exchanges one for one or two for one whenever that increases the sum of squared fills,
 so that the emptiest bins run empty and vanish. A step on a class acts on all its bins
-at once; the classes number a few thousand at any scale.
+at once. The number of steps would still grow with that of the pieces, so many pieces are
+packed level by level: every other one, twice, and the search goes on (``pack_histogram``).
 
 On Spark: tokens are counted where the text is read; the pieces are numbered within
 their length from counts per partition (no task sees a whole length); a piece's number
@@ -34,6 +35,8 @@ from newsmart.llm.common import map_arrow, store
 from newsmart.llm.tokenize import ids_as_bytes
 
 CAPACITY = 2048
+#: So many pieces are packed without halving their number first.
+FEW = 512
 SEPARATOR = (0).to_bytes(4, "little")
 
 
@@ -283,9 +286,52 @@ def local_search(bins: Bins) -> Bins:
     return bins
 
 
-def pack_histogram(sizes: dict[int, int], capacity: int = CAPACITY) -> Bins:
-    """Classes of bins that hold exactly the pieces of the histogram."""
-    return local_search(best_fit_decreasing(sizes, capacity))
+def halve(sizes: dict[int, int]) -> tuple[dict[int, int], list[tuple[int, int]]]:
+    """Every other piece, longest first, and where the piece behind it is shorter: ``(length, the
+    shorter one's)``, at most one a length; 0 where there is none behind the last."""
+    half: dict[int, int] = {}
+    shorter, waiting = [], 0
+    for length in sorted(sizes, reverse=True):
+        n = sizes[length]
+        if waiting:
+            shorter.append((waiting, length))
+            waiting, n = 0, n - 1
+        if n:
+            half[length] = (n + 1) // 2
+            waiting = length if n % 2 else 0
+    return half, shorter + ([(waiting, 0)] if waiting else [])
+
+
+def double(bins: Bins, shorter: list[tuple[int, int]]) -> Bins:
+    """Every bin twice; then one piece of each length in ``shorter`` makes way for the shorter one."""
+    out = Bins(bins.capacity)
+    for pattern, n in bins.count.items():
+        out.add(pattern, 2 * n)
+    holders: dict[int, set[tuple[int, ...]]] = defaultdict(set)
+    for pattern in out.count:
+        for x in pattern:
+            holders[x].add(pattern)
+    for length, other in shorter:
+        pattern = min(p for p in holders[length] if p in out.count)
+        made = _take(pattern, (length,), (other,) if other else ())
+        out.add(pattern, -1)
+        out.add(made, 1)
+        for x in made:
+            holders[x].add(made)
+    return out
+
+
+def pack_histogram(sizes: dict[int, int], capacity: int = CAPACITY, few: int = FEW) -> Bins:
+    """Classes of bins that hold exactly the pieces of the histogram, none of which has a step left.
+
+    ``few`` pieces are packed by best fit and the local search. More are halved: every other piece in
+    order of length is packed so, every bin is doubled, and the search goes on from there. The
+    doubled packing has no step left but by the odd pieces and by classes that were one bin, so a level
+    costs few steps, and there are as many levels as the number of pieces has binary digits."""
+    if sum(sizes.values()) <= few:
+        return local_search(best_fit_decreasing(sizes, capacity))
+    half, shorter = halve(sizes)
+    return local_search(double(pack_histogram(half, capacity, few), shorter))
 
 
 def slots(bins: Bins) -> list[tuple[int, int, int, int]]:

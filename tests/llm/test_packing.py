@@ -130,3 +130,50 @@ def test_partners_beyond_the_fullest():
     first = packing.best_fit_decreasing(sizes, 2048)
     before = first.bins()
     assert packing.local_search(first).bins() <= 0.98 * before
+
+
+def _held(bins):
+    out = {}
+    for pattern, n in bins.count.items():
+        assert n > 0 and sum(pattern) <= bins.capacity
+        for x in pattern:
+            out[x] = out.get(x, 0) + n
+    return out
+
+
+def _steps_left(bins):
+    """Pairs of underfull classes that have a step, the slow way."""
+    under = [(p, n) for p, n in bins.count.items() if sum(p) < bins.capacity]
+    return [(p, q) for p, n in under for q, _ in under
+            if sum(p) <= sum(q) and (p != q or n > 1) and packing._best_step(p, q, bins.capacity)]
+
+
+def test_levels_keep_every_piece_and_leave_no_step():
+    random.seed(7)
+    for n, capacity in ((600, 60), (5000, 60), (3000, 200)):
+        sizes = {}
+        for _ in range(n):
+            x = random.randint(1, capacity) if n == 600 else random.randint(capacity // 5, capacity // 2)
+            sizes[x] = sizes.get(x, 0) + 1
+        half, shorter = packing.halve(sizes)
+        assert sum(half.values()) == -(-n // 2) and len(shorter) <= len(sizes)
+        bins = packing.pack_histogram(sizes, capacity, few=64)
+        assert _held(bins) == sizes
+        total = sum(x * c for x, c in sizes.items())
+        assert bins.bins() == -(-total // capacity) or not _steps_left(bins)
+        assert bins.bins() <= packing.local_search(packing.best_fit_decreasing(sizes, capacity)).bins() * 1.01 + 1
+
+
+def test_many_pieces_take_bounded_time():
+    """The hard lengths: between a fifth and half of a bin, none small enough to fill up with."""
+    import time
+
+    r = np.random.default_rng(0)
+    lengths, counts = np.unique(r.integers(400, 901, 100_000), return_counts=True)
+    for times in (1, 1000):
+        sizes = {int(x): int(c) * times + int(x) % 7 for x, c in zip(lengths, counts, strict=True)}
+        began = time.perf_counter()
+        bins = packing.pack_histogram(sizes)
+        assert time.perf_counter() - began < 30
+        assert _held(bins) == sizes
+        assert bins.bins() <= 1.02 * sum(x * c for x, c in sizes.items()) / packing.CAPACITY
