@@ -12,7 +12,13 @@ writes its difference only:
   again; one without is not read, and is written anew in full. So any batch may be sent
   any number of times, after any failure, and counts once.
 
-Totals are the sum of the committed deltas; ``compact`` folds batches into one.
+Totals are the sum of the committed deltas; ``compact`` folds batches into one, whose marker holds
+the ids of all that it stands for, so those count once after it too.
+
+A batch reads of the ledger the documents that it names: a semi join with the batch, which is broadcast
+if it is small, comes before anything is shuffled. Batches are applied one at a time by one
+writer, as the number of batches committed orders the ledger. Texts are tokenised in runs of 8 MB; one
+longer than that is a run of its own.
 
 Rules of a batch: per (doc_id, version) the change with the greatest ``seq`` counts. An insert
 of a document that is there and a revision of one that isn't both set its count; a delete of
@@ -34,12 +40,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from newsmart.llm.common import slices, store
-from newsmart.llm.tokenize import tokenizer_path
+from newsmart.llm.tokenize import WORD_BPE, ids_as_bytes, tokenizer_path
 from newsmart.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
+#: The tokenizers whose counts the corpus keeps.
+VERSIONS = (BYTE_BPE, WORD_BPE)
 KEY = ["doc_id", "version"]
 GROUP = ["source", "lang", "version"]
+#: The batch that stands for others; ids of batches may not begin so.
+FOLDED = "_folded"
 SUMS = ["documents", "tokens"]
 
 
@@ -64,9 +74,14 @@ def counted(docs: DataFrame, name: str = BYTE_BPE) -> DataFrame:
     version = version_of(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        encode = _encoding(name).encode_ordinary
+        if name == WORD_BPE:
+            ids = ids_as_bytes(name)
+            count = lambda text: len(ids(text.as_buffer().to_pybytes())) // 4 if text.is_valid else 0
+        else:
+            encode = _encoding(name).encode_ordinary
+            count = lambda text: len(encode(text.as_py() or ""))
         for batch in slices(batches, -1):
-            n = [len(encode(x.as_py() or "")) for x in batch.column(batch.num_columns - 1)]
+            n = [count(x) for x in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())],
                 [*batch.schema.names[:-1], "version", "tokens"],
@@ -95,39 +110,53 @@ class Rollup:
         paths = [f"{self.path}/{kind}/batch={b}" for b in batches]
         return self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(*paths) if paths else None
 
-    def current(self) -> DataFrame | None:
+    def counted(self, batch: str) -> bool:
+        """Whether the batch is committed, by itself or in a fold."""
+        done = self.committed()
+        if batch in done or FOLDED not in done:
+            return batch in done
+        return not self.spark.read.parquet(f"{self.path}/commits/batch={FOLDED}").filter(F.col("id") == batch).isEmpty()
+
+    def current(self, named: DataFrame | None = None) -> DataFrame | None:
         """``(doc_id, version, source, lang, tokens, order)``: the newest entry of each document that
-        counts; ``tokens`` is null where it was deleted."""
+        counts (of those in ``named``); ``tokens`` is null where it was deleted."""
         ledger = self._read("ledger")
         if ledger is None:
             return None
+        if named is not None:
+            ledger = ledger.join(named.select(*KEY), KEY, "left_semi")
         newest = F.row_number().over(W.partitionBy(*KEY).orderBy(F.desc("order")))
         return ledger.filter("doc_id is not null").withColumn("_nth", newest).filter("_nth = 1").select(*KEY, "source", "lang", "tokens", "order")
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
         """Apply ``changes(doc_id, version, op, seq, source, lang, tokens)`` as batch ``batch``: true if it
         was applied now, false if it had been. ``op`` is insert, delete or revise."""
-        done = self.committed()
-        if batch in done:
+        if batch.startswith(FOLDED):
+            raise ValueError(f"a batch may not be named {batch!r}")
+        if self.counted(batch):
             return False
         kept = changes.select(*KEY, "op", "seq", "source", "lang", F.coalesce("tokens", F.lit(0).cast("bigint")).alias("tokens"))
         last = F.row_number().over(W.partitionBy(*KEY).orderBy(F.desc("seq"), "op", "source", "lang", "tokens"))
         named = kept.filter("doc_id is not null").withColumn("_nth", last).filter("_nth = 1")
         nameless = kept.filter("doc_id is null and op = 'insert'")
         after = named.drop("_nth").unionByName(nameless).withColumn("tokens", F.when(F.col("op") != "delete", F.col("tokens")))
-        after = after.select(*KEY, "source", "lang", "tokens", F.lit(len(done)).alias("order"))
+        after = after.select(*KEY, "source", "lang", "tokens", F.lit(len(self.committed())).alias("order"))
         after.write.mode("overwrite").parquet(f"{self.path}/ledger/batch={batch}")
 
-        signed = self._signed(self.spark.read.parquet(f"{self.path}/ledger/batch={batch}"), self.current())
+        stored = self.spark.read.schema(after.schema).parquet(f"{self.path}/ledger/batch={batch}")
+        signed = self._signed(stored, self.current(stored))
         signed.write.mode("overwrite").parquet(f"{self.path}/deltas/batch={batch}")
-        self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch}")
+        self._commit(batch, self.spark.createDataFrame([(batch,)], "id string"))
         return True
 
+    def _commit(self, batch: str, ids: DataFrame) -> None:
+        ids.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch}")
+
     @staticmethod
     def _signed(after: DataFrame, before: DataFrame | None) -> DataFrame:
         plus = after.filter("tokens is not null").select(*GROUP, F.lit(1).alias("documents"), "tokens")
         if before is not None:
-            was = before.filter("tokens is not null").join(after.select(*KEY), KEY, "left_semi")
+            was = before.filter("tokens is not null")
             plus = plus.unionByName(was.select(*GROUP, F.lit(-1).alias("documents"), (-F.col("tokens")).alias("tokens")))
         sums = plus.groupBy(*GROUP).agg(*(F.sum(c).cast("bigint").alias(c) for c in SUMS))
         return sums.filter("documents != 0 or tokens != 0").coalesce(1)
@@ -140,8 +169,9 @@ class Rollup:
         sums = deltas.groupBy(*GROUP).agg(*(F.sum(c).alias(c) for c in SUMS))
         return sums.filter("documents != 0 or tokens != 0")
 
-    def compact(self, path: str, name: str = "base") -> Rollup:
-        """A rollup in a new folder that holds the same state and totals as one batch."""
+    def compact(self, path: str) -> Rollup:
+        """A rollup in a new folder that holds the same state and totals as one batch, and knows all the
+        batches that it stands for (one short id each)."""
         out = Rollup(self.spark, path)
         ledger = self._read("ledger")
         if ledger is None:
@@ -149,9 +179,9 @@ class Rollup:
         live = self.current().filter("tokens is not null").unionByName(
             ledger.filter("doc_id is null").select(*KEY, "source", "lang", "tokens", "order")
         )
-        live.withColumn("order", F.lit(0)).write.mode("overwrite").parquet(f"{out.path}/ledger/batch={name}")
-        self.totals().write.mode("overwrite").parquet(f"{out.path}/deltas/batch={name}")
-        self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{out.path}/commits/batch={name}")
+        live.withColumn("order", F.lit(0)).write.mode("overwrite").parquet(f"{out.path}/ledger/batch={FOLDED}")
+        self.totals().write.mode("overwrite").parquet(f"{out.path}/deltas/batch={FOLDED}")
+        out._commit(FOLDED, self._read("commits").select("id").filter(F.col("id") != FOLDED).distinct())
         return out
 
 
@@ -168,24 +198,28 @@ def revisions(docs: DataFrame, name: str = BYTE_BPE) -> DataFrame:
     return counted(changed, name).withColumns({"op": F.lit("revise"), "seq": F.lit(0)})
 
 
-def deletions(docs: DataFrame, name: str = BYTE_BPE) -> DataFrame:
-    """The documents whose text a smaller doc_id has, as deletes."""
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("_h1"), F.xxhash64("text", F.lit(1)).alias("_h2"))
+def deletions(docs: DataFrame, names: tuple[str, ...] = VERSIONS) -> DataFrame:
+    """The documents whose text a smaller doc_id has, as deletes from each tokenizer's counts."""
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit(1), "text").alias("_h2"))
     first = keyed.groupBy("_h1", "_h2").agg(F.min("doc_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
     first = store(first, "copies")  # the join is then of two plain shuffles, of which a hot text's can be split
     copies = keyed.join(first, ["_h1", "_h2"]).filter("doc_id > _first")
     return copies.select(
-        "doc_id", F.lit(version_of(name)).alias("version"), F.lit("delete").alias("op"), F.lit(0).alias("seq"),
+        "doc_id", F.explode(F.array(*(F.lit(version_of(n)) for n in names))).alias("version"), F.lit("delete").alias("op"), F.lit(0).alias("seq"),
         F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("bigint").alias("tokens"),
     )
 
 
-def maintain(docs: DataFrame, name: str = BYTE_BPE, path: str | None = None) -> Rollup:
-    """A corpus's life in batches: load, line clean-up, removal of copies. A batch sent twice
-    counts once."""
-    rollup = Rollup(docs.sparkSession, path or scratch_path(docs.sparkSession, "rollup"))
-    rollup.apply("load", inserts(docs, name))
-    rollup.apply("clean", revisions(docs, name))
-    rollup.apply("copies", deletions(docs, name))
-    rollup.apply("clean", revisions(docs, name))
+def maintain(docs: DataFrame, names: tuple[str, ...] = VERSIONS, path: str | None = None) -> Rollup:
+    """A corpus's life in batches: a load per tokenizer version, line clean-up, removal of copies. A batch
+    sent twice counts once, before the batches are folded into one and after."""
+    spark = docs.sparkSession
+    path = path or scratch_path(spark, "rollup")
+    rollup = Rollup(spark, path)
+    for name in names:
+        rollup.apply(f"load-{version_of(name)}", inserts(docs, name))
+        rollup.apply(f"clean-{version_of(name)}", revisions(docs, name))
+    rollup = rollup.compact(f"{path}-folded")
+    rollup.apply(f"load-{version_of(names[0])}", inserts(docs, names[0]))
+    rollup.apply("copies", deletions(docs, names))
     return rollup

@@ -1,8 +1,10 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from newsmart.llm import tokenize
 from newsmart.llm import token_counts as T
 from newsmart.llm.queries import op1_token_counts
 from tests.llm.conftest import SF
@@ -50,14 +52,36 @@ def test_batches_count_once(spark):
     assert r.apply("b2", second) and totals(r) == {("a", "en", "v"): (2, 12)}
 
 
-def test_compaction_keeps_totals_and_state(spark):
+def test_compaction_keeps_totals_state_and_ids(spark):
     r = rollup(spark)
-    r.apply("b1", batch(spark, (1, "v", "insert", 0, "a", "en", 10), (2, "v", "insert", 0, "a", "en", 2), (None, "v", "insert", 0, "a", "en", 1)))
-    r.apply("b2", batch(spark, (2, "v", "delete", 0, None, None, None)))
+    load = batch(spark, (1, "v", "insert", 0, "a", "en", 10), (2, "v", "insert", 0, "a", "en", 2), (None, "v", "insert", 0, "a", "en", 1))
+    gone = batch(spark, (2, "v", "delete", 0, None, None, None), (1, "v", "revise", 0, "a", "en", 9))
+    r.apply("b1", load)
+    r.apply("b2", gone)
     small = r.compact(r.path + "-small")
-    assert totals(small) == totals(r) == {("a", "en", "v"): (2, 11)}
-    small.apply("b3", batch(spark, (1, "v", "revise", 0, "a", "en", 20)))
-    assert totals(small) == {("a", "en", "v"): (2, 21)}
+    assert totals(small) == totals(r) == {("a", "en", "v"): (2, 10)}
+    assert not small.apply("b1", load) and not small.apply("b2", gone)  # sent again after the fold
+    assert totals(small) == {("a", "en", "v"): (2, 10)}
+    third = batch(spark, (1, "v", "revise", 0, "a", "en", 20), (2, "v", "insert", 0, "b", "en", 3))
+    assert small.apply("b3", third) and not small.apply("b3", third)
+    assert totals(small) == {("a", "en", "v"): (2, 21), ("b", "en", "v"): (1, 3)}
+    again = small.compact(r.path + "-smaller")  # a fold of a fold knows all of them
+    assert not any(again.apply(b, load) for b in ("b1", "b2", "b3")) and totals(again) == totals(small)
+    assert rollup(spark).compact(r.path + "-empty").committed() == []
+    with pytest.raises(ValueError):
+        small.apply(T.FOLDED, load)
+
+
+def test_a_small_batch_does_not_shuffle_the_ledger(spark):
+    r = rollup(spark)
+    many = spark.range(5000).selectExpr("id doc_id", "'v' version", "'insert' op", "0 seq", "'a' source", "'en' lang", "id tokens")
+    r.apply("b1", many)
+    one = spark.read.parquet(f"{r.path}/ledger/batch=b1").filter("doc_id < 3")
+    found = r.current(one)
+    assert found.count() == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    first = plan.split("Window ")[-1]  # below the window: the semi join, broadcast, then the shuffle of what is left
+    assert "BroadcastHashJoin" in first.split("Exchange hashpartitioning")[1] and "SortMergeJoin" not in plan
 
 
 def test_nulls_and_empty_batches(spark):
@@ -69,15 +93,18 @@ def test_nulls_and_empty_batches(spark):
 
 
 def test_query_matches_counting(spark):
-    encode = T._encoding(T.BYTE_BPE).encode_ordinary
+    byte = T._encoding(T.BYTE_BPE).encode_ordinary
+    word = tokenize.load(tokenize.tokenizer_path(T.WORD_BPE))
+    count = {T.BYTE_BPE: lambda t: len(byte(t)), T.WORD_BPE: lambda t: len(word.encode(t, add_special_tokens=False).ids)}
     want, seen = {}, set()
     for d in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect():
         if d["text"] in seen:
             continue
         seen.add(d["text"])
-        key = (d["source"], d["lang"], T.version_of(T.BYTE_BPE))
-        n, t = want.get(key, (0, 0))
-        want[key] = (n + 1, t + len(encode("\n".join(dict.fromkeys(d["text"].split("\n"))))))
+        for name in T.VERSIONS:
+            key = (d["source"], d["lang"], T.version_of(name))
+            n, t = want.get(key, (0, 0))
+            want[key] = (n + 1, t + count[name]("\n".join(dict.fromkeys(d["text"].split("\n")))))
     got = {(x["source"], x["lang"], x["version"]): (x["documents"], x["tokens"]) for x in op1_token_counts(spark, SF).collect()}
     assert got == want
 
@@ -85,6 +112,6 @@ def test_query_matches_counting(spark):
 def test_awkward_rows(awkward, nothing):
     r = T.maintain(awkward)
     sums = r.totals().agg(F.sum("documents"), F.sum("tokens")).first()
-    # ids 1 (twice, one key), 2 to 7, and two rows without id
-    assert sums[0] == 9 and sums[1] > 8000
+    # ids 1 (twice, one key), 2 to 7, and two rows without id, for each of two versions
+    assert sums[0] == 18 and sums[1] > 16000
     assert T.maintain(nothing).totals().count() == 0
