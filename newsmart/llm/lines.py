@@ -2,8 +2,8 @@
 
 A line is dropped when an equal one, or one within ``max_edits`` edits, comes earlier in
 the corpus: by ``doc_id`` (nulls last), then text hash, then line number. All earlier lines
-count, dropped or not, so the result does not depend on any order of work. Lines shorter
-than ``min_chars`` characters are left alone.
+count, dropped or not, so the result does not depend on any order of work. Lines without a word
+are left alone; those shorter than ``min_chars`` characters go for an equal one only.
 
 Equal lines meet by a 128-bit hash. For the others, a line is cut into ``max_edits + 1``
 segments. Within so many edits at least one segment of the shorter line appears unchanged in
@@ -15,8 +15,12 @@ one small integer, after two cheap tests that hold for all true matches: counts
 all but ``max_edits`` of 16 pieces unchanged.
 
 Scale: the most frequent lines, ``HEAVY`` of them, are counted first and enter the index
-once, so no entry is hot by repetition. Entries with a single line, nearly all, drop out in
-the one shuffle of the index (16 bytes a row, no text). Text is then fetched for the lines
+once, so no entry is hot by repetition. Different lines may share a segment too (a template, a
+licence with a name in it). Lines that share more than ``HOT`` of them are told apart by what is
+left of them: two lines within the edits that share a segment have rests within the edits, so the
+rests are cut and indexed the same way, under the shared entry, and so on for ``LEVELS`` (or until no
+entry is shared so). Remainders of entries far above the mean go that way before any shuffle. Entries
+with a single line, nearly all, drop out in the one shuffle of the index (16 bytes a row, no text). Text is then fetched for the lines
 left, and the verification is a semi join: a line leaves with the first match, pairs are
 never listed. Broadcast prefilters hold at most 2^20 hash remainders.
 
@@ -34,6 +38,9 @@ from newsmart.llm.common import IDENTITY, identity, store
 MAX_EDITS = 2
 MIN_CHARS = 20
 HEAVY = 10_000
+#: Different lines that may share an index entry before it is told apart, and how often that is done.
+HOT = 256
+LEVELS = 5
 #: Pieces of a line that are compared before its edit distance is.
 PIECES = 16
 #: Letters whose numbers are compared first; those of other scripts are not, which only makes that test weaker.
@@ -41,15 +48,17 @@ LETTERS = "etaoinshrdlucmgpfwyb"
 #: Remainders of hashes that a prefilter tells apart.
 REMAINDERS = 1 << 20
 LINE = ["_h1", "_h2"]
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``_k1, _k2, _n, _line, _h1, _h2, _at``: every line that counts, with its place."""
+    """``_k1, _k2, _n, _line, _h1, _h2, _at``: every line that counts, with its place: those that hold a
+    word, and any of ``min_chars`` characters."""
     lines = docs.select("doc_id", "text", *identity())
     lines = lines.select("doc_id", *IDENTITY, F.posexplode(F.split("text", "\n")).alias("_n", "_line"))
-    return lines.filter(F.char_length("_line") >= min_chars).select(
+    return lines.filter((F.char_length("_line") >= min_chars) | F.rlike("_line", F.lit(WORD))).select(
         *IDENTITY, "_n", "_line",
-        F.xxhash64("_line").alias("_h1"), F.xxhash64("_line", F.lit(1)).alias("_h2"),
+        F.xxhash64("_line").alias("_h1"), F.xxhash64(F.lit(1), "_line").alias("_h2"),
         F.struct(F.isnull("doc_id").alias("none"), "doc_id", *IDENTITY, "_n").alias("_at"),
     )
 
@@ -67,12 +76,14 @@ def probes(max_edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def index_entries(lines: DataFrame, line: str, max_edits: int) -> DataFrame:
-    """``lines`` with a row for each index entry: ``_key``, and ``_indexed`` where it is the line's
-    own segment. Segments are even parts, the longer ones last. The probes are a constant that is
-    exploded, and a key is one short formula, which the JVM compiles."""
+def index_entries(lines: DataFrame, line: str, max_edits: int, own_only: bool = False) -> DataFrame:
+    """``lines`` with a row for each index entry: ``_key``, ``_indexed`` where it is the line's own segment
+    (with ``own_only`` no others), and ``_rest``, the line without it. Segments are even parts, the longer
+    ones last. The probes are a constant that is exploded, and a key is one short formula, which the
+    JVM compiles."""
     parts = max_edits + 1
-    each = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(("shorter", "number", "shift"), p, strict=True))) for p in probes(max_edits)))
+    chosen = [(0, n, 0) for n in range(parts)] if own_only else probes(max_edits)
+    each = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(("shorter", "number", "shift"), p, strict=True))) for p in chosen))
     own = lines.withColumn("_length", F.char_length(line))
     rows = own.select("*", F.explode(each).alias("_p")).select(
         *lines.columns, F.col("_p.number").alias("_number"), F.col("_p.shift").alias("_shift"),
@@ -83,9 +94,11 @@ def index_entries(lines: DataFrame, line: str, max_edits: int) -> DataFrame:
     first_longer = F.lit(parts) - longer
     start = short * F.col("_number") + F.greatest(F.lit(0), F.col("_number") - first_longer) + 1
     size = short + F.when(F.col("_number") >= first_longer, 1).otherwise(0)
-    key = F.xxhash64("_of", "_number", F.substring(line, start + F.col("_shift"), size))
+    at = F.greatest(F.lit(1), start + F.col("_shift"))
+    key = F.xxhash64("_of", "_number", F.substring(line, at, size))
     indexed = F.col("_same") & (F.col("_shift") == 0)
-    return rows.select(*lines.columns, key.alias("_key"), indexed.alias("_indexed"))
+    rest = F.concat(F.substring(line, F.lit(1), at - 1), F.substring(line, at + size, F.char_length(line)))
+    return rows.select(*lines.columns, key.alias("_key"), indexed.alias("_indexed"), rest.alias("_rest"))
 
 
 def within_edits(a: str, b: str, max_edits: int) -> str:
@@ -163,20 +176,57 @@ def _shared(entries: DataFrame) -> DataFrame:
     return dealt.join(several.hint("shuffle_hash"), "key").distinct()
 
 
-def _remainder(hash_column: str) -> Column:
+def _remainder(hash_column: str | Column) -> Column:
     return F.pmod(F.shiftright(hash_column, 1), F.lit(REMAINDERS))
 
 
+def _entries_of(lines: DataFrame, line: str, max_edits: int) -> DataFrame:
+    """``(key, line, rest)`` of ``lines(under, of, ...)``: the entries under what the lines share already,
+    ``line`` with the lowest bit telling indexed ones."""
+    rows = index_entries(lines.select("under", "of", F.col(line).alias("_text")), "_text", max_edits)
+    marked = F.col("of").bitwiseOR(F.col("_indexed").cast("bigint"))
+    return rows.select(F.xxhash64("under", "_key").alias("key"), marked.alias("line"), F.col("_rest").alias("rest"))
+
+
+def _far_above_mean(lines: DataFrame, max_edits: int) -> DataFrame:
+    """``(_r)``: remainders of entries that so many lines have that one task should not get them all."""
+    own = index_entries(lines.select("under", "of", "_text"), "_text", max_edits, own_only=True)
+    counts = store(own.groupBy(_remainder(F.xxhash64("under", "_key")).alias("_r")).agg(F.count("*").alias("n")), "remainders")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.filter(F.col("n") > max(HOT, 20 * total // REMAINDERS, total // 200)).select("_r")
+
+
+def _told_apart(lines: DataFrame, max_edits: int) -> DataFrame:
+    """``(key, of, indexed)``: the index entries that several of ``lines(of, _line)`` share, those of more
+    than ``HOT`` lines replaced by entries of the lines' rests under them."""
+    lines = lines.select(F.lit(0).cast("bigint").alias("under"), "of", F.col("_line").alias("_text"))
+    out = None
+    of = F.col("line").bitwiseAND(~1)
+    for level in range(LEVELS):
+        entries = _entries_of(lines, "_text", max_edits)
+        last = level == LEVELS - 1
+        skewed = _far_above_mean(lines, max_edits)
+        keyed = entries.withColumn("_r", _remainder("key"))
+        even = entries if last else keyed.join(F.broadcast(skewed), "_r", "left_anti")
+        found = store(_shared(even.select("key", "line")), "entries")
+        hot = found.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key")
+        hot = store((hot.limit(0) if last else hot).coalesce(16), "hot")
+        part = found.join(hot, "key", "left_anti").select("key", of.alias("of"), (F.col("line").bitwiseAND(1) == 1).alias("indexed"))
+        out = part if out is None else out.unionByName(part)
+        if last or (hot.isEmpty() and skewed.isEmpty()):
+            return out
+        again = keyed.join(F.broadcast(skewed), "_r", "left_semi").drop("_r").unionByName(entries.join(hot, "key", "left_semi"))
+        lines = store(again.select(F.col("key").alias("under"), of.alias("of"), F.col("rest").alias("_text")).distinct(), "rests")
+    return out
+
+
 def similar_lines(lines: DataFrame, counted: DataFrame, max_edits: int) -> DataFrame:
     """``(_h1, _h2)`` of the lines with an earlier one that differs by 1 to ``max_edits`` edits.
     ``counted(_h1, _h2, _first, _count)``: the lines that occur more than once."""
     heavy = counted.orderBy(F.desc("_count"), *LINE).limit(HEAVY).select(*LINE, "_first")
     once = lines.join(F.broadcast(heavy), LINE, "left").filter("_first is null or _first = _at")
     of = F.col("_h1").bitwiseAND(~1)
-    entries = index_entries(once.select(of.alias("of"), "_line"), "_line", max_edits)
-    found = store(
-        _shared(entries.select(F.col("_key").alias("key"), F.col("of").bitwiseOR(F.col("_indexed").cast("bigint")).alias("line"))), "entries"
-    ).select("key", F.col("line").bitwiseAND(~1).alias("of"), (F.col("line").bitwiseAND(1) == 1).alias("indexed"))
+    found = _told_apart(once.select(of.alias("of"), "_line"), max_edits)
 
     wanted = store(found.select("of").distinct(), "wanted")
     rests = wanted.select(_remainder("of").alias("_r")).distinct()
@@ -203,7 +253,8 @@ def dropped_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
     counted = store(
         lines.groupBy(*LINE).agg(F.min("_at").alias("_first"), F.count("*").alias("_count")).filter("_count > 1"), "counted"
     )
-    near = similar_lines(lines, counted, max_edits) if max_edits else counted.select(*LINE).limit(0)
+    long = lines.filter(F.char_length("_line") >= min_chars)
+    near = similar_lines(long, counted, max_edits) if max_edits else counted.select(*LINE).limit(0)
     marks = counted.select(*LINE, "_first", F.lit(False).alias("_all")).unionByName(
         near.withColumn("_all", F.lit(True)), allowMissingColumns=True
     )

@@ -23,12 +23,11 @@ def slow_dedup(docs, max_edits, min_chars):
     for doc_id, text in docs:
         left = []
         for line in text.split("\n"):
-            if len(line) < min_chars:
+            near = (x for x in seen if min(len(x), len(line)) >= min_chars and abs(len(x) - len(line)) <= max_edits)
+            if not (line in seen or any(edits(x, line) <= max_edits for x in near)):
                 left.append(line)
-                continue
-            if not (line in seen or any(abs(len(x) - len(line)) <= max_edits and edits(x, line) <= max_edits for x in seen)):
-                left.append(line)
-            seen.add(line)
+            if line.strip(" \t\n\v\f\r"):
+                seen.add(line)
         out.append((doc_id, "\n".join(left)))
     return out
 
@@ -102,3 +101,37 @@ def test_awkward_rows(awkward, nothing):
     out = L.deduplicate(awkward)
     assert out.columns == awkward.columns and out.dtypes == awkward.dtypes and out.count() == awkward.count()
     assert L.report(nothing).count() == 0 and L.deduplicate(nothing).count() == 0
+
+
+def templated(n, seed=1):
+    """Lines of one template: most differ in many letters, some in one or two."""
+    r = random.Random(seed)
+    out = []
+    for i in range(n):
+        if i % 10 == 9:
+            out.append(mutated(out[r.randrange(len(out))], r.randint(1, 2)))
+        else:
+            out.append("Copyright notice of the site " + "".join(r.choice("abcdefghij") for _ in range(r.choice([14, 15, 45]))))
+    return out
+
+
+def test_lines_of_one_template_match_brute_force(spark, documents, monkeypatch):
+    """A segment that all share is told apart by the rests; with and without the guard before the shuffle."""
+    random.seed(2)
+    texts = templated(400)
+    docs = documents([(i, t, "en", "s") for i, t in enumerate(texts)])
+    want = dict(slow_dedup(list(enumerate(texts)), 2, 20))
+    monkeypatch.setattr(L, "HOT", 8)
+    for guard in (1 << 20, 1):  # by remainders only where they are far above the mean; or never
+        monkeypatch.setattr(L, "REMAINDERS", guard)
+        got = {r["doc_id"]: r["text"] for r in L.report(docs).collect()}
+        assert got == want
+
+
+def test_many_templated_lines_make_few_pairs(spark, monkeypatch):
+    """The pairs that meet grow with the lines, not with their square."""
+    lines = spark.createDataFrame([(i << 1, t) for i, t in enumerate(dict.fromkeys(templated(3000)))], "of bigint, _line string")
+    monkeypatch.setattr(L, "HOT", 64)
+    found = L._told_apart(lines, 2)
+    worst = found.groupBy("key").count().agg(F.max("count"), F.sum(F.col("count") * F.col("count"))).first()
+    assert worst[0] <= 300 and worst[1] < 40 * 3000
