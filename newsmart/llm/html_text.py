@@ -7,15 +7,20 @@ not the article (navigation, forms, scripts, adverts, comments of readers and th
 The ratios are smoothed by a Gaussian window over the page and split into two clusters by
 the threshold that separates them best; runs of lines above it are the content regions.
 
+Names that may stand for links beside the article or for a part of it (``related``, ``share``, ``legal``)
+exclude only what is half linked or more.
+
 Ratios alone lose an article's short lines and may join two neighbours, so regions choose
 *where* the article is, not its lines: the outermost article element that holds most of the
 regions' text, else the outermost main element, else the smallest element that does, named
 as the article first. From there it climbs while what an element adds is content: a title
-or a lead beside the body belongs to the article. All lines in it that the markup does not exclude are the
+or a lead beside the body belongs to the article; so does another article element with content in the
+same main. All lines in it that the markup does not exclude are the
 text, in page order.
 
 Cases: null, empty and textless html give an empty text; broken nesting is closed by the
-next end tag that matches; pages of one line are taken whole; equal rows stay; an empty
+next end tag that matches; pages of one line are taken whole; very long pages are parsed whole, in
+batches of 8 MB; equal rows stay; an empty
 table gives no rows; other columns are not read."""
 
 from __future__ import annotations
@@ -38,22 +43,26 @@ BLOCKS = frozenset(
 #: Elements that never hold the article's text.
 NEVER = frozenset(
     "script style noscript template head title nav aside footer form button select option textarea input label iframe object "
-    "svg canvas audio video map dialog menu fieldset".split()
+    "svg canvas audio video map dialog menu".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Whole words of class and id values (parts between hyphens, underscores and case changes).
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner menu nav navbar navigation "
-    "navi breadcrumb breadcrumbs sidebar side aside widget widgets footer foot header masthead topbar toolbar notice notices cookie "
-    "cookies consent gdpr popup modal overlay alert newsletter subscribe subscription signup login share sharing social related "
-    "recommended recommendations trending comment comments disqus reply replies respond discussion pagination pager skip search "
-    "copyright legal disclaimer tags tagcloud toc paywall adslot adunit adbox adsense".split()
+    "navi breadcrumb breadcrumbs sidebar aside widget widgets footer foot header masthead topbar toolbar notice notices cookie "
+    "cookies consent gdpr popup modal overlay alert newsletter subscribe subscription signup login "
+    "comment comments disqus reply replies respond responses feedback reactions discussion pagination pager skip "
+    "copyright tagcloud paywall adslot adunit adbox".split()
 )
 NAME_STARTS = (
     "advert", "sponsor", "cookie", "comment", "newsletter", "subscri", "navig", "breadcrumb", "paginat", "sidebar", "recommend"
 )
-#: First words of class names that describe an element's surroundings, as in "has-sidebar".
-ABOUT = frozenset("has with without no js is".split())
+#: Names of blocks that may be links around the article or a part of it: they go where half of their text is linked.
+MAYBE = frozenset("side share sharing social related recommended recommendations trending search legal disclaimer tags toc".split())
+#: First words of class names that describe an element's surroundings, as in "has-sidebar", and ones that
+#: only say who looks for the name, as in "js-banner".
+ABOUT = frozenset("has with without no".split())
+MARKS = frozenset("js is".split())
 ARTICLE_NAMES = frozenset("article post entry story main content body text articlebody maincontent".split())
 #: Elements whose open tag closes an open paragraph.
 CLOSES_P = BLOCKS - {"body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "dd", "dt", "li", "legend", "summary"}
@@ -63,10 +72,12 @@ SIGMA = 1.0
 
 
 class _Node:
-    __slots__ = ("excluded", "parent", "tag", "article")
+    __slots__ = ("article", "excluded", "maybe", "parent", "tag")
 
-    def __init__(self, tag: str, parent: _Node | None, excluded: bool, article: bool):
+    def __init__(self, tag: str, parent: _Node | None, excluded: bool, article: bool, maybe: bool = False):
         self.tag, self.parent, self.excluded, self.article = tag, parent, excluded, article
+        #: The outermost element around it, or itself, that is named as what may be links beside the article.
+        self.maybe: _Node | None = parent.maybe if parent is not None and parent.maybe is not None else self if maybe else None
 
 
 class Line:
@@ -82,7 +93,7 @@ def _words(value: str) -> set[str]:
     for name in value.split():
         words = [w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", " ", name).lower()) if w]
         if words and words[0] not in ABOUT:
-            out.update(words)
+            out.update(words[1:] if words[0] in MARKS else words)
     return out
 
 
@@ -123,13 +134,13 @@ class Lines(HTMLParser):
             self._close("p", BLOCKS - {"p"})
         elif tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
             self._close(tag, frozenset(("ul", "ol", "dl", "table", "select", "menu")))
-        excluded, article = self.node.excluded, tag in ("article", "main")
+        excluded, article, maybe = self.node.excluded, tag in ("article", "main"), False
         if not excluded:
             excluded = tag in NEVER and (self.strict or tag != "form") or (tag == "header" and not self._within_article())
             if attrs and not excluded:
-                excluded, named = self._attributes(tag, attrs)
+                excluded, named, maybe = self._attributes(tag, attrs)
                 article = article or named
-        self.node = _Node(tag, self.node, excluded, article and not excluded)
+        self.node = _Node(tag, self.node, excluded, article and not excluded, maybe)
         if tag == "a":
             self.anchors += 1
 
@@ -141,9 +152,11 @@ class Lines(HTMLParser):
             node = node.parent
         return False
 
-    def _attributes(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
-        """Whether an element's attributes exclude it, and whether they name it the article."""
-        excluded = named = False
+    def _attributes(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool, bool]:
+        """Whether an element's attributes exclude it, whether they name it the article, and whether they
+        exclude it if it is links. Of prose within an article only a whole name says something: not
+        ``share-price``, but ``ad``."""
+        excluded = named = maybe = False
         for name, value in attrs:
             value = value or ""
             if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
@@ -152,7 +165,10 @@ class Lines(HTMLParser):
                 if own or self._within_article():  # an article's own header is part of it
                     words = words - {"header", "masthead"}
                 if self.strict:
+                    if tag in PROSE and self._within_article():
+                        words = {w for w in words if w in value.lower().split()}
                     excluded = excluded or bool(words & NAMES) or any(w.startswith(NAME_STARTS) for w in words)
+                    maybe = maybe or bool(words & MAYBE)
                 named = named or own
             elif name == "role":
                 excluded = excluded or value.strip().lower() in ROLES
@@ -163,7 +179,7 @@ class Lines(HTMLParser):
                 excluded = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
                 excluded = True
-        return excluded, named and not excluded
+        return excluded, named and not excluded, maybe
 
     def _close(self, tag: str, stop: frozenset[str]) -> None:
         """Close an open ``tag`` and all in it, if no element of ``stop`` lies between."""
@@ -200,6 +216,16 @@ class Lines(HTMLParser):
     def close(self) -> None:
         super().close()
         self._flush()
+        texts: dict[_Node, list[int]] = {}
+        for line in self.lines:
+            if line.node.maybe is not None:
+                sums = texts.setdefault(line.node.maybe, [0, 0])
+                sums[0] += line.linked
+                sums[1] += len(line.text)
+        for line in self.lines:
+            if line.node.maybe is not None:
+                linked, chars = texts[line.node.maybe]
+                line.excluded = line.excluded or 2 * linked >= chars
 
 
 def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -261,6 +287,7 @@ def main_text(html: str | None) -> str:
         chosen = chosen.parent
     above = [not x.excluded and v > border for x, v in zip(lines, smoothed.tolist(), strict=True)]
     chosen = _climb(chosen, lines, above)
+    chosen = _with_siblings(chosen, lines, above)
     return "\n".join(x.text for x in lines if not x.excluded and _inside(x.node, chosen))
 
 
@@ -313,6 +340,24 @@ def _climb(chosen: _Node, lines: list[Line], above: list[bool]) -> _Node:
     return chosen
 
 
+def _with_siblings(chosen: _Node, lines: list[Line], above: list[bool]) -> _Node:
+    """The main element around a chosen article, where it holds another article with content lines: a
+    text in several articles."""
+    main = chosen
+    while main is not None and main.tag != "main":
+        main = main.parent
+    if main is None or chosen.tag != "article":
+        return chosen
+    for line, region in zip(lines, above, strict=True):
+        if not line.excluded and region and not _inside(line.node, chosen):
+            node = line.node
+            while node is not None and node is not main:
+                if node.tag == "article" and _inside(node, main):
+                    return main
+                node = node.parent
+    return chosen
+
+
 def _inside(node: _Node | None, of: _Node) -> bool:
     while node is not None:
         if node is of:

@@ -110,3 +110,41 @@ def test_paragraphs_beside_a_long_section():
     links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(12))
     got = H.main_text(f"<body><ul>{links}</ul><div><p>{P1}</p><section><p>{long}</p><p>{long}</p></section><p>{P2}</p></div></body>")
     assert got == "\n".join([T1, " ".join([T1] * 5), " ".join([T1] * 5), T2])
+
+
+PARA = "The committee met on Tuesday to decide on the new line, and nobody was surprised at what it said. " * 2
+
+
+def test_names_do_not_remove_prose_within_the_article():
+    body = (
+        f'<h2 class="side">A side matter</h2><p>{PARA}</p><p class="legal">What the law says on it.</p><p class="share-price">Shares rose.</p>'
+        f'<fieldset><legend>In short</legend><p>Three points.</p></fieldset><div class="trending"><p>{PARA}</p></div><p>{PARA}</p>'
+    )
+    page = f"<html><body><nav><a href=x>Home</a></nav><article><h1>Title</h1>{body}</article><footer>Imprint</footer></body></html>"
+    para = PARA.strip()
+    assert H.main_text(page).split("\n") == [
+        "Title", "A side matter", para, "What the law says on it.", "Shares rose.", "In short", "Three points.", para, para
+    ]
+
+
+def test_banners_comments_and_link_lists_go():
+    page = (
+        f'<body><article><h1>Title</h1><div class="js-cookie-banner"><p>We use cookies.</p></div><p>{PARA}</p><p class="ad">Buy this.</p>'
+        f'<div class="related"><ul><li><a href=a>Another story of the day</a></li><li><a href=b>One more of them</a></li></ul></div>'
+        f'<div class="responses"><p>{PARA} I read this twice.</p></div><ul class="feedback-list"><li>{PARA} Great!</li></ul></article></body>'
+    )
+    assert H.main_text(page).split("\n") == ["Title", PARA.strip()]
+
+
+def test_a_text_in_two_articles_of_one_main():
+    page = (
+        f"<body><nav>Menu</nav><main><article><h2>First part</h2><p>{PARA}</p><p>{PARA}</p></article>"
+        f"<article><h2>Second part</h2><p>{PARA}</p></article></main><aside>More</aside></body>"
+    )
+    para = PARA.strip()
+    assert H.main_text(page).split("\n") == ["First part", para, para, "Second part", para]
+
+
+def test_a_very_long_page():
+    page = "<body><nav>Menu</nav><article>" + f"<p>{PARA}</p>" * 20_000 + "</article></body>"
+    assert H.main_text(page) == "\n".join([PARA.strip()] * 20_000)
