@@ -5,10 +5,11 @@ every run between white space as secret begin (B), inside (I) or outside (O) fro
 token's shape, its neighbours and features of the whole file, decoded by Viterbi.
 
 By rule only a token of eight or more ASCII characters with a digit or an inner change of
-case may begin a secret, and only tokens that adjoin without space may continue one. All
-others are outside, so a chain falls apart at white space: decoding the runs that hold such
-a token, with two tokens of context at each side, gives the path that decoding the whole
-text would.
+case may begin a secret, or one of any shape (``NAMED_TOKEN``) among the ``NEAR`` tokens behind a
+word that names secrets; and only tokens that adjoin without space may continue one. All others
+are outside, so a chain falls apart at white space: decoding the runs that hold such a token, with two
+tokens of context at each side (within 60 characters) and the distance to the last naming word of the
+whole text, gives the path that decoding the whole text would.
 
 The field is trained here, on the spans that the patterns find in a bounded sample: the
 ``SAMPLE_DOCS`` texts with the smallest hashes among those that name a secret, and as many
@@ -23,8 +24,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +55,11 @@ TRIGGERS = frozenset(
     "password passwd pwd passphrase secret token key apikey api_key access_key secret_key private credential credentials auth "
     "authorization bearer login signature".split()
 )
+#: Those words, or parts of one between hyphens and underscores.
+TRIGGER = re.compile(rf"(?<![^\W_])(?<![+/])(?:{'|'.join(sorted(TRIGGERS))})(?![^\W_])(?![+/])", re.IGNORECASE)
+#: So many tokens behind such a word, one of any shape may begin a secret.
+NEAR = 5
+NAMED_TOKEN = re.compile(r"[A-Za-z0-9+/_-]{6,}={0,2}")
 STATES = ("O", "B", "I")
 CONTEXT = 2
 #: Training uses no longer runs than this many tokens; decoding takes any.
@@ -135,38 +143,88 @@ def _tokens(text: str, start: int, end: int) -> list[re.Match]:
     return list(TOKEN.finditer(text, start, end))
 
 
+def triggers(text: str) -> list[tuple[int, int]]:
+    """The tokens of a whole text that name secrets, as (start, end)."""
+    out: list[tuple[int, int]] = []
+    for m in TRIGGER.finditer(text):
+        start = m.start()
+        while start and (text[start - 1].isalnum() or text[start - 1] in "_+/-"):
+            start -= 1
+        token = TOKEN.match(text, start)
+        if token and (not out or token.end() > out[-1][1]):
+            out.append(token.span())
+    return out
+
+
+def _run_at(text: str, at: int) -> tuple[int, int]:
+    start, end = at, at
+    while start and not text[start - 1].isspace():
+        start -= 1
+    while end < len(text) and not text[end].isspace():
+        end += 1
+    return start, end
+
+
+def _begins(words: list[str], named: int) -> tuple[list[bool], list[int]]:
+    """Which tokens may begin a secret, and of each the tokens since the last word that names secrets
+    (``named``: at the first)."""
+    begins, since = [], []
+    for word in words:
+        since.append(named)
+        names = any(x in TRIGGERS for x in re.split(r"[_-]", word.lower().strip("_-=")))
+        begins.append(bool(MAY_BEGIN.fullmatch(word) or (named < NEAR and not names and NAMED_TOKEN.fullmatch(word))))
+        named = 0 if names else named + 1
+    return begins, since
+
+
 def runs(text: str, of_file: list[str] | None = None) -> Iterator[Run]:
-    """Every run that holds a token which may begin a secret."""
-    for m in RUN.finditer(text):
-        own = _tokens(text, *m.span())
-        if not any(MAY_BEGIN.fullmatch(t[0]) for t in own):
-            continue
+    """Every run that holds a token which may begin a secret; runs with only white space between them
+    are one, as the state at the end of one bears on the next."""
+    ends = [e for _, e in triggers(text)]
+    spans = {m.span() for m in RUN.finditer(text)}
+    for end in ends:
+        spans.update(_run_at(text, t.start()) for t in islice(TOKEN.finditer(text, end), NEAR))
+
+    def since(at: int) -> int:
+        """Tokens from the last naming one to a place, counted as far as it matters."""
+        k = bisect_right(ends, at)
+        return sum(1 for _ in islice(TOKEN.finditer(text, ends[k - 1], at), NEAR + 1)) if k else 99
+
+    kept: list[list[int]] = []
+    for start, end in sorted(spans):
+        if any(_begins([t[0] for t in _tokens(text, start, end)], since(start))[0]):
+            if kept and not text[kept[-1][1] : start].strip():
+                kept[-1][1] = end
+            else:
+                kept.append([start, end])
+    for start, end in kept:
         of_file = file_features(text) if of_file is None else of_file
-        before = _tokens(text, max(0, m.start() - 60), m.start())[-CONTEXT:]
-        after = _tokens(text, m.end(), m.end() + 60)[:CONTEXT]
-        yield _run(before, own, after, of_file)
+        before = _tokens(text, max(0, start - 60), start)[-CONTEXT:]
+        after = _tokens(text, end, end + 60)[:CONTEXT]
+        yield _run(before, _tokens(text, start, end), after, of_file, since(before[0].start() if before else start))
 
 
-def _run(before, own, after, of_file) -> Run:
+def _run(before, own, after, of_file, named: int = 99) -> Run:
+    """``named``: tokens between the last word that names secrets and the first of these."""
     tokens = [*before, *own, *after]
     words = [t[0] for t in tokens]
     shapes = [shape_features(w) for w in words]
-    low = [w.lower().strip("_-") for w in words]
     lo, hi = len(before), len(before) + len(own)
-    mail = any(w == "@" for w in words[lo:hi])
-    features, begins, inside = [], [], []
-    named = 99  # tokens since a word that names secrets
+    adjoins = [False, *(a.end() == b.start() for a, b in pairwise(tokens))]
+    chunk = list(accumulate(0 if x else 1 for x in adjoins))  # of the tokens without white space between
+    mail = {c for c, w in zip(chunk, words, strict=True) if w == "@"}
+    begins, since = _begins(words, named)
+    features = []
     for i, shape in enumerate(shapes):
-        f = ["any", *shape, *of_file, f"named:{min(named, 5)}"]
+        f = ["any", *shape, *of_file, f"named:{min(since[i], NEAR)}"]
         f += [f"prev {x}" for x in shapes[i - 1][:2]] if i else ["first"]
         f += [f"next {x}" for x in shapes[i + 1][:2]] if i + 1 < len(shapes) else ["last"]
-        if mail:
+        if chunk[i] in mail:
             f.append("mail")
         features.append(f)
-        in_run = lo <= i < hi
-        begins.append(in_run and bool(MAY_BEGIN.fullmatch(words[i])))
-        inside.append(in_run and i > lo)
-        named = 0 if any(x in TRIGGERS for x in re.split(r"[_-]", low[i])) else named + 1
+    within = [lo <= i < hi for i in range(len(tokens))]
+    begins = [a and b for a, b in zip(begins, within, strict=True)]
+    inside = [a and i > lo and b for i, (a, b) in enumerate(zip(within, adjoins, strict=True))]
     return Run([t.start() for t in tokens], [t.end() for t in tokens], features, begins, inside)
 
 

@@ -103,3 +103,52 @@ def test_awkward_rows(awkward, nothing):
     assert len(rows) == awkward.count()
     assert {r["base_sha256"] for r in rows} == {hashlib.sha256(b"").hexdigest()} and {r["spans"] for r in rows} == {""}
     assert S.scan(nothing).count() == 0 and S.fit(nothing) is None
+
+
+def test_distance_to_the_naming_word_is_that_of_the_whole_text():
+    text = "of the password you need is then Xy7abcdQ9 and " + "filler " * 50 + "Zz9qqqqWW1"
+    by_word = {text[s:e]: f for r in S.runs(text) for s, e, f in zip(r.starts, r.ends, r.features, strict=True)}
+    assert "named:4" in by_word["Xy7abcdQ9"] and f"named:{S.NEAR}" in by_word["Zz9qqqqWW1"]
+    assert S.triggers("my-API_key= x, tokens, access-token:y keyed a/key") == [(0, 11), (23, 35)]
+
+
+def test_a_named_token_may_have_any_shape():
+    words = lambda text: {text[s:e] for r in S.runs(text) for s, e, b in zip(r.starts, r.ends, r.begins, strict=True) if b}
+    assert words("the password is hunter2") == {"hunter2"}
+    assert words("the password is correcthorsebattery but gardeners kept on watering") == {"correcthorsebattery", "gardeners"}
+    assert words("correcthorsebattery hunter2 short") == set()
+    rng = np.random.default_rng(1)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 19))
+
+    def examples(n):
+        out = []
+        for _ in range(n):
+            for text in (f"then the password is {word()} for you", f"the secret gardens kept growing while {word()} slept"):
+                value = text.split()[4]
+                at = text.index(value) if "password" in text else 0
+                out += [(r, S.gold_states(r, [(at, at + len(value))] if at else [])) for r in S.runs(text)]
+        return out
+
+    field = S.train(examples(40))
+    for text, found in (("but the password is correcthorsebattery they said", 1), ("a secret garden kept correcthorsebattery waiting", 0)):
+        assert len(S.field_spans(text, field)) == found, text
+
+
+def test_decoding_runs_equals_decoding_the_whole_text():
+    rng = np.random.default_rng(3)
+    vocabulary = ["password", "is", "token:", "hunter2", "abc12345:def67890", "plain", "Xy7abcdQ9", "a-b", "key", "correcthorse", "x=12345678,", "end.", "me@mail8.example.com"]
+    for _ in range(60):
+        text = " ".join(rng.choice(vocabulary, 25))
+        own = S._tokens(text, 0, len(text))
+        whole = S._run([], own, [], S.file_features(text))
+        names = sorted({x for f in whole.features for x in f})
+        move = rng.normal(size=(3, 3))
+        move[0, 2] = S.FORBIDDEN
+        field = S.Field({x: k for k, x in enumerate(names)}, rng.normal(size=(len(names), 3)), move)
+        spans = []
+        for i, state in enumerate(field.decode(whole)):
+            if state == 1:
+                spans.append(["crf", whole.starts[i], whole.ends[i]])
+            elif state == 2:
+                spans[-1][2] = whole.ends[i]
+        assert S.field_spans(text, field) == [tuple(x) for x in spans]
