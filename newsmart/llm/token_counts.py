@@ -135,7 +135,8 @@ class Rollup:
             raise ValueError(f"a batch may not be named {batch!r}")
         if self.counted(batch):
             return False
-        kept = changes.select(*KEY, "op", "seq", "source", "lang", F.coalesce("tokens", F.lit(0).cast("bigint")).alias("tokens"))
+        # Stored first: rows with and without an id go two ways, and would be counted for each.
+        kept = store(changes.select(*KEY, "op", "seq", "source", "lang", F.coalesce("tokens", F.lit(0).cast("bigint")).alias("tokens")), "changes")
         last = F.row_number().over(W.partitionBy(*KEY).orderBy(F.desc("seq"), "op", "source", "lang", "tokens"))
         named = kept.filter("doc_id is not null").withColumn("_nth", last).filter("_nth = 1")
         nameless = kept.filter("doc_id is null and op = 'insert'")
