@@ -77,3 +77,30 @@ WHERE NOT same AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
 QUALIFY row_number() OVER w <= 5
 """
+
+_WORDS6 = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+#: Windows of item words joined with those of the documents, as strings.
+OP6 = f"""
+WITH doc_words AS (SELECT rowid AS r, doc_id, coalesce({_WORDS6}, []) AS words FROM (SELECT *, row_number() OVER () AS rowid FROM documents)),
+item_words AS (SELECT item_id, {_WORDS6} AS words FROM benchmark WHERE text IS NOT NULL),
+places AS (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS pos FROM item_words WHERE len(words) > 0),
+item_windows AS (SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[pos:pos + 9], ' ') AS w FROM places),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_places AS (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS pos FROM doc_words, sizes WHERE len(words) >= n),
+found AS (
+  SELECT r, pos, n, item_id
+  FROM (SELECT r, pos, n, array_to_string(words[pos:pos + n - 1], ' ') AS w FROM doc_places) JOIN item_windows USING (n, w)
+),
+hits AS (SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(pos, pos + n)) AS word FROM (SELECT DISTINCT r, pos, n FROM found)) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM found) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+"""

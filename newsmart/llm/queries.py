@@ -85,7 +85,7 @@ QUERIES = {
     "op3_best_fit_packing": (op3_best_fit_packing, None),
     "op4_quality_rules": (op4_quality_rules, None),
     "op5_line_dedup": (op5_line_dedup, None),
-    "op6_benchmark_decontamination": (op6_benchmark_decontamination, None),
+    "op6_benchmark_decontamination": (op6_benchmark_decontamination, oracles.OP6),
     "op7_secret_scan": (op7_secret_scan, None),
     "op8_language_id": (op8_language_id, None),
     "op9_html_extraction": (op9_html_extraction, None),

@@ -3,7 +3,8 @@ import hashlib
 import re
 
 from newsmart.llm import decontamination as D
-from newsmart.llm.queries import op6_benchmark_decontamination
+from newsmart.llm.queries import QUERIES, op6_benchmark_decontamination
+from tests.check import DUCK_TYPE, digest, duck_connect
 from tests.llm.conftest import SF
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -79,3 +80,12 @@ def test_awkward_rows(spark, awkward, nothing):
     assert kept.columns == awkward.columns and kept.count() == awkward.count() - 2
     assert D.report(awkward, bench.limit(0)).filter("contaminated").count() == 0
     assert D.report(nothing, bench).count() == 0 and D.keep_clean(nothing, bench).count() == 0
+
+
+def test_query_against_sql(spark):
+    fn, sql = QUERIES["op6_benchmark_decontamination"]
+    df = fn(spark, SF)
+    cur = duck_connect(SF).execute(sql)
+    want = digest([c[0] for c in cur.description], cur.fetchall())
+    assert want == digest(df.columns, [tuple(r) for r in df.collect()])
+    assert {f.name: DUCK_TYPE[f.dataType.simpleString()] for f in df.schema} == {r[0]: r[1] for r in duck_connect(SF).execute(f"DESCRIBE {sql}").fetchall()}
