@@ -184,6 +184,27 @@ def search_articles(
 # ---------------------------------------------------------------- RA-6: sort and page
 
 
+def with_popularity(df: DataFrame, popularity: DataFrame | None = None) -> DataFrame:
+    """``df`` with the ``popularity`` of each article's source: that of the table ``popularity(source_id,
+    popularity)``, or the source's number of articles in ``df``; 0 where it is not known."""
+    if popularity is None:
+        popularity = df.groupBy("source_id").agg(F.count(F.lit(1)).alias("popularity"))
+    known = popularity.filter("source_id is not null").select("source_id", "popularity")
+    return df.join(known, "source_id", "left").select(*df.columns, F.coalesce("popularity", F.lit(0)).alias("popularity"))
+
+
+def _ranked(df: DataFrame, sort_by: str, q: str | None, search_in, popularity: DataFrame | None) -> tuple[DataFrame, str | None]:
+    """``df`` with the column that ``sort_by`` puts before the time, and that column's name."""
+    _check_option("sortBy", sort_by, SORT_BY_OPTIONS)
+    if sort_by == "popularity":
+        return with_popularity(df, popularity), "popularity"
+    if sort_by == "relevancy":
+        if q is None:
+            raise ValueError("relevancy sorting needs q")
+        return df.withColumn("relevance", relevance(q, search_in)), "relevance"
+    return df, None
+
+
 def sort_and_page(
     df: DataFrame,
     sort_by: str = "publishedAt",
@@ -192,24 +213,18 @@ def sort_and_page(
     q: str | None = None,
     search_in: str | Sequence[str] | None = None,
     ts_col: str = "published_ts",
+    popularity: DataFrame | None = None,
 ) -> DataFrame:
-    """RA-6: newest first (ties by URL) or by relevancy to ``q``; then one page.
-    ``popularity`` needs data only the remote service has, so it raises.
+    """RA-6: newest first (ties by URL), by relevancy to ``q``, or by popularity of the source
+    (``with_popularity``); then one page.
 
     Plans as a top-(page*size) ``TakeOrderedAndProject`` with an offset: each task keeps
     at most page*size rows."""
-    _check_option("sortBy", sort_by, SORT_BY_OPTIONS)
     if page_size < 1 or page < 1:
         raise ValueError("pageSize and page must be positive")
-    if sort_by == "popularity":
-        raise NotImplementedError("popularity ranking needs the search service's own data")
-    if sort_by == "relevancy":
-        if q is None:
-            raise ValueError("relevancy sorting needs q")
-        df = df.withColumn("relevance", relevance(q, search_in))
-        order = [F.desc("relevance"), F.desc_nulls_last(ts_col), F.asc_nulls_last("url")]
-    else:
-        order = [F.desc_nulls_last(ts_col), F.asc_nulls_last("url")]
+    df, rank = _ranked(df, sort_by, q, search_in, popularity)
+    order = [F.desc_nulls_last(ts_col), F.asc_nulls_last("url")]
+    order = [F.desc(rank), *order] if rank else order
     return df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
 
 
@@ -223,23 +238,23 @@ def _token(values: dict) -> str:
 def _values(token: str, sort_by: str) -> dict:
     try:
         out = json.loads(base64.urlsafe_b64decode(token.encode()))
-        if set(out) == {"sort", "relevance", "ts", "url", "ties", "seen"} and out["sort"] == sort_by:
+        if set(out) == {"sort", "rank", "ts", "url", "ties", "seen"} and out["sort"] == sort_by:
             return out
     except ValueError:  # not base64, not UTF-8 or not JSON
         pass
     raise ValueError(f"not a continuation token of a {sort_by!r} search: {token!r}")
 
 
-def _not_before(last: dict, ts_col: str, by_relevance: bool) -> Column:
+def _not_before(last: dict, ts_col: str, rank_col: str | None) -> Column:
     """Rows at or behind the last row of a page. Its first half, a plain range, can be pushed to a scan."""
     ts, url = F.col(ts_col), F.col("url")
     at = F.lit(last["ts"]).cast("timestamp_ntz")
     behind = F.lit(False) if last["ts"] is None else ts.isNull() | (ts < at)
     further = F.lit(False) if last["url"] is None else url.isNull() | (url > F.lit(last["url"]))
     same = ts.eqNullSafe(at) & (further | (url.eqNullSafe(F.lit(last["url"])) & (F.col(_TIES) >= last["ties"])))
-    if by_relevance:
-        rank = F.col("relevance")
-        return (rank <= last["relevance"]) & ((rank < last["relevance"]) | behind | same)
+    if rank_col:
+        rank = F.col(rank_col)
+        return (rank <= last["rank"]) & ((rank < last["rank"]) | behind | same)
     near = ts.isNull() if last["ts"] is None else ts.isNull() | (ts <= at)
     return near & (behind | same)
 
@@ -253,6 +268,7 @@ def page_after(
     search_in: str | Sequence[str] | None = None,
     ts_col: str = "published_ts",
     ties: Sequence[str] | None = None,
+    popularity: DataFrame | None = None,
 ) -> tuple[DataFrame, str | None]:
     """RA-6 by seeking: the page behind ``token`` (the first without one) in the order of
     ``sort_and_page``, and the token of the next page (None behind the last).
@@ -260,26 +276,20 @@ def page_after(
     A token holds the place of the page's last row, so a later page starts with a range filter
     and keeps ``page_size`` rows a task, whatever its number. Rows equal in time and URL are told
     apart by a hash of ``ties`` (default: all columns); rows equal in that too are counted."""
-    _check_option("sortBy", sort_by, SORT_BY_OPTIONS)
     if page_size < 1:
         raise ValueError("pageSize must be positive")
-    by_relevance = sort_by == "relevancy"
-    if sort_by == "popularity":
-        raise NotImplementedError("popularity ranking needs the search service's own data")
-    if by_relevance and q is None:
-        raise ValueError("relevancy sorting needs q")
-    columns = [*df.columns, *(["relevance"] if by_relevance else [])]
-    if by_relevance:
-        df = df.withColumn("relevance", relevance(q, search_in))
-    keyed = df.withColumn(_TIES, F.xxhash64(*(ties or df.columns)))
+    given = df.columns
+    df, rank = _ranked(df, sort_by, q, search_in, popularity)
+    columns = df.columns
+    keyed = df.withColumn(_TIES, F.xxhash64(*(ties or given)))
     order = [F.desc_nulls_last(ts_col), F.asc_nulls_last("url"), F.asc(_TIES)]
-    order = [F.desc("relevance"), *order] if by_relevance else order
+    order = [F.desc(rank), *order] if rank else order
     last = _values(token, sort_by) if token else None
     if last:
-        keyed = keyed.filter(_not_before(last, ts_col, by_relevance))
+        keyed = keyed.filter(_not_before(last, ts_col, rank))
     page = keyed.orderBy(*order).offset(last["seen"] if last else 0).limit(page_size)
     page = cut_lineage(page)  # page_size rows, so that the token is that of the page returned
-    key = {"relevance": F.col("relevance") if by_relevance else F.lit(0), "ts": F.col(ts_col).cast("timestamp_ntz").cast("string"),
+    key = {"rank": F.col(rank) if rank else F.lit(0), "ts": F.col(ts_col).cast("timestamp_ntz").cast("string"),
            "url": F.col("url"), "ties": F.col(_TIES)}
     rows = page.orderBy(*order).select(*(c.alias(n) for n, c in key.items())).collect()
     if len(rows) < page_size:

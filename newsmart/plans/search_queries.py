@@ -93,3 +93,12 @@ def _relevance_sql(q: str) -> str:
 ))
 def search_seek_relevancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _third_page(_articles(spark, sf_dir), sort_by="relevancy", q="tion")
+
+
+@register("search_popularity", ("RA-6",), fx.oracle(
+    "SELECT a.*, coalesce(p.n, 0) AS popularity FROM arts a LEFT JOIN (SELECT source_id, count(*) AS n FROM arts GROUP BY source_id) p "
+    f"USING (source_id) ORDER BY popularity DESC, published_ts DESC NULLS LAST, url NULLS LAST LIMIT {PAGE} OFFSET {2 * PAGE}", _ART
+))
+def search_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third page of articles of the sources with most articles, by seeking."""
+    return _third_page(_articles(spark, sf_dir), sort_by="popularity")

@@ -56,8 +56,10 @@ def test_sort_and_page(arts):
     assert [r["title"] for r in page2.collect()] == ["Dengue rises", "Fourth"]
     rel = search.sort_and_page(arts, "relevancy", page_size=1, q="dengue")
     assert [r["title"] for r in rel.collect()] == ["Other"]
-    with pytest.raises(NotImplementedError):
-        search.sort_and_page(arts, "popularity")
+    scores = arts.sparkSession.createDataFrame([("s2", 9), ("s3", 4), (None, 7)], "source_id string, popularity int")
+    popular = search.sort_and_page(arts, "popularity", popularity=scores).collect()
+    assert [(r["title"], r["popularity"]) for r in popular] == [("Other", 9), ("Third", 4), ("Dengue rises", 0), ("Fourth", 0)]
+    assert {r["popularity"] for r in search.sort_and_page(arts, "popularity").collect()} == {0, 1}
     assert "TakeOrderedAndProject" in page2._jdf.queryExecution().executedPlan().toString()
 
 
@@ -131,9 +133,10 @@ def test_seek_pages_equal_offset_pages(spark):
     rows = [(i % 7, times[i % 4], None if i % 5 == 0 else f"u{i % 3}", "tion " * (i % 2)) for i in range(90)]
     rows += [(1, times[1], "u1", "same")] * 8
     df = spark.createDataFrame(rows, "n int, at string, url string, content string").selectExpr(
-        "n", "cast(at as timestamp_ntz) published_ts", "url", "content", "content title", "content description"
+        "n", "cast(at as timestamp_ntz) published_ts", "url", "cast(n as string) source_id", "content", "content title", "content description"
     )
-    for how in ({"sort_by": "publishedAt"}, {"sort_by": "relevancy", "q": "tion"}):
+    scores = spark.createDataFrame([(str(k), k % 2) for k in range(6)], "source_id string, popularity int")
+    for how in ({"sort_by": "publishedAt"}, {"sort_by": "relevancy", "q": "tion"}, {"sort_by": "popularity", "popularity": scores}):
         token, seen, number = None, [], 0
         while True:
             page, token = page_after(df, token, page_size=3 if number < 20 else 7, **how)
