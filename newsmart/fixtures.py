@@ -40,8 +40,11 @@ def _null_when(cond: Column, value: Column) -> Column:
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
-def article_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def article_base(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
+    """``by_day`` deals the documents by their load day, each text once."""
     d = read(spark, sf_dir, "documents")
+    if by_day:
+        d = d.withColumn("_day", F.col("doc_id") % 3).hint("rebalance", "_day")
     doc = F.col("doc_id")
     published = F.lit(BASE_TS).cast("timestamp_ntz") + F.make_dt_interval(
         (doc % CALENDAR_DAYS).cast("int"), F.lit(0), F.lit(0), ((doc % 1440) * SPACING_SECONDS % 86400).cast("decimal(18,6)")
@@ -69,10 +72,10 @@ def article_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landing_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_articles(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
     """Flat landing rows as ``read_landing`` yields them: article columns (``source``
     nested) + ``load_date``, ``window_start`` (the hourly landing window) and ``page``."""
-    base = article_base(spark, sf_dir)
+    base = article_base(spark, sf_dir, by_day)
     source = F.struct(F.col("source_id").alias("id"), F.col("source_name").alias("name"))
     # All deliveries come from one scan: (page, delivery).
     delivery = lambda page, n: F.struct(F.lit(page).alias("page"), F.lit(n).alias("delivery"))
@@ -227,13 +230,13 @@ arts AS (
 """
 
 
-def landing_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_envelopes(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
     """Landing rows as response envelopes ready for the landing writer: one envelope
     per delivered article (so no page is ever gathered into one row here), landed on
-    the article's load day."""
+    the article's load day. ``by_day``: dealt by that day before an article is delivered several times."""
     from newsmart.schemas import ARTICLE_COLUMNS
 
-    rows = landing_articles(spark, sf_dir)
+    rows = landing_articles(spark, sf_dir, by_day)
     article = F.struct(*[F.col(c) for c in ARTICLE_COLUMNS])
     return rows.select(
         F.lit("ok").alias("status"), F.lit(1).cast("long").alias("totalResults"),

@@ -640,7 +640,7 @@ def incremental_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze."""
     pin_utc(spark)
     root = scratch_path(spark, "incremental-bronze")
-    write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing")
+    write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing", compression="gzip")
     incremental.run_incremental_bronze(
         spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=_files_a_batch(spark)
     )
@@ -668,7 +668,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrive, which depends on the files; that each key is there, and once, does not."""
     pin_utc(spark)
     root = scratch_path(spark, "stream-dedup")
-    write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing")
+    write_landing(fx.landing_envelopes(spark, sf_dir), f"{root}/landing", compression="gzip")
     kept = incremental.append_new_articles(
         spark, f"{root}/landing", f"{root}/out", f"{root}/_checkpoint", max_files_per_trigger=_files_a_batch(spark)
     )
@@ -773,7 +773,7 @@ def _arriving_days(spark: SparkSession, sf_dir: str, layout: medallion.Layout, l
     """The schedule: the fixture is landed by one scan beside the landing zone, then each load
     day's folder is moved into it in turn (the last day first with ``late_first``)."""
     outside = f"{layout.root}/outside"
-    write_landing(fx.landing_envelopes(spark, sf_dir), outside)
+    write_landing(fx.landing_envelopes(spark, sf_dir, by_day=True), outside, compression="gzip", by_day=True)
     days = sorted(partition_values(spark, outside, "ingest_date"))
     for day in [days[-1], *days[:-1]] if late_first else days:
         archive_days(spark, outside, layout.landing, [day])
