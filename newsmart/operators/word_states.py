@@ -28,7 +28,7 @@ from newsmart.functions.text import split_on_whitespace
 from newsmart.operators import keywords as kw
 from newsmart.session import delete_path
 from newsmart.sources.tables import partition_values, read_partition, read_table
-from newsmart.sources.writers import path_exists
+from newsmart.sources.writers import PARQUET_OPTIONS, path_exists
 
 _SPECIAL = set("\\.[]{}()*+?^$|")  # characters that may be more than themselves in a pattern
 WORDS, DATED = "words", "dated"
@@ -36,7 +36,7 @@ _HAS_DATE = "year is not null and month is not null and day is not null"
 
 
 def _write(df: DataFrame, path: str, *partitions: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    df.write.mode("overwrite").options(**PARQUET_OPTIONS).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def store_days(silver: DataFrame, path: str, days: list[str] | None = None, col: str = "description") -> list[str]:
@@ -54,14 +54,16 @@ def store_days(silver: DataFrame, path: str, days: list[str] | None = None, col:
     tokens = silver.select(*key, F.explode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce(split_on_whitespace(col), F.array().cast("array<string>")))).alias("token"))
     longest = F.greatest(F.length("token"), F.length(F.lower("token")))  # lower case may be longer
     tokens = tokens.filter(F.col("token").isNull() | (longest > kw.MIN_WORD_LENGTH))
-    sets = [[F.col(c) for c in (*key, "token")], [F.col("load_date"), F.col("token")]]
-    counts = tokens.groupingSets(sets, *key, "token").agg(F.count("token").alias("n"), F.grouping("year").alias("_all"))
-    is_word = F.col("token").isNotNull() & (F.length("token") > kw.MIN_WORD_LENGTH)
-    counts = counts.filter(is_word | (F.col("_all") == 0)).select(
-        F.when(F.col("_all") == 1, WORDS).otherwise(DATED).alias("kind"), *key, "token", "n"
-    )
-    sized = counts.hint("rebalance", "kind", "load_date").sortWithinPartitions("kind", "load_date", F.desc("n"), "token")
-    _write(sized, f"{path}/states", "kind", "load_date")
+    # The sums per word are made of those per date, so the tokens are shuffled once and not for each of the
+    # two. The length is an aggregate, which is not tested before the shuffle: both kinds read the same one.
+    # What the shuffles leave is sized by volume and goes to the files as it is.
+    dated = tokens.groupBy(*key, "token").agg(F.count("token").alias("n"))
+    words = dated.groupBy("load_date", "token").agg(F.sum("n").alias("n"), F.max(F.length("token")).alias("_length"))
+    words = words.filter(F.col("_length") > kw.MIN_WORD_LENGTH).drop("_length")
+    of_kind = lambda df, kind: df.select(F.lit(kind).alias("kind"), *df.columns)
+    counts = of_kind(dated, DATED).unionByName(of_kind(words, WORDS), allowMissingColumns=True)
+    counts = counts.select("kind", *key, "token", "n").sortWithinPartitions("kind", "load_date", F.desc("n"), "token")
+    _write(counts, f"{path}/states", "kind", "load_date")
     return days
 
 
