@@ -12,6 +12,9 @@ from newsmart.operators.bronze import PROVENANCE, keep_first
 # Fixed value: the title the API puts on withdrawn articles.
 REMOVED_TITLE = "[Removed]"
 
+# So many digests of repeated rows are named in a filter; beyond them all rows are shuffled.
+FEW_COPIES = 1000
+
 _BRONZE_NAMED = {
     "source", "author", "title", "description", "url", "urlToImage", "publishedAt",
     "content", "load_date",
@@ -62,3 +65,18 @@ def merge_silver(new: DataFrame, existing: DataFrame | None, dedup_keys: list[st
     if dedup_keys:
         merged = keep_first(merged, keys=tuple(dedup_keys), order=("load_date", "url", *(c for c in merged.columns if c not in ("load_date", "url"))))
     return merged
+
+
+def drop_copies(df: DataFrame) -> DataFrame:
+    """DST-2 where copies are few: whole-row duplicates dropped, as ``dropDuplicates`` does. Rows are told
+    apart by a 64-bit digest first; only those whose digest another row has too are compared, so that
+    the other texts stay where they are. With more than ``FEW_COPIES`` such digests all rows are compared."""
+    rows = df.withColumn("_digest", F.xxhash64(*df.columns))
+    repeated = rows.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    few = [r[0] for r in repeated.select("_digest").limit(FEW_COPIES + 1).collect()]
+    if len(few) > FEW_COPIES:
+        return df.dropDuplicates()
+    if not few:
+        return df
+    copy = F.col("_digest").isin(few)
+    return rows.filter(~copy).drop("_digest").unionByName(rows.filter(copy).drop("_digest").dropDuplicates())

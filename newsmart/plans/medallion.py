@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 from newsmart.operators import analysis, gold, keywords, word_states
 from newsmart.operators.bronze import to_bronze
-from newsmart.operators.silver import merge_silver, to_silver
-from newsmart.session import cut_lineage, delete_path, pin_utc, run_concurrently
+from newsmart.operators.silver import drop_copies, merge_silver, to_silver
+from newsmart.session import cut_lineage, delete_path, pin_utc, run_concurrently, scratch_path
 from newsmart.sources import (
     archive_days,
     archive_files,
@@ -40,7 +40,7 @@ from newsmart.sources import (
     write_bronze,
     write_partitions,
 )
-
+from newsmart.sources.writers import PARQUET_OPTIONS
 from newsmart.streaming.incremental import first_deliveries
 
 
@@ -203,10 +203,12 @@ def run_silver(spark: SparkSession, layout: Layout, dedup_keys: list[str] | None
         if first:
             write_partitions(merge_silver(new, None), layout.silver, "load_date")
             continue
-        merged = merge_silver(new, read_partition(spark, layout.silver, "load_date", one))
+        stored = read_partition(spark, layout.silver, "load_date", one)
         if one in known:
             # The write replaces the partition this plan reads: materialise it first.
-            merged = cut_lineage(merged)
+            merged = cut_lineage(merge_silver(new, stored))
+        else:  # none of the day's rows are there: bronze left few copies
+            merged = drop_copies(new.unionByName(stored, allowMissingColumns=True))
         write_partitions(merged, layout.silver, "load_date")
     return days
 
@@ -215,9 +217,17 @@ def _same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> list:
     return [left[k].eqNullSafe(right[f"_{k}"]) for k in keys]
 
 
+def _kept_aside(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to a scratch folder once (compressed, which a checkpoint is not)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.options(**PARQUET_OPTIONS).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _merge_day_by_keys(spark: SparkSession, layout: Layout, new: DataFrame, day: str, keys: list[str]) -> None:
     """Merge one load day into a silver table that holds a row per key, the earliest load first."""
-    new = merge_silver(new, None, keys)
+    # The day's rows are shuffled once and kept aside; all that follows reads them there.
+    new = _kept_aside(merge_silver(new, None, keys), "silver-day")
     wanted = new.select(*(F.col(k).alias(f"_{k}") for k in keys))
     stored = read_table(spark, layout.silver).select(*keys, "load_date")
     held = cut_lineage(stored.join(wanted, _same_key(stored, wanted, keys), "left_semi"))  # of the history, what the day has too
@@ -225,13 +235,18 @@ def _merge_day_by_keys(spark: SparkSession, layout: Layout, new: DataFrame, day:
     earlier = held.filter(F.col("load_date") < one).select(*(F.col(k).alias(f"_{k}") for k in keys))
     new = new.join(earlier, _same_key(new, earlier, keys), "left_anti")
     losing = [r[0] for r in held.filter(F.col("load_date") > one).select("load_date").distinct().collect()]  # load days
-    merged = merge_silver(new, read_partition(spark, layout.silver, "load_date", day), keys)
+    stored = read_partition(spark, layout.silver, "load_date", day)
+    again = day in partition_values(spark, layout.silver, "load_date")
+    merged = merge_silver(new, stored, keys) if again else new.unionByName(stored, allowMissingColumns=True)
     if losing:
         later = read_table(spark, layout.silver).filter(F.col("load_date").isin(losing))
         winners = new.select(*(F.col(k).alias(f"_{k}") for k in keys))
         merged = merged.unionByName(later.join(winners, _same_key(later, winners, keys), "left_anti"), allowMissingColumns=True)
-    merged = cut_lineage(merged)  # the write replaces partitions that this plan reads
+    if losing or again:  # the write replaces partitions that this plan reads
+        merged = _kept_aside(merged, "silver-merged")
     write_partitions(merged, layout.silver, "load_date")
+    if not losing:
+        return
     left = {r[0] for r in merged.select("load_date").distinct().collect()}
     for d in set(losing) - left:  # a day that lost all its rows
         delete_path(spark, f"{layout.silver}/load_date={d}")
