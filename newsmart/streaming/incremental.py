@@ -36,7 +36,7 @@ from newsmart.schemas import ARTICLE, ARTICLE_COLUMNS, LANDING_RECORD
 from newsmart.session import cut_lineage
 from newsmart.sources.landing import explode_articles, with_provenance
 from newsmart.sources.tables import partition_values, read_table
-from newsmart.sources.writers import path_exists
+from newsmart.sources.writers import PARQUET_OPTIONS, path_exists
 
 # Landing files as our writer lays them out; the ``ingest_date`` partition column must
 # be named in the schema for a file stream to fill it.
@@ -83,7 +83,7 @@ def _batch_articles(batch: DataFrame) -> DataFrame:
 
 def _write_batches(df: DataFrame, bronze_path: str) -> None:
     (
-        df.write.mode("overwrite")
+        df.write.mode("overwrite").options(**PARQUET_OPTIONS)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("load_date", "batch_id")
         .parquet(bronze_path)
@@ -172,13 +172,14 @@ def _days_filter(days: list) -> Column:
 
 
 def already_stored(rows: DataFrame, path: str, batch_id: int, days: list) -> DataFrame:
-    """The keys of ``rows`` that earlier batches stored. Of the store, the key columns of the days
-    ``days`` are read; a semi join leaves those that the batch holds, so that a small batch (or the
-    runtime Bloom filter that Spark builds from it) thins them out before anything is shuffled."""
+    """The keys of ``rows`` that earlier batches stored, as ``_title`` and ``_publishedAt``. Of the store, the
+    key columns of the days ``days`` are read; a semi join by 64-bit digests of the keys leaves those that the
+    batch may hold (all that it holds, and one of equal digest), so that a small batch thins them out
+    before anything is shuffled and only eight bytes of a key are sent round. Compare the keys themselves after it."""
     stored = read_table(rows.sparkSession, path).filter((F.col("batch_id") < batch_id) & _days_filter(days))
-    known = stored.select(*(F.col(c).alias(f"_{c}") for c in DEDUP_KEYS))
-    keys = rows.select(*DEDUP_KEYS)
-    return known.join(keys, [known[f"_{c}"].eqNullSafe(keys[c]) for c in DEDUP_KEYS], "left_semi")
+    digest = F.xxhash64(*DEDUP_KEYS).alias("_digest")
+    known = stored.select(*(F.col(c).alias(f"_{c}") for c in DEDUP_KEYS), digest)
+    return known.join(rows.select(digest), "_digest", "left_semi").drop("_digest")
 
 
 def new_article_writer(path: str):
@@ -199,7 +200,7 @@ def new_article_writer(path: str):
             known = already_stored(rows, path, batch_id, days)
             rows = rows.join(known, [rows[c].eqNullSafe(known[f"_{c}"]) for c in DEDUP_KEYS], "left_anti")
         sized = rows.hint("rebalance", PUBLISHED_DAY)
-        sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PUBLISHED_DAY, "batch_id").parquet(path)
+        sized.write.mode("overwrite").options(**PARQUET_OPTIONS).option("partitionOverwriteMode", "dynamic").partitionBy(PUBLISHED_DAY, "batch_id").parquet(path)
 
     return write
 
@@ -245,7 +246,7 @@ def fold_article_batches(spark: SparkSession, path: str, before: int, at_least:
         return []
     days = [None if d == _NO_DAY else dt.date.fromisoformat(d) for d in chosen]
     rows = read_table(spark, path).filter((F.col("batch_id") < before) & _days_filter(days)).drop("batch_id")
-    rows.hint("rebalance", PUBLISHED_DAY).write.partitionBy(PUBLISHED_DAY).parquet(f"{path}/_folded")
+    rows.hint("rebalance", PUBLISHED_DAY).write.options(**PARQUET_OPTIONS).partitionBy(PUBLISHED_DAY).parquet(f"{path}/_folded")
     for day, batches in chosen.items():
         fs.create(of(f"_folds/{day}@{','.join(map(str, batches))}"), True).close()
     _finish_folds(spark, path)
